@@ -73,3 +73,39 @@ SELECT
   CAST(1 + s_suppkey % 12 AS INT) AS month_no,
   CAST(1 + s_suppkey % 28 AS INT) AS day_of_month
 FROM supplier"""
+
+# dirty scalar values, one row per order (function checks F2-F38)
+ADAPTERS["dirty_values"] = f"""
+SELECT
+  o_orderkey AS k,
+  {dirty_text("o_orderpriority", "o_orderkey")} AS txt,
+  (CASE o_orderkey % 13 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'abc' WHEN 3 THEN '1.0' WHEN 4 THEN '1.5'
+     WHEN 5 THEN ' 42 ' WHEN 6 THEN 'nan' WHEN 7 THEN '-7' WHEN 8 THEN '12345678901234567'
+     ELSE CAST(o_custkey AS STRING) END) AS num,
+  {flag("o_orderkey")} AS flag,
+  (CASE o_orderkey % 14 WHEN 0 THEN 'yes' WHEN 1 THEN 'No' WHEN 2 THEN ' t ' WHEN 3 THEN 'F' WHEN 4 THEN 'active'
+     WHEN 5 THEN 'INACTIVE' WHEN 6 THEN 'maybe' WHEN 7 THEN NULL WHEN 8 THEN '1' WHEN 9 THEN '0'
+     WHEN 10 THEN 'true' ELSE 'false' END) AS boolish,
+  (CASE o_orderkey % 12 WHEN 0 THEN 'woman' WHEN 1 THEN 'Female' WHEN 2 THEN 'famale' WHEN 3 THEN 'men'
+     WHEN 4 THEN 'MALE' WHEN 5 THEN 'man' WHEN 6 THEN 'female/man' WHEN 7 THEN 'MAN/FEMALE' WHEN 8 THEN 'company'
+     WHEN 9 THEN NULL WHEN 10 THEN 'x' ELSE '' END) AS sex,
+  (CASE o_orderkey % 12 WHEN 0 THEN '1' WHEN 1 THEN '2' WHEN 2 THEN '3' WHEN 3 THEN '4' WHEN 4 THEN '5'
+     WHEN 5 THEN '6' WHEN 6 THEN '7' WHEN 7 THEN '8' WHEN 8 THEN '9' WHEN 9 THEN '999' WHEN 10 THEN NULL
+     ELSE '10' END) AS code,
+  (CASE o_orderkey % 8 WHEN 0 THEN 'S' WHEN 1 THEN 'C' WHEN 2 THEN 'F' WHEN 3 THEN 'P' WHEN 4 THEN 'R'
+     WHEN 5 THEN 'B' WHEN 6 THEN NULL ELSE 'Z' END) AS bookcode,
+  (CASE o_orderkey % 6 WHEN 0 THEN 'บริษัท ทดสอบ จำกัด (มหาชน)' WHEN 1 THEN 'Acme PCL' WHEN 2 THEN NULL
+     WHEN 3 THEN 'Acme pcl' ELSE 'Customer ' || CAST(o_custkey AS STRING) END) AS company,
+  {dirty_date("o_orderdate", "o_orderkey")} AS dtext,
+  (CASE o_orderkey % 9 WHEN 0 THEN NULL WHEN 1 THEN 'junk' WHEN 2 THEN '1700000000.5'
+     ELSE CAST(o_orderkey * 86400 + 946684800 AS STRING) END) AS epoch,
+  (CASE o_orderkey % 10 WHEN 0 THEN '2400' WHEN 1 THEN '2401' WHEN 2 THEN '2500' WHEN 3 THEN '2501'
+     WHEN 4 THEN '2567' WHEN 5 THEN '2600' WHEN 6 THEN '2263' WHEN 7 THEN NULL WHEN 8 THEN 'ab12' ELSE CAST(year(o_orderdate) AS STRING) END)
+    || '-' || lpad(CAST(month(o_orderdate) AS STRING), 2, '0') || '-' || lpad(CAST(day(o_orderdate) AS STRING), 2, '0') || ' 08:30:00' AS betext,
+  (CASE o_orderkey % 7 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE CAST(800000000 + o_custkey AS STRING) END) AS phone,
+  (CASE o_orderkey % 5 WHEN 0 THEN NULL ELSE 'First' || CAST(o_custkey % 97 AS STRING) END) AS first_nm,
+  (CASE o_orderkey % 6 WHEN 0 THEN NULL ELSE 'Last' || CAST(o_orderkey % 89 AS STRING) END) AS last_nm,
+  o_orderdate AS ts,
+  CAST(year(o_orderdate) AS INT) AS calendar_year, CAST(month(o_orderdate) AS INT) AS month_no,
+  CAST(day(o_orderdate) AS INT) AS day_of_month
+FROM orders"""
