@@ -109,3 +109,90 @@ SELECT
   CAST(year(o_orderdate) AS INT) AS calendar_year, CAST(month(o_orderdate) AS INT) AS month_no,
   CAST(day(o_orderdate) AS INT) AS day_of_month
 FROM orders"""
+
+
+def kdate(k: str, salt: int = 0) -> str:
+    """Dirty date text built from key arithmetic (for tables without a date column)."""
+    y = f"(2010 + ({k} + {salt}) % 15)"
+    m = f"(1 + ({k} + {salt}) % 12)"
+    d = f"(1 + ({k} * 7 + {salt}) % 28)"
+    hh = f"lpad(CAST(({k} + {salt}) % 24 AS STRING), 2, '0')"
+    plain = (f"(CAST({y} AS STRING) || '-' || lpad(CAST({m} AS STRING), 2, '0') || '-' || "
+             f"lpad(CAST({d} AS STRING), 2, '0') || ' ' || {hh} || ':15:00')")
+    return f"""(CASE ({k} + {salt}) % 12
+      WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'nan' WHEN 3 THEN 'not a date'
+      WHEN 4 THEN CAST({y} AS STRING) || '-' || CAST({m} AS STRING) || '-' || CAST({d} AS STRING)
+      WHEN 5 THEN CAST({y} + 543 AS STRING) || substr({plain}, 5)
+      WHEN 6 THEN ' ' || {plain} || '{NBSP}'
+      WHEN 7 THEN CAST({y} + 543 AS STRING) || '-' || lpad(CAST({m} AS STRING), 2, '0') || '-01'
+      ELSE {plain} END)"""
+
+
+def who(prefix: str, k: str, mod: int, salt: int = 0) -> str:
+    """User names with null, blank and padded variants."""
+    return f"""(CASE ({k} + {salt}) % 9 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN ' {prefix}' || CAST({k} % {mod} AS STRING) || ' '
+      ELSE '{prefix}' || CAST({k} % {mod} AS STRING) END)"""
+
+
+# authentication users (one per customer)
+ADAPTERS["auth_users"] = f"""
+SELECT
+  (CASE c_custkey % 17 WHEN 0 THEN 'abc' WHEN 1 THEN CAST(c_custkey AS STRING) || '.0' WHEN 2 THEN ''
+     ELSE CAST(c_custkey AS STRING) END) AS id,
+  (CASE c_custkey % 5 WHEN 0 THEN NULL ELSE 'MU' || CAST(c_custkey % 700 AS STRING) END) AS mobile_user_id,
+  {dirty_text("CAST(800000000 + c_custkey AS STRING)", "c_custkey")} AS phone_number,
+  (CASE c_custkey % 6 WHEN 0 THEN NULL WHEN 1 THEN ' 66 ' WHEN 2 THEN '' WHEN 3 THEN 'nan' ELSE '66' END) AS country_code,
+  (CASE c_custkey % 8 WHEN 0 THEN 'true' WHEN 1 THEN 'false' WHEN 2 THEN 'TRUE' WHEN 3 THEN '1' WHEN 4 THEN '0'
+     WHEN 5 THEN '' WHEN 6 THEN NULL ELSE 'False' END) AS is_deleted,
+  {kdate("c_custkey")} AS created_time,
+  {kdate("c_custkey", 3)} AS updated_time,
+  CAST(2024 AS INT) AS calendar_year, CAST(1 + c_custkey % 12 AS INT) AS month_no,
+  CAST(1 + c_custkey % 28 AS INT) AS day_of_month
+FROM customer"""
+
+# home-service providers (one per supplier); epoch seconds as text
+ADAPTERS["seekster_provider"] = f"""
+SELECT
+  'HS' || CAST(s_suppkey AS STRING) AS provider_id,
+  (CASE s_suppkey % 5 WHEN 0 THEN NULL WHEN 1 THEN 'บริษัท บริการ ' || CAST(s_suppkey AS STRING) || ' จำกัด (มหาชน)'
+     ELSE s_name END) AS provider_name,
+  (CASE s_suppkey % 3 WHEN 0 THEN NULL WHEN 1 THEN s_name || ' PCL' ELSE 'Reg ' || s_name END) AS registered_name,
+  (CASE s_suppkey % 7 WHEN 0 THEN 'true' WHEN 1 THEN '1' WHEN 2 THEN 'false' WHEN 3 THEN '0' WHEN 4 THEN 'TRUE'
+     WHEN 5 THEN NULL ELSE 'x' END) AS is_active,
+  (CASE s_suppkey % 11 WHEN 0 THEN NULL WHEN 1 THEN 'junk'
+     ELSE CAST(1500000000 + s_suppkey * 86399 AS STRING) END) AS create_date,
+  {who("creator", "s_suppkey", 13)} AS create_by,
+  (CASE s_suppkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'bad' WHEN 2 THEN CAST(1600000000 + s_suppkey * 3600 AS STRING) || '.5'
+     ELSE CAST(1600000000 + s_suppkey * 7200 AS STRING) END) AS update_date,
+  (CASE s_suppkey % 3 WHEN 0 THEN NULL ELSE 'upd' || CAST(s_suppkey % 5 AS STRING) END) AS update_by
+FROM supplier"""
+
+# back-office users (one per customer)
+ADAPTERS["tmUSR"] = f"""
+SELECT
+  'USR' || CAST(c_custkey AS STRING) AS fcid,
+  (CASE c_custkey % 10 WHEN 0 THEN NULL ELSE 'G' || CAST(c_custkey % 12 AS STRING) END) AS fcusgid,
+  {dirty_text("'U' || CAST(c_custkey AS STRING)", "c_custkey")} AS fccode,
+  {dirty_text("c_name", "c_custkey", 4)} AS fcname,
+  {flag("c_custkey")} AS fcisactive,
+  {kdate("c_custkey", 1)} AS ftcreatedate,
+  {who("creator", "c_custkey", 17)} AS fccreator,
+  (CASE c_custkey % 3 WHEN 0 THEN NULL ELSE {kdate("c_custkey", 5)} END) AS ftupdatedate,
+  {who("editor", "c_custkey", 11, 4)} AS fcupdateby
+FROM customer"""
+
+# residence history (one per line item)
+ADAPTERS["ttCORHist"] = f"""
+SELECT
+  'H' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS fcid,
+  {dirty_text("'U' || CAST(l_orderkey AS STRING)", "l_partkey")} AS fcroomid,
+  (CASE l_suppkey % 6 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE 'R' || CAST(l_partkey % 900 AS STRING) END) AS fccornewrentalid,
+  {flag("l_partkey")} AS fcisactive,
+  (CASE l_linenumber % 4 WHEN 0 THEN 'Rential' WHEN 1 THEN ' Stay ' WHEN 2 THEN 'Owner' ELSE NULL END) AS fctype,
+  {dirty_date("l_shipdate", "l_orderkey")} AS ftdatein,
+  {dirty_date("l_shipdate", "l_orderkey", 4)} AS ftdateout,
+  {dirty_date("l_shipdate", "l_partkey", 2)} AS ftcreatedate,
+  {who("creator", "l_suppkey", 7)} AS fccreator,
+  {dirty_date("l_shipdate", "l_partkey", 8)} AS ftupdatedate,
+  {who("editor", "l_partkey", 9)} AS fcupdateby
+FROM lineitem"""

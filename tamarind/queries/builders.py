@@ -9,7 +9,7 @@ from tamarind.queries.tables import RUN_TS, register
 from tamarind.sources.lake import PART_COLS, latest_per_key
 from tamarind.spec import LATEST
 
-from tamarind.plans import unit
+from tamarind.plans import unit, user
 
 CTX = RunContext(lake_root="", run_ts=RUN_TS)
 
@@ -89,3 +89,60 @@ SELECT DISTINCT {q.AUDIT},
   {q.date_ts('coalesce(x.ftupdatedate, x.ftcreatedate)')} AS date_id
 FROM owners x LEFT JOIN b ON x.fcbrnid = b.fcid
 WHERE x.ownerid IS NOT NULL AND {q.strip('x.ownerid')} <> ''"""
+
+
+# ---------------------------------------------------------------- user -----
+_IS_DEL = {"true": "1", "false": "0", "1": "1", "0": "0", "nan": "0"}
+QUERIES["b_fact_authuser"] = make(user.SPECS[0], {"users": "auth_users"})
+ORACLES["b_fact_authuser"] = f"""
+WITH u AS (SELECT {q.nullif_all('id, mobile_user_id, phone_number, country_code, is_deleted, created_time, updated_time')},
+  calendar_year, month_no, day_of_month FROM {A('auth_users')})
+SELECT DISTINCT {q.AUDIT}, make_date(calendar_year, month_no, day_of_month) AS date_id, {q.to_long('id')} AS auth_id,
+  mobile_user_id, {q.clean('phone_number')} AS phone_number, {q.clean('country_code')} AS country_code,
+  CASE WHEN is_deleted IS NULL THEN '0' ELSE {q.case_map('lower(is_deleted)', _IS_DEL)} END AS is_deleted,
+  '1' AS rec_actv_flag, {q.to_ts('created_time')} AS crtd_dttm, CAST(NULL AS VARCHAR) AS crtd_by,
+  {q.to_ts('updated_time')} AS updt_dttm, CAST(NULL AS VARCHAR) AS updt_by
+FROM u"""
+
+_PARTY_NULLS = ("titl_th, frst_nm_th, last_nm_th, titl_en, frst_nm_en, last_nm_en, th_id, passport_no, cnty_cd, mob_no, "
+                "email, edu, occu, income_range, mrtl_sts, rlgn, gndr, fam_size, mem_ref_code, mem_sts, nationality_id")
+_CRT = "TRY_CAST(create_date AS DOUBLE)"
+_UPD = "TRY_CAST(update_date AS DOUBLE)"
+QUERIES["b_dim_party_homeservice"] = make(user.SPECS[1])
+ORACLES["b_dim_party_homeservice"] = f"""
+WITH p AS (SELECT *, coalesce(provider_name, registered_name) AS full_nm,
+  {q.epoch(_CRT)} AS crtd, {q.epoch(f'coalesce({_UPD}, {_CRT})')} AS updt FROM {A('seekster_provider')})
+SELECT {q.AUDIT}, full_nm AS full_nm_th, full_nm AS full_nm_en, {q.nulls(_PARTY_NULLS)},
+  CAST(NULL AS TIMESTAMP) AS dob, CAST(NULL AS TIMESTAMP) AS mem_crtd_dttm, CAST(NULL AS BIGINT) AS age,
+  CAST(NULL AS DOUBLE) AS totl_kid, CAST(NULL AS DOUBLE) AS totl_eldr,
+  CASE WHEN lower(is_active) IN ('true', '1') THEN '1' WHEN lower(is_active) IN ('false', '0') THEN '0' END AS rec_actv_flag,
+  crtd AS crtd_dttm, create_by AS crtd_by, updt AS updt_dttm, coalesce(update_by, create_by) AS updt_by,
+  CAST(4 AS BIGINT) AS party_type_id, provider_id AS party_id,
+  CASE WHEN coalesce(regexp_matches(full_nm, 'มหาชน|PCL'), FALSE) THEN 'PCL' ELSE 'LOCAL' END AS corporate_type,
+  {q.date_text('CAST(coalesce(updt, crtd) AS STRING)')} AS date_id
+FROM p"""
+
+QUERIES["b_fact_user"] = make(user.SPECS[2])
+ORACLES["b_fact_user"] = f"""
+SELECT DISTINCT {q.AUDIT},
+  {q.date_text(q.be_to_ce('coalesce(ftupdatedate, ftcreatedate)', 2400), 2)} AS date_id,
+  {q.clean('fcid')} AS user_id, {q.clean('fcusgid')} AS usergroup_id, {q.clean('fccode')} AS user_cd,
+  {q.clean('fcname')} AS user_nm, {q.case_map('upper(fcisactive)', {"N": "0", "Y": "1"})} AS user_status,
+  CAST(NULL AS VARCHAR) AS rec_actv_flag,
+  {q.to_ts(q.be_to_ce('ftcreatedate', 2400))} AS crtd_dttm, {q.clean('fccreator')} AS crtd_by,
+  {q.to_ts(q.be_to_ce('ftupdatedate', 2400))} AS updt_dttm,
+  coalesce(NULLIF({q.clean('fcupdateby')}, ''), {q.clean('fccreator')}) AS updt_by
+FROM {A('tmUSR')}"""
+
+QUERIES["b_fact_unitresident"] = make(user.SPECS[3])
+ORACLES["b_fact_unitresident"] = f"""
+WITH h AS (SELECT {q.nullif_all('fcid, fcroomid, fccornewrentalid, fcisactive, fctype, ftdatein, ftdateout, ftcreatedate, fccreator, ftupdatedate, fcupdateby')}
+  FROM {A('ttCORHist')})
+SELECT DISTINCT {q.AUDIT}, DATE '2025-01-01' AS date_id,
+  {q.clean('fcid')} AS corhist_id, {q.clean('fcroomid')} AS unit_id, {q.clean('fccornewrentalid')} AS party_id,
+  {q.clean('fctype')} AS resident_type,
+  {q.to_ts(q.be_to_ce('ftdatein', 2400))} AS move_in_date, {q.to_ts(q.be_to_ce('ftdateout', 2400))} AS move_out_date,
+  {q.clean('fcisactive')} AS hisrory_status, '1' AS rec_actv_flag,
+  {q.to_ts(q.be_to_ce('ftcreatedate', 2400))} AS crtd_dttm, {q.clean('fccreator')} AS crtd_by,
+  {q.to_ts(q.be_to_ce('ftupdatedate', 2400))} AS updt_dttm, {q.clean('fcupdateby')} AS updt_by
+FROM h"""

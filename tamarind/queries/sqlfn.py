@@ -84,3 +84,17 @@ def latest(table_sql: str, keys: str, order: str = "calendar_year DESC, month_no
 
 RUN_TS = "TIMESTAMP '2025-01-01 03:00:00'"
 AUDIT = f"{RUN_TS} AS dwh_crtd_dttm, {RUN_TS} AS dwh_updt_dttm, CAST(NULL AS INTEGER) AS dwh_note"
+
+
+def epoch(d: str) -> str:
+    """Seconds (a DOUBLE expression) -> timestamp; NaN/null/huge -> null."""
+    return (f"(CASE WHEN {d} IS NOT NULL AND NOT isnan({d}) AND abs({d}) < 1e13 THEN "
+            f"TIMESTAMP '1970-01-01 00:00:00' + to_microseconds(CAST(round({d} * 1000000) AS BIGINT)) END)")
+
+
+def nullif_all(cols: str) -> str:
+    return ", ".join(f"NULLIF({c.strip()}, '') AS {c.strip()}" for c in cols.split(","))
+
+
+def nulls(cols: str, typ: str = "VARCHAR") -> str:
+    return ", ".join(f"CAST(NULL AS {typ}) AS {c.strip()}" for c in cols.split(","))
