@@ -43,9 +43,14 @@ def to_text(c) -> Column:
     return _c(c).cast("string")
 
 
-def clean_token(c) -> Column:
-    """text with null -> ''."""
-    return F.coalesce(_c(c).cast("string"), F.lit(""))
+# How a missing value reads once turned into text.
+MISSING_TOKENS = ["None", "nan", "<NA>"]
+
+
+def clean_token(c, tokens=MISSING_TOKENS) -> Column:
+    """text, with null and the exact texts ``tokens`` -> ''."""
+    s = _c(c).cast("string")
+    return F.when(s.isNull() | s.isin(list(tokens)), F.lit("")).otherwise(s)
 
 
 def to_long(c) -> Column:

@@ -135,3 +135,51 @@ SPECS = [
     TableSpec("fact_unitresident", "fact_unitresident", ("date_id", "corhist_id"),
               (Source("ttCORHist", "ttCORHist"),), build_fact_unitresident, FACT_UNITRESIDENT, full_default=True),
 ]
+
+
+FACT_PMSINVITATIONS = schema(f"""{AUDIT}, date_id:date, invite_id:long, invite_email:str, invite_status:str,
+    expired_dttm:ts, rec_actv_flag:str, crtd_dttm:ts, crtd_by:str, updt_dttm:ts, updt_by:str""")
+
+FACT_PMSUSER_ROLE = schema(f"""{AUDIT}, date_id:date, record_id:long, user_id:long, role_id:long,
+    pmscompany_id:long, pmsproject_id:long, is_active:bool, rec_actv_flag:str, crtd_by:str, crtd_dttm:ts,
+    updt_by:str, updt_dttm:ts""")
+
+
+def build_fact_pmsinvitations(src: dict, ctx):
+    """Invitations as sent (created = updated)."""
+    df = src["invitations"]
+    created = fn.to_ts("created_at")
+    df = with_audit(df, ctx.run_ts).select(
+        "dwh_crtd_dttm", "dwh_updt_dttm", "dwh_note",
+        fn.date_id_from_ts("created_at").alias("date_id"), F.col("id").alias("invite_id"),
+        fn.clean_str("email").alias("invite_email"), fn.clean_str("status").alias("invite_status"),
+        fn.to_ts("expires_at").alias("expired_dttm"), F.lit("1").alias("rec_actv_flag"),
+        created.alias("crtd_dttm"), created.alias("updt_dttm"),
+        F.col("invited_by").alias("crtd_by"), F.col("invited_by").alias("updt_by"),
+    )
+    return finish(df, FACT_PMSINVITATIONS)
+
+
+def build_fact_pmsuser_role(src: dict, ctx):
+    """User roles per company/project; ids coerced with 0 for bad values."""
+    df = src["user_roles"]
+    df = with_audit(df, ctx.run_ts).select(
+        "dwh_crtd_dttm", "dwh_updt_dttm", "dwh_note",
+        fn.date_id_from_ts(fn.coalesce_first("updated_at", "created_at")).alias("date_id"),
+        fn.to_long_or_zero("id").alias("record_id"), fn.to_long_or_zero("user_id").alias("user_id"),
+        fn.to_long_or_zero("role_id").alias("role_id"), fn.to_long_or_zero("company_id").alias("pmscompany_id"),
+        fn.to_long_or_zero("project_id").alias("pmsproject_id"), fn.norm_bool("is_active").alias("is_active"),
+        F.lit("1").alias("rec_actv_flag"),
+        fn.clean_str("created_by").alias("crtd_by"), fn.to_ts("created_at").alias("crtd_dttm"),
+        fn.clean_str("updated_by").alias("updt_by"), fn.to_ts("updated_at").alias("updt_dttm"),
+    )
+    return finish(df, FACT_PMSUSER_ROLE)
+
+
+_PMS = dict(app="pmsmanagement", source_type="postgresql")
+SPECS += [
+    TableSpec("fact_pmsinvitations", "fact_pmsinvitations", ("date_id", "invite_id"),
+              (Source("invitations", "invitations", **_PMS),), build_fact_pmsinvitations, FACT_PMSINVITATIONS),
+    TableSpec("fact_pmsuser_role", "fact_pmsuser_role", ("date_id", "record_id"),
+              (Source("user_roles", "user_roles", **_PMS),), build_fact_pmsuser_role, FACT_PMSUSER_ROLE),
+]

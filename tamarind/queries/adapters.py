@@ -196,3 +196,104 @@ SELECT
   {dirty_date("l_shipdate", "l_partkey", 8)} AS ftupdatedate,
   {who("editor", "l_partkey", 9)} AS fcupdateby
 FROM lineitem"""
+
+
+def numtext(k: str, base: str, salt: int = 0) -> str:
+    """Numeric ids as text with junk, fractions and blanks."""
+    return f"""(CASE ({k} + {salt}) % 10 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'x' || CAST({base} AS STRING)
+      WHEN 3 THEN CAST({base} AS STRING) || '.0' WHEN 4 THEN CAST({base} AS STRING) || '.5'
+      ELSE CAST({base} AS STRING) END)"""
+
+
+def email(k: str, salt: int = 0) -> str:
+    return dirty_text(f"'user' || CAST({k} % 997 AS STRING) || '@mail.test'", k, salt)
+
+
+# property-management companies (one per supplier)
+ADAPTERS["companies"] = f"""
+SELECT
+  s_suppkey AS id, 'CO' || CAST(s_suppkey AS STRING) AS code,
+  {dirty_text("'บริษัท ' || s_name", "s_suppkey")} AS name_th,
+  (CASE s_suppkey % 5 WHEN 0 THEN NULL WHEN 1 THEN 'nan' WHEN 2 THEN 'None' ELSE s_name || ' Co' END) AS name_en,
+  (CASE s_suppkey % 3 WHEN 0 THEN 'true' WHEN 1 THEN 'false' ELSE NULL END) AS is_active,
+  {kdate("s_suppkey")} AS created_at, {who("admin", "s_suppkey", 7)} AS created_by,
+  (CASE s_suppkey % 4 WHEN 0 THEN NULL ELSE {kdate("s_suppkey", 6)} END) AS updated_at,
+  (CASE s_suppkey % 6 WHEN 0 THEN 'nan' WHEN 1 THEN '<NA>' ELSE {who("editor", "s_suppkey", 5)} END) AS updated_by,
+  CAST(2020 + floor(s_suppkey / 50) AS INT) AS calendar_year, CAST(1 + s_suppkey % 12 AS INT) AS month_no,
+  CAST(1 + s_suppkey % 28 AS INT) AS day_of_month
+FROM supplier"""
+
+# property-management projects (one per part)
+ADAPTERS["projects"] = f"""
+SELECT
+  p_partkey AS id, 'PJ' || CAST(p_partkey AS STRING) AS code,
+  {dirty_text("'โครงการ ' || p_name", "p_partkey")} AS name_th, p_name || ' ' || p_brand AS name_en,
+  (CASE p_partkey % 5 WHEN 0 THEN NULL ELSE 'PMS' || CAST(p_partkey % 300 AS STRING) END) AS pms_project_id,
+  (CASE p_partkey % 3 WHEN 0 THEN 'true' WHEN 1 THEN 'false' ELSE NULL END) AS is_active,
+  {kdate("p_partkey", 2)} AS created_at, {who("admin", "p_partkey", 7)} AS created_by,
+  (CASE p_partkey % 4 WHEN 0 THEN NULL ELSE {kdate("p_partkey", 8)} END) AS updated_at,
+  {who("editor", "p_partkey", 5)} AS updated_by,
+  CAST(2020 + floor(p_partkey / 500) AS INT) AS calendar_year, CAST(1 + p_partkey % 12 AS INT) AS month_no,
+  CAST(1 + p_partkey % 28 AS INT) AS day_of_month
+FROM part"""
+
+# invitations: two versions per order (version = calendar year 2023/2024), never tied
+def _invitation_version(v: int) -> str:
+    return f"""
+SELECT
+  o_orderkey AS id, {email("o_orderkey", 3 + v)} AS email,
+  (CASE (o_orderkey + {v}) % 5 WHEN 0 THEN 'pending' WHEN 1 THEN ' accepted ' WHEN 2 THEN 'expired'
+     WHEN 3 THEN NULL ELSE 'nan' END) AS status,
+  {dirty_date("o_orderdate", "o_orderkey", 1 + v)} AS expires_at,
+  {dirty_date("o_orderdate", "o_orderkey", 5 * v)} AS created_at,
+  {who("inviter", "o_custkey", 11, v)} AS invited_by,
+  CAST({2023 + v} AS INT) AS calendar_year, CAST(month(o_orderdate) AS INT) AS month_no,
+  CAST(day(o_orderdate) AS INT) AS day_of_month
+FROM orders"""
+
+
+ADAPTERS["invitations"] = _invitation_version(0) + "\nUNION ALL" + _invitation_version(1)
+
+ADAPTERS["invitation_companies"] = f"""
+SELECT
+  o_orderkey AS id, o_orderkey + (CASE o_orderkey % 9 WHEN 0 THEN 100000000 ELSE 0 END) AS invitation_id,
+  {numtext("o_orderkey", "o_custkey % 100")} AS company_id,
+  (CASE o_orderkey % 4 WHEN 0 THEN 'accepted' WHEN 1 THEN '' WHEN 2 THEN ' rejected ' ELSE NULL END) AS status,
+  {dirty_date("o_orderdate", "o_orderkey", 2)} AS responded_at
+FROM orders"""
+
+ADAPTERS["invitation_projects"] = f"""
+SELECT
+  o_orderkey AS id, o_orderkey + (CASE o_orderkey % 7 WHEN 0 THEN 100000000 ELSE 0 END) AS invitation_id,
+  {numtext("o_orderkey", "o_custkey % 2000", 4)} AS project_id,
+  {numtext("o_orderkey", "o_orderkey % 9", 7)} AS role_id,
+  (CASE o_orderkey % 4 WHEN 0 THEN 'accepted' WHEN 1 THEN '' WHEN 2 THEN ' rejected ' ELSE NULL END) AS status,
+  {dirty_date("o_orderdate", "o_orderkey", 5)} AS responded_at
+FROM orders"""
+
+_AUDIT_LOG = """
+SELECT
+  event_id AS id, {numtext} AS {entity}_id,
+  (CASE event_type WHEN 'click' THEN 'INVITE' WHEN 'view' THEN ' REMOVE ' WHEN 'error' THEN NULL ELSE upper(event_type) END) AS action_type,
+  (CASE user_id % 4 WHEN 0 THEN NULL WHEN 1 THEN 'nan' ELSE 'action by ' || CAST(user_id AS STRING) END) AS description,
+  {email} AS target_email,
+  (CASE event_id % 5 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE props END) AS reason,
+  CAST(ts AS STRING) AS created_at,
+  (CASE user_id % 3 WHEN 0 THEN NULL ELSE 'u' || CAST(user_id AS STRING) END) AS created_by
+FROM events"""
+ADAPTERS["company_audit_logs"] = _AUDIT_LOG.format(numtext=numtext("event_id", "user_id % 100"), entity="company",
+                                                   email=email("user_id"))
+ADAPTERS["project_audit_logs"] = _AUDIT_LOG.format(numtext=numtext("event_id", "user_id % 300", 3), entity="project",
+                                                   email=email("user_id", 2))
+
+ADAPTERS["user_roles"] = f"""
+SELECT
+  {numtext("o_orderkey", "o_orderkey")} AS id, {numtext("o_orderkey", "o_custkey", 1)} AS user_id,
+  {numtext("o_orderkey", "o_orderkey % 12", 2)} AS role_id, {numtext("o_orderkey", "o_custkey % 100", 3)} AS company_id,
+  {numtext("o_orderkey", "o_custkey % 2000", 5)} AS project_id,
+  (CASE o_orderkey % 9 WHEN 0 THEN 'yes' WHEN 1 THEN 'No' WHEN 2 THEN ' t ' WHEN 3 THEN 'inactive' WHEN 4 THEN NULL
+     WHEN 5 THEN 'maybe' WHEN 6 THEN '1' ELSE 'true' END) AS is_active,
+  {dirty_date("o_orderdate", "o_orderkey")} AS created_at, {who("admin", "o_custkey", 9)} AS created_by,
+  (CASE o_orderkey % 3 WHEN 0 THEN NULL ELSE {dirty_date("o_orderdate", "o_orderkey", 6)} END) AS updated_at,
+  {who("editor", "o_custkey", 6, 2)} AS updated_by
+FROM orders"""

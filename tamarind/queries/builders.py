@@ -9,7 +9,7 @@ from tamarind.queries.tables import RUN_TS, register
 from tamarind.sources.lake import PART_COLS, latest_per_key
 from tamarind.spec import LATEST
 
-from tamarind.plans import unit, user
+from tamarind.plans import company, project, unit, user
 
 CTX = RunContext(lake_root="", run_ts=RUN_TS)
 
@@ -146,3 +146,90 @@ SELECT DISTINCT {q.AUDIT}, DATE '2025-01-01' AS date_id,
   {q.to_ts(q.be_to_ce('ftcreatedate', 2400))} AS crtd_dttm, {q.clean('fccreator')} AS crtd_by,
   {q.to_ts(q.be_to_ce('ftupdatedate', 2400))} AS updt_dttm, {q.clean('fcupdateby')} AS updt_by
 FROM h"""
+
+
+# ----------------------------------------------------------------- pms -----
+_BOOL_T = "('true', '1', 't', 'y', 'yes', 'active')"
+_BOOL_F = "('false', '0', 'f', 'n', 'no', 'inactive')"
+
+
+def _bool(x):
+    s_ = f"lower({q.strip(x)})"
+    return f"(CASE WHEN {s_} IN {_BOOL_T} THEN TRUE WHEN {s_} IN {_BOOL_F} THEN FALSE END)"
+
+
+def _tok(x, toks=("None", "nan", "<NA>")):
+    lst = ", ".join(f"'{t}'" for t in toks)
+    return f"(CASE WHEN {x} IS NULL OR {x} IN ({lst}) THEN '' ELSE {x} END)"
+
+
+QUERIES["b_fact_pmsinvitations"] = make(user.SPECS[4])
+ORACLES["b_fact_pmsinvitations"] = f"""
+SELECT DISTINCT {q.AUDIT}, {q.date_ts('created_at')} AS date_id, id AS invite_id,
+  {q.clean('email')} AS invite_email, {q.clean('status')} AS invite_status, {q.to_ts('expires_at')} AS expired_dttm,
+  '1' AS rec_actv_flag, {q.to_ts('created_at')} AS crtd_dttm, invited_by AS crtd_by,
+  {q.to_ts('created_at')} AS updt_dttm, invited_by AS updt_by
+FROM {A('invitations')}"""
+
+QUERIES["b_fact_pmsuser_role"] = make(user.SPECS[5])
+ORACLES["b_fact_pmsuser_role"] = f"""
+SELECT DISTINCT {q.AUDIT}, {q.date_ts('coalesce(updated_at, created_at)')} AS date_id,
+  coalesce({q.to_long('id')}, 0) AS record_id, coalesce({q.to_long('user_id')}, 0) AS user_id,
+  coalesce({q.to_long('role_id')}, 0) AS role_id, coalesce({q.to_long('company_id')}, 0) AS pmscompany_id,
+  coalesce({q.to_long('project_id')}, 0) AS pmsproject_id, {_bool('is_active')} AS is_active,
+  '1' AS rec_actv_flag, {q.clean('created_by')} AS crtd_by, {q.to_ts('created_at')} AS crtd_dttm,
+  {q.clean('updated_by')} AS updt_by, {q.to_ts('updated_at')} AS updt_dttm
+FROM {A('user_roles')}"""
+
+QUERIES["b_dim_pmscompany"] = make(company.SPECS[0])
+ORACLES["b_dim_pmscompany"] = f"""
+SELECT DISTINCT {q.AUDIT}, {q.date_text('coalesce(updated_at, created_at)')} AS date_id,
+  CAST(id AS BIGINT) AS company_id, code AS company_cd, name_th AS company_nm_th,
+  {_tok('name_en', ('nan',))} AS company_nm_en, is_active, '1' AS rec_actv_flag,
+  {_tok('created_by')} AS crtd_by, {q.to_ts('created_at')} AS crtd_dttm,
+  {_tok('updated_by')} AS updt_by, {q.to_ts('updated_at')} AS updt_dttm
+FROM {A('companies')}"""
+
+
+def _inv_link(entity, link, role):
+    role_sql = f", {q.to_long('role_id')} AS role_id" if role else ""
+    return f"""
+WITH j AS (SELECT l.*, i.email AS email_i, i.invited_by AS invited_by_i
+  FROM {A(link)} l LEFT JOIN {L('invitations', 'id')} i ON l.invitation_id = i.id),
+n AS (SELECT id, invitation_id, NULLIF({entity}_id, '') AS {entity}_id, NULLIF(status, '') AS status,
+  NULLIF(responded_at, '') AS responded_at, NULLIF(email_i, '') AS email_i, NULLIF(invited_by_i, '') AS invited_by_i
+  {", NULLIF(role_id, '') AS role_id" if role else ""} FROM j)
+SELECT DISTINCT {q.AUDIT}, {q.date_ts('responded_at')} AS date_id, id AS record_id, invitation_id AS invite_id,
+  {q.to_long(entity + '_id')} AS pms{entity}_id, {q.clean('status')} AS invite_status,
+  {q.clean('invited_by_i')} AS invite_by, {q.clean('email_i')} AS invite_email, '1' AS rec_actv_flag,
+  {q.to_ts('responded_at')} AS crtd_dttm, CAST(NULL AS VARCHAR) AS crtd_by,
+  {q.to_ts('responded_at')} AS updt_dttm, CAST(NULL AS VARCHAR) AS updt_by{role_sql}
+FROM n"""
+
+
+def _inv_hist(entity):
+    return f"""
+SELECT DISTINCT {q.AUDIT}, {q.date_ts('created_at')} AS date_id, {q.to_long('id')} AS record_id,
+  {q.to_long(entity + '_id')} AS pms{entity}_id, {q.clean('action_type')} AS action_type,
+  {q.clean('description')} AS "desc", {q.clean('target_email')} AS action_email, {q.clean('reason')} AS reason,
+  '1' AS rec_actv_flag, created_by AS crtd_by, {q.to_ts('created_at')} AS crtd_dttm,
+  created_by AS updt_by, {q.to_ts('created_at')} AS updt_dttm
+FROM {A(entity + '_audit_logs')}"""
+
+
+QUERIES["b_fact_pmsinvitation_company"] = make(company.SPECS[1])
+ORACLES["b_fact_pmsinvitation_company"] = _inv_link("company", "invitation_companies", False)
+QUERIES["b_fact_pmsinvitationhist_company"] = make(company.SPECS[2])
+ORACLES["b_fact_pmsinvitationhist_company"] = _inv_hist("company")
+QUERIES["b_fact_pmsinvitation_project"] = make(project.SPECS[1])
+ORACLES["b_fact_pmsinvitation_project"] = _inv_link("project", "invitation_projects", True)
+QUERIES["b_fact_pmsinvitationhist_project"] = make(project.SPECS[2])
+ORACLES["b_fact_pmsinvitationhist_project"] = _inv_hist("project")
+
+QUERIES["b_dim_pmsproject"] = make(project.SPECS[0])
+ORACLES["b_dim_pmsproject"] = f"""
+SELECT DISTINCT {q.AUDIT}, {q.date_ts('coalesce(updated_at, created_at)')} AS date_id,
+  CAST(id AS BIGINT) AS project_id, code AS project_cd, name_th AS project_nm_th, name_en AS project_nm_en,
+  pms_project_id AS ref_pmsproject_id, is_active, '1' AS rec_actv_flag, created_by AS crtd_by,
+  {q.to_ts('created_at')} AS crtd_dttm, updated_by AS updt_by, {q.to_ts('updated_at')} AS updt_dttm
+FROM {A('projects')}"""

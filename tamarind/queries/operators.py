@@ -436,7 +436,7 @@ D = f"({ADAPTERS['dirty_values']})"
 
 
 @reg("q_clean", f"""SELECT k, {q.clean('txt')} AS cleaned, {q.strip('txt')} AS stripped, NULLIF(txt, '') AS blank_null,
-  CAST(num AS STRING) AS as_text, coalesce(CAST(num AS STRING), '') AS token, coalesce(num, txt) AS first_non_null
+  CAST(num AS STRING) AS as_text, CASE WHEN num IS NULL OR num IN ('None', 'nan', '<NA>') THEN '' ELSE num END AS token, coalesce(num, txt) AS first_non_null
   FROM {D}""")
 def q_clean(spark, sf_dir):
     """Coalesce, blank -> null, clean_str, strip, to_text, clean_token."""
