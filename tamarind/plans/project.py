@@ -44,3 +44,125 @@ SPECS = [
               (Source("project_audit_logs", "project_audit_logs", **PMS),),
               build_invitation_history("project"), FACT_INVHIST_PROJECT),
 ]
+
+
+from tamarind.functions.codes import FLAG_UPPER_YN_TF, FLAG_YN, PCL_PATTERN_TH_ONLY, PROJECT_TYPE  # noqa: E402
+from tamarind.operators import lookup_join, lower_columns, suffix_columns  # noqa: E402
+
+DIM_ADDRESS_TYPE = schema(f"""{AUDIT}, addr_type_name_th:str, addr_type_name_en:str, rec_actv_flag:str,
+    crtd_dttm:ts, crtd_by:str, updt_dttm:ts, updt_by:str, addr_type_id:long, date_id:date""")
+DIM_POSTCODE = schema(f"""{AUDIT}, zip_cd:str, sub_dstc_th:str, sub_dstc_en:str, dstc_th:str, dstc_en:str,
+    prvn_th:str, prvn_en:str, region_th:str, region_en:str, rec_actv_flag:str, crtd_dttm:ts, crtd_by:str,
+    updt_dttm:ts, updt_by:str, postcode_id:long, date_id:date""")
+DIM_PROJECT_PROFILE = schema(f"""{AUDIT}, start_selling_price:long, selling_price_per_square_meter:long,
+    project_status:str, segment_name:str, rec_actv_flag:str, crtd_dttm:ts, crtd_by:str, updt_dttm:ts,
+    updt_by:str, project_profile_id:str, date_id:date, corporate_type:str""")
+DIM_PROJECT = schema(f"""{AUDIT}, project_code:str, project_name:str, unit:dbl, car_parking_slot:dbl,
+    commonfee_amount_mavg:dbl, tax_id:str, type:str, address:str, subdistrict:str, district:str, province:str,
+    postal_code:str, latitude:str, longtitude:str, pmc_id:str, rec_actv_flag:str, crtd_dttm:ts, crtd_by:str,
+    updt_dttm:ts, updt_by:str, project_id:str, project_profile_id:str, date_id:date, IsContractActive:str,
+    corporate_Type:str, project_shortcode:str, phone_no:str""")
+
+
+def build_dim_address_type(src: dict, ctx):
+    """Address types (no distinct)."""
+    df = lower_columns(src["tmMobileAddressType"])
+    df = with_audit(df, ctx.run_ts).select(
+        "dwh_crtd_dttm", "dwh_updt_dttm", "dwh_note",
+        F.col("fcaddressnameth").alias("addr_type_name_th"), F.col("fcaddressnameen").alias("addr_type_name_en"),
+        fn.flag_map("fcisactive", FLAG_YN).alias("rec_actv_flag"),
+        fn.to_ts("ftcreatedate").alias("crtd_dttm"), F.col("fccreateby").alias("crtd_by"),
+        fn.to_ts("ftupdatedate").alias("updt_dttm"), fn.coalesce_first("fcupdateby", "fccreateby").alias("updt_by"),
+        F.col("fnid").cast("bigint").alias("addr_type_id"),
+        fn.date_id_from_text(fn.coalesce_first("ftupdatedate", "ftcreatedate")).alias("date_id"),
+    )
+    return finish(df, DIM_ADDRESS_TYPE, distinct=False)
+
+
+def build_dim_postcode(src: dict, ctx):
+    """Post codes with cleaned place names."""
+    df = lower_columns(src["tmPostCode"])
+    names = {"fcpostcode": "zip_cd", "fcsubdistrictth": "sub_dstc_th", "fcsubdistricten": "sub_dstc_en",
+             "fcdistrictth": "dstc_th", "fcdistricten": "dstc_en", "fcprovinceth": "prvn_th",
+             "fcprovinceen": "prvn_en", "fcregionth": "region_th", "fcregionen": "region_en"}
+    df = with_audit(df, ctx.run_ts).select(
+        "dwh_crtd_dttm", "dwh_updt_dttm", "dwh_note",
+        *[fn.clean_str(k).alias(v) for k, v in names.items() if k in df.columns],
+        F.col("fcisactive").alias("rec_actv_flag"),
+        fn.to_ts("ftcreatedate").alias("crtd_dttm"), F.col("fccreator").alias("crtd_by"),
+        fn.to_ts("ftupdatedate").alias("updt_dttm"), F.col("fcupdateby").alias("updt_by"),
+        fn.to_long("fnid").alias("postcode_id"),
+        fn.date_id_from_text(fn.coalesce_first("ftupdatedate", "ftcreatedate")).alias("date_id"),
+    )
+    return finish(df, DIM_POSTCODE)
+
+
+def build_dim_project_profile(src: dict, ctx):
+    """Project profiles (segment, status, zero prices)."""
+    df = lower_columns(src["tmCOM"])
+    seg = fn.clean_str("fcname")
+    df = with_audit(df, ctx.run_ts).select(
+        "dwh_crtd_dttm", "dwh_updt_dttm", "dwh_note",
+        F.lit(0).cast("bigint").alias("start_selling_price"),
+        F.lit(0).cast("bigint").alias("selling_price_per_square_meter"),
+        F.col("fcisactive").alias("project_status"), seg.alias("segment_name"), F.lit("1").alias("rec_actv_flag"),
+        fn.to_ts("ftcreatedate").alias("crtd_dttm"), F.col("fccreator").alias("crtd_by"),
+        fn.to_ts("ftupdatedate").alias("updt_dttm"), fn.coalesce_first("fcupdateby", "fccreator").alias("updt_by"),
+        F.col("fcid").alias("project_profile_id"),
+        fn.date_id_from_text(fn.coalesce_first("ftupdatedate", "ftcreatedate")).alias("date_id"),
+        fn.corporate_type(seg).alias("corporate_type"),
+    )
+    return finish(df, DIM_PROJECT_PROFILE)
+
+
+def build_dim_project(src: dict, ctx):
+    """Projects ⟕ newest company type; type label, address text, counts."""
+    com = suffix_columns(src["tmCOM"], "_com")
+    ct = suffix_columns(src["tmCOM_Type"].select("fcid", "fnitemno"), "_comtype")
+    df = lookup_join(com, ct, "fcremark33_com", "fcid_comtype", "left", small=True)
+    name = fn.clean_str("fcname_com")
+    address = fn.strip(F.concat_ws(" ", fn.clean_str("fcaddr11_com"), fn.clean_str("fcaddr12_com"),
+                                   fn.clean_str("fcaddr13_com")))
+    none = F.lit(None).cast("string")
+    df = with_audit(df, ctx.run_ts).select(
+        "dwh_crtd_dttm", "dwh_updt_dttm", "dwh_note",
+        F.col("fccode_com").alias("project_code"), name.alias("project_name"),
+        fn.to_double("fntotalunit_com", 0.0).alias("unit"), fn.to_double("fntotalcarpark_com", 0.0).alias("car_parking_slot"),
+        F.lit(None).cast("double").alias("commonfee_amount_mavg"), F.col("fctaxid_com").alias("tax_id"),
+        fn.map_values("fnitemno_comtype", PROJECT_TYPE).alias("type"), address.alias("address"),
+        none.alias("subdistrict"), none.alias("district"), none.alias("province"), none.alias("postal_code"),
+        F.col("fcremark34_com").alias("latitude"), F.col("fcremark35_com").alias("longtitude"),
+        F.col("fcremark32_com").alias("pmc_id"),
+        fn.flag_map("fcisactive_com", FLAG_UPPER_YN_TF, case="upper").alias("rec_actv_flag"),
+        fn.to_ts("ftcreatedate_com").alias("crtd_dttm"), F.col("fccreator_com").alias("crtd_by"),
+        fn.to_ts("ftupdatedate_com").alias("updt_dttm"), F.col("fcupdateby_com").alias("updt_by"),
+        F.col("fcid_com").alias("project_id"), F.col("fcid_com").alias("project_profile_id"),
+        fn.date_id_from_text(fn.coalesce_first("ftupdatedate_com", "ftcreatedate_com")).alias("date_id"),
+        none.alias("IsContractActive"), fn.corporate_type(name, PCL_PATTERN_TH_ONLY).alias("corporate_Type"),
+        F.col("fccomshortcode_com").alias("project_shortcode"), F.col("fctel_com").alias("phone_no"),
+    )
+    return finish(df, DIM_PROJECT)
+
+
+_COM_COLS = ("fcid", "fccode", "fcname", "fctaxid", "fcremark32", "fcremark33", "fcremark34", "fcremark35", "fcaddr11",
+             "fcaddr12", "fcaddr13", "fntotalunit", "fntotalcarpark", "fcisactive", "ftcreatedate", "fccreator",
+             "ftupdatedate", "fcupdateby", "fccomshortcode", "fctel")
+SPECS += [
+    TableSpec("dim_address_type", "dim_address_type", ("date_id", "addr_type_id"),
+              (Source("tmMobileAddressType", "tmMobileAddressType"),), build_dim_address_type, DIM_ADDRESS_TYPE,
+              full_default=True),
+    TableSpec("dim_postcode", "dim_postcode", ("date_id", "postcode_id"),
+              (Source("tmPostCode", "tmPostCode", columns=(
+                  "fnid", "fcpostcode", "fcsubdistrictth", "fcsubdistricten", "fcdistrictth", "fcdistricten",
+                  "fcprovinceth", "fcprovinceen", "fcregionth", "fcregionen", "fcisactive", "ftcreatedate",
+                  "fccreator", "ftupdatedate", "fcupdateby")),), build_dim_postcode, DIM_POSTCODE, full_default=True),
+    TableSpec("dim_project_profile", "dim_project_profile", ("date_id", "project_profile_id"),
+              (Source("tmCOM", "tmCOM", columns=("fcid", "fcname", "fcisactive", "ftcreatedate", "fccreator",
+                                                 "ftupdatedate", "fcupdateby")),),
+              build_dim_project_profile, DIM_PROJECT_PROFILE, full_default=True),
+    TableSpec("dim_project", "dim_project", ("date_id", "project_id", "project_profile_id"), (
+        Source("tmCOM", "tmCOM", columns=_COM_COLS),
+        Source("tmCOM_Type", "tmCOM_Type", columns=("fcid", "fnitemno", "fccode", "fcname", "fcisactive"),
+               kind=LATEST, keys=("fcid",)),
+    ), build_dim_project, DIM_PROJECT),
+]

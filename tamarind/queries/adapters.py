@@ -297,3 +297,66 @@ SELECT
   (CASE o_orderkey % 3 WHEN 0 THEN NULL ELSE {dirty_date("o_orderdate", "o_orderkey", 6)} END) AS updated_at,
   {who("editor", "o_custkey", 6, 2)} AS updated_by
 FROM orders"""
+
+# mobile address types (one per supplier)
+ADAPTERS["tmMobileAddressType"] = f"""
+SELECT
+  s_suppkey AS fnid, {dirty_text("'ที่อยู่ ' || CAST(s_nationkey AS STRING)", "s_suppkey")} AS fcaddressnameth,
+  'Address ' || CAST(s_nationkey AS STRING) AS fcaddressnameen, {flag("s_suppkey", 2)} AS fcisactive,
+  {kdate("s_suppkey")} AS ftcreatedate, {who("creator", "s_suppkey", 7)} AS fccreateby,
+  (CASE s_suppkey % 3 WHEN 0 THEN NULL ELSE {kdate("s_suppkey", 4)} END) AS ftupdatedate,
+  (CASE s_suppkey % 4 WHEN 0 THEN NULL ELSE 'editor' || CAST(s_suppkey % 5 AS STRING) END) AS fcupdateby
+FROM supplier"""
+
+# post codes: 700 codes, versions per code (version = year), one row per customer
+ADAPTERS["tmPostCode"] = f"""
+SELECT
+  c_custkey % 700 AS fnid,
+  {dirty_text("lpad(CAST(10000 + (c_custkey % 700) * 13 AS STRING), 5, '0')", "c_custkey")} AS fcpostcode,
+  {dirty_text("'ตำบล ' || CAST(c_custkey % 700 AS STRING)", "c_custkey", 1)} AS fcsubdistrictth,
+  {dirty_text("'Sub ' || CAST(c_custkey % 700 AS STRING)", "c_custkey", 2)} AS fcsubdistricten,
+  {dirty_text("'อำเภอ ' || CAST(c_custkey % 70 AS STRING)", "c_custkey", 3)} AS fcdistrictth,
+  {dirty_text("'District ' || CAST(c_custkey % 70 AS STRING)", "c_custkey", 4)} AS fcdistricten,
+  {dirty_text("'จังหวัด ' || CAST(c_nationkey AS STRING)", "c_custkey", 5)} AS fcprovinceth,
+  {dirty_text("'Province ' || CAST(c_nationkey AS STRING)", "c_custkey", 6)} AS fcprovinceen,
+  {dirty_text("'ภาค ' || CAST(c_nationkey % 5 AS STRING)", "c_custkey", 7)} AS fcregionth,
+  {dirty_text("'Region ' || CAST(c_nationkey % 5 AS STRING)", "c_custkey", 8)} AS fcregionen,
+  {flag("c_custkey", 3)} AS fcisactive,
+  {kdate("c_custkey", 2)} AS ftcreatedate, {who("creator", "c_custkey", 7)} AS fccreator,
+  (CASE c_custkey % 3 WHEN 0 THEN NULL ELSE {kdate("c_custkey", 9)} END) AS ftupdatedate,
+  {who("editor", "c_custkey", 5, 1)} AS fcupdateby,
+  CAST(2000 + floor(c_custkey / 700) AS INT) AS calendar_year, CAST(1 + c_custkey % 12 AS INT) AS month_no,
+  CAST(1 + c_custkey % 28 AS INT) AS day_of_month
+FROM customer"""
+
+# company / project master (one per supplier)
+ADAPTERS["tmCOM"] = f"""
+SELECT
+  'COM' || CAST(s_suppkey AS STRING) AS fcid, 'PRJ' || CAST(s_suppkey AS STRING) AS fccode,
+  (CASE s_suppkey % 7 WHEN 0 THEN NULL WHEN 1 THEN 'nan' WHEN 2 THEN ' บริษัท ' || s_name || ' จำกัด (มหาชน) '
+     WHEN 3 THEN s_name || ' PCL' ELSE s_name END) AS fcname,
+  lpad(CAST(s_suppkey * 37 AS STRING), 13, '0') AS fctaxid,
+  'PMC' || CAST(s_suppkey % 9 AS STRING) AS fcremark32,
+  'T' || CAST(s_suppkey % 15 AS STRING) AS fcremark33,
+  CAST(13 + s_suppkey % 5 AS STRING) || '.75' AS fcremark34, CAST(100 + s_suppkey % 5 AS STRING) || '.5' AS fcremark35,
+  {dirty_text("CAST(s_suppkey AS STRING) || ' Moo ' || CAST(s_nationkey AS STRING)", "s_suppkey")} AS fcaddr11,
+  {dirty_text("'Soi ' || CAST(s_suppkey % 31 AS STRING)", "s_suppkey", 3)} AS fcaddr12,
+  {dirty_text("'Road ' || CAST(s_suppkey % 17 AS STRING)", "s_suppkey", 6)} AS fcaddr13,
+  (CASE s_suppkey % 5 WHEN 0 THEN NULL WHEN 1 THEN 'abc' ELSE CAST(s_suppkey * 3 AS STRING) END) AS fntotalunit,
+  (CASE s_suppkey % 4 WHEN 0 THEN NULL ELSE CAST(s_suppkey % 200 AS STRING) || '.0' END) AS fntotalcarpark,
+  {flag("s_suppkey", 5)} AS fcisactive,
+  {kdate("s_suppkey", 1)} AS ftcreatedate, {who("creator", "s_suppkey", 7)} AS fccreator,
+  (CASE s_suppkey % 3 WHEN 0 THEN NULL ELSE {kdate("s_suppkey", 10)} END) AS ftupdatedate,
+  {who("editor", "s_suppkey", 5, 2)} AS fcupdateby,
+  'SC' || CAST(s_suppkey % 50 AS STRING) AS fccomshortcode, '02' || CAST(1000000 + s_suppkey AS STRING) AS fctel
+FROM supplier"""
+
+# company types: 12 keys, versions per key (version = year), one row per part
+ADAPTERS["tmCOM_Type"] = f"""
+SELECT
+  'T' || CAST(p_partkey % 12 AS STRING) AS fcid,
+  (CASE p_partkey % 11 WHEN 10 THEN NULL WHEN 9 THEN 999 ELSE CAST(1 + p_partkey % 11 AS INT) END) AS fnitemno,
+  'CT' || CAST(p_partkey % 12 AS STRING) AS fccode, 'Type ' || p_type AS fcname, {flag("p_partkey")} AS fcisactive,
+  CAST(2000 + floor(p_partkey / 12) AS INT) AS calendar_year, CAST(1 + p_partkey % 12 AS INT) AS month_no,
+  CAST(1 + p_partkey % 28 AS INT) AS day_of_month
+FROM part"""

@@ -233,3 +233,52 @@ SELECT DISTINCT {q.AUDIT}, {q.date_ts('coalesce(updated_at, created_at)')} AS da
   pms_project_id AS ref_pmsproject_id, is_active, '1' AS rec_actv_flag, created_by AS crtd_by,
   {q.to_ts('created_at')} AS crtd_dttm, updated_by AS updt_by, {q.to_ts('updated_at')} AS updt_dttm
 FROM {A('projects')}"""
+
+
+# ------------------------------------------------------------- project -----
+from tamarind.functions.codes import PROJECT_TYPE as _PT  # noqa: E402
+
+QUERIES["b_dim_address_type"] = make(project.SPECS[3])
+ORACLES["b_dim_address_type"] = f"""
+SELECT {q.AUDIT}, fcaddressnameth AS addr_type_name_th, fcaddressnameen AS addr_type_name_en,
+  {q.case_map('fcisactive', {"N": "0", "Y": "1"})} AS rec_actv_flag, {q.to_ts('ftcreatedate')} AS crtd_dttm,
+  fccreateby AS crtd_by, {q.to_ts('ftupdatedate')} AS updt_dttm, coalesce(fcupdateby, fccreateby) AS updt_by,
+  CAST(fnid AS BIGINT) AS addr_type_id, {q.date_text('coalesce(ftupdatedate, ftcreatedate)')} AS date_id
+FROM {A('tmMobileAddressType')}"""
+
+QUERIES["b_dim_postcode"] = make(project.SPECS[4])
+ORACLES["b_dim_postcode"] = f"""
+SELECT DISTINCT {q.AUDIT}, {q.clean('fcpostcode')} AS zip_cd, {q.clean('fcsubdistrictth')} AS sub_dstc_th,
+  {q.clean('fcsubdistricten')} AS sub_dstc_en, {q.clean('fcdistrictth')} AS dstc_th, {q.clean('fcdistricten')} AS dstc_en,
+  {q.clean('fcprovinceth')} AS prvn_th, {q.clean('fcprovinceen')} AS prvn_en, {q.clean('fcregionth')} AS region_th,
+  {q.clean('fcregionen')} AS region_en, fcisactive AS rec_actv_flag, {q.to_ts('ftcreatedate')} AS crtd_dttm,
+  fccreator AS crtd_by, {q.to_ts('ftupdatedate')} AS updt_dttm, fcupdateby AS updt_by,
+  {q.to_long('fnid')} AS postcode_id, {q.date_text('coalesce(ftupdatedate, ftcreatedate)')} AS date_id
+FROM {A('tmPostCode')}"""
+
+QUERIES["b_dim_project_profile"] = make(project.SPECS[5])
+ORACLES["b_dim_project_profile"] = f"""
+SELECT DISTINCT {q.AUDIT}, CAST(0 AS BIGINT) AS start_selling_price, CAST(0 AS BIGINT) AS selling_price_per_square_meter,
+  fcisactive AS project_status, {q.clean('fcname')} AS segment_name, '1' AS rec_actv_flag,
+  {q.to_ts('ftcreatedate')} AS crtd_dttm, fccreator AS crtd_by, {q.to_ts('ftupdatedate')} AS updt_dttm,
+  coalesce(fcupdateby, fccreator) AS updt_by, fcid AS project_profile_id,
+  {q.date_text('coalesce(ftupdatedate, ftcreatedate)')} AS date_id,
+  CASE WHEN regexp_matches({q.clean('fcname')}, 'มหาชน|PCL') THEN 'PCL' ELSE 'LOCAL' END AS corporate_type
+FROM {A('tmCOM')}"""
+
+QUERIES["b_dim_project"] = make(project.SPECS[6])
+ORACLES["b_dim_project"] = f"""
+WITH c AS {A('tmCOM')}, t AS {L('tmCOM_Type', 'fcid')}
+SELECT DISTINCT {q.AUDIT}, c.fccode AS project_code, {q.clean('c.fcname')} AS project_name,
+  {q.to_double('c.fntotalunit', 0.0)} AS unit, {q.to_double('c.fntotalcarpark', 0.0)} AS car_parking_slot,
+  CAST(NULL AS DOUBLE) AS commonfee_amount_mavg, c.fctaxid AS tax_id,
+  {q.case_map('CAST(t.fnitemno AS STRING)', _PT)} AS type,
+  {q.strip(q.clean('c.fcaddr11') + " || ' ' || " + q.clean('c.fcaddr12') + " || ' ' || " + q.clean('c.fcaddr13'))} AS address,
+  {q.nulls('subdistrict, district, province, postal_code')}, c.fcremark34 AS latitude, c.fcremark35 AS longtitude,
+  c.fcremark32 AS pmc_id, {q.case_map('upper(c.fcisactive)', {"N": "0", "Y": "1", "FALSE": "0", "TRUE": "1"})} AS rec_actv_flag,
+  {q.to_ts('c.ftcreatedate')} AS crtd_dttm, c.fccreator AS crtd_by, {q.to_ts('c.ftupdatedate')} AS updt_dttm,
+  c.fcupdateby AS updt_by, c.fcid AS project_id, c.fcid AS project_profile_id,
+  {q.date_text('coalesce(c.ftupdatedate, c.ftcreatedate)')} AS date_id, CAST(NULL AS VARCHAR) AS "IsContractActive",
+  CASE WHEN regexp_matches({q.clean('c.fcname')}, 'มหาชน') THEN 'PCL' ELSE 'LOCAL' END AS "corporate_Type",
+  c.fccomshortcode AS project_shortcode, c.fctel AS phone_no
+FROM c LEFT JOIN t ON c.fcremark33 = t.fcid"""
