@@ -183,3 +183,98 @@ SPECS += [
     TableSpec("fact_pmsuser_role", "fact_pmsuser_role", ("date_id", "record_id"),
               (Source("user_roles", "user_roles", **_PMS),), build_fact_pmsuser_role, FACT_PMSUSER_ROLE),
 ]
+
+
+from tamarind.operators import last_value_per_key, lookup_join, suffix_columns  # noqa: E402
+from tamarind.spec import LATEST  # noqa: E402
+
+DIM_DEVICE_DETAIL = schema(f"""{AUDIT}, last_login_dttm:ts, device_nm:str, platform:str, version:str,
+    rec_actv_flag:str, crtd_dttm:ts, crtd_by:str, updt_by:str, updt_dttm:ts, device_id:str, date_id:date""")
+FACT_USERCONSENT = schema(f"""{AUDIT}, date_id:date, uconsent_id:long, user_id:long, consent_id:long,
+    consent_type:str, consent_sts:str, version_id:long, version_nm:str, consent_topic:str, uconsent_sts:str,
+    rec_actv_flag:str, crtd_dttm:ts, crtd_by:str, updt_dttm:ts, updt_by:str""")
+DIM_PMSUSERPROFILE = schema(f"""{AUDIT}, date_id:date, user_id:long, email:str, is_active:bool,
+    last_login_dttm:ts, token_expired_dttm:ts, token_version:long, profile_id:long, first_name:str,
+    last_name:str, country_cd:str, phone_number:str, profile_updt_by:str, profile_updt_dttm:ts,
+    rec_actv_flag:str, crtd_by:str, crtd_dttm:ts, updt_by:str, updt_dttm:ts""")
+
+
+def build_dim_device_detail(src: dict, ctx):
+    """Devices ⟕ newest login of the disabled rows of each device (no distinct)."""
+    raw = lower_columns(src["gu_device"])
+    disabled = raw.where(F.col("is_enable") == "false").select(
+        F.col("device_id").alias("device_id_cl"),
+        fn.to_ts(fn.coalesce_first("updated_date", "created_date")).alias("lastlogin"))  # raw text: '' wins
+    last = last_value_per_key(disabled.where(F.col("device_id_cl").isNotNull()), "device_id_cl", "lastlogin")
+    df = lookup_join(raw, last, "device_id", "device_id_cl", "left")
+    df = blank_strings_to_null(df)
+    df = with_audit(df, ctx.run_ts).select(
+        "dwh_crtd_dttm", "dwh_updt_dttm", "dwh_note",
+        F.col("lastlogin").alias("last_login_dttm"), F.col("device_name").alias("device_nm"), "platform",
+        F.col("os_version").alias("version"), fn.disabled_flag("is_enable").alias("rec_actv_flag"),
+        fn.to_ts("created_date").alias("crtd_dttm"), F.col("customer_id").cast("string").alias("crtd_by"),
+        F.col("customer_id").cast("string").alias("updt_by"), fn.to_ts("updated_date").alias("updt_dttm"),
+        "device_id", fn.date_id_from_ts(fn.coalesce_first("updated_date", "created_date")).alias("date_id"),
+    )
+    return finish(df, DIM_DEVICE_DETAIL, distinct=False)
+
+
+def build_fact_userconsent(src: dict, ctx):
+    """User consents ⟕ newest consent ⟕ newest versions of its type (fan-out;
+    a null type matches a null type, as the studied merge does — J11)."""
+    con = suffix_columns(src["consents"], "_con")
+    ver = suffix_columns(src["consent_versions"], "_conver")
+    df = lookup_join(src["users_consent"], con, "consent_id", "id_con", "left")
+    df = lookup_join(df, ver, "type_con", "type_conver", "left", null_safe=True)
+    df = blank_strings_to_null(df)
+    df = with_audit(df, ctx.run_ts).select(
+        "dwh_crtd_dttm", "dwh_updt_dttm", "dwh_note",
+        fn.date_id_from_parts("calendar_year", "month_no", "day_of_month").alias("date_id"),
+        fn.to_long("id").alias("uconsent_id"), fn.to_long("user_id").alias("user_id"),
+        fn.to_long("consent_id").alias("consent_id"), fn.clean_str("type_con").alias("consent_type"),
+        fn.clean_str("status_con").alias("consent_sts"), fn.to_long("version_conver").alias("version_id"),
+        fn.clean_str("version_con").alias("version_nm"), fn.clean_str("topic_con").alias("consent_topic"),
+        fn.clean_str("status").alias("uconsent_sts"), F.lit("1").alias("rec_actv_flag"),
+        fn.to_ts("created_date").alias("crtd_dttm"), fn.clean_str("created_by").alias("crtd_by"),
+        fn.to_ts("updated_date").alias("updt_dttm"), fn.clean_str("updated_by").alias("updt_by"),
+    )
+    return finish(df, FACT_USERCONSENT)
+
+
+def build_dim_pmsuserprofile(src: dict, ctx):
+    """PMS users ⟕ newest profile."""
+    prof = suffix_columns(src["profiles"], "_profiles")
+    df = blank_strings_to_null(lookup_join(src["users"], prof, "id", "id_profiles", "left"))
+    df = with_audit(df, ctx.run_ts).select(
+        "dwh_crtd_dttm", "dwh_updt_dttm", "dwh_note",
+        fn.date_id_from_ts(fn.coalesce_first("created_at", "updated_at")).alias("date_id"),
+        fn.to_long("id").alias("user_id"), "email", fn.norm_bool("is_active").alias("is_active"),
+        fn.to_ts("last_login_at").alias("last_login_dttm"),
+        fn.to_ts("refresh_token_expired_at").alias("token_expired_dttm"),
+        fn.to_long("token_version").alias("token_version"), fn.to_long("id_profiles").alias("profile_id"),
+        fn.clean_str("first_name_profiles").alias("first_name"), fn.clean_str("last_name_profiles").alias("last_name"),
+        fn.clean_str("country_code_profiles").alias("country_cd"),
+        fn.clean_str("phone_number_profiles").alias("phone_number"),
+        F.col("updated_by_profiles").alias("profile_updt_by"),
+        fn.to_ts("updated_at_profiles").alias("profile_updt_dttm"), F.lit("1").alias("rec_actv_flag"),
+        F.col("created_by").alias("crtd_by"), fn.to_ts("created_at").alias("crtd_dttm"),
+        F.col("updated_by").alias("updt_by"), fn.to_ts("updated_at").alias("updt_dttm"),
+    )
+    return finish(df, DIM_PMSUSERPROFILE)
+
+
+_PDPA = dict(app="pdpa", source_type="postgresql")
+SPECS += [
+    TableSpec("dim_device_detail", "dim_device_detail", ("date_id", "device_id"),
+              (Source("gu_device", "gu_device", app="notification", source_type="postgresql"),),
+              build_dim_device_detail, DIM_DEVICE_DETAIL),
+    TableSpec("fact_userconsent", "fact_userconsent", ("date_id", "uconsent_id"), (
+        Source("users_consent", "users_consent", **_PDPA),
+        Source("consents", "consents", kind=LATEST, keys=("id",), **_PDPA),
+        Source("consent_versions", "consent_versions", kind=LATEST, keys=("id",), **_PDPA),
+    ), build_fact_userconsent, FACT_USERCONSENT),
+    TableSpec("dim_pmsuserprofile", "dim_pmsuserprofile", ("date_id", "user_id"), (
+        Source("users", "users", **_PMS),
+        Source("profiles", "profiles", kind=LATEST, keys=("id",), **_PMS),
+    ), build_dim_pmsuserprofile, DIM_PMSUSERPROFILE),
+]

@@ -360,3 +360,79 @@ SELECT
   CAST(2000 + floor(p_partkey / 12) AS INT) AS calendar_year, CAST(1 + p_partkey % 12 AS INT) AS month_no,
   CAST(1 + p_partkey % 28 AS INT) AS day_of_month
 FROM part"""
+
+# notification devices: one row per event (several rows per device)
+ADAPTERS["gu_device"] = f"""
+SELECT
+  (CASE event_id % 50 WHEN 0 THEN NULL ELSE 'D' || CAST(user_id * 3 + event_id % 3 AS STRING) END) AS device_id,
+  {dirty_text("'Phone ' || CAST(user_id % 40 AS STRING)", "event_id")} AS device_name,
+  (CASE event_id % 3 WHEN 0 THEN 'ios' WHEN 1 THEN 'android' ELSE '' END) AS platform,
+  CAST(10 + event_id % 7 AS STRING) || '.0' AS os_version,
+  (CASE event_id % 9 WHEN 0 THEN NULL ELSE CAST(user_id AS STRING) END) AS customer_id,
+  (CASE event_type WHEN 'error' THEN 'false' WHEN 'click' THEN 'N' WHEN 'view' THEN '0' WHEN 'signup' THEN ''
+     ELSE 'true' END) AS is_enable,
+  {dirty_date("ts", "event_id")} AS created_date,
+  (CASE event_id % 4 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE {dirty_date("ts", "event_id", 7)} END) AS updated_date
+FROM events"""
+
+# user consents: one per order, read from the day partition
+ADAPTERS["users_consent"] = f"""
+SELECT
+  {numtext("o_orderkey", "o_orderkey")} AS id, {numtext("o_orderkey", "o_custkey", 2)} AS user_id,
+  (CASE o_orderkey % 11 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE CAST(o_orderkey % 400 AS STRING) END) AS consent_id,
+  (CASE o_orderkey % 5 WHEN 0 THEN 'accepted' WHEN 1 THEN ' declined ' WHEN 2 THEN 'nan' WHEN 3 THEN '' ELSE NULL END) AS status,
+  {dirty_date("o_orderdate", "o_orderkey")} AS created_date, {who("u", "o_custkey", 50)} AS created_by,
+  {dirty_date("o_orderdate", "o_orderkey", 3)} AS updated_date, {who("u", "o_custkey", 50, 5)} AS updated_by,
+  CAST(year(o_orderdate) AS INT) AS calendar_year, CAST(month(o_orderdate) AS INT) AS month_no,
+  CAST(day(o_orderdate) AS INT) AS day_of_month
+FROM orders"""
+
+# consents: 400 ids with versions (version = year), one row per part
+ADAPTERS["consents"] = f"""
+SELECT
+  CAST(p_partkey % 400 AS STRING) AS id,
+  (CASE p_partkey % 13 WHEN 0 THEN NULL ELSE 'T' || CAST(p_partkey % 40 AS STRING) END) AS type,
+  (CASE p_partkey % 4 WHEN 0 THEN 'active' WHEN 1 THEN ' draft ' WHEN 2 THEN '' ELSE NULL END) AS status,
+  'v' || CAST(p_partkey % 5 AS STRING) AS version,
+  {dirty_text("'Topic ' || p_type", "p_partkey")} AS topic,
+  CAST(2000 + floor(p_partkey / 400) AS INT) AS calendar_year, CAST(1 + p_partkey % 12 AS INT) AS month_no,
+  CAST(1 + p_partkey % 28 AS INT) AS day_of_month
+FROM part"""
+
+# consent versions: three per type (bounded fan-out), null type only for the first three suppliers
+ADAPTERS["consent_versions"] = """
+SELECT
+  s_suppkey AS id,
+  (CASE WHEN s_suppkey < 3 THEN NULL ELSE 'T' || CAST(CAST(floor(s_suppkey / 3) AS BIGINT) AS STRING) END) AS type,
+  CAST(s_suppkey % 4 AS STRING) AS version,
+  CAST(2020 AS INT) AS calendar_year, CAST(1 AS INT) AS month_no, CAST(1 AS INT) AS day_of_month
+FROM supplier"""
+
+# PMS users (one per customer) and their profiles (two versions per customer, some missing)
+ADAPTERS["pms_users"] = f"""
+SELECT
+  c_custkey AS id, {email("c_custkey")} AS email,
+  (CASE c_custkey % 7 WHEN 0 THEN 'yes' WHEN 1 THEN 'No' WHEN 2 THEN ' t ' WHEN 3 THEN '' WHEN 4 THEN NULL
+     WHEN 5 THEN 'inactive' ELSE 'true' END) AS is_active,
+  {kdate("c_custkey", 1)} AS last_login_at, {kdate("c_custkey", 2)} AS refresh_token_expired_at,
+  {numtext("c_custkey", "c_custkey % 9")} AS token_version,
+  {kdate("c_custkey", 3)} AS created_at, {who("admin", "c_custkey", 7)} AS created_by,
+  {kdate("c_custkey", 4)} AS updated_at, {who("editor", "c_custkey", 5)} AS updated_by
+FROM customer"""
+
+
+def _profile_version(v: int) -> str:
+    return f"""
+SELECT
+  c_custkey + (CASE c_custkey % 8 WHEN 0 THEN 100000000 ELSE 0 END) AS id,
+  {dirty_text("'First' || CAST(c_custkey % 97 AS STRING)", "c_custkey", v)} AS first_name,
+  {dirty_text("'Last' || CAST(c_custkey % 89 AS STRING)", "c_custkey", 2 + v)} AS last_name,
+  (CASE (c_custkey + {v}) % 4 WHEN 0 THEN '66' WHEN 1 THEN ' 66' WHEN 2 THEN '' ELSE NULL END) AS country_code,
+  {dirty_text("CAST(800000000 + c_custkey AS STRING)", "c_custkey", 4 + v)} AS phone_number,
+  {who("editor", "c_custkey", 5, v)} AS updated_by, {kdate("c_custkey", 6 + v)} AS updated_at,
+  CAST({2023 + v} AS INT) AS calendar_year, CAST(1 + c_custkey % 12 AS INT) AS month_no,
+  CAST(1 + c_custkey % 28 AS INT) AS day_of_month
+FROM customer"""
+
+
+ADAPTERS["profiles"] = _profile_version(0) + "\nUNION ALL" + _profile_version(1)

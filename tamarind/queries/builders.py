@@ -282,3 +282,49 @@ SELECT DISTINCT {q.AUDIT}, c.fccode AS project_code, {q.clean('c.fcname')} AS pr
   CASE WHEN regexp_matches({q.clean('c.fcname')}, 'มหาชน') THEN 'PCL' ELSE 'LOCAL' END AS "corporate_Type",
   c.fccomshortcode AS project_shortcode, c.fctel AS phone_no
 FROM c LEFT JOIN t ON c.fcremark33 = t.fcid"""
+
+
+# ------------------------------------------------------ user (lookups) -----
+QUERIES["b_dim_device_detail"] = make(user.SPECS[6])
+ORACLES["b_dim_device_detail"] = f"""
+WITH d AS {A('gu_device')},
+last AS (SELECT device_id AS device_id_cl, max({q.to_ts('coalesce(updated_date, created_date)')}) AS lastlogin
+  FROM d WHERE is_enable = 'false' AND device_id IS NOT NULL GROUP BY device_id),
+j AS (SELECT {q.nullif_all('device_id, device_name, platform, os_version, customer_id, is_enable, created_date, updated_date')},
+  lastlogin FROM d LEFT JOIN last ON d.device_id = last.device_id_cl)
+SELECT {q.AUDIT}, lastlogin AS last_login_dttm, device_name AS device_nm, platform, os_version AS version,
+  CASE WHEN is_enable IN ('N', 'false', '0') THEN '0' ELSE '1' END AS rec_actv_flag,
+  {q.to_ts('created_date')} AS crtd_dttm, customer_id AS crtd_by, customer_id AS updt_by,
+  {q.to_ts('updated_date')} AS updt_dttm, device_id, {q.date_ts('coalesce(updated_date, created_date)')} AS date_id
+FROM j"""
+
+QUERIES["b_fact_userconsent"] = make(user.SPECS[7])
+ORACLES["b_fact_userconsent"] = f"""
+WITH j AS (SELECT u.*, c.type AS type_con, c.status AS status_con, c.version AS version_con, c.topic AS topic_con,
+    v.version AS version_conver
+  FROM {A('users_consent')} u LEFT JOIN {L('consents', 'id')} c ON u.consent_id = c.id
+  LEFT JOIN {L('consent_versions', 'id')} v ON c.type IS NOT DISTINCT FROM v.type),
+n AS (SELECT {q.nullif_all('id, user_id, consent_id, status, created_date, created_by, updated_date, updated_by, type_con, status_con, version_con, topic_con, version_conver')},
+  calendar_year, month_no, day_of_month FROM j)
+SELECT DISTINCT {q.AUDIT}, make_date(calendar_year, month_no, day_of_month) AS date_id,
+  {q.to_long('id')} AS uconsent_id, {q.to_long('user_id')} AS user_id, {q.to_long('consent_id')} AS consent_id,
+  {q.clean('type_con')} AS consent_type, {q.clean('status_con')} AS consent_sts, {q.to_long('version_conver')} AS version_id,
+  {q.clean('version_con')} AS version_nm, {q.clean('topic_con')} AS consent_topic, {q.clean('status')} AS uconsent_sts,
+  '1' AS rec_actv_flag, {q.to_ts('created_date')} AS crtd_dttm, {q.clean('created_by')} AS crtd_by,
+  {q.to_ts('updated_date')} AS updt_dttm, {q.clean('updated_by')} AS updt_by
+FROM n"""
+
+QUERIES["b_dim_pmsuserprofile"] = make(user.SPECS[8], {"users": "pms_users"})
+ORACLES["b_dim_pmsuserprofile"] = f"""
+WITH j AS (SELECT u.*, p.id AS id_p, p.first_name AS fn_p, p.last_name AS ln_p, p.country_code AS cc_p,
+    p.phone_number AS ph_p, p.updated_by AS ub_p, p.updated_at AS ua_p
+  FROM {A('pms_users')} u LEFT JOIN {L('profiles', 'id')} p ON u.id = p.id),
+n AS (SELECT id, id_p, {q.nullif_all('email, is_active, last_login_at, refresh_token_expired_at, token_version, created_at, created_by, updated_at, updated_by, fn_p, ln_p, cc_p, ph_p, ub_p, ua_p')} FROM j)
+SELECT DISTINCT {q.AUDIT}, {q.date_ts('coalesce(created_at, updated_at)')} AS date_id, {q.to_long('id')} AS user_id,
+  email, {_bool('is_active')} AS is_active, {q.to_ts('last_login_at')} AS last_login_dttm,
+  {q.to_ts('refresh_token_expired_at')} AS token_expired_dttm, {q.to_long('token_version')} AS token_version,
+  {q.to_long('id_p')} AS profile_id, {q.clean('fn_p')} AS first_name, {q.clean('ln_p')} AS last_name,
+  {q.clean('cc_p')} AS country_cd, {q.clean('ph_p')} AS phone_number, ub_p AS profile_updt_by,
+  {q.to_ts('ua_p')} AS profile_updt_dttm, '1' AS rec_actv_flag, created_by AS crtd_by, {q.to_ts('created_at')} AS crtd_dttm,
+  updated_by AS updt_by, {q.to_ts('updated_at')} AS updt_dttm
+FROM n"""
