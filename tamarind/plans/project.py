@@ -166,3 +166,104 @@ SPECS += [
                kind=LATEST, keys=("fcid",)),
     ), build_dim_project, DIM_PROJECT),
 ]
+
+
+from tamarind.operators import blank_strings_to_null, col_or  # noqa: E402
+
+DIM_PMSROLE_PERMISSION = schema(f"""{AUDIT}, date_id:date, record_id:long, role_id:long, module_id:long,
+    is_all:bool, is_view:bool, is_create:bool, is_edit:bool, is_print:bool, is_approve:bool, is_cancel:bool,
+    is_allowed:bool, pmscompany_id:long, pmsproject_id:long, role_cd:str, role_nm_th:str, role_nm_en:str,
+    role_category:str, role_desc:str, role_issystem:bool, role_isactive:bool, role_crtd_by:str, role_crtd_dttm:ts,
+    role_updt_by:str, role_updt_dttm:ts, rec_actv_flag:str, crtd_by:str, crtd_dttm:ts, updt_by:str, updt_dttm:ts""")
+FACT_PMSCOMPANY_PROJECTS = schema(f"""{AUDIT}, date_id:date, mapping_log_id:long, mapping_id:long, company_id:long,
+    company_cd:str, company_nm_th:str, project_id:long, ref_pmsproject_id:str, pmsproject_nm_th:str, status_nm:str,
+    rec_actv_flag:str, crtd_by:str, crtd_dttm:ts, updt_by:str, updt_dttm:ts""")
+FACT_PMSPROJECT_FEATURES = schema(f"""{AUDIT}, date_id:date, project_id:long, feature_id:long, feature_enabled:str,
+    company_id:long, rec_actv_flag:str, crtd_by:str, crtd_dttm:ts, updt_by:str, updt_dttm:ts""")
+
+PERMISSIONS = [("can_all", "is_all"), ("can_view", "is_view"), ("can_create", "is_create"), ("can_edit", "is_edit"),
+               ("can_print", "is_print"), ("can_approve", "is_approve"), ("can_cancel", "is_cancel"),
+               ("allowed", "is_allowed")]
+
+
+def build_dim_pmsrole_permission(src: dict, ctx):
+    """Role permissions ⟕ the day's roles (null id matches null id, J11)."""
+    roles = suffix_columns(src["roles"], "_roles")
+    df = blank_strings_to_null(lookup_join(src["role_permissions"], roles, "role_id", "id_roles", "left",
+                                           null_safe=True))
+    r = lambda c: F.col(f"{c}_roles")
+    df = with_audit(df, ctx.run_ts).select(
+        "dwh_crtd_dttm", "dwh_updt_dttm", "dwh_note",
+        fn.date_id_from_ts(fn.coalesce_first("created_at", "updated_at")).alias("date_id"),
+        fn.to_long("id").alias("record_id"), fn.to_long("role_id").alias("role_id"),
+        fn.to_long("module_permission_id").alias("module_id"),
+        *[fn.norm_bool(old).alias(new) for old, new in PERMISSIONS],
+        fn.to_long(r("company_id")).alias("pmscompany_id"), fn.to_long(r("project_id")).alias("pmsproject_id"),
+        r("code").alias("role_cd"), r("name_th").alias("role_nm_th"), r("name_en").alias("role_nm_en"),
+        r("category").alias("role_category"), r("description").alias("role_desc"),
+        fn.norm_bool(r("is_system")).alias("role_issystem"), fn.norm_bool(r("is_active")).alias("role_isactive"),
+        r("created_by").alias("role_crtd_by"), fn.to_ts(r("created_at")).alias("role_crtd_dttm"),
+        r("updated_by").alias("role_updt_by"), fn.to_ts(r("updated_at")).alias("role_updt_dttm"),
+        F.lit("1").alias("rec_actv_flag"), F.col("created_by").alias("crtd_by"),
+        fn.to_ts("created_at").alias("crtd_dttm"), F.col("updated_by").alias("updt_by"),
+        fn.to_ts("updated_at").alias("updt_dttm"),
+    )
+    return finish(df, DIM_PMSROLE_PERMISSION)
+
+
+def build_fact_pmscompany_projects(src: dict, ctx):
+    """Mapping log ⟕ newest company ⟕ newest project."""
+    comp = suffix_columns(src["companies"], "_company")
+    proj = suffix_columns(src["projects"], "_project")
+    df = lookup_join(src["companies_projects_logs"], comp, "company_id", "id_company", "left")
+    df = blank_strings_to_null(lookup_join(df, proj, "project_id", "id_project", "left"))
+    df = with_audit(df, ctx.run_ts).select(
+        "dwh_crtd_dttm", "dwh_updt_dttm", "dwh_note",
+        fn.date_id_from_ts("created_at").alias("date_id"),
+        fn.to_long("id").alias("mapping_log_id"), fn.to_long("company_project_id").alias("mapping_id"),
+        fn.to_long("company_id").alias("company_id"),
+        fn.clean_str(col_or(df, "code_company")).alias("company_cd"),
+        fn.clean_str(col_or(df, "name_th_company")).alias("company_nm_th"),
+        fn.to_long("project_id").alias("project_id"),
+        F.col("pms_project_id_project").alias("ref_pmsproject_id"),
+        fn.clean_str(col_or(df, "name_th_project")).alias("pmsproject_nm_th"),
+        fn.clean_str(col_or(df, "action_type")).alias("status_nm"), F.lit("1").alias("rec_actv_flag"),
+        F.col("created_by").alias("crtd_by"), fn.to_ts("created_at").alias("crtd_dttm"),
+        F.lit(None).cast("string").alias("updt_by"), F.lit(None).cast("timestamp_ntz").alias("updt_dttm"),
+    )
+    return finish(df, FACT_PMSCOMPANY_PROJECTS)
+
+
+def build_fact_pmsproject_features(src: dict, ctx):
+    """Features ⟕ the newest mapping per *company*, joined on the project (D13);
+    null project ids match each other (J11)."""
+    cp = suffix_columns(src["companies_projects"], "_company")
+    df = blank_strings_to_null(lookup_join(src["project_features"], cp, "project_id", "project_id_company",
+                                           "left", null_safe=True))
+    df = with_audit(df, ctx.run_ts).select(
+        "dwh_crtd_dttm", "dwh_updt_dttm", "dwh_note",
+        fn.date_id_from_ts(fn.coalesce_first("updated_at", "created_at")).alias("date_id"),
+        fn.to_long("project_id").alias("project_id"), fn.to_long("feature_id").alias("feature_id"),
+        fn.clean_str(col_or(df, "enabled")).alias("feature_enabled"),
+        fn.to_long("company_id_company").alias("company_id"), F.lit("1").alias("rec_actv_flag"),
+        fn.clean_str("created_by").alias("crtd_by"), fn.to_ts("created_at").alias("crtd_dttm"),
+        fn.clean_str("updated_by").alias("updt_by"), fn.to_ts("updated_at").alias("updt_dttm"),
+    )
+    return finish(df, FACT_PMSPROJECT_FEATURES)
+
+
+SPECS += [
+    TableSpec("dim_pmsrole_permission", "dim_pmsrole_permission", ("date_id", "record_id"), (
+        Source("role_permissions", "role_permissions", **PMS),
+        Source("roles", "roles", **PMS),
+    ), build_dim_pmsrole_permission, DIM_PMSROLE_PERMISSION),
+    TableSpec("fact_pmscompany_projects", "fact_pmscompany_projects", ("date_id", "mapping_log_id"), (
+        Source("companies_projects_logs", "companies_projects_logs", **PMS),
+        Source("companies", "companies", kind=LATEST, keys=("id",), **PMS),
+        Source("projects", "projects", kind=LATEST, keys=("id",), **PMS),
+    ), build_fact_pmscompany_projects, FACT_PMSCOMPANY_PROJECTS),
+    TableSpec("fact_pmsproject_features", "fact_pmsproject_features", ("date_id", "project_id", "feature_id"), (
+        Source("project_features", "project_features", **PMS),
+        Source("companies_projects", "companies_projects", kind=LATEST, keys=("company_id",), **PMS),
+    ), build_fact_pmsproject_features, FACT_PMSPROJECT_FEATURES),
+]

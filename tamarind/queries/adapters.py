@@ -436,3 +436,65 @@ FROM customer"""
 
 
 ADAPTERS["profiles"] = _profile_version(0) + "\nUNION ALL" + _profile_version(1)
+
+
+def boolish(k: str, salt: int = 0) -> str:
+    return f"""(CASE ({k} + {salt}) % 10 WHEN 0 THEN 'yes' WHEN 1 THEN 'No' WHEN 2 THEN ' t ' WHEN 3 THEN '' WHEN 4 THEN NULL
+      WHEN 5 THEN 'inactive' WHEN 6 THEN '1' WHEN 7 THEN 'F' WHEN 8 THEN 'maybe' ELSE 'true' END)"""
+
+
+# role permissions: one per line item
+ADAPTERS["role_permissions"] = f"""
+SELECT
+  {numtext("l_orderkey", "l_orderkey * 10 + l_linenumber")} AS id,
+  (CASE l_orderkey % 20 WHEN 0 THEN NULL ELSE l_partkey END) AS role_id,
+  {numtext("l_partkey", "l_suppkey", 3)} AS module_permission_id,
+  {boolish("l_orderkey")} AS can_all, {boolish("l_orderkey", 1)} AS can_view, {boolish("l_orderkey", 2)} AS can_create,
+  {boolish("l_partkey")} AS can_edit, {boolish("l_partkey", 3)} AS can_print, {boolish("l_suppkey")} AS can_approve,
+  {boolish("l_suppkey", 5)} AS can_cancel, {boolish("l_linenumber")} AS allowed,
+  {dirty_date("l_shipdate", "l_orderkey")} AS created_at, {who("admin", "l_suppkey", 7)} AS created_by,
+  {dirty_date("l_shipdate", "l_partkey", 4)} AS updated_at, {who("editor", "l_partkey", 5)} AS updated_by
+FROM lineitem"""
+
+# roles of the day: one per part, null id for the first three parts only
+ADAPTERS["roles"] = f"""
+SELECT
+  (CASE WHEN p_partkey < 3 THEN NULL ELSE p_partkey END) AS id,
+  {numtext("p_partkey", "p_partkey % 100")} AS company_id, {numtext("p_partkey", "p_partkey % 2000", 4)} AS project_id,
+  'R' || CAST(p_partkey AS STRING) AS code, {dirty_text("'บทบาท ' || p_name", "p_partkey")} AS name_th,
+  p_name AS name_en, p_type AS category, (CASE p_partkey % 3 WHEN 0 THEN NULL ELSE p_brand END) AS description,
+  {boolish("p_partkey")} AS is_system, {boolish("p_partkey", 4)} AS is_active,
+  {who("admin", "p_partkey", 7)} AS created_by, {kdate("p_partkey")} AS created_at,
+  {who("editor", "p_partkey", 5)} AS updated_by, {kdate("p_partkey", 5)} AS updated_at
+FROM part"""
+
+# company-project mapping log: one per line item
+ADAPTERS["companies_projects_logs"] = f"""
+SELECT
+  {numtext("l_orderkey", "l_orderkey * 10 + l_linenumber")} AS id,
+  {numtext("l_partkey", "l_orderkey", 2)} AS company_project_id,
+  (CASE l_orderkey % 15 WHEN 0 THEN NULL ELSE l_suppkey END) AS company_id,
+  (CASE l_orderkey % 17 WHEN 0 THEN NULL ELSE l_partkey END) AS project_id,
+  (CASE l_linenumber % 4 WHEN 0 THEN 'ADD' WHEN 1 THEN ' REMOVE ' WHEN 2 THEN '' ELSE NULL END) AS action_type,
+  {dirty_date("l_shipdate", "l_orderkey")} AS created_at, {who("admin", "l_suppkey", 7)} AS created_by
+FROM lineitem"""
+
+# project features: one per order
+ADAPTERS["project_features"] = f"""
+SELECT
+  (CASE o_orderkey % 19 WHEN 0 THEN NULL ELSE o_custkey % 2000 END) AS project_id,
+  {numtext("o_orderkey", "o_orderkey % 40")} AS feature_id,
+  (CASE o_orderkey % 5 WHEN 0 THEN 'true' WHEN 1 THEN ' false ' WHEN 2 THEN 'nan' WHEN 3 THEN '' ELSE NULL END) AS enabled,
+  {dirty_date("o_orderdate", "o_orderkey")} AS created_at, {who("admin", "o_custkey", 7)} AS created_by,
+  (CASE o_orderkey % 3 WHEN 0 THEN NULL ELSE {dirty_date("o_orderdate", "o_orderkey", 6)} END) AS updated_at,
+  {who("editor", "o_custkey", 5, 3)} AS updated_by
+FROM orders"""
+
+# company-project mapping: 100 companies, versions per company (version = year), one per order
+ADAPTERS["companies_projects"] = """
+SELECT
+  o_orderkey % 100 AS company_id,
+  (CASE o_orderkey % 13 WHEN 0 THEN NULL ELSE o_custkey % 2000 END) AS project_id,
+  CAST(2000 + floor(o_orderkey / 100) AS INT) AS calendar_year, CAST(1 + o_orderkey % 12 AS INT) AS month_no,
+  CAST(1 + o_orderkey % 28 AS INT) AS day_of_month
+FROM orders"""

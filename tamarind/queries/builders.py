@@ -328,3 +328,51 @@ SELECT DISTINCT {q.AUDIT}, {q.date_ts('coalesce(created_at, updated_at)')} AS da
   {q.to_ts('ua_p')} AS profile_updt_dttm, '1' AS rec_actv_flag, created_by AS crtd_by, {q.to_ts('created_at')} AS crtd_dttm,
   updated_by AS updt_by, {q.to_ts('updated_at')} AS updt_dttm
 FROM n"""
+
+
+# ------------------------------------------------------ pms (lookups) -----
+_PERMS = [("can_all", "is_all"), ("can_view", "is_view"), ("can_create", "is_create"), ("can_edit", "is_edit"),
+          ("can_print", "is_print"), ("can_approve", "is_approve"), ("can_cancel", "is_cancel"), ("allowed", "is_allowed")]
+_RP = "id, module_permission_id, can_all, can_view, can_create, can_edit, can_print, can_approve, can_cancel, allowed, created_at, created_by, updated_at, updated_by"
+_RO = "company_id, project_id, code, name_th, name_en, category, description, is_system, is_active, created_by, created_at, updated_by, updated_at"
+QUERIES["b_dim_pmsrole_permission"] = make(project.SPECS[7])
+ORACLES["b_dim_pmsrole_permission"] = f"""
+WITH j AS (SELECT p.*, p.role_id AS rid, {", ".join(f"r.{c} AS r_{c}" for c in _RO.split(", "))}
+  FROM {A('role_permissions')} p LEFT JOIN {A('roles')} r ON p.role_id IS NOT DISTINCT FROM r.id),
+n AS (SELECT rid, {q.nullif_all(_RP)}, {q.nullif_all(", ".join("r_" + c for c in _RO.split(", ")))} FROM j)
+SELECT DISTINCT {q.AUDIT}, {q.date_ts('coalesce(created_at, updated_at)')} AS date_id,
+  {q.to_long('id')} AS record_id, {q.to_long('rid')} AS role_id, {q.to_long('module_permission_id')} AS module_id,
+  {", ".join(f"{_bool(o)} AS {n_}" for o, n_ in _PERMS)},
+  {q.to_long('r_company_id')} AS pmscompany_id, {q.to_long('r_project_id')} AS pmsproject_id,
+  r_code AS role_cd, r_name_th AS role_nm_th, r_name_en AS role_nm_en, r_category AS role_category,
+  r_description AS role_desc, {_bool('r_is_system')} AS role_issystem, {_bool('r_is_active')} AS role_isactive,
+  r_created_by AS role_crtd_by, {q.to_ts('r_created_at')} AS role_crtd_dttm, r_updated_by AS role_updt_by,
+  {q.to_ts('r_updated_at')} AS role_updt_dttm, '1' AS rec_actv_flag, created_by AS crtd_by,
+  {q.to_ts('created_at')} AS crtd_dttm, updated_by AS updt_by, {q.to_ts('updated_at')} AS updt_dttm
+FROM n"""
+
+QUERIES["b_fact_pmscompany_projects"] = make(project.SPECS[8])
+ORACLES["b_fact_pmscompany_projects"] = f"""
+WITH j AS (SELECT l.*, c.code AS c_code, c.name_th AS c_name_th, p.name_th AS p_name_th, p.pms_project_id AS p_ref
+  FROM {A('companies_projects_logs')} l LEFT JOIN {L('companies', 'id')} c ON l.company_id = c.id
+  LEFT JOIN {L('projects', 'id')} p ON l.project_id = p.id),
+n AS (SELECT company_id, project_id, {q.nullif_all('id, company_project_id, action_type, created_at, created_by, c_code, c_name_th, p_name_th, p_ref')} FROM j)
+SELECT DISTINCT {q.AUDIT}, {q.date_ts('created_at')} AS date_id, {q.to_long('id')} AS mapping_log_id,
+  {q.to_long('company_project_id')} AS mapping_id, {q.to_long('company_id')} AS company_id,
+  {q.clean('c_code')} AS company_cd, {q.clean('c_name_th')} AS company_nm_th, {q.to_long('project_id')} AS project_id,
+  p_ref AS ref_pmsproject_id, {q.clean('p_name_th')} AS pmsproject_nm_th, {q.clean('action_type')} AS status_nm,
+  '1' AS rec_actv_flag, created_by AS crtd_by, {q.to_ts('created_at')} AS crtd_dttm,
+  CAST(NULL AS VARCHAR) AS updt_by, CAST(NULL AS TIMESTAMP) AS updt_dttm
+FROM n"""
+
+QUERIES["b_fact_pmsproject_features"] = make(project.SPECS[9])
+ORACLES["b_fact_pmsproject_features"] = f"""
+WITH j AS (SELECT f.*, c.company_id AS cid
+  FROM {A('project_features')} f LEFT JOIN {L('companies_projects', 'company_id')} c
+  ON f.project_id IS NOT DISTINCT FROM c.project_id),
+n AS (SELECT project_id, cid, {q.nullif_all('feature_id, enabled, created_at, created_by, updated_at, updated_by')} FROM j)
+SELECT DISTINCT {q.AUDIT}, {q.date_ts('coalesce(updated_at, created_at)')} AS date_id,
+  {q.to_long('project_id')} AS project_id, {q.to_long('feature_id')} AS feature_id, {q.clean('enabled')} AS feature_enabled,
+  {q.to_long('cid')} AS company_id, '1' AS rec_actv_flag, {q.clean('created_by')} AS crtd_by,
+  {q.to_ts('created_at')} AS crtd_dttm, {q.clean('updated_by')} AS updt_by, {q.to_ts('updated_at')} AS updt_dttm
+FROM n"""
