@@ -19,6 +19,9 @@ from tamarind.functions.text import zfill
 TS_MIN = _dt.datetime(1677, 9, 21, 0, 12, 43, 145225)
 TS_MAX = _dt.datetime(2262, 4, 11, 23, 47, 16, 854775)
 
+DATE_MIN = _dt.date(1677, 9, 22)
+DATE_MAX = _dt.date(2262, 4, 11)
+
 BANGKOK = "Asia/Bangkok"
 ERA_OFFSET = 543  # Buddhist era year - common era year
 
@@ -50,7 +53,8 @@ def date_id_from_text(c, day_width: int = 3) -> Column:
     if day_width > 2:
         day = F.regexp_replace(day, r"^([0-9]{2})[ T]$", "$1")
     txt = F.concat(F.substring(s, 1, 4), zfill(F.substring(s, 6, 2), 2), zfill(day, 2))
-    return F.when(txt.rlike(r"^[0-9]{8}$"), F.try_to_date(txt, "yyyyMMdd"))
+    d = F.when(txt.rlike(r"^[0-9]{8}$"), F.try_to_date(txt, "yyyyMMdd"))
+    return F.when(d.between(F.lit(DATE_MIN), F.lit(DATE_MAX)), d)
 
 
 def date_id_from_parts(year, month, day) -> Column:

@@ -31,7 +31,8 @@ def date_text(x: str, day_width: int = 3) -> str:
     if day_width > 2:
         day = f"regexp_replace({day}, '^([0-9]{{2}})[ T]$', '\\1')"
     txt = f"(substr({s}, 1, 4) || {zfill2(f'substr({s}, 6, 2)')} || {zfill2(day)})"
-    return f"(CASE WHEN regexp_full_match({txt}, '[0-9]{{8}}') THEN CAST(try_strptime({txt}, '%Y%m%d') AS DATE) END)"
+    d = f"(CASE WHEN regexp_full_match({txt}, '[0-9]{{8}}') THEN CAST(try_strptime({txt}, '%Y%m%d') AS DATE) END)"
+    return f"(CASE WHEN {d} BETWEEN DATE '1677-09-22' AND DATE '2262-04-11' THEN {d} END)"
 
 
 def date_ts(x: str) -> str:
