@@ -267,3 +267,79 @@ SPECS += [
         Source("companies_projects", "companies_projects", kind=LATEST, keys=("company_id",), **PMS),
     ), build_fact_pmsproject_features, FACT_PMSPROJECT_FEATURES),
 ]
+
+
+from tamarind.functions.codes import FLAG_YN_TF  # noqa: E402
+from tamarind.operators import unpivot_groups  # noqa: E402
+
+DIM_ADDRESS = schema(f"""{AUDIT}, addr_no:str, sub_dstc:str, dstc:str, prvn:str, zip_cd:str, rec_actv_flag:str,
+    crtd_dttm:ts, crtd_by:str, updt_dttm:ts, updt_by:str, ref_addr_id:str, party_id:str, addr_type_id:long,
+    date_id:date, addr_id:str""")
+
+# addr_type_id -> (addr1, addr3, sub-district, district, zip) of each address group
+ADDRESS_GROUPS = {
+    5: ("fcaddress1", "fcaddress3", "fcaddresssubdistrict", "fcaddressdistrict", "fczipcode"),
+    3: ("fcshipaddr1", "fcshipaddr3", "fcshipaddrsubdistrict", "fcshipaddrdistrict", "fcshipzipcode"),
+    4: ("fcbilltoaddr1", "fcbilltoaddr3", "fcbilltoaddrsubdistrict", "fcbilltoaddrdistrict", "fcbilltozipcode"),
+}
+
+
+def build_dim_address(src: dict, ctx):
+    """home/shipping/billing address groups of a party -> one row each (one scan),
+    union-distinct; the key text is date + party + type."""
+    df = lower_columns(src["tmCOR"])
+    groups = {t: {"addr_no": a1, "prvn": a3, "sub_dstc": sub, "dstc": dist, "zip_cd": z}
+              for t, (a1, a3, sub, dist, z) in ADDRESS_GROUPS.items()}
+    common = ["fcid", "fcisactive", "ftcreatedate", "fccreator", "ftupdatedate", "fcupdateby"]
+    rows = unpivot_groups(df, common, groups, tag_name="addr_type_id").distinct()
+    date_id = fn.date_id_from_text(fn.coalesce_first("ftupdatedate", "ftcreatedate"))
+    rows = with_audit(rows, ctx.run_ts).select(
+        "dwh_crtd_dttm", "dwh_updt_dttm", "dwh_note",
+        fn.first_token("addr_no").alias("addr_no"), "sub_dstc", "dstc", "prvn", "zip_cd",
+        fn.flag_map("fcisactive", FLAG_YN_TF).alias("rec_actv_flag"),
+        fn.to_ts("ftcreatedate").alias("crtd_dttm"), F.col("fccreator").alias("crtd_by"),
+        fn.to_ts("ftupdatedate").alias("updt_dttm"), fn.coalesce_first("fccreator", "fcupdateby").alias("updt_by"),
+        F.lit(None).cast("string").alias("ref_addr_id"), F.col("fcid").alias("party_id"),
+        F.col("addr_type_id").cast("bigint").alias("addr_type_id"), date_id.alias("date_id"),
+        F.concat(date_id.cast("string"), F.col("fcid").cast("string"), F.col("addr_type_id").cast("string"))
+        .alias("addr_id"),
+    )
+    return finish(rows, DIM_ADDRESS, distinct=False)
+
+
+def build_dim_address_mobileuser(src: dict, ctx):
+    """Mobile-user addresses ⟕ newest post code; no addr_id."""
+    a = suffix_columns(lower_columns(src["tmMobileUser_Address"]), "_F")
+    p = suffix_columns(lower_columns(src["tmPostCode"]).select(
+        "fnid", "fcprovinceth", "fcdistrictth", "fcsubdistrictth", "fcpostcode"), "_P")
+    df = lookup_join(a, p, "fnpostcodeid_F", "fnid_P", "left", small=True)
+    df = with_audit(df, ctx.run_ts).select(
+        "dwh_crtd_dttm", "dwh_updt_dttm", "dwh_note",
+        F.col("fcaddress_F").alias("addr_no"), F.col("fcsubdistrictth_P").alias("sub_dstc"),
+        F.col("fcdistrictth_P").alias("dstc"), F.col("fcprovinceth_P").alias("prvn"),
+        F.col("fcpostcode_P").alias("zip_cd"), fn.flag_map("fcisactive_F", FLAG_YN_TF).alias("rec_actv_flag"),
+        fn.to_ts("ftcreatedate_F").alias("crtd_dttm"), F.col("fccreateby_F").alias("crtd_by"),
+        fn.to_ts("ftupdatedate_F").alias("updt_dttm"), fn.coalesce_first("fccreateby_F", "fcupdateby_F").alias("updt_by"),
+        F.col("fnid_F").cast("string").alias("ref_addr_id"), F.col("fcmobileuserid_F").cast("string").alias("party_id"),
+        F.col("fcaddrtype_F").cast("int").cast("bigint").alias("addr_type_id"),
+        fn.date_id_from_text(fn.coalesce_first("ftupdatedate_F", "ftcreatedate_F")).alias("date_id"),
+        F.lit(None).cast("string").alias("addr_id"),
+    )
+    return finish(df, DIM_ADDRESS, distinct=False)
+
+
+_COR_ADDR = ("fcid", "fcaddress1", "fcaddress2", "fcaddress3", "fcaddresssubdistrict", "fcaddressdistrict", "fczipcode",
+             "fcshipaddr1", "fcshipaddr2", "fcshipaddr3", "fcshipaddrsubdistrict", "fcshipaddrdistrict", "fcshipzipcode",
+             "fcbilltoaddr1", "fcbilltoaddr2", "fcbilltoaddr3", "fcbilltoaddrsubdistrict", "fcbilltoaddrdistrict",
+             "fcbilltozipcode", "fcisactive", "ftcreatedate", "fccreator", "ftupdatedate", "fcupdateby")
+SPECS += [
+    TableSpec("dim_address", "dim_address", ("date_id", "addr_id"),
+              (Source("tmCOR", "tmCOR", columns=_COR_ADDR),), build_dim_address, DIM_ADDRESS, append=True),
+    TableSpec("dim_address_mobileuser", "dim_address", ("date_id", "addr_id"), (
+        Source("tmMobileUser_Address", "tmMobileUser_Address", columns=(
+            "fnid", "fcmobileuserid", "fcaddrtype", "fcaddress", "fnpostcodeid", "fcisactive", "fccreateby",
+            "ftcreatedate", "fcupdateby", "ftupdatedate")),
+        Source("tmPostCode", "tmPostCode", columns=("fnid", "fcprovinceth", "fcdistrictth", "fcsubdistrictth",
+                                                    "fcpostcode"), kind=LATEST, keys=("fnid",)),
+    ), build_dim_address_mobileuser, DIM_ADDRESS, append=True),
+]

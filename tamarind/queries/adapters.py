@@ -498,3 +498,59 @@ SELECT
   CAST(2000 + floor(o_orderkey / 100) AS INT) AS calendar_year, CAST(1 + o_orderkey % 12 AS INT) AS month_no,
   CAST(1 + o_orderkey % 28 AS INT) AS day_of_month
 FROM orders"""
+
+# parties (customers) with addresses and personal data, one per customer
+ADAPTERS["tmCOR"] = f"""
+SELECT
+  'C' || CAST(c_custkey AS STRING) AS fcid,
+  {dirty_text("'นาย ' || c_name", "c_custkey")} AS fcname,
+  (CASE c_custkey % 6 WHEN 0 THEN NULL WHEN 1 THEN c_name || ' PCL' WHEN 2 THEN 'บริษัท ' || c_name || ' จำกัด (มหาชน)' ELSE c_name END) AS fcengname,
+  (CASE c_custkey % 8 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'junk'
+     WHEN 3 THEN CAST(2500 + c_custkey % 40 AS STRING) || '-05-01 00:00:00'
+     WHEN 4 THEN CAST(2400 + c_custkey % 200 AS STRING) || '-02-03'
+     ELSE CAST(1950 + c_custkey % 50 AS STRING) || '-0' || CAST(1 + c_custkey % 9 AS STRING) || '-15 00:00:00' END) AS ftbirthday,
+  (CASE c_custkey % 5 WHEN 0 THEN NULL WHEN 1 THEN 'x' ELSE CAST(20 + c_custkey % 60 AS STRING) END) AS fnage,
+  lpad(CAST(c_custkey * 7919 AS STRING), 13, '0') AS fctaxid,
+  (CASE c_custkey % 4 WHEN 0 THEN 'P' || CAST(c_custkey AS STRING) ELSE NULL END) AS fcpassport,
+  (CASE c_custkey % 3 WHEN 0 THEN '66' WHEN 1 THEN NULL ELSE ' 66 ' END) AS fccountrycode,
+  {dirty_text("CAST(800000000 + c_custkey AS STRING)", "c_custkey", 2)} AS fcshipmobile,
+  {email("c_custkey", 5)} AS fcshipemail,
+  (CASE c_custkey % 4 WHEN 0 THEN 'BA' WHEN 1 THEN 'MA' ELSE NULL END) AS fceducation,
+  (CASE c_custkey % 3 WHEN 0 THEN 'S' WHEN 1 THEN 'M' ELSE NULL END) AS fcmarrystatus,
+  (CASE c_custkey % 12 WHEN 0 THEN 'woman' WHEN 1 THEN 'Female' WHEN 2 THEN 'famale' WHEN 3 THEN 'men'
+     WHEN 4 THEN 'MALE' WHEN 5 THEN 'man' WHEN 6 THEN 'female/man' WHEN 7 THEN 'MAN/FEMALE' WHEN 8 THEN 'company'
+     WHEN 9 THEN NULL WHEN 10 THEN 'x' ELSE '' END) AS fcsex,
+  'CODE' || CAST(c_custkey AS STRING) AS fccode, 'P' || CAST(c_nationkey AS STRING) AS fccomid,
+  {dirty_text("CAST(c_custkey % 300 AS STRING) || '/' || CAST(c_nationkey AS STRING) || ' Moo 2'", "c_custkey", 1)} AS fcaddress1,
+  'Building ' || CAST(c_custkey % 20 AS STRING) AS fcaddress2,
+  {dirty_text("'จังหวัด ' || CAST(c_nationkey AS STRING)", "c_custkey", 3)} AS fcaddress3,
+  {dirty_text("'ตำบล ' || CAST(c_custkey % 90 AS STRING)", "c_custkey", 4)} AS fcaddresssubdistrict,
+  {dirty_text("'อำเภอ ' || CAST(c_custkey % 30 AS STRING)", "c_custkey", 5)} AS fcaddressdistrict,
+  lpad(CAST(10000 + c_custkey % 900 AS STRING), 5, '0') AS fczipcode,
+  (CASE c_custkey % 5 WHEN 0 THEN NULL ELSE CAST(c_custkey % 300 AS STRING) || ' Soi ' || CAST(c_custkey % 9 AS STRING) END) AS fcshipaddr1,
+  NULL AS fcshipaddr2,
+  (CASE c_custkey % 5 WHEN 0 THEN NULL ELSE 'จังหวัด ' || CAST(c_nationkey AS STRING) END) AS fcshipaddr3,
+  'ตำบล ' || CAST(c_custkey % 91 AS STRING) AS fcshipaddrsubdistrict, 'อำเภอ ' || CAST(c_custkey % 31 AS STRING) AS fcshipaddrdistrict,
+  lpad(CAST(10000 + c_custkey % 800 AS STRING), 5, '0') AS fcshipzipcode,
+  (CASE c_custkey % 2 WHEN 0 THEN NULL ELSE ' ' || CAST(c_custkey % 300 AS STRING) || '/1' END) AS fcbilltoaddr1,
+  NULL AS fcbilltoaddr2, 'จังหวัด ' || CAST(c_nationkey AS STRING) AS fcbilltoaddr3,
+  (CASE c_custkey % 3 WHEN 0 THEN NULL ELSE 'ตำบล ' || CAST(c_custkey % 92 AS STRING) END) AS fcbilltoaddrsubdistrict,
+  'อำเภอ ' || CAST(c_custkey % 32 AS STRING) AS fcbilltoaddrdistrict,
+  lpad(CAST(10000 + c_custkey % 700 AS STRING), 5, '0') AS fcbilltozipcode,
+  {flag("c_custkey", 4)} AS fcisactive,
+  {kdate("c_custkey", 1)} AS ftcreatedate, {who("creator", "c_custkey", 7)} AS fccreator,
+  (CASE c_custkey % 3 WHEN 0 THEN NULL ELSE {kdate("c_custkey", 7)} END) AS ftupdatedate,
+  {who("editor", "c_custkey", 5, 1)} AS fcupdateby
+FROM customer"""
+
+# mobile-user addresses: one per order
+ADAPTERS["tmMobileUser_Address"] = f"""
+SELECT
+  o_orderkey AS fnid, 'MU' || CAST(o_custkey AS STRING) AS fcmobileuserid,
+  CAST(3 + o_orderkey % 3 AS STRING) AS fcaddrtype,
+  {dirty_text("CAST(o_custkey % 300 AS STRING) || ' Moo ' || CAST(o_orderkey % 9 AS STRING)", "o_orderkey")} AS fcaddress,
+  (CASE o_orderkey % 17 WHEN 0 THEN NULL ELSE o_custkey % 750 END) AS fnpostcodeid,
+  {flag("o_orderkey", 6)} AS fcisactive, {who("creator", "o_custkey", 7)} AS fccreateby,
+  {dirty_date("o_orderdate", "o_orderkey", 2)} AS ftcreatedate, {who("editor", "o_custkey", 5, 2)} AS fcupdateby,
+  (CASE o_orderkey % 3 WHEN 0 THEN NULL ELSE {dirty_date("o_orderdate", "o_orderkey", 8)} END) AS ftupdatedate
+FROM orders"""

@@ -376,3 +376,36 @@ SELECT DISTINCT {q.AUDIT}, {q.date_ts('coalesce(updated_at, created_at)')} AS da
   {q.to_long('cid')} AS company_id, '1' AS rec_actv_flag, {q.clean('created_by')} AS crtd_by,
   {q.to_ts('created_at')} AS crtd_dttm, {q.clean('updated_by')} AS updt_by, {q.to_ts('updated_at')} AS updt_dttm
 FROM n"""
+
+
+# ------------------------------------------------------------ address -----
+def _addr_group(t, a1, a3, sub, dist, z):
+    return (f"SELECT fcid, fcisactive, ftcreatedate, fccreator, ftupdatedate, fcupdateby, {a1} AS addr_no, {a3} AS prvn, "
+            f"{sub} AS sub_dstc, {dist} AS dstc, {z} AS zip_cd, {t} AS addr_type_id FROM c")
+
+
+_DID = q.date_text('coalesce(ftupdatedate, ftcreatedate)')
+QUERIES["b_dim_address"] = make(project.SPECS[10])
+ORACLES["b_dim_address"] = f"""
+WITH c AS {A('tmCOR')},
+u AS (SELECT DISTINCT * FROM ({_addr_group(5, 'fcaddress1', 'fcaddress3', 'fcaddresssubdistrict', 'fcaddressdistrict', 'fczipcode')}
+  UNION ALL {_addr_group(3, 'fcshipaddr1', 'fcshipaddr3', 'fcshipaddrsubdistrict', 'fcshipaddrdistrict', 'fcshipzipcode')}
+  UNION ALL {_addr_group(4, 'fcbilltoaddr1', 'fcbilltoaddr3', 'fcbilltoaddrsubdistrict', 'fcbilltoaddrdistrict', 'fcbilltozipcode')}))
+SELECT {q.AUDIT}, split_part(addr_no, ' ', 1) AS addr_no, sub_dstc, dstc, prvn, zip_cd,
+  {q.case_map('fcisactive', {"N": "0", "Y": "1", "false": "0", "true": "1"})} AS rec_actv_flag,
+  {q.to_ts('ftcreatedate')} AS crtd_dttm, fccreator AS crtd_by, {q.to_ts('ftupdatedate')} AS updt_dttm,
+  coalesce(fccreator, fcupdateby) AS updt_by, CAST(NULL AS VARCHAR) AS ref_addr_id, fcid AS party_id,
+  CAST(addr_type_id AS BIGINT) AS addr_type_id, {_DID} AS date_id,
+  CAST({_DID} AS STRING) || fcid || CAST(addr_type_id AS STRING) AS addr_id
+FROM u"""
+
+QUERIES["b_dim_address_mobileuser"] = make(project.SPECS[11])
+ORACLES["b_dim_address_mobileuser"] = f"""
+WITH a AS {A('tmMobileUser_Address')}, p AS {L('tmPostCode', 'fnid')}
+SELECT {q.AUDIT}, a.fcaddress AS addr_no, p.fcsubdistrictth AS sub_dstc, p.fcdistrictth AS dstc, p.fcprovinceth AS prvn,
+  p.fcpostcode AS zip_cd, {q.case_map('a.fcisactive', {"N": "0", "false": "0", "Y": "1", "true": "1"})} AS rec_actv_flag,
+  {q.to_ts('a.ftcreatedate')} AS crtd_dttm, a.fccreateby AS crtd_by, {q.to_ts('a.ftupdatedate')} AS updt_dttm,
+  coalesce(a.fccreateby, a.fcupdateby) AS updt_by, CAST(a.fnid AS STRING) AS ref_addr_id, a.fcmobileuserid AS party_id,
+  CAST(a.fcaddrtype AS BIGINT) AS addr_type_id, {q.date_text('coalesce(a.ftupdatedate, a.ftcreatedate)')} AS date_id,
+  CAST(NULL AS VARCHAR) AS addr_id
+FROM a LEFT JOIN p ON a.fnpostcodeid = p.fnid"""
