@@ -278,3 +278,98 @@ SPECS += [
         Source("profiles", "profiles", kind=LATEST, keys=("id",), **_PMS),
     ), build_dim_pmsuserprofile, DIM_PMSUSERPROFILE),
 ]
+
+
+from tamarind.functions.codes import FLAG_UPPER_YN_TF  # noqa: E402
+
+_PERM_COLS = ["view", "insert", "update", "delete", "print", "cancel", "approve"]
+_PERM_SRC = ["fcselect", "fcinsert", "fcupdate", "fcdelete", "fcprint", "fccancel", "fcapprove"]
+DIM_USERPERMISSION = schema(f"""{AUDIT}, date_id:date, user_id:str, user_cd:str, user_nm:str, user_status:str,
+    user_crtddttm:ts, user_updtdttm:ts, project_id:str, branch_id:str, usergroup_id:str, usergroup_nm:str,
+    usergroup_status:str, mnu_id:str, mnu_nm_eng:str, mnu_nm_thai:str, view:str, insert:str, update:str,
+    delete:str, print:str, cancel:str, approve:str, rec_actv_flag:str, crtd_dttm:ts, crtd_by:str, updt_dttm:ts,
+    updt_by:str""")
+FACT_USERPERMISSION = schema(f"""{AUDIT}, date_id:date, project_id:str, branch_id:str, usergroup_id:str,
+    usergroup_nm:str, usergroup_status:str, mnu_id:str, mnu_nm_eng:str, mnu_nm_thai:str, view:str, insert:str,
+    update:str, delete:str, print:str, cancel:str, approve:str, rec_actv_flag:str, crtd_dttm:ts, crtd_by:str,
+    updt_dttm:ts, updt_by:str""")
+
+
+def _permission_base(src: dict, with_users: bool):
+    """Permission ⋈ branch ⋈ group [⋈ users of the group] ⋈ menu — inner joins, one
+    distinct at the end instead of one after each join (same result set)."""
+    aut = suffix_columns(lower_columns(src["tmAUT"]), "_AUT")
+    brn = suffix_columns(lower_columns(src["tmBRN"]).select("fcid", "fccomid"), "_BRN")
+    usg = suffix_columns(lower_columns(src["tmUSG"]), "_USG")
+    mnu = suffix_columns(lower_columns(src["tmMNU"]).select("fcid", "fccode", "fcname"), "_MNU")
+    df = lookup_join(aut, brn, "fcbrnid_AUT", "fcid_BRN", "inner", small=True)
+    df = lookup_join(df, usg, "fcusgid_AUT", "fcid_USG", "inner")
+    if with_users:
+        usr = suffix_columns(lower_columns(src["tmUSR"]), "_USR")
+        df = lookup_join(df, usr, "fcusgid_AUT", "fcusgid_USR", "inner")  # J7: group -> its users
+    return lookup_join(df, mnu, "fcmnuid_AUT", "fcid_MNU", "inner", small=True)
+
+
+def build_dim_userpermission(src: dict, ctx):
+    """Menu permissions per user (via the user's group), branch and project."""
+    df = _permission_base(src, with_users=True)
+    df = with_audit(df, ctx.run_ts).select(
+        "dwh_crtd_dttm", "dwh_updt_dttm", "dwh_note",
+        fn.date_id_from_text(fn.coalesce_first("ftupdatedate_AUT", "ftcreatedate_AUT")).alias("date_id"),
+        fn.clean_str("fcid_USR").alias("user_id"), fn.clean_str("fccode_USR").alias("user_cd"),
+        fn.clean_str("fcname_USR").alias("user_nm"), F.col("fcisactive_USR").alias("user_status"),
+        fn.to_ts("ftcreatedate_USR").alias("user_crtddttm"), fn.to_ts("ftupdatedate_USR").alias("user_updtdttm"),
+        fn.clean_str("fccomid_BRN").alias("project_id"), fn.clean_str("fcbrnid_AUT").alias("branch_id"),
+        fn.clean_str("fcid_USG").alias("usergroup_id"), fn.clean_str("fcname_USG").alias("usergroup_nm"),
+        F.col("fcisactive_USG").alias("usergroup_status"), fn.clean_str("fcmnuid_AUT").alias("mnu_id"),
+        fn.clean_str("fccode_MNU").alias("mnu_nm_eng"), fn.clean_str("fcname_MNU").alias("mnu_nm_thai"),
+        *[F.col(f"{s}_AUT").alias(t) for s, t in zip(_PERM_SRC, _PERM_COLS)],
+        fn.flag_map("fcisactive_USR", FLAG_UPPER_YN_TF, case="upper").alias("rec_actv_flag"),
+        fn.to_ts("ftcreatedate_USG").alias("crtd_dttm"), fn.to_ts("ftupdatedate_USG").alias("updt_dttm"),
+        F.col("fccreator_USG").alias("crtd_by"), F.col("fcupdateby_USG").alias("updt_by"),
+    )
+    return finish(df, DIM_USERPERMISSION)
+
+
+def build_fact_userpermission(src: dict, ctx):
+    """Menu permissions per group, branch and project; Buddhist years above 2400 fixed."""
+    df = _permission_base(src, with_users=False)
+    df = with_audit(df, ctx.run_ts).select(
+        "dwh_crtd_dttm", "dwh_updt_dttm", "dwh_note",
+        fn.date_id_from_text(fn.be_to_ce(fn.coalesce_first("ftupdatedate_AUT", "ftcreatedate_AUT"), 2400),
+                             day_width=2).alias("date_id"),
+        fn.clean_str("fccomid_BRN").alias("project_id"), fn.clean_str("fcbrnid_AUT").alias("branch_id"),
+        fn.clean_str("fcusgid_AUT").alias("usergroup_id"), fn.clean_str("fcname_USG").alias("usergroup_nm"),
+        fn.flag_map("fcisactive_USG", FLAG_YN, case="upper").alias("usergroup_status"),
+        fn.clean_str("fcmnuid_AUT").alias("mnu_id"), fn.clean_str("fccode_MNU").alias("mnu_nm_eng"),
+        fn.clean_str("fcname_MNU").alias("mnu_nm_thai"),
+        *[F.col(f"{s}_AUT").alias(t) for s, t in zip(_PERM_SRC, _PERM_COLS)],
+        F.lit(None).cast("string").alias("rec_actv_flag"),
+        fn.to_ts(fn.be_to_ce("ftcreatedate_AUT", 2400)).alias("crtd_dttm"),
+        fn.to_ts(fn.be_to_ce("ftupdatedate_AUT", 2400)).alias("updt_dttm"),
+        F.lit(None).cast("string").alias("crtd_by"), F.lit(None).cast("string").alias("updt_by"),
+    )
+    return finish(df, FACT_USERPERMISSION)
+
+
+_AUT_COLS = ("fcusgid", "fcbrnid", "fcmnuid", "fcselect", "fcinsert", "fcupdate", "fcdelete", "fcprint", "fccancel",
+             "fcapprove", "ftcreatedate", "ftupdatedate")
+_BRN = Source("tmBRN", "tmBRN", columns=("fcid", "fccomid"), kind=LATEST, keys=("fcid",))
+_MNU = Source("tmMNU", "tmMNU", columns=("fcid", "fccode", "fcname"), kind=LATEST, keys=("fcid",))
+SPECS += [
+    TableSpec("dim_userpermission", "dim_userpermission",
+              ("date_id", "project_id", "branch_id", "usergroup_id", "user_id", "mnu_id"), (
+                  Source("tmAUT", "tmAUT", columns=_AUT_COLS), _BRN,
+                  Source("tmUSG", "tmUSG", columns=("fcid", "fcname", "fcisactive", "ftcreatedate", "fccreator",
+                                                    "ftupdatedate", "fcupdateby"), kind=LATEST, keys=("fcid",)),
+                  Source("tmUSR", "tmUSR", columns=("fcid", "fcusgid", "fccode", "fcname", "fcisactive", "ftcreatedate",
+                                                    "fccreator", "ftupdatedate", "fcupdateby"),
+                         kind=LATEST, keys=("fcid",)),
+                  _MNU,
+              ), build_dim_userpermission, DIM_USERPERMISSION, full_default=True),
+    TableSpec("fact_userpermission", "fact_userpermission", ("date_id", "project_id", "branch_id", "usergroup_id", "mnu_id"), (
+        Source("tmAUT", "tmAUT", columns=_AUT_COLS), _BRN,
+        Source("tmUSG", "tmUSG", columns=("fcid", "fcname", "fcisactive"), kind=LATEST, keys=("fcid",)),
+        _MNU,
+    ), build_fact_userpermission, FACT_USERPERMISSION, full_default=True),
+]

@@ -171,14 +171,15 @@ FROM supplier"""
 ADAPTERS["tmUSR"] = f"""
 SELECT
   'USR' || CAST(c_custkey AS STRING) AS fcid,
-  (CASE c_custkey % 10 WHEN 0 THEN NULL ELSE 'G' || CAST(c_custkey % 12 AS STRING) END) AS fcusgid,
+  (CASE c_custkey % 10 WHEN 0 THEN NULL ELSE 'G' || CAST(CAST(floor(c_custkey / 10) AS BIGINT) AS STRING) END) AS fcusgid,
   {dirty_text("'U' || CAST(c_custkey AS STRING)", "c_custkey")} AS fccode,
   {dirty_text("c_name", "c_custkey", 4)} AS fcname,
   {flag("c_custkey")} AS fcisactive,
   {kdate("c_custkey", 1)} AS ftcreatedate,
   {who("creator", "c_custkey", 17)} AS fccreator,
   (CASE c_custkey % 3 WHEN 0 THEN NULL ELSE {kdate("c_custkey", 5)} END) AS ftupdatedate,
-  {who("editor", "c_custkey", 11, 4)} AS fcupdateby
+  {who("editor", "c_custkey", 11, 4)} AS fcupdateby,
+  CAST(2024 AS INT) AS calendar_year, CAST(1 + c_custkey % 12 AS INT) AS month_no, CAST(1 + c_custkey % 28 AS INT) AS day_of_month
 FROM customer"""
 
 # residence history (one per line item)
@@ -554,3 +555,38 @@ SELECT
   {dirty_date("o_orderdate", "o_orderkey", 2)} AS ftcreatedate, {who("editor", "o_custkey", 5, 2)} AS fcupdateby,
   (CASE o_orderkey % 3 WHEN 0 THEN NULL ELSE {dirty_date("o_orderdate", "o_orderkey", 8)} END) AS ftupdatedate
 FROM orders"""
+
+
+# permissions: one per order (group = customer block of ten, branch, menu)
+ADAPTERS["tmAUT"] = f"""
+SELECT
+  'G' || CAST(CAST(floor(o_custkey / 10) AS BIGINT) AS STRING) AS fcusgid,
+  {dirty_text("'B' || CAST(o_orderkey % 45 AS STRING)", "o_orderkey", 5)} AS fcbrnid,
+  'M' || CAST(o_orderkey % 60 AS STRING) AS fcmnuid,
+  (CASE o_orderkey % 3 WHEN 0 THEN 'Y' WHEN 1 THEN 'N' ELSE NULL END) AS fcselect,
+  (CASE o_orderkey % 4 WHEN 0 THEN 'Y' ELSE 'N' END) AS fcinsert, (CASE o_orderkey % 5 WHEN 0 THEN 'Y' ELSE 'N' END) AS fcupdate,
+  (CASE o_orderkey % 6 WHEN 0 THEN 'Y' ELSE 'N' END) AS fcdelete, (CASE o_orderkey % 7 WHEN 0 THEN 'Y' ELSE 'N' END) AS fcprint,
+  (CASE o_orderkey % 8 WHEN 0 THEN 'Y' ELSE 'N' END) AS fccancel, (CASE o_orderkey % 9 WHEN 0 THEN 'Y' ELSE 'N' END) AS fcapprove,
+  {dirty_date("o_orderdate", "o_orderkey", 1)} AS ftcreatedate,
+  (CASE o_orderkey % 3 WHEN 0 THEN NULL ELSE {dirty_date("o_orderdate", "o_orderkey", 5)} END) AS ftupdatedate
+FROM orders"""
+
+# user groups: one per block of ten customers, ten versions each (version = year)
+ADAPTERS["tmUSG"] = f"""
+SELECT
+  'G' || CAST(CAST(floor(c_custkey / 10) AS BIGINT) AS STRING) AS fcid,
+  {dirty_text("'Group ' || CAST(c_custkey % 10 AS STRING)", "c_custkey")} AS fcname, {flag("c_custkey", 6)} AS fcisactive,
+  {kdate("c_custkey", 2)} AS ftcreatedate, {who("creator", "c_custkey", 7)} AS fccreator,
+  {kdate("c_custkey", 8)} AS ftupdatedate, {who("editor", "c_custkey", 5, 3)} AS fcupdateby,
+  CAST(2000 + c_custkey % 10 AS INT) AS calendar_year, CAST(1 + c_custkey % 12 AS INT) AS month_no,
+  CAST(1 + c_custkey % 28 AS INT) AS day_of_month
+FROM customer"""
+
+# menus: 50 keys, versions per key (version = year), one row per part
+ADAPTERS["tmMNU"] = f"""
+SELECT
+  'M' || CAST(p_partkey % 50 AS STRING) AS fcid, {dirty_text("'MENU_' || p_type", "p_partkey")} AS fccode,
+  {dirty_text("'เมนู ' || p_name", "p_partkey", 3)} AS fcname,
+  CAST(2000 + floor(p_partkey / 50) AS INT) AS calendar_year, CAST(1 + p_partkey % 12 AS INT) AS month_no,
+  CAST(1 + p_partkey % 28 AS INT) AS day_of_month
+FROM part"""

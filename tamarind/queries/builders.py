@@ -409,3 +409,37 @@ SELECT {q.AUDIT}, a.fcaddress AS addr_no, p.fcsubdistrictth AS sub_dstc, p.fcdis
   CAST(a.fcaddrtype AS BIGINT) AS addr_type_id, {q.date_text('coalesce(a.ftupdatedate, a.ftcreatedate)')} AS date_id,
   CAST(NULL AS VARCHAR) AS addr_id
 FROM a LEFT JOIN p ON a.fnpostcodeid = p.fnid"""
+
+
+# --------------------------------------------------------- permissions -----
+_PERM_SQL = ", ".join(f"a.{s_} AS \"{t}\"" for s_, t in zip(
+    ["fcselect", "fcinsert", "fcupdate", "fcdelete", "fcprint", "fccancel", "fcapprove"],
+    ["view", "insert", "update", "delete", "print", "cancel", "approve"]))
+_PERM_FROM = f"""FROM {A('tmAUT')} a JOIN {L('tmBRN', 'fcid')} b ON a.fcbrnid = b.fcid
+  JOIN {L('tmUSG', 'fcid')} g ON a.fcusgid = g.fcid"""
+_MNU_JOIN = f"JOIN {L('tmMNU', 'fcid')} m ON a.fcmnuid = m.fcid"
+
+QUERIES["b_dim_userpermission"] = make(user.SPECS[9])
+ORACLES["b_dim_userpermission"] = f"""
+SELECT DISTINCT {q.AUDIT}, {q.date_text('coalesce(a.ftupdatedate, a.ftcreatedate)')} AS date_id,
+  {q.clean('u.fcid')} AS user_id, {q.clean('u.fccode')} AS user_cd, {q.clean('u.fcname')} AS user_nm,
+  u.fcisactive AS user_status, {q.to_ts('u.ftcreatedate')} AS user_crtddttm, {q.to_ts('u.ftupdatedate')} AS user_updtdttm,
+  {q.clean('b.fccomid')} AS project_id, {q.clean('a.fcbrnid')} AS branch_id, {q.clean('g.fcid')} AS usergroup_id,
+  {q.clean('g.fcname')} AS usergroup_nm, g.fcisactive AS usergroup_status, {q.clean('a.fcmnuid')} AS mnu_id,
+  {q.clean('m.fccode')} AS mnu_nm_eng, {q.clean('m.fcname')} AS mnu_nm_thai, {_PERM_SQL},
+  {q.case_map('upper(u.fcisactive)', {"N": "0", "Y": "1", "FALSE": "0", "TRUE": "1"})} AS rec_actv_flag,
+  {q.to_ts('g.ftcreatedate')} AS crtd_dttm, g.fccreator AS crtd_by, {q.to_ts('g.ftupdatedate')} AS updt_dttm,
+  g.fcupdateby AS updt_by
+{_PERM_FROM} JOIN {L('tmUSR', 'fcid')} u ON a.fcusgid = u.fcusgid {_MNU_JOIN}"""
+
+QUERIES["b_fact_userpermission"] = make(user.SPECS[10])
+ORACLES["b_fact_userpermission"] = f"""
+SELECT DISTINCT {q.AUDIT},
+  {q.date_text(q.be_to_ce('coalesce(a.ftupdatedate, a.ftcreatedate)', 2400), 2)} AS date_id,
+  {q.clean('b.fccomid')} AS project_id, {q.clean('a.fcbrnid')} AS branch_id, {q.clean('a.fcusgid')} AS usergroup_id,
+  {q.clean('g.fcname')} AS usergroup_nm, {q.case_map('upper(g.fcisactive)', {"N": "0", "Y": "1"})} AS usergroup_status,
+  {q.clean('a.fcmnuid')} AS mnu_id, {q.clean('m.fccode')} AS mnu_nm_eng, {q.clean('m.fcname')} AS mnu_nm_thai, {_PERM_SQL},
+  CAST(NULL AS VARCHAR) AS rec_actv_flag, {q.to_ts(q.be_to_ce('a.ftcreatedate', 2400))} AS crtd_dttm,
+  CAST(NULL AS VARCHAR) AS crtd_by, {q.to_ts(q.be_to_ce('a.ftupdatedate', 2400))} AS updt_dttm,
+  CAST(NULL AS VARCHAR) AS updt_by
+{_PERM_FROM} {_MNU_JOIN}"""
