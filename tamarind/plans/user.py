@@ -373,3 +373,108 @@ SPECS += [
         _MNU,
     ), build_fact_userpermission, FACT_USERPERMISSION, full_default=True),
 ]
+
+
+from tamarind.functions.codes import PCL_PATTERN  # noqa: E402
+from tamarind.operators import rename, unpivot  # noqa: E402
+
+
+def _party_common(run_ts):
+    none = lambda n, t="string": F.lit(None).cast(t).alias(n)
+    return none, [none("totl_kid", "double"), none("totl_eldr", "double"), none("mem_sts"),
+                  none("mem_crtd_dttm", "timestamp_ntz"), none("nationality_id")]
+
+
+def build_dim_party_gu(src: dict, ctx):
+    """App users as parties of type 2 ⟕ mobile customer on phone ⟕ newest gender.
+    D14: the customer join adds no column; with the final distinct Catalyst drops it."""
+    mu = rename(lower_columns(src["tmmobileuser"]),
+                {"fcuserid": "fcid", "ftbirthdate": "ftbirthday", "fcemail": "fcshipemail", "fngender": "fcsex"})
+    name = fn.full_name("fcfirstname", "fclastname")
+    mu = mu.select("*", name.alias("fcname"), fn.phone_prefix0("fcphoneno").alias("fcshipmobile"),
+                   fn.strip("fcsex").alias("fcsex_s"))
+    cus = lower_columns(src["customer"]).select(fn.phone_prefix0("phonenumber").alias("phonenumber_new_c"))
+    mg = lower_columns(src["tmMobileGender"]).select(fn.strip(F.col("fcid").cast("string")).alias("fcid_mg"),
+                                                     F.col("fcnameth").alias("fcnameth_mg"))
+    df = lookup_join(mu, cus, "fcshipmobile", "phonenumber_new_c", "left")
+    df = lookup_join(df, mg, "fcsex_s", "fcid_mg", "left", small=True)
+    dob = fn.to_ts(fn.be_to_ce("ftbirthday", 2500, upper=2600, min_len=10))
+    crtd = fn.to_ts("ftcreatedate")
+    none, tail = _party_common(ctx.run_ts)
+    df = with_audit(df, ctx.run_ts).select(
+        "dwh_crtd_dttm", "dwh_updt_dttm", "dwh_note",
+        F.col("fcname").alias("full_nm_th"), none("titl_th"), F.col("fcfirstname").alias("frst_nm_th"),
+        F.col("fclastname").alias("last_nm_th"), F.col("fcname").alias("full_nm_en"), none("titl_en"),
+        F.col("fcfirstname").alias("frst_nm_en"), F.col("fclastname").alias("last_nm_en"),
+        dob.alias("dob"), fn.age_years(ctx.run_ts, dob).cast("bigint").alias("age"),
+        F.col("fctaxid").alias("th_id"), F.col("fctaxid").alias("passport_no"), F.col("fccountrycode").alias("cnty_cd"),
+        F.col("fcshipmobile").alias("mob_no"), F.col("fcshipemail").alias("email"), none("edu"), none("occu"),
+        none("income_range"), none("mrtl_sts"), none("rlgn"), F.col("fcnameth_mg").alias("gndr"), none("fam_size"),
+        fn.flag_map("fcisactive", FLAG_YN).alias("rec_actv_flag"),
+        crtd.alias("crtd_dttm"), F.col("fccreateby").alias("crtd_by"),
+        F.coalesce(fn.to_ts("ftupdatedate"), crtd).alias("updt_dttm"),
+        fn.coalesce_first("fcupdateby", "fccreateby").alias("updt_by"),
+        F.lit(2).cast("bigint").alias("party_type_id"), F.col("fcid").alias("party_id"),
+        fn.date_id_from_text(fn.coalesce_first("ftupdatedate", "ftcreatedate")).alias("date_id"),
+        none("mem_ref_code"), fn.corporate_type("fcname", PCL_PATTERN).alias("corporate_type"), *tail,
+    )
+    return finish(df, DIM_PARTY)
+
+
+def build_dim_party_ru(src: dict, ctx):
+    """T4: unit owners (any of the four owner columns of the newest unit rows) as
+    parties of type 1.  Only the owner id is used, so the distinct owners join the
+    parties as a semi join."""
+    room = lower_columns(src["tmRoomH"])
+    present = [c for c in OWNER_COLS if c in room.columns]
+    owners = (unpivot(room.select("fcid", *present), ["fcid"], present, "owner_col", "fcid_owner")
+              .select("fcid_owner").where(F.coalesce(F.col("fcid_owner"), F.lit("")) != "").distinct())
+    cor = lower_columns(src["tmCOR"])
+    df = cor.join(owners, cor["fcid"] == owners["fcid_owner"], "left_semi")
+    dob = fn.to_ts(fn.be_to_ce("ftbirthday", 2500))
+    crtd = fn.to_ts("ftcreatedate")
+    none, tail = _party_common(ctx.run_ts)
+    df = with_audit(df, ctx.run_ts).select(
+        "dwh_crtd_dttm", "dwh_updt_dttm", "dwh_note",
+        F.col("fcname").alias("full_nm_th"), *[none(c) for c in ("titl_th", "frst_nm_th", "last_nm_th", "titl_en",
+                                                                  "frst_nm_en", "last_nm_en")],
+        F.col("fcengname").alias("full_nm_en"), dob.alias("dob"),
+        F.when(dob.isNotNull(), fn.age_years(ctx.run_ts, dob))
+        .otherwise(fn.to_double("fnage", 0.0)).cast("bigint").alias("age"),
+        F.col("fctaxid").alias("th_id"), F.col("fcpassport").alias("passport_no"),
+        F.col("fccountrycode").alias("cnty_cd"), F.col("fcshipmobile").alias("mob_no"),
+        F.col("fcshipemail").alias("email"), F.col("fceducation").alias("edu"), none("occu"), none("income_range"),
+        F.col("fcmarrystatus").alias("mrtl_sts"), none("rlgn"), fn.gender_label("fcsex").alias("gndr"),
+        none("fam_size"), fn.flag_map("fcisactive", FLAG_YN_TF).alias("rec_actv_flag"),
+        crtd.alias("crtd_dttm"), F.col("fccreator").alias("crtd_by"),
+        F.coalesce(fn.to_ts("ftupdatedate"), crtd).alias("updt_dttm"),
+        fn.coalesce_first("fcupdateby", "fccreator").alias("updt_by"),
+        F.lit(1).cast("bigint").alias("party_type_id"), F.col("fcid").alias("party_id"),
+        fn.date_id_from_ts(fn.coalesce_first("ftupdatedate", "ftcreatedate")).alias("date_id"),
+        none("mem_ref_code"), fn.corporate_type("fcname").alias("corporate_type"), *tail,
+    )
+    return finish(df, DIM_PARTY, distinct=False)
+
+
+from tamarind.functions.codes import FLAG_YN_TF  # noqa: E402
+from tamarind.plans.unit import OWNER_COLS  # noqa: E402
+
+_PARTY_PK = ("date_id", "party_id", "party_type_id")
+SPECS += [
+    TableSpec("dim_party_gu", "dim_party", _PARTY_PK, (
+        Source("tmmobileuser", "tmmobileuser", columns=(
+            "fcfirstname", "fclastname", "fcuserid", "ftbirthdate", "fctaxid", "fccountrycode", "fcphoneno", "fcemail",
+            "fngender", "fcisactive", "ftcreatedate", "fccreateby", "ftupdatedate", "fcupdateby")),
+        Source("tmMobileGender", "tmMobileGender", columns=("fcid", "fcnameth", "fcnameen", "fcisactive", "fcisdefualt"),
+               kind=LATEST, keys=("fcid",)),
+        Source("customer", "customer", app="mobileregister", columns=("id", "phonenumber"), kind=LATEST, keys=("id",)),
+    ), build_dim_party_gu, DIM_PARTY),
+    TableSpec("dim_party_ru", "dim_party", _PARTY_PK, (
+        Source("tmCOR", "tmCOR", columns=(
+            "fcid", "fcname", "fcengname", "ftbirthday", "fnage", "fctaxid", "fcpassport", "fccountrycode",
+            "fcshipmobile", "fcshipemail", "fceducation", "fcmarrystatus", "fcsex", "fcisactive", "ftcreatedate",
+            "fccreator", "fcupdateby", "ftupdatedate", "fccode", "fccomid")),
+        Source("tmRoomH", "tmRoomH", columns=("fcid", "fcownerid", "fcownerid2", "fcownerid3", "fccurrentownerid",
+                                              "fcownerratio"), kind=LATEST, keys=("fcid",)),
+    ), build_dim_party_ru, DIM_PARTY),
+]

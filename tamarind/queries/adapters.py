@@ -60,7 +60,9 @@ SELECT
   (CASE o_orderkey % 5 WHEN 0 THEN NULL ELSE 'user' || CAST(o_custkey % 50 AS STRING) END) AS fccreateby,
   (CASE o_orderkey % 3 WHEN 0 THEN NULL
      ELSE {dirty_date("o_orderdate", "o_orderkey", 9)} END) AS ftupdatedate,
-  (CASE o_orderkey % 4 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE 'editor' || CAST(o_orderkey % 30 AS STRING) END) AS fcupdateby
+  (CASE o_orderkey % 4 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE 'editor' || CAST(o_orderkey % 30 AS STRING) END) AS fcupdateby,
+  CAST(year(o_orderdate) AS INT) AS calendar_year, CAST(month(o_orderdate) AS INT) AS month_no,
+  CAST(day(o_orderdate) AS INT) AS day_of_month
 FROM orders"""
 
 # branches: 40 keys, several versions each (version = calendar year, unique per key)
@@ -590,3 +592,54 @@ SELECT
   CAST(2000 + floor(p_partkey / 50) AS INT) AS calendar_year, CAST(1 + p_partkey % 12 AS INT) AS month_no,
   CAST(1 + p_partkey % 28 AS INT) AS day_of_month
 FROM part"""
+
+
+# app users (one per customer)
+ADAPTERS["tmmobileuser"] = f"""
+SELECT
+  {dirty_text("'First' || CAST(c_custkey % 97 AS STRING)", "c_custkey")} AS fcfirstname,
+  (CASE c_custkey % 7 WHEN 0 THEN NULL WHEN 1 THEN 'บริษัท จำกัด (มหาชน)' WHEN 2 THEN 'Holdings PCL'
+     ELSE 'Last' || CAST(c_custkey % 89 AS STRING) END) AS fclastname,
+  'MU' || CAST(c_custkey AS STRING) AS fcuserid,
+  (CASE c_custkey % 9 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'junk-value'
+     WHEN 3 THEN CAST(2501 + c_custkey % 98 AS STRING) || '-04-01 00:00:00' WHEN 4 THEN '2600-01-01 00:00:00'
+     WHEN 5 THEN CAST(2520 + c_custkey % 40 AS STRING) || '-1-2'
+     ELSE CAST(1950 + c_custkey % 50 AS STRING) || '-06-15 00:00:00' END) AS ftbirthdate,
+  lpad(CAST(c_custkey * 7919 AS STRING), 13, '0') AS fctaxid,
+  (CASE c_custkey % 3 WHEN 0 THEN '66' WHEN 1 THEN NULL ELSE ' 66 ' END) AS fccountrycode,
+  (CASE c_custkey % 8 WHEN 0 THEN NULL ELSE CAST(800000000 + c_custkey % 1200 AS STRING) END) AS fcphoneno,
+  {email("c_custkey", 1)} AS fcemail,
+  (CASE c_custkey % 5 WHEN 0 THEN ' 1' WHEN 1 THEN '2' WHEN 2 THEN '3 ' WHEN 3 THEN NULL ELSE '9' END) AS fngender,
+  {flag("c_custkey", 1)} AS fcisactive,
+  {kdate("c_custkey", 3)} AS ftcreatedate, {who("creator", "c_custkey", 7)} AS fccreateby,
+  (CASE c_custkey % 3 WHEN 0 THEN NULL ELSE {kdate("c_custkey", 9)} END) AS ftupdatedate,
+  (CASE c_custkey % 4 WHEN 0 THEN NULL ELSE 'editor' || CAST(c_custkey % 5 AS STRING) END) AS fcupdateby
+FROM customer"""
+
+# genders: codes 1/2/3 (and a padded one), versions per code (version = year), one per supplier
+ADAPTERS["tmMobileGender"] = """
+SELECT
+  (CASE s_suppkey % 4 WHEN 0 THEN '1' WHEN 1 THEN '2' WHEN 2 THEN ' 3 ' ELSE '4' END) AS fcid,
+  (CASE s_suppkey % 4 WHEN 0 THEN 'ชาย' WHEN 1 THEN 'หญิง' WHEN 2 THEN 'ไม่ระบุ' ELSE NULL END) || CAST(s_suppkey % 3 AS STRING) AS fcnameth,
+  (CASE s_suppkey % 4 WHEN 0 THEN 'Male' WHEN 1 THEN 'Female' ELSE 'Other' END) AS fcnameen,
+  'Y' AS fcisactive, 'N' AS fcisdefualt,
+  CAST(2000 + floor(s_suppkey / 4) AS INT) AS calendar_year, CAST(1 AS INT) AS month_no, CAST(1 AS INT) AS day_of_month
+FROM supplier"""
+
+
+def _mr_customer_version(v: int) -> str:
+    return f"""
+SELECT
+  c_custkey AS id, 'user' || CAST(c_custkey AS STRING) AS username,
+  (CASE (c_custkey + {v}) % 4 WHEN 0 THEN '+66' WHEN 1 THEN '66' ELSE NULL END) AS phonenumbercountrycode,
+  (CASE (c_custkey + {v}) % 11 WHEN 0 THEN NULL WHEN 1 THEN ' ' || CAST(800000000 + c_custkey % 1200 AS STRING)
+     ELSE CAST(800000000 + (c_custkey + {v}) % 1200 AS STRING) END) AS phonenumber,
+  {kdate("c_custkey", 2 + v)} AS creationtime, 'cr' || CAST(c_custkey % 9 AS STRING) AS creatoruserid,
+  {kdate("c_custkey", 6 + v)} AS lastmodificationtime, 'md' || CAST(c_custkey % 5 AS STRING) AS lastmodifieruserid,
+  CAST({2023 + v} AS INT) AS calendar_year, CAST(1 + c_custkey % 12 AS INT) AS month_no,
+  CAST(1 + c_custkey % 28 AS INT) AS day_of_month
+FROM customer"""
+
+
+# mobile-register customers: two versions per customer
+ADAPTERS["mr_customer"] = _mr_customer_version(0) + "\nUNION ALL" + _mr_customer_version(1)

@@ -443,3 +443,49 @@ SELECT DISTINCT {q.AUDIT},
   CAST(NULL AS VARCHAR) AS crtd_by, {q.to_ts(q.be_to_ce('a.ftupdatedate', 2400))} AS updt_dttm,
   CAST(NULL AS VARCHAR) AS updt_by
 {_PERM_FROM} {_MNU_JOIN}"""
+
+
+# --------------------------------------------------------------- party -----
+_GENDER = {'WOMAN': 'หญิง', 'FEMALE': 'หญิง', 'FAMALE': 'หญิง', 'MEN': 'ชาย', 'MALE': 'ชาย', 'MAN': 'ชาย',
+           'FEMALE/MAN': 'PreferNotToRespond', 'MAN/FEMALE': 'PreferNotToRespond', 'COMPANY': 'PreferNotToRespond'}
+_N = "CAST(NULL AS VARCHAR)"
+_TAIL = f"CAST(NULL AS DOUBLE) AS totl_kid, CAST(NULL AS DOUBLE) AS totl_eldr, {_N} AS mem_sts, CAST(NULL AS TIMESTAMP) AS mem_crtd_dttm, {_N} AS nationality_id"
+
+_GU_DOB = q.to_ts(q.be_to_ce('u.fcbirth', 2500, 2600, 10))
+QUERIES["b_dim_party_gu"] = make(user.SPECS[11], {"customer": "mr_customer"})
+ORACLES["b_dim_party_gu"] = f"""
+WITH u AS (SELECT *, fcfirstname || ' ' || fclastname AS fcname, '0' || fcphoneno AS mob, {q.strip('fngender')} AS sex,
+    ftbirthdate AS fcbirth FROM {A('tmmobileuser')}),
+g AS (SELECT {q.strip('CAST(fcid AS STRING)')} AS gid, fcnameth FROM {L('tmMobileGender', 'fcid')})
+SELECT DISTINCT {q.AUDIT}, u.fcname AS full_nm_th, {_N} AS titl_th, u.fcfirstname AS frst_nm_th, u.fclastname AS last_nm_th,
+  u.fcname AS full_nm_en, {_N} AS titl_en, u.fcfirstname AS frst_nm_en, u.fclastname AS last_nm_en,
+  {_GU_DOB} AS dob, CAST(2025 - year({_GU_DOB}) AS BIGINT) AS age, u.fctaxid AS th_id, u.fctaxid AS passport_no,
+  u.fccountrycode AS cnty_cd, u.mob AS mob_no, u.fcemail AS email, {_N} AS edu, {_N} AS occu, {_N} AS income_range,
+  {_N} AS mrtl_sts, {_N} AS rlgn, g.fcnameth AS gndr, {_N} AS fam_size,
+  {q.case_map('u.fcisactive', {"Y": "1", "N": "0"})} AS rec_actv_flag, {q.to_ts('u.ftcreatedate')} AS crtd_dttm,
+  u.fccreateby AS crtd_by, coalesce({q.to_ts('u.ftupdatedate')}, {q.to_ts('u.ftcreatedate')}) AS updt_dttm,
+  coalesce(u.fcupdateby, u.fccreateby) AS updt_by, CAST(2 AS BIGINT) AS party_type_id, u.fcuserid AS party_id,
+  {q.date_text('coalesce(u.ftupdatedate, u.ftcreatedate)')} AS date_id, {_N} AS mem_ref_code,
+  CASE WHEN coalesce(regexp_matches(u.fcname, 'มหาชน|PCL'), FALSE) THEN 'PCL' ELSE 'LOCAL' END AS corporate_type, {_TAIL}
+FROM u LEFT JOIN g ON u.sex = g.gid"""
+
+_RU_DOB = q.to_ts(q.be_to_ce('c.ftbirthday', 2500))
+QUERIES["b_dim_party_ru"] = make(user.SPECS[12])
+ORACLES["b_dim_party_ru"] = f"""
+WITH r AS {L('tmRoomH', 'fcid')},
+o AS (SELECT fcownerid AS oid FROM r UNION SELECT fcownerid2 FROM r UNION SELECT fcownerid3 FROM r
+      UNION SELECT fccurrentownerid FROM r),
+c AS (SELECT * FROM {A('tmCOR')} WHERE fcid IN (SELECT oid FROM o WHERE coalesce(oid, '') <> ''))
+SELECT {q.AUDIT}, c.fcname AS full_nm_th, {q.nulls('titl_th, frst_nm_th, last_nm_th, titl_en, frst_nm_en, last_nm_en')},
+  c.fcengname AS full_nm_en, {_RU_DOB} AS dob,
+  CAST(CASE WHEN {_RU_DOB} IS NOT NULL THEN 2025 - year({_RU_DOB}) ELSE {q.to_double('c.fnage', 0.0)} END AS BIGINT) AS age,
+  c.fctaxid AS th_id, c.fcpassport AS passport_no, c.fccountrycode AS cnty_cd, c.fcshipmobile AS mob_no,
+  c.fcshipemail AS email, c.fceducation AS edu, {_N} AS occu, {_N} AS income_range, c.fcmarrystatus AS mrtl_sts,
+  {_N} AS rlgn, {q.case_map('upper(c.fcsex)', _GENDER, 'ไม่ระบุเพศ')} AS gndr, {_N} AS fam_size,
+  {q.case_map('c.fcisactive', {"N": "0", "false": "0", "Y": "1", "true": "1"})} AS rec_actv_flag,
+  {q.to_ts('c.ftcreatedate')} AS crtd_dttm, c.fccreator AS crtd_by,
+  coalesce({q.to_ts('c.ftupdatedate')}, {q.to_ts('c.ftcreatedate')}) AS updt_dttm,
+  coalesce(c.fcupdateby, c.fccreator) AS updt_by, CAST(1 AS BIGINT) AS party_type_id, c.fcid AS party_id,
+  {q.date_ts('coalesce(c.ftupdatedate, c.ftcreatedate)')} AS date_id, {_N} AS mem_ref_code,
+  CASE WHEN coalesce(regexp_matches(c.fcname, 'มหาชน|PCL'), FALSE) THEN 'PCL' ELSE 'LOCAL' END AS corporate_type, {_TAIL}
+FROM c"""
