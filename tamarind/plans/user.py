@@ -478,3 +478,72 @@ SPECS += [
                                               "fcownerratio"), kind=LATEST, keys=("fcid",)),
     ), build_dim_party_ru, DIM_PARTY),
 ]
+
+
+from tamarind.spec import HISTORY  # noqa: E402
+
+DIM_MOBILE_USER = schema(f"""{AUDIT}, date_id:date, customer_id:long, unit_id:str, device_id:str, user_name:str,
+    country_code:str, mobile_phone:str, user_type:str, crtd_dttm:ts, crtd_by:str, updt_dttm:ts, updt_by:str,
+    history_status:str""")
+MOBILE_OWNER_COLS = ["fcownerid", "fccurrentownerid", "fcownerid2", "fcownerid3"]
+RESIDENT_TYPES = ["Rential", "Stay"]  # fixed values, as spelt in the source
+
+
+def build_dim_mobile_user(src: dict, ctx):
+    """App customers matched by phone to unit owners and residents (history of
+    units, residences and parties), plus their devices."""
+    room = src["tmRoomH_mobileuser"]
+    rooms = (unpivot(room.select("fcid", "ftcreatedate", "ftupdatedate", *MOBILE_OWNER_COLS),
+                     ["fcid", "ftcreatedate", "ftupdatedate"], MOBILE_OWNER_COLS, "owner_type", "fcownerid")
+             .where(F.col("fcownerid").isNotNull() & (F.col("fcownerid") != "")).distinct())
+    hist = src["ttCORHist_mobileuser"]
+    residents = (hist.where(fn.strip("fctype").isin(RESIDENT_TYPES))
+                 .select("fccornewrentalid", "fcroomid").distinct())
+    cor = src["tmCOR"].withColumn("fcshipmobile", fn.strip("fcshipmobile"))
+    cor_all = (cor.where(F.col("fcshipmobile").isNotNull() & (F.col("fcshipmobile") != ""))
+               .select("fcid", fn.phone_pad9("fcshipmobile").alias("mobile_phone")).distinct())
+    # owners: party (stripped id) = unit owner (stripped)
+    owner_all = (cor_all.select(fn.strip("fcid").alias("k"), F.col("fcid").alias("fcid_raw"), "mobile_phone")
+                 .join(rooms.select(fn.strip("fcownerid").alias("k"), F.col("fcid").alias("fcid_room")), "k")
+                 .select(F.col("k").alias("fcid_cor"), "mobile_phone", "fcid_room"))
+    # residents: residence (stripped renter) = party id (as is), then room (stripped both sides)
+    res = (residents.select(fn.strip("fccornewrentalid").alias("fcid"), fn.strip("fcroomid").alias("room_k"))
+           .join(cor_all, "fcid"))
+    resident_all = (res.join(rooms.select(fn.strip("fcid").alias("room_k")), "room_k")
+                    .select(F.col("fcid").alias("fcid_cor"), "mobile_phone", F.col("room_k").alias("fcid_room")))
+    corall = owner_all.unionByName(resident_all).distinct().select(
+        fn.strip("mobile_phone").alias("mobile_phone_cor"), "fcid_room")
+    cus = src["customer"]
+    cus = cus.select("*", fn.strip(fn.phone_pad9(fn.strip("phonenumber"))).alias("mobile_phone"))
+    device = src["gu_device"].select(F.col("customer_id").cast("string").alias("customer_id_device"),
+                                     F.col("device_id")).distinct()
+    df = lookup_join(cus, corall, "mobile_phone", "mobile_phone_cor", "left")
+    df = lookup_join(df, device, F.col("id").cast("string"), "customer_id_device", "left")
+    crtd = fn.to_ts("creationtime")
+    unit = F.coalesce(F.col("fcid_room"), F.lit("0"))
+    df = with_audit(df, ctx.run_ts).select(
+        "dwh_crtd_dttm", "dwh_updt_dttm", "dwh_note",
+        fn.date_id_from_text(fn.coalesce_first("lastmodificationtime", "creationtime")).alias("date_id"),
+        F.col("id").cast("bigint").alias("customer_id"), unit.alias("unit_id"), "device_id",
+        F.col("username").alias("user_name"), F.col("phonenumbercountrycode").alias("country_code"), "mobile_phone",
+        fn.user_type(unit).alias("user_type"), crtd.alias("crtd_dttm"), F.col("creatoruserid").alias("crtd_by"),
+        F.coalesce(fn.to_ts("lastmodificationtime"), crtd).alias("updt_dttm"),
+        fn.coalesce_first("lastmodifieruserid", "creatoruserid").alias("updt_by"), F.lit("N").alias("history_status"),
+    )
+    return finish(df, DIM_MOBILE_USER)
+
+
+SPECS += [
+    TableSpec("dim_mobile_user", "dim_mobile_user", ("date_id", "customer_id", "unit_id"), (
+        Source("customer", "customer", app="mobileregister", columns=(
+            "id", "username", "phonenumbercountrycode", "phonenumber", "creationtime", "creatoruserid",
+            "lastmodificationtime", "lastmodifieruserid")),
+        Source("tmRoomH_mobileuser", "tmRoomH_mobileuser", kind=HISTORY, columns=(
+            "fcid", "fcownerid", "fccurrentownerid", "fcownerid2", "fcownerid3", "ftcreatedate", "ftupdatedate")),
+        Source("ttCORHist_mobileuser", "ttCORHist_mobileuser", kind=HISTORY, columns=(
+            "fcid", "fccornewrentalid", "fcroomid", "fctype", "ftcreatedate", "ftupdatedate")),
+        Source("tmCOR", "tmCOR", kind=HISTORY, columns=("fcid", "fcshipmobile", "ftcreatedate", "ftupdatedate")),
+        Source("gu_device", "gu_device", app="notification", source_type="postgresql",
+               columns=("customer_id", "device_id")),
+    ), build_dim_mobile_user, DIM_MOBILE_USER, full_default=True),
+]

@@ -643,3 +643,30 @@ FROM customer"""
 
 # mobile-register customers: two versions per customer
 ADAPTERS["mr_customer"] = _mr_customer_version(0) + "\nUNION ALL" + _mr_customer_version(1)
+
+
+# unit owners history for mobile users: one per order
+ADAPTERS["tmRoomH_mobileuser"] = f"""
+SELECT
+  (CASE o_orderkey % 13 WHEN 0 THEN ' U' || CAST(o_orderkey AS STRING) ELSE 'U' || CAST(o_orderkey AS STRING) END) AS fcid,
+  (CASE o_orderkey % 11 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN ' C' || CAST(o_custkey AS STRING) || ' '
+     ELSE 'C' || CAST(o_custkey AS STRING) END) AS fcownerid,
+  (CASE o_orderkey % 4 WHEN 0 THEN 'C' || CAST(o_custkey + 5 AS STRING) ELSE NULL END) AS fccurrentownerid,
+  (CASE o_orderkey % 3 WHEN 0 THEN 'C' || CAST(o_custkey + 9 AS STRING) WHEN 1 THEN '' ELSE NULL END) AS fcownerid2,
+  (CASE o_orderkey % 7 WHEN 0 THEN 'C' || CAST(o_custkey AS STRING) ELSE NULL END) AS fcownerid3,
+  {dirty_date("o_orderdate", "o_orderkey", 1)} AS ftcreatedate, {dirty_date("o_orderdate", "o_orderkey", 4)} AS ftupdatedate,
+  CAST(year(o_orderdate) AS INT) AS calendar_year, CAST(month(o_orderdate) AS INT) AS month_no,
+  CAST(day(o_orderdate) AS INT) AS day_of_month
+FROM orders"""
+
+# residence history for mobile users: one per line item
+ADAPTERS["ttCORHist_mobileuser"] = f"""
+SELECT
+  'H' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS fcid,
+  (CASE l_partkey % 9 WHEN 0 THEN ' C' || CAST(l_partkey % 1500 AS STRING) ELSE 'C' || CAST(l_partkey % 1500 AS STRING) END) AS fccornewrentalid,
+  (CASE l_suppkey % 5 WHEN 0 THEN 'U' || CAST(l_orderkey AS STRING) || ' ' ELSE 'U' || CAST(l_orderkey AS STRING) END) AS fcroomid,
+  (CASE l_linenumber % 4 WHEN 0 THEN 'Rential' WHEN 1 THEN ' Stay ' WHEN 2 THEN 'Owner' ELSE NULL END) AS fctype,
+  {dirty_date("l_shipdate", "l_orderkey")} AS ftcreatedate, {dirty_date("l_shipdate", "l_partkey", 3)} AS ftupdatedate,
+  CAST(year(l_shipdate) AS INT) AS calendar_year, CAST(month(l_shipdate) AS INT) AS month_no,
+  CAST(day(l_shipdate) AS INT) AS day_of_month
+FROM lineitem"""

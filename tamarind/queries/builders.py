@@ -7,7 +7,7 @@ from tamarind.queries import sqlfn as q
 from tamarind.queries.adapters import ADAPTERS
 from tamarind.queries.tables import RUN_TS, register
 from tamarind.sources.lake import PART_COLS, latest_per_key
-from tamarind.spec import LATEST
+from tamarind.spec import HISTORY, LATEST
 
 from tamarind.plans import company, project, unit, user
 
@@ -26,6 +26,8 @@ def adapter_inputs(spark, sf_dir, spec, overrides: dict | None = None) -> dict:
             df = latest_per_key(df, s.keys, tie=s.tie)
         if s.columns:
             df = df.select(*[c for c in s.columns if c in df.columns and c not in PART_COLS])
+        if s.kind == HISTORY:
+            df = df.distinct()
         out[s.alias] = df
     return out
 
@@ -489,3 +491,41 @@ SELECT {q.AUDIT}, c.fcname AS full_nm_th, {q.nulls('titl_th, frst_nm_th, last_nm
   {q.date_ts('coalesce(c.ftupdatedate, c.ftcreatedate)')} AS date_id, {_N} AS mem_ref_code,
   CASE WHEN coalesce(regexp_matches(c.fcname, 'มหาชน|PCL'), FALSE) THEN 'PCL' ELSE 'LOCAL' END AS corporate_type, {_TAIL}
 FROM c"""
+
+
+# ---------------------------------------------------------- mobile user -----
+def _pad9(x):
+    return f"(CASE WHEN length({x}) = 9 THEN '0' || {x} ELSE {x} END)"
+
+
+QUERIES["b_dim_mobile_user"] = make(user.SPECS[13], {"customer": "mr_customer"})
+ORACLES["b_dim_mobile_user"] = f"""
+WITH rh AS (SELECT DISTINCT fcid, fcownerid, fccurrentownerid, fcownerid2, fcownerid3, ftcreatedate, ftupdatedate
+            FROM {A('tmRoomH_mobileuser')}),
+rooms AS (SELECT DISTINCT * FROM (
+  SELECT fcid, ftcreatedate, ftupdatedate, 'fcownerid' AS owner_type, fcownerid AS oid FROM rh
+  UNION ALL SELECT fcid, ftcreatedate, ftupdatedate, 'fccurrentownerid', fccurrentownerid FROM rh
+  UNION ALL SELECT fcid, ftcreatedate, ftupdatedate, 'fcownerid2', fcownerid2 FROM rh
+  UNION ALL SELECT fcid, ftcreatedate, ftupdatedate, 'fcownerid3', fcownerid3 FROM rh) WHERE oid IS NOT NULL AND oid <> ''),
+hist AS (SELECT DISTINCT fcid, fccornewrentalid, fcroomid, fctype, ftcreatedate, ftupdatedate FROM {A('ttCORHist_mobileuser')}),
+res AS (SELECT DISTINCT fccornewrentalid, fcroomid FROM hist WHERE {q.strip('fctype')} IN ('Rential', 'Stay')),
+cor0 AS (SELECT DISTINCT fcid, {q.strip('fcshipmobile')} AS ph FROM (SELECT DISTINCT fcid, fcshipmobile, ftcreatedate, ftupdatedate FROM {A('tmCOR')})),
+cor_all AS (SELECT DISTINCT fcid, {_pad9('ph')} AS mobile_phone FROM cor0 WHERE ph IS NOT NULL AND ph <> ''),
+owner_all AS (SELECT {q.strip('c.fcid')} AS fcid_cor, c.mobile_phone, r.fcid AS fcid_room
+  FROM cor_all c JOIN rooms r ON {q.strip('c.fcid')} = {q.strip('r.oid')}),
+resident_all AS (SELECT c.fcid AS fcid_cor, c.mobile_phone, {q.strip('r.fcid')} AS fcid_room
+  FROM res h JOIN cor_all c ON {q.strip('h.fccornewrentalid')} = c.fcid
+  JOIN rooms r ON {q.strip('h.fcroomid')} = {q.strip('r.fcid')}),
+corall AS (SELECT DISTINCT {q.strip('mobile_phone')} AS mp, fcid_room FROM (SELECT DISTINCT * FROM (
+  SELECT * FROM owner_all UNION ALL SELECT * FROM resident_all))),
+dev AS (SELECT DISTINCT CAST(customer_id AS STRING) AS cid, device_id FROM {A('gu_device')}),
+cus AS (SELECT *, {q.strip(_pad9(q.strip('phonenumber')))} AS mobile_phone FROM {A('mr_customer')}),
+j AS (SELECT cus.*, corall.fcid_room, dev.device_id FROM cus LEFT JOIN corall ON cus.mobile_phone = corall.mp
+  LEFT JOIN dev ON CAST(cus.id AS STRING) = dev.cid)
+SELECT DISTINCT {q.AUDIT}, {q.date_text('coalesce(lastmodificationtime, creationtime)')} AS date_id,
+  CAST(id AS BIGINT) AS customer_id, coalesce(fcid_room, '0') AS unit_id, device_id, username AS user_name,
+  phonenumbercountrycode AS country_code, mobile_phone,
+  CASE WHEN coalesce(fcid_room, '0') = '0' THEN 'GU' ELSE 'RU' END AS user_type, {q.to_ts('creationtime')} AS crtd_dttm,
+  creatoruserid AS crtd_by, coalesce({q.to_ts('lastmodificationtime')}, {q.to_ts('creationtime')}) AS updt_dttm,
+  coalesce(lastmodifieruserid, creatoruserid) AS updt_by, 'N' AS history_status
+FROM j"""
