@@ -343,3 +343,75 @@ SPECS += [
                                                     "fcpostcode"), kind=LATEST, keys=("fnid",)),
     ), build_dim_address_mobileuser, DIM_ADDRESS, append=True),
 ]
+
+
+from tamarind.functions.codes import BOOKBANK_TYPE, BOOKBANK_USETYPE  # noqa: E402
+from tamarind.sources.warehouse import project_with_default  # noqa: E402
+from tamarind.spec import WAREHOUSE  # noqa: E402
+
+DIM_PROJECT_BOOKBANK = schema(f"""{AUDIT}, date_id:date, bookbank_id:str, bookbank_cd:str, bookbank_nm:str,
+    bookbank_no:str, project_id:str, project_code:str, project_name:str, bank_id:str, bank_cd:str, bank_nm:str,
+    account_id:str, account_cd:str, account_nm:str, accountod_id:str, accountod_cd:str, accountod_nm:str,
+    bookbank_branch:str, bookbank_type:str, bookbank_usetype:str, opening_dttm:ts, numofdepositdays:long,
+    duedate_dttm:ts, balance_amt:dbl, remark_nm:str, deposit_nm:str, interest_rate:str, objective:str,
+    account_istransfer:str, rec_actv_flag:str, crtd_dttm:ts, crtd_by:str, updt_dttm:ts, updt_by:str""")
+ERA_MAX_TS_YEAR = 2262  # the last year of a pandas timestamp: later years are Buddhist
+
+
+def build_dim_project_bookbank(src: dict, ctx):
+    """Bank books ⟕ newest branch ⟕ project (warehouse, newest, plus the '(not set)'
+    row; only the branches' projects, by semi join) ⟕ bank ⟕ account ⟕ overdraft account
+    (the same lookup in a second role, J5).  D23: a null update date falls back."""
+    bkb = suffix_columns(lower_columns(src["tmBKB"]), "_BKB")
+    brn = suffix_columns(lower_columns(src["tmBRN"]).select("fcid", "fccomid"), "_BRN")
+    bnk = suffix_columns(lower_columns(src["tmBNK"]).select("fcid", "fccode", "fcname"), "_BNK")
+    acc = lower_columns(src["tmACC"]).select("fcid", "fccode", "fcname")
+    wanted = (bkb.select(F.col("fcbrnid_BKB").alias("fcid_BRN")).distinct()
+              .join(brn, "fcid_BRN").select("fccomid_BRN").distinct())
+    pro = suffix_columns(project_with_default(src["dim_project"], wanted), "_PRO")
+    df = lookup_join(bkb, brn, "fcbrnid_BKB", "fcid_BRN", "left", small=True)
+    df = lookup_join(df, pro, "fccomid_BRN", "project_id_PRO", "left", small=True)
+    df = lookup_join(df, bnk, "fcbnkid_BKB", "fcid_BNK", "left", small=True)
+    df = lookup_join(df, suffix_columns(acc, "_ACC"), "fcaccid_BKB", "fcid_ACC", "left", small=True)
+    df = lookup_join(df, suffix_columns(acc, "_AOD"), "fcod_accid_BKB", "fcid_AOD", "left", small=True)
+    era = lambda c: fn.be_to_ce(c, ERA_MAX_TS_YEAR)
+    crt, upd = era("ftcreatedate_BKB"), era("ftupdatedate_BKB")
+    cl = fn.clean_str
+    df = with_audit(df, ctx.run_ts).select(
+        "dwh_crtd_dttm", "dwh_updt_dttm", "dwh_note",
+        fn.date_id_from_text(F.coalesce(upd, crt)).alias("date_id"),
+        F.col("fcid_BKB").alias("bookbank_id"), cl("fccode_BKB").alias("bookbank_cd"), cl("fcname_BKB").alias("bookbank_nm"),
+        cl("fcbookno_BKB").alias("bookbank_no"), F.col("project_id_PRO").alias("project_id"),
+        cl("project_code_PRO").alias("project_code"), cl("project_name_PRO").alias("project_name"),
+        F.col("fcid_BNK").alias("bank_id"), cl("fccode_BNK").alias("bank_cd"), cl("fcname_BNK").alias("bank_nm"),
+        F.col("fcid_ACC").alias("account_id"), cl("fccode_ACC").alias("account_cd"), cl("fcname_ACC").alias("account_nm"),
+        F.col("fcid_AOD").alias("accountod_id"), cl("fccode_AOD").alias("accountod_cd"),
+        cl("fcname_AOD").alias("accountod_nm"), cl("fcbankbrname_BKB").alias("bookbank_branch"),
+        fn.map_values("fcbankbooktype_BKB", BOOKBANK_TYPE).alias("bookbank_type"),
+        fn.map_values("fcbankbookusetype_BKB", BOOKBANK_USETYPE).alias("bookbank_usetype"),
+        fn.to_ts(era("ftbegdate_BKB")).alias("opening_dttm"), fn.to_long("fnday_BKB").alias("numofdepositdays"),
+        fn.to_ts(era("ftduedate_BKB")).alias("duedate_dttm"), fn.to_double("fnbalamt_BKB").alias("balance_amt"),
+        cl("fcremark1_BKB").alias("remark_nm"), cl("fcremark2_BKB").alias("deposit_nm"),
+        F.col("fcremark3_BKB").alias("interest_rate"), cl("fcremark4_BKB").alias("objective"),
+        F.col("fcremark5_BKB").alias("account_istransfer"),
+        fn.flag_map("fcisactive_BKB", FLAG_UPPER_YN_TF, case="upper").alias("rec_actv_flag"),
+        fn.to_ts(crt).alias("crtd_dttm"), F.col("fccreator_BKB").alias("crtd_by"), fn.to_ts(upd).alias("updt_dttm"),
+        fn.coalesce_first("fcupdateby_BKB", "fccreator_BKB").alias("updt_by"),
+    )
+    return finish(df, DIM_PROJECT_BOOKBANK)
+
+
+_BKB_COLS = ("fcid", "fccode", "fcname", "fcbrnid", "fcbnkid", "fcaccid", "fcod_accid", "fcbookno", "fcbankbrname",
+             "fcbankbooktype", "fcbankbookusetype", "ftbegdate", "fnday", "ftduedate", "fnbalamt", "fcremark1",
+             "fcremark2", "fcremark3", "fcremark4", "fcremark5", "fcisactive", "fccreator", "ftcreatedate",
+             "fcupdateby", "ftupdatedate")
+SPECS += [
+    TableSpec("dim_project_bookbank", "dim_project_bookbank", ("date_id", "bookbank_id"), (
+        Source("tmBKB", "tmBKB", columns=_BKB_COLS),
+        Source("tmBRN", "tmBRN", columns=("fcid", "fccomid"), kind=LATEST, keys=("fcid",)),
+        Source("tmBNK", "tmBNK", columns=("fcid", "fccode", "fcname"), kind=LATEST, keys=("fcid",)),
+        Source("tmACC", "tmACC", columns=("fcid", "fccode", "fcname"), kind=LATEST, keys=("fcid",)),
+        Source("dim_project", "dim_project", kind=WAREHOUSE,
+               schema="project_id string, project_code string, project_name string, date_id date"),
+    ), build_dim_project_bookbank, DIM_PROJECT_BOOKBANK),
+]

@@ -547,3 +547,45 @@ SPECS += [
                columns=("customer_id", "device_id")),
     ), build_dim_mobile_user, DIM_MOBILE_USER, full_default=True),
 ]
+
+
+from tamarind.sources.warehouse import member_parties  # noqa: E402
+from tamarind.spec import WAREHOUSE  # noqa: E402
+
+
+def build_dim_party_memberstatus(src: dict, ctx):
+    """T5: loyalty members among the warehouse parties (type 1/2, lower-cased id in the
+    day's members, J9 semi join) matched on (phone, user id) with the newest app user,
+    ⟕ newest share-a-friend link for the referral code.  Reads and rewrites dim_party:
+    the sink stages before it overwrites (never a static overwrite of the read path)."""
+    ml = suffix_columns(lower_columns(src["tmMemberLoyalty"]).distinct(), "_member")
+    party = member_parties(src["dim_party"], ml.select("fcuserid_member"))
+    mu = lower_columns(src["tmmobileuser"]).select(
+        F.col("fcuserid").alias("fcuserid_mobile"), fn.phone_prefix0("fcphoneno").alias("fcphoneno_mobile"))
+    sf = lower_columns(src["tmShareFriend"]).select(F.col("fcuserid").alias("fcuserid_share"),
+                                                    F.col("fcfrienduserid").alias("fcfrienduserid_share"))
+    df = lookup_join(ml, mu, "fcuserid_member", "fcuserid_mobile", "inner")
+    df = lookup_join(df, party, ["fcphoneno_mobile", "fcuserid_mobile"], ["mob_no", "party_id"], "inner")
+    df = lookup_join(df, sf, "fcuserid_mobile", "fcfrienduserid_share", "left")
+    keep = [c for c in DIM_PARTY.fieldNames()
+            if c not in ("dwh_updt_dttm", "mem_sts", "mem_crtd_dttm", "mem_ref_code", "totl_kid", "totl_eldr")]
+    df = df.select(
+        *[party[c] for c in keep],
+        F.lit(ctx.run_ts).cast("timestamp_ntz").alias("dwh_updt_dttm"), F.lit("1").alias("mem_sts"),
+        fn.to_ts("ftcreatedate_member").alias("mem_crtd_dttm"),
+        F.coalesce(F.col("fcuserid_share"), F.lit("-")).alias("mem_ref_code"),
+        party["totl_kid"].cast("double").alias("totl_kid"), party["totl_eldr"].cast("double").alias("totl_eldr"),
+    )
+    return finish(df, DIM_PARTY)
+
+
+SPECS += [
+    TableSpec("dim_party_memberstatus", "dim_party", _PARTY_PK, (
+        Source("tmMemberLoyalty", "tmMemberLoyalty", app="loyalty", columns=("fcuserid", "ftcreatedate", "ftupdatedate")),
+        Source("dim_party", "dim_party", kind=WAREHOUSE),
+        Source("tmmobileuser", "tmmobileuser", columns=("fcphoneno", "fcuserid", "fnnatid"), kind=LATEST,
+               keys=("fcuserid",)),
+        Source("tmShareFriend", "tmShareFriend", app="loyalty", columns=("fcuserid", "fcfrienduserid"), kind=LATEST,
+               keys=("fcuserid", "fcfrienduserid")),
+    ), build_dim_party_memberstatus, DIM_PARTY),
+]

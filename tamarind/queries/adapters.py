@@ -69,7 +69,7 @@ FROM orders"""
 ADAPTERS["tmBRN"] = """
 SELECT
   'B' || CAST(s_suppkey % 40 AS STRING) AS fcid,
-  'P' || CAST((s_suppkey * 7) % 97 AS STRING) AS fccomid,
+  'COM' || CAST((s_suppkey * 7) % 97 AS STRING) AS fccomid,
   'BR' || CAST(s_suppkey % 40 AS STRING) || '-' || CAST(s_suppkey % 3 AS STRING) AS fccode,
   CAST(2000 + floor(s_suppkey / 40) AS INT) AS calendar_year,
   CAST(1 + s_suppkey % 12 AS INT) AS month_no,
@@ -600,7 +600,8 @@ SELECT
   {dirty_text("'First' || CAST(c_custkey % 97 AS STRING)", "c_custkey")} AS fcfirstname,
   (CASE c_custkey % 7 WHEN 0 THEN NULL WHEN 1 THEN 'บริษัท จำกัด (มหาชน)' WHEN 2 THEN 'Holdings PCL'
      ELSE 'Last' || CAST(c_custkey % 89 AS STRING) END) AS fclastname,
-  'MU' || CAST(c_custkey AS STRING) AS fcuserid,
+  (CASE c_custkey % 3 WHEN 0 THEN 'mu' ELSE 'MU' END) || CAST(c_custkey AS STRING) AS fcuserid,
+  lpad(CAST(c_custkey * 31 AS STRING), 13, '0') AS fnnatid,
   (CASE c_custkey % 9 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'junk-value'
      WHEN 3 THEN CAST(2501 + c_custkey % 98 AS STRING) || '-04-01 00:00:00' WHEN 4 THEN '2600-01-01 00:00:00'
      WHEN 5 THEN CAST(2520 + c_custkey % 40 AS STRING) || '-1-2'
@@ -613,7 +614,8 @@ SELECT
   {flag("c_custkey", 1)} AS fcisactive,
   {kdate("c_custkey", 3)} AS ftcreatedate, {who("creator", "c_custkey", 7)} AS fccreateby,
   (CASE c_custkey % 3 WHEN 0 THEN NULL ELSE {kdate("c_custkey", 9)} END) AS ftupdatedate,
-  (CASE c_custkey % 4 WHEN 0 THEN NULL ELSE 'editor' || CAST(c_custkey % 5 AS STRING) END) AS fcupdateby
+  (CASE c_custkey % 4 WHEN 0 THEN NULL ELSE 'editor' || CAST(c_custkey % 5 AS STRING) END) AS fcupdateby,
+  CAST(2024 AS INT) AS calendar_year, CAST(1 + c_custkey % 12 AS INT) AS month_no, CAST(1 + c_custkey % 28 AS INT) AS day_of_month
 FROM customer"""
 
 # genders: codes 1/2/3 (and a padded one), versions per code (version = year), one per supplier
@@ -670,3 +672,56 @@ SELECT
   CAST(year(l_shipdate) AS INT) AS calendar_year, CAST(month(l_shipdate) AS INT) AS month_no,
   CAST(day(l_shipdate) AS INT) AS day_of_month
 FROM lineitem"""
+
+
+# bank books: one per order
+ADAPTERS["tmBKB"] = f"""
+SELECT
+  'BKB' || CAST(o_orderkey AS STRING) AS fcid, {dirty_text("'BK' || CAST(o_orderkey AS STRING)", "o_orderkey")} AS fccode,
+  {dirty_text("'บัญชี ' || CAST(o_custkey AS STRING)", "o_orderkey", 2)} AS fcname,
+  'B' || CAST(o_orderkey % 45 AS STRING) AS fcbrnid, 'BNK' || CAST(o_orderkey % 25 AS STRING) AS fcbnkid,
+  'ACC' || CAST(o_orderkey % 330 AS STRING) AS fcaccid,
+  (CASE o_orderkey % 4 WHEN 0 THEN NULL ELSE 'ACC' || CAST(o_custkey % 330 AS STRING) END) AS fcod_accid,
+  {dirty_text("lpad(CAST(o_orderkey AS STRING), 10, '0')", "o_orderkey", 4)} AS fcbookno,
+  {dirty_text("'Branch ' || CAST(o_custkey % 40 AS STRING)", "o_orderkey", 6)} AS fcbankbrname,
+  (CASE o_orderkey % 5 WHEN 0 THEN 'S' WHEN 1 THEN 'C' WHEN 2 THEN 'F' WHEN 3 THEN 'X' ELSE NULL END) AS fcbankbooktype,
+  (CASE o_orderkey % 4 WHEN 0 THEN 'P' WHEN 1 THEN 'R' WHEN 2 THEN 'B' ELSE NULL END) AS fcbankbookusetype,
+  {dirty_date("o_orderdate", "o_orderkey", 3)} AS ftbegdate, {numtext("o_orderkey", "o_orderkey % 365")} AS fnday,
+  {dirty_date("o_orderdate", "o_orderkey", 8)} AS ftduedate,
+  (CASE o_orderkey % 6 WHEN 0 THEN NULL WHEN 1 THEN 'abc' WHEN 2 THEN 'nan' ELSE CAST(o_custkey AS STRING) || '.25' END) AS fnbalamt,
+  {dirty_text("'remark ' || o_orderpriority", "o_orderkey", 1)} AS fcremark1,
+  {dirty_text("'deposit ' || o_orderstatus", "o_orderkey", 3)} AS fcremark2,
+  CAST(o_orderkey % 5 AS STRING) || '.5' AS fcremark3,
+  {dirty_text("'goal ' || CAST(o_custkey % 7 AS STRING)", "o_orderkey", 5)} AS fcremark4,
+  (CASE o_orderkey % 2 WHEN 0 THEN 'Y' ELSE 'N' END) AS fcremark5,
+  {flag("o_orderkey", 3)} AS fcisactive, {who("creator", "o_custkey", 7)} AS fccreator,
+  {dirty_date("o_orderdate", "o_orderkey", 1)} AS ftcreatedate, {who("editor", "o_custkey", 5, 1)} AS fcupdateby,
+  (CASE o_orderkey % 3 WHEN 0 THEN NULL ELSE {dirty_date("o_orderdate", "o_orderkey", 6)} END) AS ftupdatedate
+FROM orders"""
+
+# banks: 20 keys with versions (version = year), one per supplier
+ADAPTERS["tmBNK"] = """
+SELECT 'BNK' || CAST(s_suppkey % 20 AS STRING) AS fcid, ' BK' || CAST(s_suppkey % 20 AS STRING) AS fccode,
+  'Bank ' || s_name AS fcname,
+  CAST(2000 + floor(s_suppkey / 20) AS INT) AS calendar_year, CAST(1 AS INT) AS month_no, CAST(1 AS INT) AS day_of_month
+FROM supplier"""
+
+# ledger accounts: 300 keys with versions (version = year), one per part
+ADAPTERS["tmACC"] = f"""
+SELECT 'ACC' || CAST(p_partkey % 300 AS STRING) AS fcid, {dirty_text("'A' || CAST(p_partkey % 300 AS STRING)", "p_partkey")} AS fccode,
+  'Account ' || p_name AS fcname,
+  CAST(2000 + floor(p_partkey / 300) AS INT) AS calendar_year, CAST(1 AS INT) AS month_no, CAST(1 AS INT) AS day_of_month
+FROM part"""
+
+# loyalty members: one per event
+ADAPTERS["tmMemberLoyalty"] = f"""
+SELECT
+  (CASE event_id % 4 WHEN 0 THEN 'MU' ELSE 'mu' END) || CAST(event_id % 20000 AS STRING) AS fcuserid,
+  {dirty_date("ts", "event_id")} AS ftcreatedate, {dirty_date("ts", "event_id", 5)} AS ftupdatedate
+FROM events"""
+
+# share-a-friend links: one per event (referrer, friend)
+ADAPTERS["tmShareFriend"] = """
+SELECT 'REF' || CAST(user_id AS STRING) AS fcuserid, 'mu' || CAST((event_id * 7) % 20000 AS STRING) AS fcfrienduserid,
+  CAST(year(ts) AS INT) AS calendar_year, CAST(month(ts) AS INT) AS month_no, CAST(day(ts) AS INT) AS day_of_month
+FROM events"""

@@ -21,7 +21,11 @@ def adapter_inputs(spark, sf_dir, spec, overrides: dict | None = None) -> dict:
     overrides = overrides or {}
     out = {}
     for s in spec.sources:
-        df = spark.sql(ADAPTERS[overrides.get(s.alias, s.table)])
+        src = overrides.get(s.alias, s.table)
+        if callable(src):  # a warehouse table that Spark derives from the test tables
+            out[s.alias] = src(spark, sf_dir)
+            continue
+        df = spark.sql(ADAPTERS[src])
         if s.kind == LATEST:
             df = latest_per_key(df, s.keys, tie=s.tie)
         if s.columns:
@@ -529,3 +533,57 @@ SELECT DISTINCT {q.AUDIT}, {q.date_text('coalesce(lastmodificationtime, creation
   creatoruserid AS crtd_by, coalesce({q.to_ts('lastmodificationtime')}, {q.to_ts('creationtime')}) AS updt_dttm,
   coalesce(lastmodifieruserid, creatoruserid) AS updt_by, 'N' AS history_status
 FROM j"""
+
+
+# ------------------------------------------------ warehouse-reading builders -----
+def _dim_project_wh(spark, sf_dir):
+    return QUERIES["b_dim_project"](spark, sf_dir).select("project_id", "project_code", "project_name", "date_id")
+
+
+QUERIES["b_dim_project_bookbank"] = make(project.SPECS[12], {"dim_project": _dim_project_wh})
+_E = lambda c: q.be_to_ce(c, 2262)
+ORACLES["b_dim_project_bookbank"] = f"""
+WITH k AS {A('tmBKB')}, b AS {L('tmBRN', 'fcid')}, n AS {L('tmBNK', 'fcid')}, a AS {L('tmACC', 'fcid')},
+dp AS ({ORACLES['b_dim_project']}),
+pro AS (SELECT project_id, project_code, project_name FROM (
+    SELECT project_id, project_code, {q.strip('project_name')} AS project_name,
+      ROW_NUMBER() OVER (PARTITION BY project_id ORDER BY date_id DESC) AS rn
+    FROM dp WHERE project_id IN (SELECT b.fccomid FROM k JOIN b ON k.fcbrnid = b.fcid)) WHERE rn = 1
+  UNION ALL SELECT '-1', '(not set)', '(not set)')
+SELECT DISTINCT {q.AUDIT}, {q.date_text(f"coalesce({_E('k.ftupdatedate')}, {_E('k.ftcreatedate')})")} AS date_id,
+  k.fcid AS bookbank_id, {q.clean('k.fccode')} AS bookbank_cd, {q.clean('k.fcname')} AS bookbank_nm,
+  {q.clean('k.fcbookno')} AS bookbank_no, pro.project_id, {q.clean('pro.project_code')} AS project_code,
+  {q.clean('pro.project_name')} AS project_name, n.fcid AS bank_id, {q.clean('n.fccode')} AS bank_cd,
+  {q.clean('n.fcname')} AS bank_nm, a.fcid AS account_id, {q.clean('a.fccode')} AS account_cd,
+  {q.clean('a.fcname')} AS account_nm, od.fcid AS accountod_id, {q.clean('od.fccode')} AS accountod_cd,
+  {q.clean('od.fcname')} AS accountod_nm, {q.clean('k.fcbankbrname')} AS bookbank_branch,
+  {q.case_map('k.fcbankbooktype', {"S": "สะสมทรัพย์", "C": "กระแสรายวัน", "F": "ฝากประจำ"})} AS bookbank_type,
+  {q.case_map('k.fcbankbookusetype', {"P": "จ่ายชำระ", "R": "รับชำระ", "B": "รับและจ่ายชำระ"})} AS bookbank_usetype,
+  {q.to_ts(_E('k.ftbegdate'))} AS opening_dttm, {q.to_long('k.fnday')} AS numofdepositdays,
+  {q.to_ts(_E('k.ftduedate'))} AS duedate_dttm, {q.to_double('k.fnbalamt')} AS balance_amt,
+  {q.clean('k.fcremark1')} AS remark_nm, {q.clean('k.fcremark2')} AS deposit_nm, k.fcremark3 AS interest_rate,
+  {q.clean('k.fcremark4')} AS objective, k.fcremark5 AS account_istransfer,
+  {q.case_map('upper(k.fcisactive)', {"N": "0", "FALSE": "0", "Y": "1", "TRUE": "1"})} AS rec_actv_flag,
+  {q.to_ts(_E('k.ftcreatedate'))} AS crtd_dttm, k.fccreator AS crtd_by, {q.to_ts(_E('k.ftupdatedate'))} AS updt_dttm,
+  coalesce(k.fcupdateby, k.fccreator) AS updt_by
+FROM k LEFT JOIN b ON k.fcbrnid = b.fcid LEFT JOIN pro ON b.fccomid = pro.project_id
+  LEFT JOIN n ON k.fcbnkid = n.fcid LEFT JOIN a ON k.fcaccid = a.fcid LEFT JOIN a od ON k.fcod_accid = od.fcid"""
+
+
+def _dim_party_wh(spark, sf_dir):
+    return QUERIES["b_dim_party_gu"](spark, sf_dir).unionByName(QUERIES["b_dim_party_ru"](spark, sf_dir))
+
+
+_PARTY_COLS = [f.name for f in user.DIM_PARTY.fields]
+_KEEP = [c for c in _PARTY_COLS if c not in ("dwh_updt_dttm", "mem_sts", "mem_crtd_dttm", "mem_ref_code")]
+QUERIES["b_dim_party_memberstatus"] = make(user.SPECS[14], {"dim_party": _dim_party_wh})
+ORACLES["b_dim_party_memberstatus"] = f"""
+WITH dp AS (SELECT * FROM ({ORACLES['b_dim_party_gu']}) UNION ALL SELECT * FROM ({ORACLES['b_dim_party_ru']})),
+ml AS (SELECT DISTINCT fcuserid, ftcreatedate, ftupdatedate FROM {A('tmMemberLoyalty')}),
+party AS (SELECT DISTINCT * FROM dp WHERE party_type_id IN (1, 2) AND lower(party_id) IN (SELECT fcuserid FROM ml)),
+mu AS (SELECT fcuserid, '0' || fcphoneno AS ph FROM {L('tmmobileuser', 'fcuserid')}),
+sf AS (SELECT fcuserid, fcfrienduserid FROM {L('tmShareFriend', 'fcuserid, fcfrienduserid')})
+SELECT DISTINCT {", ".join("p." + c for c in _KEEP)}, {q.RUN_TS} AS dwh_updt_dttm, '1' AS mem_sts,
+  {q.to_ts('ml.ftcreatedate')} AS mem_crtd_dttm, coalesce(sf.fcuserid, '-') AS mem_ref_code
+FROM ml JOIN mu ON ml.fcuserid = mu.fcuserid JOIN party p ON mu.ph = p.mob_no AND mu.fcuserid = p.party_id
+  LEFT JOIN sf ON mu.fcuserid = sf.fcfrienduserid"""
