@@ -40,7 +40,8 @@ def ensure_lake(spark, sf_dir: str, name: str, ts_col: str, app: str = "app", mo
         (table(spark, sf_dir, name)
          .withColumns({"calendar_year": F.year(ts_col), "month_no": F.month(ts_col),
                        "day_of_month": F.lit(1) if monthly else F.dayofmonth(ts_col)})
-         .repartition("calendar_year", "month_no", "day_of_month")
+         .repartition("calendar_year", "month_no", "day_of_month",
+                      F.pmod(F.xxhash64(*[F.col(c) for c in table(spark, sf_dir, name).columns]), F.lit(8)))
          .write.mode("overwrite").partitionBy("calendar_year", "month_no", "day_of_month").parquet(path))
     return root
 

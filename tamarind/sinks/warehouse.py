@@ -19,6 +19,17 @@ from pyspark.sql.types import StructType
 from tamarind.session import path_exists, scratch_root
 
 PARTITION_COL = "date_id"
+# Rows of one date are spread over this many write tasks (a hot date holding a third of
+# the rows must not land in one task).  The salt is a hash of the row's key, never
+# rand(): a retried task after a lost executor must send every row to the same place.
+SALT_BUCKETS = 16
+
+
+def spread(df: DataFrame, partition_col: str, keys) -> DataFrame:
+    """Shuffle so that each task writes few ``partition_col`` directories, with each
+    directory's rows split over ``SALT_BUCKETS`` tasks by a deterministic key hash."""
+    salt = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(SALT_BUCKETS))
+    return df.repartition(F.col(partition_col), salt)
 
 
 def align_to_schema(df: DataFrame, schema: StructType) -> DataFrame:
@@ -72,7 +83,9 @@ def upsert(spark: SparkSession, df: DataFrame, target_path: str, pk, schema: Str
     target = spark.read.schema(schema).parquet(target_path) if path_exists(spark, target_path) else None
     merged = upsert_frame(target, staged, pk, partition_col)
     merge_path = _fresh(spark, "merge")
-    merged.write.partitionBy(partition_col).parquet(merge_path)
+    spread(merged, partition_col, pk).write.partitionBy(partition_col).parquet(merge_path)
+    # the merge result is a written table: copying it over the target does not re-read
+    # the target (no self-overwrite), and a lost executor only re-runs the copy
     (spark.read.schema(schema).parquet(merge_path).select(*[f.name for f in schema.fields])
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(target_path))
@@ -88,7 +101,8 @@ def append(spark: SparkSession, df: DataFrame, target_path: str, schema: StructT
     rows = int(obs.get["rows"])
     if rows == 0:
         return {"rows": 0, "columns": len(schema.fields), "skipped": True}
-    (spark.read.schema(schema).parquet(stage_path)
+    staged = spark.read.schema(schema).parquet(stage_path)
+    (spread(staged, partition_col, [f.name for f in schema.fields if f.name != partition_col])
      .write.mode("append").partitionBy(partition_col).parquet(target_path))
     return {"rows": rows, "columns": len(schema.fields), "skipped": False}
 

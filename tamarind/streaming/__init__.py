@@ -1,0 +1,8 @@
+"""Streaming.
+
+The studied system has no streaming operators: no watermarks, windows, state or late
+data.  Its only notion of incrementality is the daily run — read one day's lake
+partition (``sources.lake.read_lake`` with a job date) and replace the touched keys in
+the warehouse (``sinks.warehouse.upsert``) — which ``jobs.run`` / ``jobs.run_range``
+implement as batch jobs.  Nothing else is built here on purpose.
+"""
