@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Python's str.strip() removes every Unicode white space character, including the
-# no-break space; Spark's trim() removes only ' '.  (?U) turns \s into Unicode
-# White_Space; \x1C-\x1F are the separators Python also treats as space.
-_EDGE_SPACE = r"(?U)^[\s\x{1C}-\x{1F}]+|[\s\x{1C}-\x{1F}]+$"
+# The characters Python's str.strip() removes (str.isspace()), i.e. the
+# Unicode White_Space set plus the separators U+001C-U+001F.  Spark's trim() removes
+# only ' ', so strip() trims this explicit set with btrim (no regular expression).
+PY_WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+                 + "".join(chr(c) for c in range(0x2000, 0x200B))
+                 + "\u2028\u2029\u202f\u205f\u3000")
 
 _LONG_LIMIT = 9.2e18
 
@@ -19,7 +21,7 @@ def _c(c) -> Column:
 
 def strip(c) -> Column:
     """trim Unicode white space on both ends; null stays null."""
-    return F.regexp_replace(_c(c).cast("string"), _EDGE_SPACE, "")
+    return F.btrim(_c(c).cast("string"), F.lit(PY_WHITESPACE))
 
 
 def coalesce_first(*cols) -> Column:
@@ -53,12 +55,31 @@ def clean_token(c, tokens=MISSING_TOKENS) -> Column:
     return F.when(s.isNull() | s.isin(list(tokens)), F.lit("")).otherwise(s)
 
 
+# Integer text (after trimming): a cheap pattern test first, so that malformed text
+# never reaches the string -> bigint cast (its failure path is slow).
+INT_TEXT = r"^\s*[+-]?[0-9]+\s*$"
+
+
+def int_or_null(s: Column, typ: str = "bigint") -> Column:
+    """Text -> integer when it is integer text, else null (no slow failing cast)."""
+    return F.when(s.rlike(INT_TEXT), s.try_cast(typ))
+
+
+# Number text as pandas' to_numeric reads it (decimal, exponent, inf, nan).  Text that
+# does not match is null without trying the cast, whose failure path is slow.
+NUM_TEXT = r"(?i)^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?|inf|infinity|nan)\s*$"
+
+
+def double_or_null(s: Column) -> Column:
+    return F.when(s.rlike(NUM_TEXT), s.try_cast("double"))
+
+
 def to_long(c) -> Column:
     """coercing number -> bigint.  Bad text, fractions and out-of-range values
     give null; integers beyond 2^53 are taken exactly."""
     s = _c(c).cast("string")
-    d = s.try_cast("double")
-    exact = s.try_cast("bigint")
+    d = double_or_null(s)
+    exact = int_or_null(s)
     via_double = F.when(
         d.isNotNull() & (F.abs(d) < F.lit(_LONG_LIMIT)) & (d == F.floor(d)), d.cast("bigint"))
     return F.coalesce(exact, via_double)
@@ -71,7 +92,7 @@ def to_long_or_zero(c) -> Column:
 
 def to_double(c, default: float | None = None) -> Column:
     """F8: coercing number -> double; ``default`` replaces null/bad when given."""
-    raw = _c(c).cast("string").try_cast("double")
+    raw = double_or_null(_c(c).cast("string"))
     d = F.when(~F.isnan(raw), raw)  # 'nan' text reads as missing, as in pandas
     return d if default is None else F.coalesce(d, F.lit(float(default)))
 

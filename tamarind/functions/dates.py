@@ -11,7 +11,7 @@ import datetime as _dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tamarind.functions.clean import _c, strip
+from tamarind.functions.clean import _c, int_or_null, strip
 from tamarind.functions.text import zfill
 
 # The range of a pandas nanosecond timestamp.  Outside it the coercing
@@ -32,8 +32,7 @@ def _in_range(ts: Column) -> Column:
 
 def to_ts(c) -> Column:
     """coercing text (or timestamp) -> naive timestamp; bad or out of range -> null."""
-    col = _c(c)
-    return _in_range(strip(col.cast("string")).try_cast("timestamp_ntz"))
+    return _in_range(strip(_c(c).cast("string")).try_cast("timestamp_ntz"))
 
 
 def date_id_from_ts(c) -> Column:
@@ -66,7 +65,7 @@ def be_to_ce(c, threshold: int, upper: int | None = None, min_len: int = 4) -> C
     """when the leading 4 characters are a year above ``threshold`` (and below
     ``upper``; text at least ``min_len`` long), subtract 543 from it; else unchanged."""
     s = _c(c).cast("string")
-    y = F.substring(s, 1, 4).try_cast("int")
+    y = int_or_null(F.substring(s, 1, 4), "int")
     cond = y.isNotNull() & (y > F.lit(threshold)) & (F.length(s) >= F.lit(min_len))
     if upper is not None:
         cond = cond & (y < F.lit(upper))

@@ -14,7 +14,8 @@ RUN_TS = _dt.datetime(2025, 1, 1, 3, 0, 0)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    from tamarind.session import spread_small_input
+    return spread_small_input(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def register(spark: SparkSession, sf_dir: str, names=TABLES) -> None:

@@ -58,3 +58,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
     return bool(fs.exists(p))
+
+
+def spread_small_input(df):
+    """Give a scan at least the cluster's default parallelism.
+
+    A table stored as one large row group is read by a single task, so every
+    row-level expression after the scan would run on one core.  When the scan has
+    fewer partitions than ``spark.default.parallelism`` it is redistributed
+    round-robin (one shuffle of a small input); a large, many-file table is returned
+    unchanged, so this never adds a shuffle at scale.
+    """
+    spark = df.sparkSession
+    want = spark.sparkContext.defaultParallelism
+    have = df.rdd.getNumPartitions()
+    return df.repartition(want) if have < want else df

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from tamarind.session import path_exists
+from tamarind.session import path_exists, spread_small_input
 
 PART_COLS = ("calendar_year", "month_no", "day_of_month")
 
@@ -61,6 +61,8 @@ def read_lake(spark: SparkSession, path: str, columns=None, year=None, month=Non
             df = df.select(*[F.col(c) for c in columns])
         else:
             df = df.select(*[c for c in df.columns if c not in PART_COLS or year is None])
+        # after pruning and projection, so the date filter and column list still reach the scan
+        df = spread_small_input(df)
     if distinct:
         df = df.distinct()
     for name, v in zip(PART_COLS, (year, month, day)):
