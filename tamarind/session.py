@@ -60,6 +60,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+SPREAD_MIN_BYTES = 1 << 20
+
+
 def spread_small_input(df):
     """Give a scan at least the cluster's default parallelism.
 
@@ -72,4 +75,8 @@ def spread_small_input(df):
     spark = df.sparkSession
     want = spark.sparkContext.defaultParallelism
     have = df.rdd.getNumPartitions()
-    return df.repartition(want) if have < want else df
+    if have >= want:
+        return df
+    from tamarind.operators.joins import estimated_bytes
+    # a tiny input is cheaper on one core than through a shuffle
+    return df.repartition(want) if estimated_bytes(df) >= SPREAD_MIN_BYTES else df
