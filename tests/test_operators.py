@@ -60,3 +60,22 @@ def test_upsert_null_pk_and_rerun(spark):
                           (None, "N", "2024-01-01"), (2, "b", "2024-01-02")], key=str)
     empty = upsert(spark, staged.where(F.lit(False)), path, ("date_id", "k"), sch)
     assert empty["skipped"] is True
+
+
+def test_registry_has_every_builder():
+    from tamarind.plans.registry import BY_NAME, SPECS
+    assert len(SPECS) == 33
+    assert SPECS[-1].name == "fact_unit"
+    names = [s.name for s in SPECS]
+    # the member-status update reads what the other party builders wrote
+    assert names.index("dim_party_memberstatus") > names.index("dim_party_ru")
+    assert {s.target for s in SPECS if s.target == "dim_party"} == {"dim_party"}
+    assert sum(s.target == "dim_party" for s in SPECS) == 4
+    assert sum(s.target == "dim_address" for s in SPECS) == 2
+
+
+def test_spread_small_input_keeps_rows(spark):
+    from tamarind.session import spread_small_input
+    df = spark.range(0, 200000, numPartitions=1).selectExpr("id", "repeat('x', 40) AS pad")
+    out = spread_small_input(df)
+    assert out.count() == 200000
