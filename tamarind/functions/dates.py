@@ -26,8 +26,14 @@ BANGKOK = "Asia/Bangkok"
 ERA_OFFSET = 543  # Buddhist era year - common era year
 
 
+def ntz_literal(value: _dt.datetime) -> Column:
+    """A timestamp_ntz literal built from text, so no time zone (session or process)
+    can shift it."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def _in_range(ts: Column) -> Column:
-    return F.when((ts >= F.lit(TS_MIN).cast("timestamp_ntz")) & (ts <= F.lit(TS_MAX).cast("timestamp_ntz")), ts)
+    return F.when((ts >= ntz_literal(TS_MIN)) & (ts <= ntz_literal(TS_MAX)), ts)
 
 
 def to_ts(c) -> Column:
@@ -77,7 +83,7 @@ def epoch_to_ts(c) -> Column:
     secs = _c(c).cast("string").try_cast("double")
     whole = F.floor(secs)
     micros = F.round((secs - whole) * F.lit(1_000_000)).cast("bigint")
-    base = F.lit(_dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
+    base = ntz_literal(_dt.datetime(1970, 1, 1))
     return _in_range(F.when(F.abs(secs) < F.lit(1e13), base + F.make_dt_interval(
         F.lit(0), F.lit(0), F.lit(0),
         (whole.cast("decimal(20,0)") + micros.cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)"))))
@@ -92,4 +98,4 @@ def run_clock(run_ts: _dt.datetime | None = None) -> Column:
     """the run's clock as a naive Bangkok timestamp literal (given, or now)."""
     if run_ts is None:
         return F.convert_timezone(F.lit(BANGKOK), F.current_timestamp().cast("timestamp_ntz"))
-    return F.lit(run_ts).cast("timestamp_ntz")
+    return ntz_literal(run_ts)

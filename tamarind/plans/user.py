@@ -571,7 +571,7 @@ def build_dim_party_memberstatus(src: dict, ctx):
             if c not in ("dwh_updt_dttm", "mem_sts", "mem_crtd_dttm", "mem_ref_code", "totl_kid", "totl_eldr")]
     df = df.select(
         *[party[c] for c in keep],
-        F.lit(ctx.run_ts).cast("timestamp_ntz").alias("dwh_updt_dttm"), F.lit("1").alias("mem_sts"),
+        fn.run_clock(ctx.run_ts).alias("dwh_updt_dttm"), F.lit("1").alias("mem_sts"),
         fn.to_ts("ftcreatedate_member").alias("mem_crtd_dttm"),
         F.coalesce(F.col("fcuserid_share"), F.lit("-")).alias("mem_ref_code"),
         party["totl_kid"].cast("double").alias("totl_kid"), party["totl_eldr"].cast("double").alias("totl_eldr"),
