@@ -62,7 +62,7 @@ SELECT
      ELSE {dirty_date("o_orderdate", "o_orderkey", 9)} END) AS ftupdatedate,
   (CASE o_orderkey % 4 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE 'editor' || CAST(o_orderkey % 30 AS STRING) END) AS fcupdateby,
   CAST(year(o_orderdate) AS INT) AS calendar_year, CAST(month(o_orderdate) AS INT) AS month_no,
-  CAST(day(o_orderdate) AS INT) AS day_of_month
+  CAST(1 AS INT) AS day_of_month
 FROM orders"""
 
 # branches: 40 keys, several versions each (version = calendar year, unique per key)

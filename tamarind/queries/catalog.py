@@ -21,6 +21,7 @@ def all_oracles() -> dict:
     try:
         from tamarind.queries import operators
         out.update(operators.ORACLES)
+        out["q_run_dim_unit"] = operators._run_dim_unit_oracle()
     except ImportError:
         pass
     out.update(builders.ORACLES)

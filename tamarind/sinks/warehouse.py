@@ -80,7 +80,11 @@ def upsert(spark: SparkSession, df: DataFrame, target_path: str, pk, schema: Str
         dup = staged.groupBy(*pk).count().where("count > 1").limit(1).count()
         if dup:
             raise ValueError(f"staged rows repeat a primary key {tuple(pk)}")
-    target = spark.read.schema(schema).parquet(target_path) if path_exists(spark, target_path) else None
+    if not path_exists(spark, target_path):
+        # first load: nothing to replace and nothing read, so write the staged rows straight in
+        spread(staged, partition_col, pk).write.partitionBy(partition_col).parquet(target_path)
+        return {"rows": rows, "columns": len(schema.fields), "skipped": False}
+    target = spark.read.schema(schema).parquet(target_path)
     merged = upsert_frame(target, staged, pk, partition_col)
     merge_path = _fresh(spark, "merge")
     spread(merged, partition_col, pk).write.partitionBy(partition_col).parquet(merge_path)
