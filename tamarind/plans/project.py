@@ -5,11 +5,20 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tamarind import functions as fn
-from tamarind.operators import with_audit
+from tamarind.functions.codes import (
+    BOOKBANK_TYPE, BOOKBANK_USETYPE, FLAG_UPPER_YN_TF, FLAG_YN, FLAG_YN_TF, PCL_PATTERN_TH_ONLY,
+    PROJECT_TYPE,
+)
+from tamarind.operators import (
+    blank_strings_to_null, col_or, lookup_join, lower_columns, suffix_columns, unpivot_groups,
+    with_audit,
+)
 from tamarind.plans.common import AUDIT, finish, schema
-from tamarind.plans.company import PMS, build_invitation_history, build_invitation_link, history_schema, \
-    invitation_schema
-from tamarind.spec import LATEST, Source, TableSpec
+from tamarind.plans.company import (
+    build_invitation_history, build_invitation_link, history_schema, invitation_schema, PMS,
+)
+from tamarind.sources.warehouse import project_with_default
+from tamarind.spec import LATEST, Source, TableSpec, WAREHOUSE
 
 DIM_PMSPROJECT = schema(f"""{AUDIT}, date_id:date, project_id:long, project_cd:str, project_nm_th:str,
     project_nm_en:str, ref_pmsproject_id:str, is_active:str, rec_actv_flag:str, crtd_by:str, crtd_dttm:ts,
@@ -46,9 +55,6 @@ SPECS = [
 ]
 
 
-from tamarind.functions.codes import FLAG_UPPER_YN_TF, FLAG_YN, PCL_PATTERN_TH_ONLY, PROJECT_TYPE  # noqa: E402
-from tamarind.operators import lookup_join, lower_columns, suffix_columns  # noqa: E402
-
 DIM_ADDRESS_TYPE = schema(f"""{AUDIT}, addr_type_name_th:str, addr_type_name_en:str, rec_actv_flag:str,
     crtd_dttm:ts, crtd_by:str, updt_dttm:ts, updt_by:str, addr_type_id:long, date_id:date""")
 DIM_POSTCODE = schema(f"""{AUDIT}, zip_cd:str, sub_dstc_th:str, sub_dstc_en:str, dstc_th:str, dstc_en:str,
@@ -168,8 +174,6 @@ SPECS += [
 ]
 
 
-from tamarind.operators import blank_strings_to_null, col_or  # noqa: E402
-
 DIM_PMSROLE_PERMISSION = schema(f"""{AUDIT}, date_id:date, record_id:long, role_id:long, module_id:long,
     is_all:bool, is_view:bool, is_create:bool, is_edit:bool, is_print:bool, is_approve:bool, is_cancel:bool,
     is_allowed:bool, pmscompany_id:long, pmsproject_id:long, role_cd:str, role_nm_th:str, role_nm_en:str,
@@ -269,9 +273,6 @@ SPECS += [
 ]
 
 
-from tamarind.functions.codes import FLAG_YN_TF  # noqa: E402
-from tamarind.operators import unpivot_groups  # noqa: E402
-
 DIM_ADDRESS = schema(f"""{AUDIT}, addr_no:str, sub_dstc:str, dstc:str, prvn:str, zip_cd:str, rec_actv_flag:str,
     crtd_dttm:ts, crtd_by:str, updt_dttm:ts, updt_by:str, ref_addr_id:str, party_id:str, addr_type_id:long,
     date_id:date, addr_id:str""")
@@ -345,10 +346,6 @@ SPECS += [
 ]
 
 
-from tamarind.functions.codes import BOOKBANK_TYPE, BOOKBANK_USETYPE  # noqa: E402
-from tamarind.sources.warehouse import project_with_default  # noqa: E402
-from tamarind.spec import WAREHOUSE  # noqa: E402
-
 DIM_PROJECT_BOOKBANK = schema(f"""{AUDIT}, date_id:date, bookbank_id:str, bookbank_cd:str, bookbank_nm:str,
     bookbank_no:str, project_id:str, project_code:str, project_name:str, bank_id:str, bank_cd:str, bank_nm:str,
     account_id:str, account_cd:str, account_nm:str, accountod_id:str, accountod_cd:str, accountod_nm:str,

@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tamarind import functions as fn
-from tamarind.functions.codes import FLAG_YN
-from tamarind.operators import blank_strings_to_null, lower_columns, with_audit
+from tamarind.functions.codes import FLAG_UPPER_YN_TF, FLAG_YN, FLAG_YN_TF, PCL_PATTERN
+from tamarind.operators import (
+    blank_strings_to_null, last_value_per_key, lookup_join, lower_columns, rename, suffix_columns,
+    unpivot, with_audit,
+)
 from tamarind.plans.common import AUDIT, finish, schema
-from tamarind.spec import Source, TableSpec
+from tamarind.plans.unit import OWNER_COLS
+from tamarind.sources.warehouse import member_parties
+from tamarind.spec import HISTORY, LATEST, Source, TableSpec, WAREHOUSE
 
 DIM_PARTY = schema(f"""{AUDIT}, full_nm_th:str, titl_th:str, frst_nm_th:str, last_nm_th:str, full_nm_en:str,
     titl_en:str, frst_nm_en:str, last_nm_en:str, dob:ts, age:long, th_id:str, passport_no:str, cnty_cd:str,
@@ -185,9 +190,6 @@ SPECS += [
 ]
 
 
-from tamarind.operators import last_value_per_key, lookup_join, suffix_columns  # noqa: E402
-from tamarind.spec import LATEST  # noqa: E402
-
 DIM_DEVICE_DETAIL = schema(f"""{AUDIT}, last_login_dttm:ts, device_nm:str, platform:str, version:str,
     rec_actv_flag:str, crtd_dttm:ts, crtd_by:str, updt_by:str, updt_dttm:ts, device_id:str, date_id:date""")
 FACT_USERCONSENT = schema(f"""{AUDIT}, date_id:date, uconsent_id:long, user_id:long, consent_id:long,
@@ -280,8 +282,6 @@ SPECS += [
 ]
 
 
-from tamarind.functions.codes import FLAG_UPPER_YN_TF  # noqa: E402
-
 _PERM_COLS = ["view", "insert", "update", "delete", "print", "cancel", "approve"]
 _PERM_SRC = ["fcselect", "fcinsert", "fcupdate", "fcdelete", "fcprint", "fccancel", "fcapprove"]
 DIM_USERPERMISSION = schema(f"""{AUDIT}, date_id:date, user_id:str, user_cd:str, user_nm:str, user_status:str,
@@ -375,10 +375,6 @@ SPECS += [
 ]
 
 
-from tamarind.functions.codes import PCL_PATTERN  # noqa: E402
-from tamarind.operators import rename, unpivot  # noqa: E402
-
-
 def _party_common(run_ts):
     none = lambda n, t="string": F.lit(None).cast(t).alias(n)
     return none, [none("totl_kid", "double"), none("totl_eldr", "double"), none("mem_sts"),
@@ -456,9 +452,6 @@ def build_dim_party_ru(src: dict, ctx):
     return finish(df, DIM_PARTY, distinct=False)
 
 
-from tamarind.functions.codes import FLAG_YN_TF  # noqa: E402
-from tamarind.plans.unit import OWNER_COLS  # noqa: E402
-
 _PARTY_PK = ("date_id", "party_id", "party_type_id")
 SPECS += [
     TableSpec("dim_party_gu", "dim_party", _PARTY_PK, (
@@ -480,8 +473,6 @@ SPECS += [
 ]
 
 
-from tamarind.spec import HISTORY  # noqa: E402
-
 DIM_MOBILE_USER = schema(f"""{AUDIT}, date_id:date, customer_id:long, unit_id:str, device_id:str, user_name:str,
     country_code:str, mobile_phone:str, user_type:str, crtd_dttm:ts, crtd_by:str, updt_dttm:ts, updt_by:str,
     history_status:str""")
@@ -549,10 +540,6 @@ SPECS += [
 ]
 
 
-from tamarind.sources.warehouse import member_parties  # noqa: E402
-from tamarind.spec import WAREHOUSE  # noqa: E402
-
-
 def build_dim_party_memberstatus(src: dict, ctx):
     """T5: loyalty members among the warehouse parties (type 1/2, lower-cased id in the
     day's members, J9 semi join) matched on (phone, user id) with the newest app user,
