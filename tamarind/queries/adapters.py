@@ -608,7 +608,7 @@ SELECT
      ELSE CAST(1950 + c_custkey % 50 AS STRING) || '-06-15 00:00:00' END) AS ftbirthdate,
   lpad(CAST(c_custkey * 7919 AS STRING), 13, '0') AS fctaxid,
   (CASE c_custkey % 3 WHEN 0 THEN '66' WHEN 1 THEN NULL ELSE ' 66 ' END) AS fccountrycode,
-  (CASE c_custkey % 8 WHEN 0 THEN NULL ELSE CAST(800000000 + c_custkey % 1200 AS STRING) END) AS fcphoneno,
+  (CASE c_custkey % 8 WHEN 0 THEN NULL ELSE CAST(800000000 + c_custkey AS STRING) END) AS fcphoneno,
   {email("c_custkey", 1)} AS fcemail,
   (CASE c_custkey % 5 WHEN 0 THEN ' 1' WHEN 1 THEN '2' WHEN 2 THEN '3 ' WHEN 3 THEN NULL ELSE '9' END) AS fngender,
   {flag("c_custkey", 1)} AS fcisactive,
@@ -634,8 +634,8 @@ def _mr_customer_version(v: int) -> str:
 SELECT
   c_custkey AS id, 'user' || CAST(c_custkey AS STRING) AS username,
   (CASE (c_custkey + {v}) % 4 WHEN 0 THEN '+66' WHEN 1 THEN '66' ELSE NULL END) AS phonenumbercountrycode,
-  (CASE (c_custkey + {v}) % 11 WHEN 0 THEN NULL WHEN 1 THEN ' ' || CAST(800000000 + c_custkey % 1200 AS STRING)
-     ELSE CAST(800000000 + (c_custkey + {v}) % 1200 AS STRING) END) AS phonenumber,
+  (CASE (c_custkey + {v}) % 11 WHEN 0 THEN NULL WHEN 1 THEN ' ' || CAST(800000000 + c_custkey AS STRING)
+     ELSE CAST(800000000 + c_custkey + {v} AS STRING) END) AS phonenumber,
   {kdate("c_custkey", 2 + v)} AS creationtime, 'cr' || CAST(c_custkey % 9 AS STRING) AS creatoruserid,
   {kdate("c_custkey", 6 + v)} AS lastmodificationtime, 'md' || CAST(c_custkey % 5 AS STRING) AS lastmodifieruserid,
   CAST({2023 + v} AS INT) AS calendar_year, CAST(1 + c_custkey % 12 AS INT) AS month_no,
