@@ -119,14 +119,15 @@ def q_history(spark, sf_dir):
                              columns=["o_custkey", "o_orderstatus"])
 
 
-@reg("q_missing_source", "SELECT n_nationkey, n_name, CAST(NULL AS VARCHAR) AS label FROM nation")
+@reg("q_missing_source", "SELECT c_custkey, c_name, CAST(NULL AS VARCHAR) AS label FROM customer")
 def q_missing_source(spark, sf_dir):
-    """A table that does not exist reads as an empty typed frame."""
+    """A table that does not exist reads as an empty typed frame (here a lookup that
+    every customer misses)."""
     root = ensure_lake(spark, sf_dir, "events", "ts")
     missing = lake.read_lake(spark, f"{root}/app/no_such_table", columns=["k", "label"], full=True,
-                             schema="k int, label string")
-    nat = table(spark, sf_dir, "nation")
-    return op.lookup_join(nat, missing, "n_nationkey", "k", "left").select("n_nationkey", "n_name", "label")
+                             schema="k bigint, label string")
+    cust = table(spark, sf_dir, "customer")
+    return op.lookup_join(cust, missing, "c_custkey", "k", "left").select("c_custkey", "c_name", "label")
 
 
 # ------------------------------------------------------ warehouse templates ----
