@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from tamarind.functions.clean import strip
+from tamarind.operators.windows import union_default_row
 from tamarind.session import path_exists
 
 
@@ -47,10 +48,9 @@ def project_with_default(dim_project: DataFrame, wanted_ids: DataFrame | None =
                          strip(F.col("project_name")).alias("project_name"), "date_id")
               .withColumn("_rn", F.row_number().over(w))
               .where("_rn = 1").drop("_rn", "date_id"))
-    spark = dim_project.sparkSession
-    default = spark.createDataFrame([("-1", "(not set)", "(not set)")],
-                                    "project_id string, project_code string, project_name string")
-    return latest.unionByName(default)
+    # The '(not set)' row, fixed values of the template
+    return union_default_row(latest, {"project_id": "-1", "project_code": "(not set)",
+                                      "project_name": "(not set)"})
 
 
 def member_parties(dim_party: DataFrame, member_ids: DataFrame, id_col: str = "party_id") -> DataFrame:
