@@ -41,17 +41,39 @@ def align_to_schema(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def upsert_frame(target: DataFrame | None, staged: DataFrame, pk, partition_col: str = PARTITION_COL) -> DataFrame:
+# A load lists the dates it touches, so that only those partitions of the target are
+# read (a static partition filter).  The list is bounded by the calendar, not by the
+# data; beyond this many dates the touched set stays a semi join instead.
+MAX_LISTED_DATES = 20000
+
+
+def touched_dates(staged: DataFrame, partition_col: str = PARTITION_COL):
+    """The distinct partition values of ``staged`` (None included), or None when there
+    are more than ``MAX_LISTED_DATES`` of them."""
+    rows = staged.select(partition_col).distinct().limit(MAX_LISTED_DATES + 1).collect()
+    return None if len(rows) > MAX_LISTED_DATES else [r[0] for r in rows]
+
+
+def upsert_frame(target: DataFrame | None, staged: DataFrame, pk, partition_col: str = PARTITION_COL,
+                 dates=None) -> DataFrame:
     """K1 as a plan: the new content of every partition touched by ``staged``.
 
     Old rows whose pk equals a staged pk are deleted (plain equality: a null pk part
     never matches, so such old rows stay — K1a); every staged row is inserted, also
     several per pk (K1b).  Rows of untouched partitions are not part of the result.
+    ``dates`` (from ``touched_dates``) turns the touched set into a partition filter.
     """
     if target is None:
         return staged
-    touched = staged.select(partition_col).distinct()
-    old = target.join(touched, target[partition_col].eqNullSafe(touched[partition_col]), "left_semi")
+    if dates is not None:
+        known = [d for d in dates if d is not None]
+        cond = target[partition_col].isin(known) if known else F.lit(False)
+        if len(known) < len(dates):
+            cond = cond | target[partition_col].isNull()
+        old = target.where(cond)
+    else:
+        touched = staged.select(partition_col).distinct()
+        old = target.join(touched, target[partition_col].eqNullSafe(touched[partition_col]), "left_semi")
     keys = staged.select(*pk).distinct()
     cond = None
     for k in pk:
@@ -85,7 +107,7 @@ def upsert(spark: SparkSession, df: DataFrame, target_path: str, pk, schema: Str
         spread(staged, partition_col, pk).write.partitionBy(partition_col).parquet(target_path)
         return {"rows": rows, "columns": len(schema.fields), "skipped": False}
     target = spark.read.schema(schema).parquet(target_path)
-    merged = upsert_frame(target, staged, pk, partition_col)
+    merged = upsert_frame(target, staged, pk, partition_col, dates=touched_dates(staged, partition_col))
     merge_path = _fresh(spark, "merge")
     spread(merged, partition_col, pk).write.partitionBy(partition_col).parquet(merge_path)
     # the merge result is a written table: copying it over the target does not re-read
