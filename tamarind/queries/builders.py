@@ -39,6 +39,7 @@ def adapter_inputs(spark, sf_dir, spec, overrides: dict | None = None) -> dict:
 def make(spec, overrides=None):
     def run(spark, sf_dir):
         return spec.build(adapter_inputs(spark, sf_dir, spec, overrides), CTX)
+    run.spec, run.overrides = spec, overrides
     return run
 
 
