@@ -8,6 +8,7 @@ do we create one ourselves.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -39,13 +40,18 @@ def build_session(master: str = "local[8]", app: str = "tamarind", shuffle_parti
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared scratch folder: the session's checkpoint dir, set to a fresh local one
-    only when the session has none (tests and local runs)."""
+    """Shared scratch folder: the folder the cluster names in ``spark.checkpoint.dir``.
+
+    Only a local session without that setting (tests) gets a fresh local folder; on a
+    cluster a machine-local folder would lose data, so the missing setting is an error.
+    """
     sc = spark.sparkContext
     cur = sc.getCheckpointDir()
     if not cur:
         cur = spark.conf.get("spark.checkpoint.dir", None)
         if not cur:
+            if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             cur = tempfile.mkdtemp(prefix="tamarind-ckpt-")
         sc.setCheckpointDir(cur)
         cur = sc.getCheckpointDir() or cur
@@ -60,6 +66,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def remove_path(spark: SparkSession, path: str, on_exit: bool = False) -> None:
+    """Delete a scratch path now, or when the driver ends (Hadoop FS API, any scheme)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if on_exit:
+        fs.deleteOnExit(p)
+    else:
+        fs.delete(p, True)
+
+
 SPREAD_MIN_BYTES = 1 << 20
 
 
