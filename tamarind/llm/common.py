@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -206,6 +207,36 @@ class Shared:
         return self.cast.value
 
 
+class Codes(dict):
+    """Numbers words in the order of their first look-up and notes the new ones."""
+
+    def __init__(self, known=()):
+        super().__init__({w: i for i, w in enumerate(known)})
+        self.new: list[str] = []
+
+    def __missing__(self, word):
+        self[word] = i = len(self)
+        self.new.append(word)
+        return i
+
+    def of(self, words: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """(codes of all words, words per list)."""
+        count = np.fromiter(map(len, words), np.int64, len(words))
+        return np.fromiter(map(self.__getitem__, chain.from_iterable(words)), np.int64, int(count.sum())), count
+
+    def take_new(self) -> list[str]:
+        new, self.new = self.new, []
+        return new
+
+
+def row_sums(values: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Sums of consecutive runs of rows; 0 for an empty run."""
+    total = np.zeros((len(values) + 1, *values.shape[1:]))
+    np.cumsum(values, axis=0, out=total[1:])
+    edge = np.concatenate([[0], np.cumsum(count)])
+    return total[edge[1:]] - total[edge[:-1]]
+
+
 class Workspace:
     """Tables in the shared scratch folder: they cut lineage and survive lost executors.
 

@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamarind.llm import bag_minhash, decontaminate, license_scan
+from tamarind.llm import bag_minhash, bpe, decontaminate, language_id, license_scan, quality, toxicity
+from tamarind.llm.common import crc_mod
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _joined(c: str):
+#: Vocabulary files; the paths are parameters of the operators.
+BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def _joined(c):
     return F.array_join(c, ",")
 
 
@@ -20,6 +27,29 @@ def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bag_minhash.near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "class_id")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_mod(F.col("doc_id"), 5) == 0
+    model = quality.learn(docs, _table(spark, sf_dir, "labels"), ~held_out)
+    return quality.score(docs, model, keep=["doc_id"]).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    out = bpe.bpe_encode(docs, BPE_FILE, keep=["doc_id"], decode=True)
+    return out.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
+                      F.sha2(_joined(F.col("token_ids").cast("array<string>")), 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = crc_mod(F.col("doc_id"), 4) == 2
+    model = language_id.learn(docs, PIECES_FILE, ~held_out)
+    return (language_id.identify(docs, model, keep=["doc_id"])
+            .select("doc_id", held_out.alias("held_out"), "lang_pred", "score"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     out = decontaminate.decontaminate(docs, _table(spark, sf_dir, "benchmark"))
@@ -33,10 +63,21 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                       _joined("labels").alias("labels"), _joined("expressions").alias("expressions"), "restriction", "score")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_mod(F.col("doc_id"), 4) == 2
+    machine = toxicity.learn(docs, _table(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.score(docs, machine, keep=["doc_id"]).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
+    "op2_quality": op2_quality,
+    "op3_bpe": op3_bpe,
+    "op4_language_id": op4_language_id,
     "op5_decontaminate": op5_decontaminate,
     "op9_license_scan": op9_license_scan,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES = {
