@@ -14,23 +14,26 @@ Slots are banded. Documents that share a band are compared exactly, on multisets
 1. each text is compared with one leader (the smallest of its buckets' smallest texts);
 2. where a bucket still holds several groups, members are compared with its leader;
 3. where it still does, members outside the bucket's largest group are compared with all
-   members of other groups whose one-bit sketches leave a similarity of the threshold
-   possible.
+   members of other groups. The join itself rules out most: by their one-bit sketches, by
+   the first band that a pair shares (so a pair comes once), and by a consistent sample of
+   their shingles, which for up to 256 shingles is all of them.
 
 So every pair that shares a band is compared unless both ends are in one group already or
-their sketches differ by more than 4.5 standard deviations from the threshold. Equal
+a sketch or sample differs by more than 4.5 standard deviations from the threshold. Equal
 texts are one node throughout and are never compared.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField
 
 from tamarind.llm.common import Norm, Workspace, add_columns, list_array, mix64, shingles, text_buffers
 
@@ -40,6 +43,7 @@ ROWS = 6
 SLOTS = BANDS * ROWS
 THRESHOLD = 0.8
 SKETCH_LONGS = -(-SLOTS // 64)
+SAMPLE_SIZE = 256
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SALT = np.uint64(0xD1B54A32D192ED03)
@@ -234,6 +238,40 @@ def _near(threshold: float, slots: int, left: str, right: str):
     return (small >= large * threshold - 1e-9) & (flips <= _flips(threshold, slots))
 
 
+def _sampled(nodes: DataFrame) -> DataFrame:
+    """(h, level, sample) of (h, text): numbered shingles below 2 ** (31 - level) of 31-bit
+    hashes, where the level keeps at most about ``SAMPLE_SIZE`` of them."""
+    fields = [StructField("level", IntegerType()), StructField("sample", ArrayType(IntegerType()))]
+
+    def make():
+        def fn(batch):
+            doc, h, count = counted(*shingles(Norm(*text_buffers(batch.column("text"))), SHINGLE))
+            total = np.bincount(doc, count, minlength=batch.num_rows)
+            level = np.ceil(np.log2(np.maximum(total / SAMPLE_SIZE, 1.0))).astype(np.int64)
+            copy = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+            doc, h = np.repeat(doc, count), np.repeat(h, count)
+            value = (mix64(h + copy.astype(np.uint64) * _STEP) >> np.uint64(33)).astype(np.int64)
+            kept = value < (1 << (31 - level[doc]))
+            size = np.bincount(doc[kept], minlength=batch.num_rows)
+            return [pa.array(level, pa.int32()), list_array(value[kept].astype(np.int32), size, pa.int32())]
+
+        return fn
+
+    return add_columns(nodes, ["text"], fields, make, keep=["h"])
+
+
+def _overlapping(threshold: float):
+    """Whether the samples of x and y leave ``threshold`` possible; two are allowed for hashes that collide."""
+    level = F.greatest("x.level", "y.level")
+    limit = F.pow(F.lit(2.0), 31 - level)
+    a, b = (F.when(F.col(f"{side}.level") == level, F.col(f"{side}.sample"))
+            .otherwise(F.filter(f"{side}.sample", lambda v: v < limit)) for side in ("x", "y"))
+    both = F.size(F.array_intersect(a, b))
+    union = F.greatest(F.size(a) + F.size(b) - both, F.lit(1))
+    doubt = F.when(level > 0, 4.5 * F.sqrt(F.lit(threshold * (1 - threshold)) / union)).otherwise(0.0)
+    return both + 2 >= union * (F.lit(threshold) - doubt)
+
+
 def _open_buckets(bucket: DataFrame, comps: DataFrame) -> DataFrame:
     """Rows of the buckets that hold several groups, with ``comp`` and the bucket's largest group."""
     grouped = bucket.join(comps, "h", "left").withColumn("comp", F.coalesce("comp", "h"))
@@ -263,7 +301,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = ws.write(signed.groupBy("h").agg(F.min("doc_id").alias("doc_id"),
                                              F.any_value(F.struct("n", "bands", *sketch)).alias("x"))
                      .select("h", "doc_id", "x.*"), "texts")
-    member = texts.select("h", F.explode("bands").alias("band"))
+    member = texts.select("h", F.posexplode("bands").alias("place", "band"))
     leaders = member.groupBy("band").agg(F.min("h").alias("leader"), F.count(F.lit(1)).alias("k")).where("k > 1")
     shared = member.join(leaders.select("band", "leader"), "band")
     bucket = ws.write(shared.join(texts.select("h", "n", *sketch), "h"), "bucket")
@@ -288,9 +326,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         comps = connected_components(ws, links, "c2-")
 
     # members outside the largest group of their bucket against all other groups
-    opened = ws.write(_open_buckets(opened.drop("comp", "largest"), comps), "open3").where("h <> leader")
-    third = (opened.where("comp <> largest").alias("x").join(opened.alias("y"), "band")
-             .where("x.comp <> y.comp AND (y.comp = y.largest OR x.h < y.h)").where(_near(threshold, bands * rows, "x", "y"))
+    still = ws.write(_open_buckets(opened.drop("comp", "largest"), comps).where("h <> leader"), "open3")
+    hs = still.select("h").distinct()
+    extra = (_sampled(nodes.join(hs, "h")).join(texts.select("h", "bands"), "h"))
+    still = ws.write(still.join(extra, "h"), "open3b")
+    # a pair comes once: in the first band it shares
+    earlier = [(F.col("x.place") > j) & (F.col("x.bands")[j] == F.col("y.bands")[j]) for j in range(bands - 1)]
+    in_first = ~reduce(or_, earlier, F.lit(False))
+    third = (still.where("comp <> largest").alias("x").join(still.alias("y"), F.col("x.band") == F.col("y.band"))
+             .where((F.expr("x.comp <> y.comp AND (y.comp = y.largest OR x.h < y.h)") & _near(threshold, bands * rows, "x", "y"))
+                    & in_first & _overlapping(threshold))
              .select(F.least("x.h", "y.h").alias("a"), F.greatest("x.h", "y.h").alias("b")).distinct())
     more = ws.write(_verified(third, nodes, threshold).select("a", "b"), "links3")
     if not more.isEmpty():
@@ -299,7 +344,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = texts.select("h", "doc_id").join(comps, "h", "left").withColumn("comp", F.coalesce("comp", "h"))
     smallest = known.groupBy("comp").agg(F.min("doc_id").alias("class_id"))
     classes = ws.write(known.join(smallest, "comp").select("h", "class_id", F.col("comp").alias("class_key")), "classes")
-    ws.drop("texts", "bucket", "first", "nodes", "links1", "links2", "links3", "open2", "open3")
+    ws.drop("texts", "bucket", "first", "nodes", "links1", "links2", "links3", "open2", "open3", "open3b")
     out = source.select("doc_id", F.col("h")).join(classes, "h", "left")
     return out.select("doc_id", F.when(F.col("h").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
                       "class_key", F.col("h").alias("text_hash"))
