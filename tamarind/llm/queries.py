@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamarind.llm import bag_minhash, bpe, decontaminate, language_id, license_scan, quality, toxicity
+from tamarind.llm import ann, bag_minhash, bpe, chat, decontaminate, language_id, license_scan, quality, toxicity
 from tamarind.llm.common import crc_mod
 
 
@@ -57,6 +57,22 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(_joined("items"), 256).alias("items_sha256"), "contaminated")
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    out = chat.read_back(chat.format_chats(rows.unionByName(probe), BPE_FILE), BPE_FILE)
+    lines = F.array_join(F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), "")
+    return out.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(lines, 256).alias("turns_sha256"),
+                      F.length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
+                      F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.search(vectors, lambda i: i % 50 == 0)
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = license_scan.scan_licenses(_table(spark, sf_dir, "documents"), keep=["doc_id"])
     return out.select("doc_id", "n_words", "n_base", "first_word", "last_word", _joined("base_labels").alias("base_labels"),
@@ -76,11 +92,29 @@ QUERIES = {
     "op3_bpe": op3_bpe,
     "op4_language_id": op4_language_id,
     "op5_decontaminate": op5_decontaminate,
+    "op6_chat_format": op6_chat_format,
+    "op7_nearest": op7_nearest,
     "op9_license_scan": op9_license_scan,
     "op10_toxicity": op10_toxicity,
 }
 
+# control strings of any template in a text get one mark more, so one character more
+_CONTROL = (r"<\\*\|start\|>|<\\*\|message\|>|<\\*\|end\|>|<\\*\|endoftext\|>|<\\*\|im_start\|>|<\\*\|im_end\|>"
+            r"|<\\*s>|<\\*/s>|\[\\*INST\]|\[\\*/INST\]|<\\*<SYS>>|<\\*</SYS>>")
+
 ORACLES = {
+    # a turn is its role, its text and 27 characters of control strings (9 + 11 + 7)
+    "op6_chat_format": rf"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       cast(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn NULLS FIRST, role, text)) AS loss_sha256,
+       cast(sum(length(role) + length(text) + 27 + len(regexp_extract_all(role, '{_CONTROL}'))
+                + len(regexp_extract_all(text, '{_CONTROL}'))) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id
+""",
     # words and windows by plain SQL: every place of a window, then its words
     "op5_decontaminate": r"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS r,
