@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamarind.llm import ann, bag_minhash, bpe, chat, decontaminate, language_id, license_scan, quality, toxicity
+import corpus_pipeline
+from tamarind.llm import (ann, bag_minhash, bpe, chat, decontaminate, html_extract, language_id, license_scan, quality,
+                          toxicity)
 from tamarind.llm.common import crc_mod
 
 
@@ -73,6 +75,10 @@ def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(vectors, lambda i: i % 50 == 0)
 
 
+def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(_table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = license_scan.scan_licenses(_table(spark, sf_dir, "documents"), keep=["doc_id"])
     return out.select("doc_id", "n_words", "n_base", "first_word", "last_word", _joined("base_labels").alias("base_labels"),
@@ -94,8 +100,10 @@ QUERIES = {
     "op5_decontaminate": op5_decontaminate,
     "op6_chat_format": op6_chat_format,
     "op7_nearest": op7_nearest,
+    "op8_html_extract": op8_html_extract,
     "op9_license_scan": op9_license_scan,
     "op10_toxicity": op10_toxicity,
+    "pipeline": corpus_pipeline.run,
 }
 
 # control strings of any template in a text get one mark more, so one character more
