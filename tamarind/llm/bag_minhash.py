@@ -12,11 +12,14 @@ Slots are banded. Documents that share a band are compared exactly, on multisets
 64-bit shingle hashes, but never all pairs of a bucket:
 
 1. each text is compared with one leader (the smallest of its buckets' smallest texts);
-2. where a bucket still holds several groups, members are compared with its leader;
+2. where a bucket still holds several groups, members are compared with one pivot, another
+   in each band;
 3. where it still does, members outside the bucket's largest group are compared with all
-   members of other groups. The join itself rules out most: by their one-bit sketches, by
-   the first band that a pair shares (so a pair comes once), and by a consistent sample of
-   their shingles, which for up to 256 shingles is all of them.
+   members of other groups.
+
+The joins of 2 and 3 rule out most pairs themselves: by one-bit sketches and by a
+consistent sample of shingles, which for up to 256 shingles is all of them; in 3 a pair
+comes only in the first band it shares.
 
 So every pair that shares a band is compared unless both ends are in one group already or
 a sketch or sample differs by more than 4.5 standard deviations from the threshold. Equal
@@ -200,24 +203,23 @@ def connected_components(ws: Workspace, links: DataFrame, name: str) -> DataFram
     """(h, comp): the smallest node that each linked node is connected to.
 
     Alternating star contraction: every node hands its larger neighbours to its smallest
-    one, then its smaller ones, until the edges no longer change. Each round is one table
-    in the shared folder, and its edges are never more than before.
+    one, then its smaller ones, until every node has one smaller neighbour and that has
+    none. Each round is one table in the shared folder, and its edges are never more than
+    before.
     """
     edges = ws.write(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), f"{name}0")
-    before, k = None, 0
+    k = 0
     while True:
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if state == before or not state[0]:
+        ends = edges.select(F.col("u").alias("h"), F.lit(1).alias("k")).unionByName(edges.select(F.col("v").alias("h"), F.lit(0).alias("k")))
+        roles = ends.groupBy("h").agg(F.sum("k").alias("smaller"), F.min("k").alias("least"))
+        if roles.where("smaller > 1 OR (smaller = 1 AND least = 0)").isEmpty():
             return edges.select(F.col("u").alias("h"), F.col("v").alias("comp")).unionByName(
                 edges.select(F.col("v").alias("h"), F.col("v").alias("comp")).distinct())
-        before = state
         near = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = near.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = near.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u > v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
-        small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").unionByName(
+        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").unionByName(
             least.select("u", F.col("m").alias("v"))).distinct()
         k += 1
         edges = ws.write(small, f"{name}{k}")
@@ -266,10 +268,10 @@ def _overlapping(threshold: float):
     limit = F.pow(F.lit(2.0), 31 - level)
     a, b = (F.when(F.col(f"{side}.level") == level, F.col(f"{side}.sample"))
             .otherwise(F.filter(f"{side}.sample", lambda v: v < limit)) for side in ("x", "y"))
-    both = F.size(F.array_intersect(a, b))
-    union = F.greatest(F.size(a) + F.size(b) - both, F.lit(1))
-    doubt = F.when(level > 0, 4.5 * F.sqrt(F.lit(threshold * (1 - threshold)) / union)).otherwise(0.0)
-    return both + 2 >= union * (F.lit(threshold) - doubt)
+    size = F.size(a) + F.size(b)  # the union has at least half of it
+    doubt = F.when(level > 0, 4.5 * F.sqrt(F.lit(2 * threshold * (1 - threshold)) / F.greatest(size, F.lit(1)))).otherwise(0.0)
+    least = F.greatest(F.lit(threshold) - doubt, F.lit(0.0))
+    return F.size(F.array_intersect(a, b)) + 2 >= size * least / (1 + least)
 
 
 def _open_buckets(bucket: DataFrame, comps: DataFrame) -> DataFrame:
@@ -313,23 +315,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                             & F.col("s.doc_id").eqNullSafe(F.col("w.doc_id")))
                      .groupBy("s.h").agg(F.any_value("text").alias("text")), "nodes")
     links = ws.write(_verified(first, nodes, threshold).select("a", "b"), "links1")
-    comps = connected_components(ws, links, "c1-")
-
-    # members of other groups than their bucket's leader
-    opened = ws.write(_open_buckets(bucket, comps), "open2")
-    lead = opened.where("h = leader").alias("x")
-    second = (opened.alias("y").join(lead, "band").where("x.comp <> y.comp").where(_near(threshold, bands * rows, "x", "y"))
-              .select(F.col("x.h").alias("a"), F.col("y.h").alias("b")).distinct().join(first, ["a", "b"], "left_anti"))
+    # groups so far: each node's leader, followed for two more steps
+    up = links.select(F.col("b").alias("h"), F.col("a").alias("comp"))
+    comps = up
+    for _ in range(2):
+        step = up.select(F.col("h").alias("comp"), F.col("comp").alias("next"))
+        comps = comps.join(step, "comp", "left").select("h", F.coalesce("next", "comp").alias("comp"))
+
+    # members against one member of each of their buckets, another one in each band
+    opened = ws.write(_open_buckets(bucket, comps), "open1")
+    extra = _sampled(nodes.join(opened.select("h").distinct(), "h")).join(texts.select("h", "bands"), "h")
+    opened = ws.write(opened.join(extra, "h"), "open2")
+    pivots = opened.groupBy("band").agg(F.min_by("h", F.xxhash64("h", "band")).alias("h"))
+    pivots = opened.join(pivots, ["band", "h"]).alias("x")
+    possible = _near(threshold, bands * rows, "x", "y") & _overlapping(threshold)
+    second = (pivots.join(opened.alias("y"), F.col("x.band") == F.col("y.band")).where(F.expr("x.comp <> y.comp") & possible)
+              .select(F.least("x.h", "y.h").alias("a"), F.greatest("x.h", "y.h").alias("b")).distinct())
     more = ws.write(_verified(second, nodes, threshold).select("a", "b"), "links2")
-    if not more.isEmpty():
-        links = links.unionByName(more)
-        comps = connected_components(ws, links, "c2-")
+    links = links.unionByName(more)
+    comps = connected_components(ws, links, "c2-")
 
     # members outside the largest group of their bucket against all other groups
-    still = ws.write(_open_buckets(opened.drop("comp", "largest"), comps).where("h <> leader"), "open3")
-    hs = still.select("h").distinct()
-    extra = (_sampled(nodes.join(hs, "h")).join(texts.select("h", "bands"), "h"))
-    still = ws.write(still.join(extra, "h"), "open3b")
+    still = ws.write(_open_buckets(opened.drop("comp", "largest"), comps), "open3")
     # a pair comes once: in the first band it shares
     earlier = [(F.col("x.place") > j) & (F.col("x.bands")[j] == F.col("y.bands")[j]) for j in range(bands - 1)]
     in_first = ~reduce(or_, earlier, F.lit(False))
@@ -344,7 +351,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = texts.select("h", "doc_id").join(comps, "h", "left").withColumn("comp", F.coalesce("comp", "h"))
     smallest = known.groupBy("comp").agg(F.min("doc_id").alias("class_id"))
     classes = ws.write(known.join(smallest, "comp").select("h", "class_id", F.col("comp").alias("class_key")), "classes")
-    ws.drop("texts", "bucket", "first", "nodes", "links1", "links2", "links3", "open2", "open3", "open3b")
+    ws.drop("texts", "bucket", "first", "nodes", "links1", "links2", "links3", "open1", "open2", "open3")
     out = source.select("doc_id", F.col("h")).join(classes, "h", "left")
     return out.select("doc_id", F.when(F.col("h").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
                       "class_key", F.col("h").alias("text_hash"))
