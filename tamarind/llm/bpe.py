@@ -26,8 +26,8 @@ from tamarind.llm.common import Codes, Shared, add_columns, list_array
 
 # fixed value: the split pattern of byte-level BPE files
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Words a worker keeps the tokens of; beyond it the table starts anew.
-CACHED_WORDS = 400_000
+#: Words a worker keeps the tokens of; beyond it the less used go.
+CACHED_WORDS = 150_000
 _NEVER = np.int64(1 << 40)
 
 
@@ -79,6 +79,8 @@ class Vocabulary:
         for token in ids:
             self.reach[token[:2]] = max(self.reach.get(token[:2], 1), len(token))
         self.sound = self._sound_tokens()
+        self.is_special = np.zeros(self.size, bool)
+        self.is_special[list(names)] = True
 
     def _merge_rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Rank of the merge of each pair; ``_NEVER`` where there is none."""
@@ -164,14 +166,14 @@ class Vocabulary:
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, int]:
         """(tokens of all words, tokens per word, words merged exactly)."""
         data = [w.encode() for w in words]
-        found = [self.propose(w) for w in data]
+        found = [[self.special[w]] if w in self.special else self.propose(b) for w, b in zip(words, data)]
         size = np.fromiter(map(len, found), np.int64, len(found))
         flat = np.fromiter(chain.from_iterable(found), np.int64, int(size.sum()))
         owner = np.repeat(np.arange(len(words)), size)
         pairs = np.flatnonzero(owner[1:] == owner[:-1])
         codes, back = np.unique(flat[pairs] * self.size + flat[pairs + 1], return_inverse=True)
         ok = self.compatible(codes // self.size, codes % self.size, np.full(len(codes), _NEVER))
-        failed = np.unique(np.concatenate([owner[pairs[~ok[back]]], owner[~self.sound[flat]]]))
+        failed = np.unique(np.concatenate([owner[pairs[~ok[back]]], owner[~(self.sound | self.is_special)[flat]]]))
         if len(failed):
             for i in failed.tolist():
                 found[i] = self.merge(data[i])
@@ -192,12 +194,15 @@ class Encoder:
         self.split = regex.compile(PATTERN)
         special = sorted(vocabulary.special, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
-        self.clear()
+        self.seen, self.flat, self.size = Codes(), np.zeros(0, np.int32), np.zeros(0, np.int64)
 
-    def clear(self):
-        self.seen = Codes(self.vocabulary.special)
-        self.flat = np.array(list(self.vocabulary.special.values()), np.int32)
-        self.size = np.ones(len(self.flat), np.int64)
+    def shrink(self):
+        """Keeps the most used words when there are too many."""
+        kept = self.seen.shrink(CACHED_WORDS)
+        if kept is not None:
+            begin, size = (np.cumsum(self.size) - self.size)[kept], self.size[kept]
+            self.flat = self.flat[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
+            self.size = size
 
     def words(self, text: str, special: bool) -> list[str]:
         if special and self.special is not None and self.special.search(text):
@@ -210,8 +215,7 @@ class Encoder:
     def encode(self, texts: list[str], special: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """(tokens of all texts, tokens per text). ``special``: strings of special tokens in
         a text are those tokens; otherwise they are ordinary text."""
-        if len(self.seen) > CACHED_WORDS:
-            self.clear()
+        self.shrink()
         code, count = self.seen.of([self.words(t, special) for t in texts])
         if new := self.seen.take_new():
             flat, size, _ = self.vocabulary.encode_words(new)

@@ -210,9 +210,10 @@ class Shared:
 class Codes(dict):
     """Numbers words in the order of their first look-up and notes the new ones."""
 
-    def __init__(self, known=()):
-        super().__init__({w: i for i, w in enumerate(known)})
+    def __init__(self):
+        super().__init__()
         self.new: list[str] = []
+        self.uses = np.zeros(0, np.int64)
 
     def __missing__(self, word):
         self[word] = i = len(self)
@@ -222,12 +223,28 @@ class Codes(dict):
     def of(self, words: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """(codes of all words, words per list)."""
         count = np.fromiter(map(len, words), np.int64, len(words))
-        return np.fromiter(map(self.__getitem__, chain.from_iterable(words)), np.int64, int(count.sum())), count
+        code = np.fromiter(map(self.__getitem__, chain.from_iterable(words)), np.int64, int(count.sum()))
+        uses = np.bincount(code, minlength=len(self))
+        uses[:len(self.uses)] += self.uses
+        self.uses = uses
+        return code, count
 
     def take_new(self) -> list[str]:
         new, self.new = self.new, []
         return new
 
+    def shrink(self, limit: int) -> np.ndarray | None:
+        """Beyond ``limit`` words, keeps the most used half of that many; the codes that those
+        had, in the order of their new ones. Otherwise None."""
+        if len(self) <= limit:
+            return None
+        kept = np.sort(np.argsort(-self.uses, kind="stable")[:limit // 2])
+        words = list(self)
+        self.clear()
+        self.update((words[i], k) for k, i in enumerate(kept.tolist()))
+        self.uses = self.uses[kept]
+        return kept
+
 
 def row_sums(values: np.ndarray, count: np.ndarray) -> np.ndarray:
     """Sums of consecutive runs of rows; 0 for an empty run."""

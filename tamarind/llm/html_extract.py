@@ -161,7 +161,7 @@ NAMES = {
 }
 _EXACT = frozenset(("ad", "ads", "adv", "nav", "side", "more", "foot", "sr", "toc", "tabs", "date", "form", "text", "page", "skip", "meta", "dfp"))
 KINDS = list(NAMES)
-N_TEXT = 9
+N_TEXT = 8
 N_FEATURES = len(TAGS) * 2 + len(KINDS) * 2 + N_TEXT + 1
 _TAG_NUMBER = {t: i for i, t in enumerate(TAGS)}
 _kinds_of: dict = {}
@@ -219,7 +219,6 @@ class Forest:
         f[:, at + 5] = np.minimum(marks / np.maximum(chars, 1) * 20, 1.0)
         f[:, at + 6] = chars == 0
         f[:, at + 7] = [t.startswith(("©", "(c)", "Copyright")) for t in self.texts]
-        f[:, at + 8] = self.depth <= 3
         f[:, -1] = 1
         self.features, self.leaf = f, leaf
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 import random
 
 LABEL = "data-y"
-N_PAGES = 160
+N_PAGES = 240
 
 _WORDS = ("river stone market window letter garden winter signal copper valley engine harbor paper lantern "
           "meadow ticket bridge castle thunder velvet silver pocket orange candle mirror forest island summer").split()
@@ -24,9 +24,9 @@ def _links(rng, n, tag="li"):
 
 def _paragraphs(rng) -> str:
     out = []
-    for _ in range(rng.randint(1, 7)):
+    for _ in range(rng.choice([1, 1, 2, 3, 4, 5, 6, 7])):
         kind = rng.randrange(14)
-        p = _text(rng, 1, 70, rng.choice([".", "!", "", "?"]))
+        p = _text(rng, 1, rng.choice([2, 20, 70]), rng.choice([".", "!", "", "?"]))
         out.append({0: f"<p>{p} <a href='/x'>{_text(rng, 1, 6, '')}</a> {_text(rng, 1, 9)}</p>", 1: f"<h2>{_text(rng, 1, 6, '')}</h2><p>{p}</p>",
                     2: f"<ul><li>{_text(rng, 1, 9)}</li><li>{p}</li></ul>", 3: f"<blockquote><p>{p}</p></blockquote>",
                     4: f"<p><b>{p}<br><p>{_text(rng, 1, 40)}", 5: f"<p><a href='/y'>{_text(rng, 1, 5)}</a></p>",
@@ -94,5 +94,9 @@ def _foot(rng) -> str:
 
 def labelled_pages(n: int = N_PAGES) -> list[str]:
     rng = random.Random(20240501)
-    return [f"<!DOCTYPE html><html><head><title>{_text(rng, 1, 6)}</title></head><body>{_before(rng)}{_article(rng)}{_after(rng)}{_foot(rng)}"
-            + rng.choice(["</body></html>", ""]) for _ in range(n)]
+    out = []
+    for i in range(n):
+        begin = f"<!DOCTYPE html><html><head><title>{_text(rng, 1, 6)}</title></head><body>" if i % 5 else ""
+        around = [_before(rng), _article(rng), _after(rng), _foot(rng)] if i % 9 else ["", _article(rng), "", ""]
+        out.append(begin + "".join(around) + rng.choice(["</body></html>" if begin else "", ""]))
+    return out

@@ -30,7 +30,7 @@ LONGEST_PIECE = 8
 LONGEST_WORD = 32
 #: Probability of a character that is no piece of the vocabulary, in every language.
 UNKNOWN = 1e-7
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
 UNDETERMINED = "und"
 
 _LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
@@ -218,15 +218,13 @@ def learn(docs: DataFrame, path: str, learn_from: Column, text_col: str = "text"
 class _Scorer:
     def __init__(self, model: Model):
         self.model = model
-        self.clear()
-
-    def clear(self):
         self.codes, self.scores = Codes(), np.zeros((0, len(self.model.languages)))
 
     def score(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(texts, languages) log probabilities and the number of words of each text."""
-        if len(self.codes) > CACHED_WORDS:
-            self.clear()
+        kept = self.codes.shrink(CACHED_WORDS)
+        if kept is not None:
+            self.scores = self.scores[kept]
         code, count = self.codes.of([words_of(t) for t in texts])
         new = self.codes.take_new()
         parts = [Lattice(new[i:i + 20_000], self.model.table).log_probability(self.model.p) for i in range(0, len(new), 20_000)]

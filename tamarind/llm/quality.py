@@ -27,7 +27,7 @@ EPOCHS = 10
 BATCH = 16
 #: A score from which a document is predicted to have the label.
 CUT = 0.3
-CACHED_TOKENS = 300_000
+CACHED_TOKENS = 200_000
 
 _TOKENS = regex.compile(r"\w+|[^\w\s]+")
 _AGAIN = np.uint64(0x5851F42D4C957F2D)
@@ -53,15 +53,13 @@ class NGrams:
 
     def __init__(self, bits: int = BITS):
         self.shift = np.uint64(64 - bits)
-        self.clear()
-
-    def clear(self):
         self.codes, self.hash, self.capitals = Codes(), np.zeros(0, np.uint64), np.zeros(0, bool)
 
     def features(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, feature number) of every n-gram and the n-grams of each text."""
-        if len(self.codes) > CACHED_TOKENS:
-            self.clear()
+        kept = self.codes.shrink(CACHED_TOKENS)
+        if kept is not None:
+            self.hash, self.capitals = self.hash[kept], self.capitals[kept]
         code, count = self.codes.of([_TOKENS.findall(t or "") for t in texts])
         if new := self.codes.take_new():
             self.hash = np.concatenate([self.hash, text_hash([w.lower() for w in new])])

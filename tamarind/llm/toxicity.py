@@ -24,7 +24,7 @@ MAX_TRAIN = 12000
 EPOCHS = 6
 BATCH = 32
 CUT = 0.3
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
 #: Beginnings of words that are terms of their own.
 PREFIXES = (4, 6)
 
@@ -36,11 +36,7 @@ class Terms:
 
     def __init__(self, bits: int, active: np.ndarray | None = None):
         self.shift, self.active = np.uint64(64 - bits), active
-        self.clear()
-
-    def clear(self):
-        n = 1 + len(PREFIXES)
-        self.codes, self.number = Codes(), np.zeros((0, n), np.int64)
+        self.codes, self.number = Codes(), np.zeros((0, 1 + len(PREFIXES)), np.int64)
 
     def _numbers(self, words: list[str]) -> np.ndarray:
         cols = [text_hash(words)]
@@ -51,8 +47,9 @@ class Terms:
 
     def features(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(text, term number) of each distinct term, ordered by text; dropped terms left out."""
-        if len(self.codes) > CACHED_WORDS:
-            self.clear()
+        kept = self.codes.shrink(CACHED_WORDS)
+        if kept is not None:
+            self.number = self.number[kept]
         code, count = self.codes.of([_WORDS.findall((t or "").lower()) for t in texts])
         if new := self.codes.take_new():
             self.number = np.concatenate([self.number, self._numbers(new)])
@@ -84,7 +81,7 @@ def fit(start: np.ndarray, index: np.ndarray, label: np.ndarray, bits: int = BIT
     size = 1 << bits
     weight, bias = ftrl(start, index, np.ones(len(index)), label, size, epochs, BATCH, alpha=3.0, l1=4.0, l2=0.001)
     used = weight != 0
-    vectors = np.where(used[:, None], np.random.default_rng(7).normal(0, 0.02, (size, factors)), 0.0)
+    vectors = np.where(used[:, None], np.random.default_rng(7).normal(0, 0.1, (size, factors)), 0.0)
     m = Machine(bias, weight, vectors)
     gw, gv, g0 = np.full(size, 1e-3), np.full((size, factors), 1e-3), 1e-3
     for _ in range(epochs):
