@@ -241,9 +241,9 @@ def _near(threshold: float, slots: int, left: str, right: str):
 
 
 def _sampled(nodes: DataFrame) -> DataFrame:
-    """(h, level, sample) of (h, text): numbered shingles below 2 ** (31 - level) of 31-bit
+    """(h, level, sample) of (h, text): numbered shingles below 2 ** (63 - level) of 63-bit
     hashes, where the level keeps at most about ``SAMPLE_SIZE`` of them."""
-    fields = [StructField("level", IntegerType()), StructField("sample", ArrayType(IntegerType()))]
+    fields = [StructField("level", IntegerType()), StructField("sample", ArrayType(LongType()))]
 
     def make():
         def fn(batch):
@@ -252,10 +252,10 @@ def _sampled(nodes: DataFrame) -> DataFrame:
             level = np.ceil(np.log2(np.maximum(total / SAMPLE_SIZE, 1.0))).astype(np.int64)
             copy = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
             doc, h = np.repeat(doc, count), np.repeat(h, count)
-            value = (mix64(h + copy.astype(np.uint64) * _STEP) >> np.uint64(33)).astype(np.int64)
-            kept = value < (1 << (31 - level[doc]))
+            value = (mix64(h + copy.astype(np.uint64) * _STEP) >> np.uint64(1)).astype(np.int64)
+            kept = value >> (63 - level[doc]) == 0
             size = np.bincount(doc[kept], minlength=batch.num_rows)
-            return [pa.array(level, pa.int32()), list_array(value[kept].astype(np.int32), size, pa.int32())]
+            return [pa.array(level, pa.int32()), list_array(value[kept], size, pa.int64())]
 
         return fn
 
@@ -263,15 +263,15 @@ def _sampled(nodes: DataFrame) -> DataFrame:
 
 
 def _overlapping(threshold: float):
-    """Whether the samples of x and y leave ``threshold`` possible; two are allowed for hashes that collide."""
+    """Whether the samples of x and y leave ``threshold`` possible; exact where both are whole."""
     level = F.greatest("x.level", "y.level")
-    limit = F.pow(F.lit(2.0), 31 - level)
+    limit = F.pow(F.lit(2.0), 63 - level)
     a, b = (F.when(F.col(f"{side}.level") == level, F.col(f"{side}.sample"))
             .otherwise(F.filter(f"{side}.sample", lambda v: v < limit)) for side in ("x", "y"))
     size = F.size(a) + F.size(b)  # the union has at least half of it
     doubt = F.when(level > 0, 4.5 * F.sqrt(F.lit(2 * threshold * (1 - threshold)) / F.greatest(size, F.lit(1)))).otherwise(0.0)
     least = F.greatest(F.lit(threshold) - doubt, F.lit(0.0))
-    return F.size(F.array_intersect(a, b)) + 2 >= size * least / (1 + least)
+    return F.size(F.array_intersect(a, b)) >= size * least / (1 + least) - 1e-6
 
 
 def _open_buckets(bucket: DataFrame, comps: DataFrame) -> DataFrame:
