@@ -18,7 +18,7 @@ Slots are banded. Documents that share a band are compared exactly, on multisets
    members of other groups.
 
 The joins of 2 and 3 rule out most pairs themselves: by one-bit sketches and by a
-consistent sample of shingles, which for up to 256 shingles is all of them; in 3 a pair
+consistent sample of shingles, which for up to 1024 shingles is all of them; in 3 a pair
 comes only in the first band it shares.
 
 So every pair that shares a band is compared unless both ends are in one group already or
@@ -46,7 +46,7 @@ ROWS = 6
 SLOTS = BANDS * ROWS
 THRESHOLD = 0.8
 SKETCH_LONGS = -(-SLOTS // 64)
-SAMPLE_SIZE = 256
+SAMPLE_SIZE = 1024
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SALT = np.uint64(0xD1B54A32D192ED03)
@@ -268,8 +268,9 @@ def _overlapping(threshold: float):
     limit = F.pow(F.lit(2.0), 63 - level)
     a, b = (F.when(F.col(f"{side}.level") == level, F.col(f"{side}.sample"))
             .otherwise(F.filter(f"{side}.sample", lambda v: v < limit)) for side in ("x", "y"))
-    size = F.size(a) + F.size(b)  # the union has at least half of it
-    doubt = F.when(level > 0, 4.5 * F.sqrt(F.lit(2 * threshold * (1 - threshold)) / F.greatest(size, F.lit(1)))).otherwise(0.0)
+    size = F.size(a) + F.size(b)  # 1 + threshold times the union, at the threshold
+    spread = F.lit((1 + threshold) * threshold * (1 - threshold)) / F.greatest(size, F.lit(1))
+    doubt = F.when(level > 0, 4.5 * F.sqrt(spread)).otherwise(0.0)
     least = F.greatest(F.lit(threshold) - doubt, F.lit(0.0))
     return F.size(F.array_intersect(a, b)) >= size * least / (1 + least) - 1e-6
 
