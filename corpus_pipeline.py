@@ -25,16 +25,13 @@ LEAST_LANGUAGE_SCORE = 0.5
 ORACLE_SQL = None
 
 
-def _marked(docs: DataFrame, apply, *added: str) -> tuple[DataFrame, dict]:
-    """``docs`` with an operator's columns under names that no column of it has: the operator
-    sees only ``text``, the document's own columns wait in one struct."""
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("text"))
-    return apply(packed).select("_row", *added), {c: F.col(f"_row.`{c}`") for c in docs.columns}
-
-
 def _kept(docs: DataFrame, apply, added: tuple[str, ...], keep) -> DataFrame:
-    marked, own = _marked(docs, apply, *added)
-    return marked.where(keep).select(*[c.alias(name) for name, c in own.items()])
+    """The rows of ``docs`` for which an operator's result satisfies ``keep``, with their own
+    columns only: one that has the name of an added column is renamed meanwhile."""
+    taken = {c.lower() for c in added}
+    names = {c: f"_own{i}" if c.lower() in taken else c for i, c in enumerate(docs.columns)}
+    renamed = docs.select(*[F.col(f"`{c}`").alias(name) for c, name in names.items()])
+    return apply(renamed).where(keep).select(*[F.col(f"`{name}`").alias(c) for c, name in names.items()])
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +45,7 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Rejects documents predicted toxic."""
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
     machine = toxicity.learn(docs, labels, crc_mod(F.col("doc_id"), 4) != 2)
-    return _kept(docs, lambda d: toxicity.score(d, machine), ("predicted",), F.col("predicted") == 0)
+    return _kept(docs, lambda d: toxicity.score(d, machine), ("score", "predicted"), F.col("predicted") == 0)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +56,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents that hold a window of a benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    return _kept(docs, lambda d: decontaminate.decontaminate(d, benchmark), ("contaminated",), ~F.col("contaminated"))
+    return _kept(docs, lambda d: decontaminate.decontaminate(d, benchmark), ("n_words", "n_hit", "items", "hit_spans", "contaminated", "_hits"), ~F.col("contaminated"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

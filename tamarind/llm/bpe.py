@@ -22,12 +22,12 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField
 
-from tamarind.llm.common import Codes, Shared, add_columns, list_array
+from tamarind.llm.common import Codes, Shared, add_columns, hold, list_array
 
 # fixed value: the split pattern of byte-level BPE files
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words a worker keeps the tokens of; beyond it the less used go.
-CACHED_WORDS = 150_000
+CACHED_WORDS = 120_000
 _NEVER = np.int64(1 << 40)
 
 
@@ -228,15 +228,9 @@ class Encoder:
         return tokens, np.diff(edge)
 
 
-_encoders: dict = {}
-
-
 def encoder(shared) -> Encoder:
     """The encoder of a broadcast vocabulary file; one is kept in each Python worker."""
-    if shared.id not in _encoders:
-        _encoders.clear()
-        _encoders[shared.id] = Encoder(Vocabulary(shared.value))
-    return _encoders[shared.id]
+    return hold(shared.id, lambda: Encoder(Vocabulary(shared.value)))
 
 
 def load(spark: SparkSession, path: str) -> Shared:

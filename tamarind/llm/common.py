@@ -254,6 +254,18 @@ def row_sums(values: np.ndarray, count: np.ndarray) -> np.ndarray:
     return total[edge[1:]] - total[edge[:-1]]
 
 
+_held: dict = {}
+
+
+def hold(key, make):
+    """What a Python worker keeps between tasks: the one value made last. A worker serves many
+    operators in turn, so what another one kept is dropped first."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 class Workspace:
     """Tables in the shared scratch folder: they cut lineage and survive lost executors.
 

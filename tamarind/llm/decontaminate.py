@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BooleanType, IntegerType, LongType, StringType, StructField,
                                StructType)
 
-from tamarind.llm.common import Norm, Shared, add_columns, text_buffers
+from tamarind.llm.common import Norm, Shared, add_columns, hold, text_buffers
 
 WINDOW = 10
 #: Benchmark text that one automaton takes.
@@ -29,8 +29,6 @@ BLOCK_BYTES = 8 << 20
 HIT = StructType([StructField("first", LongType()), StructField("last", LongType()), StructField("item", IntegerType())])
 SPAN = StructType([StructField("start", LongType()), StructField("end", LongType())])
 
-_automata: dict = {}
-
 
 def windows(texts: list[str], size: int = WINDOW) -> dict[str, list[int]]:
     """Each window as matched (bytes as latin-1, between spaces) and the texts that hold it."""
@@ -49,16 +47,12 @@ def windows(texts: list[str], size: int = WINDOW) -> dict[str, list[int]]:
     return out
 
 
-def _automaton(shared):
-    """The automaton of a broadcast window list; one is kept in each Python worker."""
-    if shared.id not in _automata:
-        _automata.clear()
-        a = ahocorasick.Automaton()
-        for key, items in shared.value.items():
-            a.add_word(key, (len(key), items))
-        a.make_automaton()
-        _automata[shared.id] = a
-    return _automata[shared.id]
+def _automaton(windows: dict[str, list[int]]):
+    a = ahocorasick.Automaton()
+    for key, items in windows.items():
+        a.add_word(key, (len(key), items))
+    a.make_automaton()
+    return a
 
 
 def _scan(docs: DataFrame, shared, text_col: str, earlier: bool) -> DataFrame:
@@ -68,7 +62,7 @@ def _scan(docs: DataFrame, shared, text_col: str, earlier: bool) -> DataFrame:
     keep = [c for c in source.columns if c.lower() not in ("n_words", "_hits")]
 
     def make():
-        automaton = _automaton(shared) if shared.value else None
+        automaton = hold(shared.id, lambda: _automaton(shared.value)) if shared.value else None
 
         def fn(batch):
             norm = Norm(*text_buffers(batch.column(text_col)))

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from tamarind.llm.common import Codes, Shared, add_columns, mix64, row_sums, unit_hash
+from tamarind.llm.common import Codes, Shared, add_columns, hold, mix64, row_sums, unit_hash
 
 #: Documents per language that the probabilities are learned from (expected number).
 TRAIN_DOCS = 500
@@ -30,7 +30,7 @@ LONGEST_PIECE = 8
 LONGEST_WORD = 32
 #: Probability of a character that is no piece of the vocabulary, in every language.
 UNKNOWN = 1e-7
-CACHED_WORDS = 200_000
+CACHED_WORDS = 110_000
 UNDETERMINED = "und"
 
 _LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
@@ -165,7 +165,7 @@ def train(counts, languages: list[str], names: list[str], rounds: int = ROUNDS)
     c = np.zeros((len(known), len(languages)))
     np.add.at(c, (at, lang), n)
     words = list(known)
-    parts = [np.arange(i, min(i + 20_000, len(words))) for i in range(0, len(words), 20_000)]
+    parts = [np.arange(i, min(i + 10_000, len(words))) for i in range(0, len(words), 10_000)]
     lattices = [(Lattice([words[i] for i in part], table), c[part]) for part in parts]
     length = np.array([len(x) for x in names] + [0])
     p = np.repeat(np.exp(-2.0 * length)[:, None], len(languages), axis=1)  # shorter pieces likelier at first
@@ -227,14 +227,11 @@ class _Scorer:
             self.scores = self.scores[kept]
         code, count = self.codes.of([words_of(t) for t in texts])
         new = self.codes.take_new()
-        parts = [Lattice(new[i:i + 20_000], self.model.table).log_probability(self.model.p) for i in range(0, len(new), 20_000)]
+        parts = [Lattice(new[i:i + 10_000], self.model.table).log_probability(self.model.p) for i in range(0, len(new), 10_000)]
         self.scores = np.concatenate([self.scores, *parts])
         return row_sums(self.scores[code], count), count
 
 
-_scorers: dict = {}
-
-
 def identify(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``, the probability of that language among the
     learned ones (all equally likely before the text is seen). A null text, one without
@@ -243,10 +240,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", keep: list[s
     shared = Shared(docs.sparkSession, model)
 
     def make():
-        if shared.id not in _scorers:
-            _scorers.clear()
-            _scorers[shared.id] = _Scorer(shared.value)
-        scorer = _scorers[shared.id]
+        scorer = hold(shared.id, lambda: _Scorer(shared.value))
 
         def fn(batch):
             n = batch.num_rows

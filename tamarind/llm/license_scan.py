@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField
 
-from tamarind.llm.common import Norm, add_columns, text_buffers
+from tamarind.llm.common import Norm, add_columns, hold, text_buffers
 
 # fixed values: the phrases and labels that every result must hold
 BASE_PHRASES = {
@@ -137,9 +137,6 @@ def _automaton():
     return a
 
 
-_kept: list = []
-
-
 def scan_licenses(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``docs`` with the licence notices of each whole text.
 
@@ -160,9 +157,7 @@ def scan_licenses(docs: DataFrame, text_col: str = "text", keep: list[str] | Non
               StructField("score", DoubleType())]
 
     def make():
-        if not _kept:
-            _kept.append(_automaton())
-        automaton = _kept[0]
+        automaton = hold("licences", _automaton)
 
         def fn(batch):
             data, off = text_buffers(batch.column(text_col))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, FloatType, IntegerType, StructField
 
-from tamarind.llm.common import Codes, Shared, add_columns, labelled_sample, list_array, mix64
+from tamarind.llm.common import Codes, Shared, add_columns, hold, labelled_sample, list_array, mix64
 
 BITS = 18
 #: Labelled documents that the model is fitted on, at most.
@@ -27,7 +27,7 @@ EPOCHS = 10
 BATCH = 16
 #: A score from which a document is predicted to have the label.
 CUT = 0.3
-CACHED_TOKENS = 200_000
+CACHED_TOKENS = 120_000
 
 _TOKENS = regex.compile(r"\w+|[^\w\s]+")
 _AGAIN = np.uint64(0x5851F42D4C957F2D)
@@ -145,9 +145,6 @@ def learn(docs: DataFrame, labels: DataFrame, learn_from: Column, label: str = "
     return ftrl(start, index, value, y, 1 << bits, EPOCHS, BATCH, alpha=100.0, l1=0.01, l2=0.00001)
 
 
-_kept: dict = {}
-
-
 def score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "text", keep: list[str] | None = None,
           cut: float = CUT, bits: int = BITS) -> DataFrame:
     """``docs`` with ``score`` (0 to 1, higher: the label likelier) and ``predicted``
@@ -156,10 +153,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "tex
     shared = Shared(docs.sparkSession, model)  # 2 ** bits weights
 
     def make():
-        if shared.id not in _kept:
-            _kept.clear()
-            _kept[shared.id] = NGrams(bits)
-        grams, (weight, bias) = _kept[shared.id], shared.value
+        grams, (weight, bias) = hold(shared.id, lambda: NGrams(bits)), shared.value
 
         def fn(batch):
             owner, index, total = grams.features(batch.column(text_col).to_pylist())

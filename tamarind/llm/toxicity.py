@@ -15,7 +15,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.types import ArrayType, DoubleType, FloatType, IntegerType, StructField
 
-from tamarind.llm.common import Codes, Shared, add_columns, labelled_sample, list_array, mix64
+from tamarind.llm.common import Codes, Shared, add_columns, hold, labelled_sample, list_array, mix64
 from tamarind.llm.quality import collect_rows, ftrl, text_hash
 
 BITS = 18
@@ -24,7 +24,7 @@ MAX_TRAIN = 12000
 EPOCHS = 6
 BATCH = 32
 CUT = 0.3
-CACHED_WORDS = 200_000
+CACHED_WORDS = 120_000
 #: Beginnings of words that are terms of their own.
 PREFIXES = (4, 6)
 
@@ -136,9 +136,6 @@ def learn(docs: DataFrame, labels: DataFrame, learn_from: Column, label: str = "
     return fit(start, index, y, bits)
 
 
-_kept: dict = {}
-
-
 def score(docs: DataFrame, machine: Machine, text_col: str = "text", keep: list[str] | None = None,
           cut: float = CUT, bits: int = BITS) -> DataFrame:
     """``docs`` with ``score`` (0 to 1, higher: toxic likelier) and ``predicted`` (1 if score
@@ -148,10 +145,7 @@ def score(docs: DataFrame, machine: Machine, text_col: str = "text", keep: list[
 
     def make():
         machine = shared.value
-        if shared.id not in _kept:
-            _kept.clear()
-            _kept[shared.id] = Terms(bits, (machine.weight != 0) | machine.vectors.any(axis=1))
-        terms = _kept[shared.id]
+        terms = hold(shared.id, lambda: Terms(bits, (machine.weight != 0) | machine.vectors.any(axis=1)))
 
         def fn(batch):
             owner, index = terms.features(batch.column(text_col).to_pylist())
