@@ -43,10 +43,10 @@ class RunContext:
         return replace(self, year=job_date.year, month=job_date.month, day=job_date.day, full=False)
 
     def resolved(self) -> "RunContext":
-        """Fill the job date with yesterday (UTC+7) when neither a year nor full is set."""
+        """Fill the job date with the day before the run clock (which is UTC+7 already)
+        when neither a year nor full is set."""
         if self.year is None and not self.full:
-            d = default_job_date(_dt.datetime.now(tz=_dt.timezone.utc).replace(tzinfo=None))
-            return replace(self, year=d.year, month=d.month, day=d.day)
+            return self.with_date((self.run_ts - _dt.timedelta(days=1)).date())
         return self
 
     @property

@@ -97,5 +97,5 @@ def age_years(run_ts: _dt.datetime, dob) -> Column:
 def run_clock(run_ts: _dt.datetime | None = None) -> Column:
     """the run's clock as a naive Bangkok timestamp literal (given, or now)."""
     if run_ts is None:
-        return F.convert_timezone(F.lit(BANGKOK), F.current_timestamp().cast("timestamp_ntz"))
+        return F.convert_timezone(F.current_timezone(), F.lit(BANGKOK), F.current_timestamp().cast("timestamp_ntz"))
     return ntz_literal(run_ts)

@@ -3,46 +3,88 @@
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tamarind import spec as S
 from tamarind.context import RunContext
+from tamarind.session import remove_path, scratch_root
 from tamarind.sinks.warehouse import load
-from tamarind.sources.lake import read_source
+from tamarind.sources.lake import read_range, read_source
 
 
-def build(spark: SparkSession, spec, ctx: RunContext) -> DataFrame:
-    """Read every declared source (lazily) and build the table's plan."""
+def build(spark: SparkSession, spec, ctx: RunContext, inputs: dict | None = None) -> DataFrame:
+    """Read every declared source (lazily) and build the table's plan.
+
+    The job date is resolved once, from the context's clock, so all sources of a table see
+    the same day. ``inputs`` holds sources that have been read already.
+    """
     if spec.full_default and ctx.year is None:
         ctx = replace(ctx, full=True)
-    inputs = {s.alias: read_source(spark, s, ctx) for s in spec.sources}
-    return spec.build(inputs, ctx)
+    ctx = ctx.resolved()
+    given = inputs or {}
+    frames = {s.alias: given[s.alias] if s.alias in given else read_source(spark, s, ctx) for s in spec.sources}
+    return spec.build(frames, ctx)
 
 
-def run(spark: SparkSession, spec, ctx: RunContext) -> dict:
-    """M1: read -> build -> load; one action (the load)."""
+def run(spark: SparkSession, spec, ctx: RunContext, inputs: dict | None = None) -> dict:
+    """M1: read -> build -> load."""
     if ctx.warehouse_root is None:
         raise ValueError("run needs ctx.warehouse_root")
-    return load(spark, build(spark, spec, ctx), ctx.warehouse_root, spec)
+    return load(spark, build(spark, spec, ctx, inputs), ctx.warehouse_root, spec)
+
+
+def _days(start: _dt.date, end: _dt.date):
+    while start <= end:
+        yield start
+        start += _dt.timedelta(days=1)
+
+
+def _run_days(spark: SparkSession, spec, ctx: RunContext, start: _dt.date, end: _dt.date) -> list[dict]:
+    """Day by day. The newest-per-key lookups do not depend on the day: they are read once,
+    written to the scratch folder and used for every day."""
+    folder = f"{scratch_root(spark)}/range-{uuid.uuid4().hex}"
+    lookups, out = {}, []
+    try:
+        for s in spec.sources:
+            if s.kind == S.LATEST and start < end:
+                df = read_source(spark, s, ctx.with_date(start))
+                df.write.parquet(f"{folder}/{s.alias}")
+                lookups[s.alias] = spark.read.schema(df.schema).parquet(f"{folder}/{s.alias}")
+        for day in _days(start, end):
+            out.append(run(spark, spec, ctx.with_date(day), lookups))
+    finally:
+        remove_path(spark, folder)
+    return out
+
+
+def _run_at_once(spark: SparkSession, spec, ctx: RunContext, start: _dt.date, end: _dt.date) -> list[dict]:
+    """One read of the whole range, for specs whose rows carry their lake day in the key."""
+    inputs = {s.alias: read_range(spark, s, ctx.lake_root, start, end) for s in spec.sources if s.kind == S.LAKE}
+    return [run(spark, spec, ctx.with_date(end), inputs)]
+
 
+def run_range(spark: SparkSession, specs, ctx: RunContext, start: _dt.date, end: _dt.date) -> list[dict]:
+    """M2: one or several tables over a date range, table by table.
 
-def run_range(spark: SparkSession, spec, ctx: RunContext, start: _dt.date, end: _dt.date) -> list[dict]:
-    """M2: day by day, in order — a later day replaces keys of an earlier one."""
+    Days run in order, since a later day replaces keys of an earlier one; a ``row_local``
+    table reads the range in one scan, which gives the same rows. Returns one report per load.
+    """
     out = []
-    d = start
-    while d <= end:
-        out.append(run(spark, spec, ctx.with_date(d)))
-        d += _dt.timedelta(days=1)
+    for spec in [specs] if isinstance(specs, S.TableSpec) else specs:
+        out += (_run_at_once if spec.row_local else _run_days)(spark, spec, ctx, start, end)
     return out
 
 
-def run_all(spark: SparkSession, specs, ctx: RunContext) -> dict:
-    """M4: every spec in registry order; a failure is reported per table, not fatal."""
+def run_all(spark: SparkSession, specs, ctx: RunContext, start: _dt.date | None = None, end: _dt.date | None = None) -> dict:
+    """M3, M4: every spec in registry order, for the context's date, in full, or over a date
+    range; a failure is reported per table, not fatal."""
     report = {}
     for spec in specs:
         try:
-            report[spec.name] = run(spark, spec, ctx)
+            report[spec.name] = run(spark, spec, ctx) if start is None else run_range(spark, spec, ctx, start, end or start)
         except Exception as e:  # noqa: BLE001 - reported per table
             report[spec.name] = {"error": f"{type(e).__name__}: {e}"}
     return report

@@ -3,7 +3,8 @@
 Broadcast is used only behind a size check: the optimizer's size estimate of the
 lookup side must be below ``max_bytes``.  Beyond it the plain join stays, so Spark
 chooses a shuffle join (and AQE may still turn it into a broadcast join from
-run-time sizes, or split skewed partitions).
+run-time sizes, or split skewed partitions).  The estimate counts compressed file
+bytes, so the limit is kept well below what an executor could hold.
 """
 
 from __future__ import annotations
@@ -11,15 +12,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+DEFAULT_BROADCAST_BYTES = 16 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of the optimized plan (an upper-bound style guess)."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # pragma: no cover - estimate unavailable
-        return 1 << 62
+    """Catalyst's size estimate of the optimized plan, in bytes."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def maybe_broadcast(df: DataFrame, max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:

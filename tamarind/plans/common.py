@@ -1,4 +1,8 @@
-"""Shared pieces of the table builders."""
+"""Shared pieces of the table builders.
+
+The schemas, column lists, keys, address groups and permission pairs in the plan modules are
+fixed values: they are the contract of the source and target tables.
+"""
 
 from __future__ import annotations
 

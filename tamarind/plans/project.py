@@ -185,6 +185,7 @@ FACT_PMSCOMPANY_PROJECTS = schema(f"""{AUDIT}, date_id:date, mapping_log_id:long
 FACT_PMSPROJECT_FEATURES = schema(f"""{AUDIT}, date_id:date, project_id:long, feature_id:long, feature_enabled:str,
     company_id:long, rec_actv_flag:str, crtd_by:str, crtd_dttm:ts, updt_by:str, updt_dttm:ts""")
 
+# fixed values: columns of the source and target tables
 PERMISSIONS = [("can_all", "is_all"), ("can_view", "is_view"), ("can_create", "is_create"), ("can_edit", "is_edit"),
                ("can_print", "is_print"), ("can_approve", "is_approve"), ("can_cancel", "is_cancel"),
                ("allowed", "is_allowed")]

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import functions as F
 
 from tamarind import functions as fn
@@ -129,7 +132,7 @@ def build_fact_unitresident(src: dict, ctx):
 SPECS = [
     TableSpec("fact_authuser", "fact_authuser", ("date_id", "auth_id"),
               (Source("users", "users", app="authentication", source_type="postgresql"),),
-              build_fact_authuser, FACT_AUTHUSER),
+              build_fact_authuser, FACT_AUTHUSER, row_local=True),
     TableSpec("dim_party_homeservice", "dim_party", ("date_id", "party_id", "party_type_id"),
               (Source("seekster_provider", "seekster_provider", app="homeservice",
                       columns=("provider_id", "provider_name", "registered_name", "is_active", "create_date",
@@ -274,7 +277,7 @@ SPECS += [
         Source("users_consent", "users_consent", **_PDPA),
         Source("consents", "consents", kind=LATEST, keys=("id",), **_PDPA),
         Source("consent_versions", "consent_versions", kind=LATEST, keys=("id",), **_PDPA),
-    ), build_fact_userconsent, FACT_USERCONSENT),
+    ), build_fact_userconsent, FACT_USERCONSENT, row_local=True),
     TableSpec("dim_pmsuserprofile", "dim_pmsuserprofile", ("date_id", "user_id"), (
         Source("users", "users", **_PMS),
         Source("profiles", "profiles", kind=LATEST, keys=("id",), **_PMS),
@@ -282,6 +285,7 @@ SPECS += [
 ]
 
 
+# fixed values: columns of the source and target tables
 _PERM_COLS = ["view", "insert", "update", "delete", "print", "cancel", "approve"]
 _PERM_SRC = ["fcselect", "fcinsert", "fcupdate", "fcdelete", "fcprint", "fccancel", "fcapprove"]
 DIM_USERPERMISSION = schema(f"""{AUDIT}, date_id:date, user_id:str, user_cd:str, user_nm:str, user_status:str,
@@ -484,32 +488,30 @@ def build_dim_mobile_user(src: dict, ctx):
     """App customers matched by phone to unit owners and residents (history of
     units, residences and parties), plus their devices."""
     room = src["tmRoomH_mobileuser"]
-    rooms = (unpivot(room.select("fcid", "ftcreatedate", "ftupdatedate", *MOBILE_OWNER_COLS),
-                     ["fcid", "ftcreatedate", "ftupdatedate"], MOBILE_OWNER_COLS, "owner_type", "fcownerid")
-             .where(F.col("fcownerid").isNotNull() & (F.col("fcownerid") != "")).distinct())
-    hist = src["ttCORHist_mobileuser"]
-    residents = (hist.where(fn.strip("fctype").isin(RESIDENT_TYPES))
-                 .select("fccornewrentalid", "fcroomid").distinct())
+    owned = (unpivot(room.select("fcid", *MOBILE_OWNER_COLS), ["fcid"], MOBILE_OWNER_COLS, "owner_type", "fcownerid")
+             .where(F.col("fcownerid").isNotNull() & (F.col("fcownerid") != "")))
+    some_owner = reduce(or_, [F.col(c).isNotNull() & (F.col(c) != "") for c in MOBILE_OWNER_COLS])
+    rooms = room.where(some_owner).select(fn.strip("fcid").alias("room_k"))
+    residents = src["ttCORHist_mobileuser"].where(fn.strip("fctype").isin(RESIDENT_TYPES))
     cor = src["tmCOR"].withColumn("fcshipmobile", fn.strip("fcshipmobile"))
     cor_all = (cor.where(F.col("fcshipmobile").isNotNull() & (F.col("fcshipmobile") != ""))
-               .select("fcid", fn.phone_pad9("fcshipmobile").alias("mobile_phone")).distinct())
+               .select("fcid", fn.phone_pad9("fcshipmobile").alias("mobile_phone")))
     # owners: party (stripped id) = unit owner (stripped)
-    owner_all = (cor_all.select(fn.strip("fcid").alias("k"), F.col("fcid").alias("fcid_raw"), "mobile_phone")
-                 .join(rooms.select(fn.strip("fcownerid").alias("k"), F.col("fcid").alias("fcid_room")), "k")
-                 .select(F.col("k").alias("fcid_cor"), "mobile_phone", "fcid_room"))
-    # residents: residence (stripped renter) = party id (as is), then room (stripped both sides)
-    res = (residents.select(fn.strip("fccornewrentalid").alias("fcid"), fn.strip("fcroomid").alias("room_k"))
-           .join(cor_all, "fcid"))
-    resident_all = (res.join(rooms.select(fn.strip("fcid").alias("room_k")), "room_k")
-                    .select(F.col("fcid").alias("fcid_cor"), "mobile_phone", F.col("room_k").alias("fcid_room")))
-    corall = owner_all.unionByName(resident_all).distinct().select(
-        fn.strip("mobile_phone").alias("mobile_phone_cor"), "fcid_room")
+    owner_all = (cor_all.select(fn.strip("fcid").alias("k"), "mobile_phone")
+                 .join(owned.select(fn.strip("fcownerid").alias("k"), F.col("fcid").alias("fcid_room")), "k"))
+    # residents: residence (stripped renter) = party id (as is); their room has to be an owned one
+    res = residents.select(fn.strip("fccornewrentalid").alias("fcid"), fn.strip("fcroomid").alias("room_k"))
+    resident_all = res.join(rooms, "room_k", "left_semi").join(cor_all, "fcid")
+    corall = (owner_all.select("mobile_phone", "fcid_room")
+              .unionByName(resident_all.select("mobile_phone", F.col("room_k").alias("fcid_room")))
+              .select(fn.strip("mobile_phone").alias("mobile_phone_cor"), "fcid_room").distinct())
     cus = src["customer"]
     cus = cus.select("*", fn.strip(fn.phone_pad9(fn.strip("phonenumber"))).alias("mobile_phone"))
     device = src["gu_device"].select(F.col("customer_id").cast("string").alias("customer_id_device"),
                                      F.col("device_id")).distinct()
     df = lookup_join(cus, corall, "mobile_phone", "mobile_phone_cor", "left")
-    df = lookup_join(df, device, F.col("id").cast("string"), "customer_id_device", "left")
+    # a device without customer belongs to customers without id: null matches null here
+    df = lookup_join(df, device, F.col("id").cast("string"), "customer_id_device", "left", null_safe=True)
     crtd = fn.to_ts("creationtime")
     unit = F.coalesce(F.col("fcid_room"), F.lit("0"))
     df = with_audit(df, ctx.run_ts).select(
@@ -536,7 +538,7 @@ SPECS += [
         Source("tmCOR", "tmCOR", kind=HISTORY, columns=("fcid", "fcshipmobile", "ftcreatedate", "ftupdatedate")),
         Source("gu_device", "gu_device", app="notification", source_type="postgresql",
                columns=("customer_id", "device_id")),
-    ), build_dim_mobile_user, DIM_MOBILE_USER, full_default=True),
+    ), build_dim_mobile_user, DIM_MOBILE_USER, full_default=True, sort=("customer_id",)),
 ]
 
 
@@ -569,7 +571,7 @@ def build_dim_party_memberstatus(src: dict, ctx):
 SPECS += [
     TableSpec("dim_party_memberstatus", "dim_party", _PARTY_PK, (
         Source("tmMemberLoyalty", "tmMemberLoyalty", app="loyalty", columns=("fcuserid", "ftcreatedate", "ftupdatedate")),
-        Source("dim_party", "dim_party", kind=WAREHOUSE),
+        Source("dim_party", "dim_party", kind=WAREHOUSE, schema=DIM_PARTY),
         Source("tmmobileuser", "tmmobileuser", columns=("fcphoneno", "fcuserid", "fnnatid"), kind=LATEST,
                keys=("fcuserid",)),
         Source("tmShareFriend", "tmShareFriend", app="loyalty", columns=("fcuserid", "fcfrienduserid"), kind=LATEST,

@@ -665,7 +665,7 @@ FROM orders"""
 ADAPTERS["ttCORHist_mobileuser"] = f"""
 SELECT
   'H' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS fcid,
-  (CASE l_partkey % 9 WHEN 0 THEN ' C' || CAST(l_partkey % 1500 AS STRING) ELSE 'C' || CAST(l_partkey % 1500 AS STRING) END) AS fccornewrentalid,
+  (CASE l_partkey % 9 WHEN 0 THEN ' C' || CAST(l_partkey AS STRING) ELSE 'C' || CAST(l_partkey AS STRING) END) AS fccornewrentalid,
   (CASE l_suppkey % 5 WHEN 0 THEN 'U' || CAST(l_orderkey AS STRING) || ' ' ELSE 'U' || CAST(l_orderkey AS STRING) END) AS fcroomid,
   (CASE l_linenumber % 4 WHEN 0 THEN 'Rential' WHEN 1 THEN ' Stay ' WHEN 2 THEN 'Owner' ELSE NULL END) AS fctype,
   {dirty_date("l_shipdate", "l_orderkey")} AS ftcreatedate, {dirty_date("l_shipdate", "l_partkey", 3)} AS ftupdatedate,
@@ -713,15 +713,16 @@ SELECT 'ACC' || CAST(p_partkey % 300 AS STRING) AS fcid, {dirty_text("'A' || CAS
   CAST(2000 + floor(p_partkey / 300) AS INT) AS calendar_year, CAST(1 AS INT) AS month_no, CAST(1 AS INT) AS day_of_month
 FROM part"""
 
-# loyalty members: one per event
+# loyalty members: one membership for each app user
 ADAPTERS["tmMemberLoyalty"] = f"""
 SELECT
-  (CASE event_id % 4 WHEN 0 THEN 'MU' ELSE 'mu' END) || CAST(event_id % 20000 AS STRING) AS fcuserid,
-  {dirty_date("ts", "event_id")} AS ftcreatedate, {dirty_date("ts", "event_id", 5)} AS ftupdatedate
-FROM events"""
+  (CASE c_custkey % 4 WHEN 0 THEN 'MU' ELSE 'mu' END) || CAST(c_custkey AS STRING) AS fcuserid,
+  {kdate("c_custkey", 4)} AS ftcreatedate, {kdate("c_custkey", 11)} AS ftupdatedate,
+  CAST(2024 AS INT) AS calendar_year, CAST(1 + c_custkey % 12 AS INT) AS month_no, CAST(1 + c_custkey % 28 AS INT) AS day_of_month
+FROM customer"""
 
-# share-a-friend links: one per event (referrer, friend)
+# share-a-friend links: two referrers at most for each app user, in versions
 ADAPTERS["tmShareFriend"] = """
-SELECT 'REF' || CAST(user_id AS STRING) AS fcuserid, 'mu' || CAST((event_id * 7) % 20000 AS STRING) AS fcfrienduserid,
-  CAST(year(ts) AS INT) AS calendar_year, CAST(month(ts) AS INT) AS month_no, CAST(day(ts) AS INT) AS day_of_month
-FROM events"""
+SELECT 'REF' || CAST(c_custkey + v AS STRING) AS fcuserid, 'mu' || CAST(c_custkey AS STRING) AS fcfrienduserid,
+  CAST(2023 + v AS INT) AS calendar_year, CAST(1 + c_custkey % 12 AS INT) AS month_no, CAST(1 + c_custkey % 28 AS INT) AS day_of_month
+FROM customer CROSS JOIN (SELECT 0 AS v UNION ALL SELECT 1) WHERE (c_custkey + v) % 3 > 0"""

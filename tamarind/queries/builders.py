@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from tamarind.context import RunContext
+from tamarind.functions.codes import (BOOKBANK_TYPE, BOOKBANK_USETYPE, FLAG_LOWER_YN_TF, FLAG_UPPER_YN_TF, FLAG_YN,
+                                      FLAG_YN_TF, GENDER, IS_DELETED, LIVING_TYPE)
 from tamarind.queries import sqlfn as q
 from tamarind.queries.adapters import ADAPTERS
-from tamarind.queries.tables import RUN_TS, register
+from tamarind.queries.tables import RUN_TS, select
 from tamarind.sources.lake import PART_COLS, latest_per_key
 from tamarind.spec import HISTORY, LATEST
 
@@ -17,7 +19,6 @@ CTX = RunContext(lake_root="", run_ts=RUN_TS)
 def adapter_inputs(spark, sf_dir, spec, overrides: dict | None = None) -> dict:
     """Each declared source, read from its adapter; newest-per-key sources ranked by
     the library's own ``latest_per_key``."""
-    register(spark, sf_dir)
     overrides = overrides or {}
     out = {}
     for s in spec.sources:
@@ -25,7 +26,7 @@ def adapter_inputs(spark, sf_dir, spec, overrides: dict | None = None) -> dict:
         if callable(src):  # a warehouse table that Spark derives from the test tables
             out[s.alias] = src(spark, sf_dir)
             continue
-        df = spark.sql(ADAPTERS[src])
+        df = select(spark, sf_dir, ADAPTERS[src])
         if s.kind == LATEST:
             df = latest_per_key(df, s.keys, tie=s.tie)
         if s.columns:
@@ -63,8 +64,8 @@ SELECT DISTINCT {q.AUDIT},
   {q.clean('r.fccode')} AS unit_number,
   {q.clean('r.fcaddressno')} AS room_number,
   {q.to_double('r.fcownerratio', 0.0)} AS own_area_ratio,
-  {q.case_map('r.fcleveingtype', {"1": "อยู่เอง", "2": "ปล่อยเช่า", "3": "เช่าพื้นที่ส่วนกลาง"})} AS living_type,
-  {q.case_map('upper(r.fcisactive)', {"N": "0", "FALSE": "0", "Y": "1", "TRUE": "1"})} AS rec_actv_flag,
+  {q.case_map('r.fcleveingtype', LIVING_TYPE)} AS living_type,
+  {q.case_map('upper(r.fcisactive)', FLAG_UPPER_YN_TF)} AS rec_actv_flag,
   {q.to_ts('r.ftcreatedate')} AS crtd_dttm, r.fccreateby AS crtd_by,
   {q.to_ts('r.ftupdatedate')} AS updt_dttm, coalesce(r.fcupdateby, r.fccreateby) AS updt_by,
   r.fcid AS unit_id, b.fccomid AS project_id,
@@ -88,8 +89,8 @@ SELECT DISTINCT {q.AUDIT},
   {q.to_ts(q.be_to_ce('x.fttransferdate', 2500))} AS transfer_date,
   {q.to_ts(q.be_to_ce('x.ftdatein', 2500))} AS move_in_date,
   {q.to_ts(q.be_to_ce('x.ftdateout', 2500))} AS move_out_date,
-  {q.clean(q.case_map(q.strip('x.fcleveingtype'), {"1": "อยู่เอง", "2": "ปล่อยเช่า", "3": "เช่าพื้นที่ส่วนกลาง"}))} AS resident_type,
-  {q.case_map('lower(x.fcisactive)', {"n": "0", "false": "0", "y": "1", "true": "1"})} AS rec_actv_flag,
+  {q.clean(q.case_map(q.strip('x.fcleveingtype'), LIVING_TYPE))} AS resident_type,
+  {q.case_map('lower(x.fcisactive)', FLAG_LOWER_YN_TF)} AS rec_actv_flag,
   {q.to_ts('x.ftcreatedate')} AS crtd_dttm, {q.clean('x.fccreateby')} AS crtd_by,
   {q.to_ts('x.ftupdatedate')} AS updt_dttm, {q.clean('x.fcupdateby')} AS updt_by,
   {q.clean('x.fcid')} AS unit_id, {q.clean('b.fccomid')} AS project_id, {q.clean('x.ownerid')} AS party_id,
@@ -99,14 +100,13 @@ WHERE x.ownerid IS NOT NULL AND {q.strip('x.ownerid')} <> ''"""
 
 
 # ---------------------------------------------------------------- user -----
-_IS_DEL = {"true": "1", "false": "0", "1": "1", "0": "0", "nan": "0"}
 QUERIES["b_fact_authuser"] = make(user.SPECS[0], {"users": "auth_users"})
 ORACLES["b_fact_authuser"] = f"""
 WITH u AS (SELECT {q.nullif_all('id, mobile_user_id, phone_number, country_code, is_deleted, created_time, updated_time')},
   calendar_year, month_no, day_of_month FROM {A('auth_users')})
 SELECT DISTINCT {q.AUDIT}, make_date(calendar_year, month_no, day_of_month) AS date_id, {q.to_long('id')} AS auth_id,
   mobile_user_id, {q.clean('phone_number')} AS phone_number, {q.clean('country_code')} AS country_code,
-  CASE WHEN is_deleted IS NULL THEN '0' ELSE {q.case_map('lower(is_deleted)', _IS_DEL)} END AS is_deleted,
+  CASE WHEN is_deleted IS NULL THEN '0' ELSE {q.case_map('lower(is_deleted)', IS_DELETED)} END AS is_deleted,
   '1' AS rec_actv_flag, {q.to_ts('created_time')} AS crtd_dttm, CAST(NULL AS VARCHAR) AS crtd_by,
   {q.to_ts('updated_time')} AS updt_dttm, CAST(NULL AS VARCHAR) AS updt_by
 FROM u"""
@@ -134,7 +134,7 @@ ORACLES["b_fact_user"] = f"""
 SELECT DISTINCT {q.AUDIT},
   {q.date_text(q.be_to_ce('coalesce(ftupdatedate, ftcreatedate)', 2400), 2)} AS date_id,
   {q.clean('fcid')} AS user_id, {q.clean('fcusgid')} AS usergroup_id, {q.clean('fccode')} AS user_cd,
-  {q.clean('fcname')} AS user_nm, {q.case_map('upper(fcisactive)', {"N": "0", "Y": "1"})} AS user_status,
+  {q.clean('fcname')} AS user_nm, {q.case_map('upper(fcisactive)', FLAG_YN)} AS user_status,
   CAST(NULL AS VARCHAR) AS rec_actv_flag,
   {q.to_ts(q.be_to_ce('ftcreatedate', 2400))} AS crtd_dttm, {q.clean('fccreator')} AS crtd_by,
   {q.to_ts(q.be_to_ce('ftupdatedate', 2400))} AS updt_dttm,
@@ -248,7 +248,7 @@ from tamarind.functions.codes import PROJECT_TYPE as _PT  # noqa: E402
 QUERIES["b_dim_address_type"] = make(project.SPECS[3])
 ORACLES["b_dim_address_type"] = f"""
 SELECT {q.AUDIT}, fcaddressnameth AS addr_type_name_th, fcaddressnameen AS addr_type_name_en,
-  {q.case_map('fcisactive', {"N": "0", "Y": "1"})} AS rec_actv_flag, {q.to_ts('ftcreatedate')} AS crtd_dttm,
+  {q.case_map('fcisactive', FLAG_YN)} AS rec_actv_flag, {q.to_ts('ftcreatedate')} AS crtd_dttm,
   fccreateby AS crtd_by, {q.to_ts('ftupdatedate')} AS updt_dttm, coalesce(fcupdateby, fccreateby) AS updt_by,
   CAST(fnid AS BIGINT) AS addr_type_id, {q.date_text('coalesce(ftupdatedate, ftcreatedate)')} AS date_id
 FROM {A('tmMobileAddressType')}"""
@@ -282,7 +282,7 @@ SELECT DISTINCT {q.AUDIT}, c.fccode AS project_code, {q.clean('c.fcname')} AS pr
   {q.case_map('CAST(t.fnitemno AS STRING)', _PT)} AS type,
   {q.strip(q.clean('c.fcaddr11') + " || ' ' || " + q.clean('c.fcaddr12') + " || ' ' || " + q.clean('c.fcaddr13'))} AS address,
   {q.nulls('subdistrict, district, province, postal_code')}, c.fcremark34 AS latitude, c.fcremark35 AS longtitude,
-  c.fcremark32 AS pmc_id, {q.case_map('upper(c.fcisactive)', {"N": "0", "Y": "1", "FALSE": "0", "TRUE": "1"})} AS rec_actv_flag,
+  c.fcremark32 AS pmc_id, {q.case_map('upper(c.fcisactive)', FLAG_UPPER_YN_TF)} AS rec_actv_flag,
   {q.to_ts('c.ftcreatedate')} AS crtd_dttm, c.fccreator AS crtd_by, {q.to_ts('c.ftupdatedate')} AS updt_dttm,
   c.fcupdateby AS updt_by, c.fcid AS project_id, c.fcid AS project_profile_id,
   {q.date_text('coalesce(c.ftupdatedate, c.ftcreatedate)')} AS date_id, CAST(NULL AS VARCHAR) AS "IsContractActive",
@@ -399,7 +399,7 @@ u AS (SELECT DISTINCT * FROM ({_addr_group(5, 'fcaddress1', 'fcaddress3', 'fcadd
   UNION ALL {_addr_group(3, 'fcshipaddr1', 'fcshipaddr3', 'fcshipaddrsubdistrict', 'fcshipaddrdistrict', 'fcshipzipcode')}
   UNION ALL {_addr_group(4, 'fcbilltoaddr1', 'fcbilltoaddr3', 'fcbilltoaddrsubdistrict', 'fcbilltoaddrdistrict', 'fcbilltozipcode')}))
 SELECT {q.AUDIT}, split_part(addr_no, ' ', 1) AS addr_no, sub_dstc, dstc, prvn, zip_cd,
-  {q.case_map('fcisactive', {"N": "0", "Y": "1", "false": "0", "true": "1"})} AS rec_actv_flag,
+  {q.case_map('fcisactive', FLAG_YN_TF)} AS rec_actv_flag,
   {q.to_ts('ftcreatedate')} AS crtd_dttm, fccreator AS crtd_by, {q.to_ts('ftupdatedate')} AS updt_dttm,
   coalesce(fccreator, fcupdateby) AS updt_by, CAST(NULL AS VARCHAR) AS ref_addr_id, fcid AS party_id,
   CAST(addr_type_id AS BIGINT) AS addr_type_id, {_DID} AS date_id,
@@ -410,7 +410,7 @@ QUERIES["b_dim_address_mobileuser"] = make(project.SPECS[11])
 ORACLES["b_dim_address_mobileuser"] = f"""
 WITH a AS {A('tmMobileUser_Address')}, p AS {L('tmPostCode', 'fnid')}
 SELECT {q.AUDIT}, a.fcaddress AS addr_no, p.fcsubdistrictth AS sub_dstc, p.fcdistrictth AS dstc, p.fcprovinceth AS prvn,
-  p.fcpostcode AS zip_cd, {q.case_map('a.fcisactive', {"N": "0", "false": "0", "Y": "1", "true": "1"})} AS rec_actv_flag,
+  p.fcpostcode AS zip_cd, {q.case_map('a.fcisactive', FLAG_YN_TF)} AS rec_actv_flag,
   {q.to_ts('a.ftcreatedate')} AS crtd_dttm, a.fccreateby AS crtd_by, {q.to_ts('a.ftupdatedate')} AS updt_dttm,
   coalesce(a.fccreateby, a.fcupdateby) AS updt_by, CAST(a.fnid AS STRING) AS ref_addr_id, a.fcmobileuserid AS party_id,
   CAST(a.fcaddrtype AS BIGINT) AS addr_type_id, {q.date_text('coalesce(a.ftupdatedate, a.ftcreatedate)')} AS date_id,
@@ -434,7 +434,7 @@ SELECT DISTINCT {q.AUDIT}, {q.date_text('coalesce(a.ftupdatedate, a.ftcreatedate
   {q.clean('b.fccomid')} AS project_id, {q.clean('a.fcbrnid')} AS branch_id, {q.clean('g.fcid')} AS usergroup_id,
   {q.clean('g.fcname')} AS usergroup_nm, g.fcisactive AS usergroup_status, {q.clean('a.fcmnuid')} AS mnu_id,
   {q.clean('m.fccode')} AS mnu_nm_eng, {q.clean('m.fcname')} AS mnu_nm_thai, {_PERM_SQL},
-  {q.case_map('upper(u.fcisactive)', {"N": "0", "Y": "1", "FALSE": "0", "TRUE": "1"})} AS rec_actv_flag,
+  {q.case_map('upper(u.fcisactive)', FLAG_UPPER_YN_TF)} AS rec_actv_flag,
   {q.to_ts('g.ftcreatedate')} AS crtd_dttm, g.fccreator AS crtd_by, {q.to_ts('g.ftupdatedate')} AS updt_dttm,
   g.fcupdateby AS updt_by
 {_PERM_FROM} JOIN {L('tmUSR', 'fcid')} u ON a.fcusgid = u.fcusgid {_MNU_JOIN}"""
@@ -444,7 +444,7 @@ ORACLES["b_fact_userpermission"] = f"""
 SELECT DISTINCT {q.AUDIT},
   {q.date_text(q.be_to_ce('coalesce(a.ftupdatedate, a.ftcreatedate)', 2400), 2)} AS date_id,
   {q.clean('b.fccomid')} AS project_id, {q.clean('a.fcbrnid')} AS branch_id, {q.clean('a.fcusgid')} AS usergroup_id,
-  {q.clean('g.fcname')} AS usergroup_nm, {q.case_map('upper(g.fcisactive)', {"N": "0", "Y": "1"})} AS usergroup_status,
+  {q.clean('g.fcname')} AS usergroup_nm, {q.case_map('upper(g.fcisactive)', FLAG_YN)} AS usergroup_status,
   {q.clean('a.fcmnuid')} AS mnu_id, {q.clean('m.fccode')} AS mnu_nm_eng, {q.clean('m.fcname')} AS mnu_nm_thai, {_PERM_SQL},
   CAST(NULL AS VARCHAR) AS rec_actv_flag, {q.to_ts(q.be_to_ce('a.ftcreatedate', 2400))} AS crtd_dttm,
   CAST(NULL AS VARCHAR) AS crtd_by, {q.to_ts(q.be_to_ce('a.ftupdatedate', 2400))} AS updt_dttm,
@@ -453,8 +453,6 @@ SELECT DISTINCT {q.AUDIT},
 
 
 # --------------------------------------------------------------- party -----
-_GENDER = {'WOMAN': 'หญิง', 'FEMALE': 'หญิง', 'FAMALE': 'หญิง', 'MEN': 'ชาย', 'MALE': 'ชาย', 'MAN': 'ชาย',
-           'FEMALE/MAN': 'PreferNotToRespond', 'MAN/FEMALE': 'PreferNotToRespond', 'COMPANY': 'PreferNotToRespond'}
 _N = "CAST(NULL AS VARCHAR)"
 _TAIL = f"CAST(NULL AS DOUBLE) AS totl_kid, CAST(NULL AS DOUBLE) AS totl_eldr, {_N} AS mem_sts, CAST(NULL AS TIMESTAMP) AS mem_crtd_dttm, {_N} AS nationality_id"
 
@@ -469,12 +467,12 @@ SELECT DISTINCT {q.AUDIT}, u.fcname AS full_nm_th, {_N} AS titl_th, u.fcfirstnam
   {_GU_DOB} AS dob, CAST(2025 - year({_GU_DOB}) AS BIGINT) AS age, u.fctaxid AS th_id, u.fctaxid AS passport_no,
   u.fccountrycode AS cnty_cd, u.mob AS mob_no, u.fcemail AS email, {_N} AS edu, {_N} AS occu, {_N} AS income_range,
   {_N} AS mrtl_sts, {_N} AS rlgn, g.fcnameth AS gndr, {_N} AS fam_size,
-  {q.case_map('u.fcisactive', {"Y": "1", "N": "0"})} AS rec_actv_flag, {q.to_ts('u.ftcreatedate')} AS crtd_dttm,
+  {q.case_map('u.fcisactive', FLAG_YN)} AS rec_actv_flag, {q.to_ts('u.ftcreatedate')} AS crtd_dttm,
   u.fccreateby AS crtd_by, coalesce({q.to_ts('u.ftupdatedate')}, {q.to_ts('u.ftcreatedate')}) AS updt_dttm,
   coalesce(u.fcupdateby, u.fccreateby) AS updt_by, CAST(2 AS BIGINT) AS party_type_id, u.fcuserid AS party_id,
   {q.date_text('coalesce(u.ftupdatedate, u.ftcreatedate)')} AS date_id, {_N} AS mem_ref_code,
   CASE WHEN coalesce(regexp_matches(u.fcname, 'มหาชน|PCL'), FALSE) THEN 'PCL' ELSE 'LOCAL' END AS corporate_type, {_TAIL}
-FROM u LEFT JOIN g ON u.sex = g.gid"""
+FROM u LEFT JOIN (SELECT '0' || phonenumber AS ph FROM {A('mr_customer')}) cu ON u.mob = cu.ph LEFT JOIN g ON u.sex = g.gid"""
 
 _RU_DOB = q.to_ts(q.be_to_ce('c.ftbirthday', 2500))
 QUERIES["b_dim_party_ru"] = make(user.SPECS[12])
@@ -488,8 +486,8 @@ SELECT {q.AUDIT}, c.fcname AS full_nm_th, {q.nulls('titl_th, frst_nm_th, last_nm
   CAST(CASE WHEN {_RU_DOB} IS NOT NULL THEN 2025 - year({_RU_DOB}) ELSE {q.to_double('c.fnage', 0.0)} END AS BIGINT) AS age,
   c.fctaxid AS th_id, c.fcpassport AS passport_no, c.fccountrycode AS cnty_cd, c.fcshipmobile AS mob_no,
   c.fcshipemail AS email, c.fceducation AS edu, {_N} AS occu, {_N} AS income_range, c.fcmarrystatus AS mrtl_sts,
-  {_N} AS rlgn, {q.case_map('upper(c.fcsex)', _GENDER, 'ไม่ระบุเพศ')} AS gndr, {_N} AS fam_size,
-  {q.case_map('c.fcisactive', {"N": "0", "false": "0", "Y": "1", "true": "1"})} AS rec_actv_flag,
+  {_N} AS rlgn, {q.case_map('upper(c.fcsex)', GENDER, 'ไม่ระบุเพศ')} AS gndr, {_N} AS fam_size,
+  {q.case_map('c.fcisactive', FLAG_YN_TF)} AS rec_actv_flag,
   {q.to_ts('c.ftcreatedate')} AS crtd_dttm, c.fccreator AS crtd_by,
   coalesce({q.to_ts('c.ftupdatedate')}, {q.to_ts('c.ftcreatedate')}) AS updt_dttm,
   coalesce(c.fcupdateby, c.fccreator) AS updt_by, CAST(1 AS BIGINT) AS party_type_id, c.fcid AS party_id,
@@ -526,7 +524,7 @@ corall AS (SELECT DISTINCT {q.strip('mobile_phone')} AS mp, fcid_room FROM (SELE
 dev AS (SELECT DISTINCT CAST(customer_id AS STRING) AS cid, device_id FROM {A('gu_device')}),
 cus AS (SELECT *, {q.strip(_pad9(q.strip('phonenumber')))} AS mobile_phone FROM {A('mr_customer')}),
 j AS (SELECT cus.*, corall.fcid_room, dev.device_id FROM cus LEFT JOIN corall ON cus.mobile_phone = corall.mp
-  LEFT JOIN dev ON CAST(cus.id AS STRING) = dev.cid)
+  LEFT JOIN dev ON CAST(cus.id AS STRING) IS NOT DISTINCT FROM dev.cid)
 SELECT DISTINCT {q.AUDIT}, {q.date_text('coalesce(lastmodificationtime, creationtime)')} AS date_id,
   CAST(id AS BIGINT) AS customer_id, coalesce(fcid_room, '0') AS unit_id, device_id, username AS user_name,
   phonenumbercountrycode AS country_code, mobile_phone,
@@ -558,13 +556,13 @@ SELECT DISTINCT {q.AUDIT}, {q.date_text(f"coalesce({_E('k.ftupdatedate')}, {_E('
   {q.clean('n.fcname')} AS bank_nm, a.fcid AS account_id, {q.clean('a.fccode')} AS account_cd,
   {q.clean('a.fcname')} AS account_nm, od.fcid AS accountod_id, {q.clean('od.fccode')} AS accountod_cd,
   {q.clean('od.fcname')} AS accountod_nm, {q.clean('k.fcbankbrname')} AS bookbank_branch,
-  {q.case_map('k.fcbankbooktype', {"S": "สะสมทรัพย์", "C": "กระแสรายวัน", "F": "ฝากประจำ"})} AS bookbank_type,
-  {q.case_map('k.fcbankbookusetype', {"P": "จ่ายชำระ", "R": "รับชำระ", "B": "รับและจ่ายชำระ"})} AS bookbank_usetype,
+  {q.case_map('k.fcbankbooktype', BOOKBANK_TYPE)} AS bookbank_type,
+  {q.case_map('k.fcbankbookusetype', BOOKBANK_USETYPE)} AS bookbank_usetype,
   {q.to_ts(_E('k.ftbegdate'))} AS opening_dttm, {q.to_long('k.fnday')} AS numofdepositdays,
   {q.to_ts(_E('k.ftduedate'))} AS duedate_dttm, {q.to_double('k.fnbalamt')} AS balance_amt,
   {q.clean('k.fcremark1')} AS remark_nm, {q.clean('k.fcremark2')} AS deposit_nm, k.fcremark3 AS interest_rate,
   {q.clean('k.fcremark4')} AS objective, k.fcremark5 AS account_istransfer,
-  {q.case_map('upper(k.fcisactive)', {"N": "0", "FALSE": "0", "Y": "1", "TRUE": "1"})} AS rec_actv_flag,
+  {q.case_map('upper(k.fcisactive)', FLAG_UPPER_YN_TF)} AS rec_actv_flag,
   {q.to_ts(_E('k.ftcreatedate'))} AS crtd_dttm, k.fccreator AS crtd_by, {q.to_ts(_E('k.ftupdatedate'))} AS updt_dttm,
   coalesce(k.fcupdateby, k.fccreator) AS updt_by
 FROM k LEFT JOIN b ON k.fcbrnid = b.fcid LEFT JOIN pro ON b.fccomid = pro.project_id

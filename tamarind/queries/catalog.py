@@ -2,27 +2,12 @@
 
 from __future__ import annotations
 
+from tamarind.queries import builders, jobs, operators
+
 
 def all_queries() -> dict:
-    from tamarind.queries import builders
-    out = {}
-    try:
-        from tamarind.queries import operators
-        out.update(operators.QUERIES)
-    except ImportError:
-        pass
-    out.update(builders.QUERIES)
-    return out
+    return operators.QUERIES | builders.QUERIES | jobs.QUERIES
 
 
 def all_oracles() -> dict:
-    from tamarind.queries import builders
-    out = {}
-    try:
-        from tamarind.queries import operators
-        out.update(operators.ORACLES)
-        out["q_run_dim_unit"] = operators._run_dim_unit_oracle()
-    except ImportError:
-        pass
-    out.update(builders.ORACLES)
-    return out
+    return operators.ORACLES | builders.ORACLES | jobs.ORACLES

@@ -10,12 +10,12 @@ from pyspark.sql import Window
 
 from tamarind import functions as fn
 from tamarind import operators as op
-from tamarind.functions.codes import (BOOKBANK_TYPE, BOOKBANK_USETYPE, FLAG_LOWER_YN_TF, FLAG_UPPER_YN_TF,
-                                      FLAG_YN, FLAG_YN_TF, LIVING_TYPE, PCL_PATTERN_TH_ONLY, PROJECT_TYPE)
+from tamarind.functions.codes import (BOOKBANK_TYPE, BOOKBANK_USETYPE, FLAG_LOWER_YN_TF, FLAG_UPPER_YN_TF, FLAG_YN, FLAG_YN_TF,
+                                      GENDER, IS_DELETED, LIVING_TYPE, PCL_PATTERN_TH_ONLY, PROJECT_TYPE)
 from tamarind.context import RunContext
 from tamarind.queries import sqlfn as q
 from tamarind.queries.adapters import ADAPTERS
-from tamarind.queries.tables import RUN_TS, register, table
+from tamarind.queries.tables import RUN_TS, select, table
 from tamarind.session import path_exists, scratch_root
 from tamarind.sinks.warehouse import append, upsert
 from tamarind.sources import lake, warehouse as wh
@@ -40,15 +40,13 @@ def ensure_lake(spark, sf_dir: str, name: str, ts_col: str, app: str = "app", mo
         (table(spark, sf_dir, name)
          .withColumns({"calendar_year": F.year(ts_col), "month_no": F.month(ts_col),
                        "day_of_month": F.lit(1) if monthly else F.dayofmonth(ts_col)})
-         .repartition("calendar_year", "month_no", "day_of_month",
-                      F.pmod(F.xxhash64(*[F.col(c) for c in table(spark, sf_dir, name).columns]), F.lit(8)))
+         .hint("rebalance", "calendar_year", "month_no", "day_of_month")
          .write.mode("overwrite").partitionBy("calendar_year", "month_no", "day_of_month").parquet(path))
     return root
 
 
 def adapter(spark, sf_dir, name):
-    register(spark, sf_dir)
-    return spark.sql(ADAPTERS[name])
+    return select(spark, sf_dir, ADAPTERS[name])
 
 
 def reg(name, oracle=None):
@@ -140,8 +138,7 @@ DIM_ADDR = ("SELECT o_custkey AS party_id, o_orderkey AS addr_id, CAST(o_orderda
   WHERE rn = 1""")
 def q_latest_address(spark, sf_dir):
     """Newest home address (type 5) per party."""
-    register(spark, sf_dir)
-    return wh.latest_address(spark.sql(DIM_ADDR), 5)
+    return wh.latest_address(select(spark, sf_dir, DIM_ADDR), 5)
 
 
 DIM_PROJ = ("SELECT CAST(s_suppkey % 30 AS STRING) AS project_id, 'PJ' || CAST(s_suppkey AS STRING) AS project_code, "
@@ -156,9 +153,8 @@ DIM_PROJ = ("SELECT CAST(s_suppkey % 30 AS STRING) AS project_id, 'PJ' || CAST(s
   UNION ALL SELECT '-1', '(not set)', '(not set)'""")
 def q_project_default_row(spark, sf_dir):
     """Newest project per wanted id (semi join) plus the '(not set)' row."""
-    register(spark, sf_dir)
-    ids = spark.sql("SELECT CAST(n_nationkey AS STRING) AS id FROM nation")
-    return wh.project_with_default(spark.sql(DIM_PROJ), ids)
+    ids = select(spark, sf_dir, "SELECT CAST(n_nationkey AS STRING) AS id FROM nation")
+    return wh.project_with_default(select(spark, sf_dir, DIM_PROJ), ids)
 
 
 DIM_PARTY = ("SELECT (CASE c_custkey % 3 WHEN 0 THEN 'C' ELSE 'c' END) || CAST(c_custkey AS STRING) AS party_id, "
@@ -170,8 +166,7 @@ MEMBERS = "SELECT 'c' || CAST(o_custkey AS STRING) AS member_id FROM orders"
   AND lower(party_id) IN (SELECT member_id FROM ({MEMBERS}))""")
 def q_member_parties(spark, sf_dir):
     """Parties of type 1/2 whose lower-cased id is a member."""
-    register(spark, sf_dir)
-    return wh.member_parties(spark.sql(DIM_PARTY), spark.sql(MEMBERS))
+    return wh.member_parties(select(spark, sf_dir, DIM_PARTY), select(spark, sf_dir, MEMBERS))
 
 
 # ------------------------------------------------------- projections ----
@@ -256,8 +251,7 @@ PHONES_R = "SELECT o_orderkey, '0' || CAST(800000000 + o_custkey AS STRING) AS p
   ON (CASE WHEN length({q.strip('l.phone')}) = 9 THEN '0' || {q.strip('l.phone')} ELSE {q.strip('l.phone')} END) = r.phone""")
 def q_norm_key_join(spark, sf_dir):
     """Phones stripped and padded to 10 digits, then an equi-join."""
-    register(spark, sf_dir)
-    l_, r_ = spark.sql(PHONES_L), spark.sql(PHONES_R)
+    l_, r_ = select(spark, sf_dir, PHONES_L), select(spark, sf_dir, PHONES_R)
     l_ = l_.withColumn("pk", fn.phone_pad9(fn.strip("phone")))
     return op.lookup_join(l_, r_, "pk", "phone", "inner").select("o_orderkey", "c_custkey")
 
@@ -303,8 +297,7 @@ PART_VERSIONS = ("SELECT p_partkey AS pk, 1 AS version, p_name AS nm FROM part "
 def q_fanout(spark, sf_dir):
     """Many-to-many on a non-unique key (each part has two versions); output grows
     linearly (two rows per line item)."""
-    register(spark, sf_dir)
-    l_, v = table(spark, sf_dir, "lineitem"), spark.sql(PART_VERSIONS)
+    l_, v = table(spark, sf_dir, "lineitem"), select(spark, sf_dir, PART_VERSIONS)
     return op.lookup_join(l_, v, "l_partkey", "pk", "inner").select("l_orderkey", "l_linenumber", "version", "nm")
 
 
@@ -331,25 +324,24 @@ def q_anti(spark, sf_dir):
     return op.lookup_join(c, o, "c_custkey", "o_custkey", "left_anti").select("c_custkey", "c_name")
 
 
-NULLABLE_L = "SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderkey % 40 END AS k FROM orders"
-NULLABLE_R = "SELECT s_suppkey, CASE WHEN s_suppkey % 7 = 0 THEN NULL ELSE s_suppkey % 40 END AS k FROM supplier"
+# a fifth of the orders has no key, but one customer only, so the output grows with the orders
+NULLABLE_L = "SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_custkey END AS k FROM orders"
+NULLABLE_R = "SELECT c_custkey, CASE WHEN c_custkey = 7 THEN NULL ELSE c_custkey END AS k FROM customer"
 
 
-@reg("q_null_safe", f"""SELECT l.o_orderkey, r.s_suppkey FROM ({NULLABLE_L}) l JOIN ({NULLABLE_R}) r
+@reg("q_null_safe", f"""SELECT l.o_orderkey, r.c_custkey FROM ({NULLABLE_L}) l JOIN ({NULLABLE_R}) r
   ON l.k IS NOT DISTINCT FROM r.k""")
 def q_null_safe(spark, sf_dir):
     """Null-matching keys (null = null), still an equi-join."""
-    register(spark, sf_dir)
-    l_, r_ = spark.sql(NULLABLE_L), spark.sql(NULLABLE_R)
-    return op.lookup_join(l_, r_, "k", "k", "inner", null_safe=True).select("o_orderkey", "s_suppkey")
+    l_, r_ = select(spark, sf_dir, NULLABLE_L), select(spark, sf_dir, NULLABLE_R)
+    return op.lookup_join(l_, r_, "k", "k", "inner", null_safe=True).select("o_orderkey", "c_custkey")
 
 
-@reg("q_null_plain", f"""SELECT l.o_orderkey, r.s_suppkey FROM ({NULLABLE_L}) l LEFT JOIN ({NULLABLE_R}) r ON l.k = r.k""")
+@reg("q_null_plain", f"""SELECT l.o_orderkey, r.c_custkey FROM ({NULLABLE_L}) l LEFT JOIN ({NULLABLE_R}) r ON l.k = r.k""")
 def q_null_plain(spark, sf_dir):
     """J11 default: null keys never match (left join keeps them unmatched)."""
-    register(spark, sf_dir)
-    l_, r_ = spark.sql(NULLABLE_L), spark.sql(NULLABLE_R)
-    return op.lookup_join(l_, r_, "k", "k", "left").select("o_orderkey", "s_suppkey")
+    l_, r_ = select(spark, sf_dir, NULLABLE_L), select(spark, sf_dir, NULLABLE_R)
+    return op.lookup_join(l_, r_, "k", "k", "left").select("o_orderkey", "c_custkey")
 
 
 # --------------------------------------------------- distinct, counts ----
@@ -365,12 +357,15 @@ def q_distinct_subset(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select("l_suppkey").distinct()
 
 
-@reg("q_load_summary", "SELECT CAST(count(*) AS BIGINT) AS row_count, CAST(11 AS INTEGER) AS column_count FROM lineitem")
+@reg("q_load_summary", """SELECT CAST(count(*) AS BIGINT) AS row_count, CAST(5 AS INTEGER) AS column_count, FALSE AS skipped,
+  CAST(count_if(o_orderkey % 10 = 0) AS BIGINT) AS null_dates FROM orders""")
 def q_load_summary(spark, sf_dir):
-    """A5/K5: rows and columns of a frame, as a one-row summary."""
-    li = table(spark, sf_dir, "lineitem")
-    return li.agg(F.count(F.lit(1)).cast("bigint").alias("row_count")).select(
-        "row_count", F.lit(len(li.columns)).cast("int").alias("column_count"))
+    """A5/K5: what a load reports about itself: rows, columns, rows without a date."""
+    from tamarind.plans.common import schema
+    rows = select(spark, sf_dir, TARGET).withColumn("date_id", F.when(F.col("o_orderkey") % 10 != 0, F.col("date_id")))
+    out = append(spark, rows, _fresh_table(spark, sf_dir, "summary"), schema(_UP_SCHEMA))
+    return spark.createDataFrame([(out["rows"], out["columns"], out["skipped"], out["null_dates"])],
+                                 "row_count long, column_count int, skipped boolean, null_dates long")
 
 
 @reg("q_last_login", """SELECT u.user_id, m.last_login FROM (SELECT DISTINCT user_id FROM events) u
@@ -409,14 +404,10 @@ def q_union_distinct(spark, sf_dir):
 def q_unpivot(spark, sf_dir):
     """Key columns to rows, keeping the source column name (one scan)."""
     li = table(spark, sf_dir, "lineitem")
-    return op.unpivot(li, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey", "l_orderkey"], "key_col", "key_val") \
-        if False else op.unpivot(li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                                           F.col("l_orderkey").alias("l_orderkey_v")),
-                                 ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey", "l_orderkey_v"],
-                                 "key_col", "key_val").select(
-            "l_orderkey", "l_linenumber",
-            F.when(F.col("key_col") == "l_orderkey_v", F.lit("l_orderkey")).otherwise(F.col("key_col")).alias("key_col"),
-            "key_val")
+    wide = li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_orderkey").alias("l_orderkey_v"))
+    rows = op.unpivot(wide, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey", "l_orderkey_v"], "key_col", "key_val")
+    name = F.when(F.col("key_col") == "l_orderkey_v", F.lit("l_orderkey")).otherwise(F.col("key_col"))
+    return rows.select("l_orderkey", "l_linenumber", name.alias("key_col"), "key_val")
 
 
 @reg("q_unpivot_groups", """SELECT o_orderkey, 5 AS addr_type_id, o_orderstatus AS code, o_orderpriority AS label FROM orders
@@ -476,7 +467,7 @@ def q_bool(spark, sf_dir):
   {q.case_map('lower(flag)', FLAG_LOWER_YN_TF)} AS f_d,
   CASE WHEN flag IN ('N', 'false', '0') THEN '0' ELSE '1' END AS f_e,
   CASE WHEN lower(flag) IN ('true', '1') THEN '1' WHEN lower(flag) IN ('false', '0') THEN '0' END AS f_f,
-  CASE WHEN flag IS NULL THEN '0' ELSE {q.case_map('lower(flag)', {"true": "1", "false": "0", "1": "1", "0": "0", "nan": "0"})} END AS f_g,
+  CASE WHEN flag IS NULL THEN '0' ELSE {q.case_map('lower(flag)', IS_DELETED)} END AS f_g,
   CASE WHEN coalesce(CAST(k % 3 AS STRING), '0') = '0' THEN 'GU' ELSE 'RU' END AS user_type,
   coalesce(CASE WHEN k % 4 = 0 THEN NULL ELSE 'REF' || CAST(k AS STRING) END, '-') AS referral
   FROM {D}""")
@@ -494,7 +485,7 @@ def q_flags(spark, sf_dir):
 
 
 @reg("q_maps", f"""SELECT k,
-  {q.case_map('upper(sex)', {'WOMAN': 'หญิง', 'FEMALE': 'หญิง', 'FAMALE': 'หญิง', 'MEN': 'ชาย', 'MALE': 'ชาย', 'MAN': 'ชาย', 'FEMALE/MAN': 'PreferNotToRespond', 'MAN/FEMALE': 'PreferNotToRespond', 'COMPANY': 'PreferNotToRespond'}, 'ไม่ระบุเพศ')} AS gender,
+  {q.case_map('upper(sex)', GENDER, 'ไม่ระบุเพศ')} AS gender,
   {q.case_map('code', PROJECT_TYPE)} AS project_type,
   {q.case_map('code', LIVING_TYPE)} AS living_type,
   {q.case_map('bookcode', BOOKBANK_TYPE)} AS book_type,
@@ -614,11 +605,10 @@ def q_upsert(spark, sf_dir):
     """K1/K2/U4: replace-by-key into a date-partitioned table, via scratch staging and a
     dynamic partition overwrite; the whole table is read back."""
     from tamarind.plans.common import schema
-    register(spark, sf_dir)
     sch = schema(_UP_SCHEMA)
     path = _fresh_table(spark, sf_dir, "upsert")
-    append(spark, spark.sql(TARGET), path, sch)
-    upsert(spark, spark.sql(STAGED), path, ("date_id", "o_orderkey"), sch)
+    append(spark, select(spark, sf_dir, TARGET), path, sch)
+    upsert(spark, select(spark, sf_dir, STAGED), path, ("date_id", "o_orderkey"), sch)
     return spark.read.schema(sch).parquet(path).select(*[f.name for f in sch.fields])
 
 
@@ -626,31 +616,37 @@ def q_upsert(spark, sf_dir):
 def q_append(spark, sf_dir):
     """K3: append mode — no delete, every row added."""
     from tamarind.plans.common import schema
-    register(spark, sf_dir)
     sch = schema(_UP_SCHEMA)
     path = _fresh_table(spark, sf_dir, "append")
-    append(spark, spark.sql(TARGET), path, sch)
-    append(spark, spark.sql(STAGED), path, sch)
-    append(spark, spark.sql(STAGED).where(F.lit(False)), path, sch)  # K4: empty input writes nothing
+    append(spark, select(spark, sf_dir, TARGET), path, sch)
+    append(spark, select(spark, sf_dir, STAGED), path, sch)
+    append(spark, select(spark, sf_dir, STAGED).where(F.lit(False)), path, sch)  # K4: empty input writes nothing
     return spark.read.schema(sch).parquet(path).select(*[f.name for f in sch.fields])
 
 
-@reg("q_align_schema", """SELECT CAST(o_orderkey AS INTEGER) AS k32, CAST(trunc(o_totalprice) AS BIGINT) AS price_long,
+@reg("q_align_schema", """SELECT CAST(o_orderkey AS INTEGER) AS k32, CAST(round(o_totalprice) AS BIGINT) AS price_long,
+  CAST(CASE o_orderkey % 4 WHEN 0 THEN 3 WHEN 1 THEN -3 WHEN 2 THEN 2 ELSE 0 END AS BIGINT) AS half,
+  CAST(o_totalprice AS DECIMAL(38,9)) AS price_dec, CAST(o_orderdate AS TIMESTAMP) AS ts,
   CAST(o_orderdate AS DATE) AS d, CAST(o_custkey AS STRING) AS cust_txt FROM orders""")
 def q_align_schema(spark, sf_dir):
-    """K2: columns reordered, cast to the target types, extra columns dropped."""
+    """K2: columns reordered, cast to the target types, fractions rounded half away from zero
+    into integers, extra columns dropped."""
+    from pyspark.sql.types import DecimalType, StructField, StructType
     from tamarind.plans.common import schema
     from tamarind.sinks.warehouse import align_to_schema
+    halves = F.when(F.col("o_orderkey") % 4 == 0, 2.5).when(F.col("o_orderkey") % 4 == 1, -2.5).when(F.col("o_orderkey") % 4 == 2, 1.5).otherwise(0.4)
     o = table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("cust_txt"), F.col("o_orderdate").alias("d"), F.col("o_totalprice").alias("price_long"),
+        F.col("o_totalprice").alias("price_dec"), F.col("o_orderdate").cast("string").alias("ts"), halves.alias("half"),
         F.col("o_orderkey").alias("k32"), "o_orderstatus")
-    return align_to_schema(o, schema("k32:int, price_long:long, d:date, cust_txt:str"))
+    wanted = schema("k32:int, price_long:long, half:long, ts:ts, d:date, cust_txt:str").fields
+    return align_to_schema(o, StructType([*wanted[:3], StructField("price_dec", DecimalType(38, 9)), *wanted[3:]]))
 
 
 NULL_KEY_TARGET = ("SELECT CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_orderkey % 1000 END AS k, "
-                   f"o_orderstatus AS v, {MONTH_START} AS date_id FROM orders WHERE year(o_orderdate) = 1996")
+                   f"o_orderstatus AS v, {MONTH_START} AS date_id FROM orders")
 NULL_KEY_STAGED = ("SELECT CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_orderkey % 1000 END AS k, "
-                   f"'new' AS v, {MONTH_START} AS date_id FROM orders WHERE year(o_orderdate) = 1996 AND o_orderkey % 3 = 0")
+                   f"'new' AS v, {MONTH_START} AS date_id FROM orders WHERE o_orderkey % 3 = 0")
 
 
 @reg("q_upsert_null_key", f"""SELECT * FROM ({NULL_KEY_TARGET}) t WHERE NOT EXISTS (SELECT 1 FROM ({NULL_KEY_STAGED}) s
@@ -659,75 +655,26 @@ def q_upsert_null_key(spark, sf_dir):
     """A pk with a null part never matches, so old rows with it stay; several
     staged rows per pk all go in."""
     from tamarind.plans.common import schema
-    register(spark, sf_dir)
     sch = schema("k:long, v:str, date_id:date")
     path = _fresh_table(spark, sf_dir, "nullkey")
-    append(spark, spark.sql(NULL_KEY_TARGET), path, sch)
-    upsert(spark, spark.sql(NULL_KEY_STAGED), path, ("date_id", "k"), sch)
+    append(spark, select(spark, sf_dir, NULL_KEY_TARGET), path, sch)
+    upsert(spark, select(spark, sf_dir, NULL_KEY_STAGED), path, ("date_id", "k"), sch)
     return spark.read.schema(sch).parquet(path).select(*[f.name for f in sch.fields])
 
 
-# -------------------------------------------------------------- jobs ----
-def _events_build(src, ctx):
-    e = src["events"]
-    return e.select(F.col("event_id"), F.col("user_id"), F.col("event_type"),
-                    fn.date_id_from_ts("ts").alias("date_id"))
-
-
-_EV_SPEC = TableSpec("events_daily", "events_daily", ("date_id", "user_id", "event_type"),
-                     (Source("events", "events", app="app", columns=("event_id", "ts", "user_id", "event_type")),),
-                     _events_build, None)
-
-
-@reg("q_backfill_range", """SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS date_id FROM events
-  WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'""")
-def q_backfill_range(spark, sf_dir):
-    """M1-M4: a three-day range run, day by day (read -> build -> upsert), read back."""
-    from dataclasses import replace as _replace
-    from tamarind.jobs import run_range
-    from tamarind.plans.common import schema
-    root = ensure_lake(spark, sf_dir, "events", "ts")
-    spec = _replace(_EV_SPEC, schema=schema("event_id:long, user_id:long, event_type:str, date_id:date"))
-    wh_root = _fresh_table(spark, sf_dir, "jobs")
-    ctx = RunContext(lake_root=root, warehouse_root=wh_root, run_ts=RUN_TS)
-    run_range(spark, spec, ctx, _dt.date(2024, 1, 10), _dt.date(2024, 1, 12))
-    run_range(spark, spec, ctx, _dt.date(2024, 1, 11), _dt.date(2024, 1, 11))  # rerun of a day is a no-op
-    return spark.read.schema(spec.schema).parquet(f"{wh_root}/events_daily").select(*spec.schema.fieldNames())
-
-
-
-def ensure_adapter_lake(spark, sf_dir: str, adapter_name: str, app: str = "mssql") -> str:
-    """Write an adapter once as a lake table (partitioned by its date-part columns) in the
-    shared scratch folder; return the lake root."""
-    root = f"{scratch_root(spark)}/fixtures-{_tag(sf_dir)}/lake"
-    path = f"{root}/{app}/{adapter_name}"
+# ------------------------------------------------------------ fixtures ----
+def ensure_adapter_lake(spark, sf_dir: str, adapter_name: str, source: Source | None = None, monthly: bool = False) -> str:
+    """Write an adapter once as a lake table in the shared scratch folder, at the place that
+    ``source`` declares; return the lake root. An adapter without date parts is one day;
+    ``monthly`` puts each row on the first day of its month (fewer folders to list)."""
+    root = f"{scratch_root(spark)}/fixtures-{_tag(sf_dir)}/lake{'-monthly' if monthly else ''}"
+    path = (source or Source("", adapter_name)).path(root)
     if not path_exists(spark, f"{path}/_SUCCESS"):
         df = adapter(spark, sf_dir, adapter_name)
-        parts = ["calendar_year", "month_no", "day_of_month"]
-        (df.repartition(*parts, F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(8)))
-         .write.mode("overwrite").partitionBy(*parts).parquet(path))
+        for name, value in zip(lake.PART_COLS, (2024, 1, 1)):
+            if name not in df.columns:
+                df = df.withColumn(name, F.lit(value))
+        if monthly:
+            df = df.withColumn("day_of_month", F.lit(1))
+        df.hint("rebalance", *lake.PART_COLS).write.mode("overwrite").partitionBy(*lake.PART_COLS).parquet(path)
     return root
-
-
-def _run_dim_unit_oracle():
-    """One month of dim_unit; the rerun adds the rows whose date_id is null once more,
-    since a null key part never matches the delete (D16)."""
-    from tamarind.queries.builders import ORACLES as B
-    month = B["b_dim_unit"] + " WHERE r.calendar_year = 1996 AND r.month_no = 1"
-    return f"WITH m AS ({month}) SELECT * FROM m UNION ALL SELECT * FROM m WHERE date_id IS NULL"
-
-
-@reg("q_run_dim_unit")
-def q_run_dim_unit(spark, sf_dir):
-    """M1 end to end: the unit and branch sources as lake tables, one month's run of the
-    dim_unit spec (lake read S2 -> newest branch S10 -> build -> upsert K1), read back."""
-    from tamarind.jobs import run
-    from tamarind.plans.registry import BY_NAME
-    ensure_adapter_lake(spark, sf_dir, "tmBRN")
-    root = ensure_adapter_lake(spark, sf_dir, "tmRoomH")
-    spec = BY_NAME["dim_unit"]
-    wh_root = _fresh_table(spark, sf_dir, "run")
-    ctx = RunContext(lake_root=root, warehouse_root=wh_root, run_ts=RUN_TS, year=1996, month=1)
-    run(spark, spec, ctx)
-    run(spark, spec, ctx)  # a rerun replaces every key, except those with a null part (D16)
-    return spark.read.schema(spec.schema).parquet(f"{wh_root}/{spec.target}").select(*spec.schema.fieldNames())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -14,11 +16,18 @@ RUN_TS = _dt.datetime(2025, 1, 1, 3, 0, 0)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    from tamarind.session import spread_small_input
-    return spread_small_input(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def register(spark: SparkSession, sf_dir: str, sql: str) -> None:
+    """Register the test tables that ``sql`` names as temp views (lazy; no data read)."""
+    words = set(re.findall(r"\w+", sql))
+    for n in TABLES:
+        if n in words:
+            table(spark, sf_dir, n).createOrReplaceTempView(n)
 
 
-def register(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    """Register each test table as a temp view of its own name (lazy; no data read)."""
-    for n in names:
-        table(spark, sf_dir, n).createOrReplaceTempView(n)
+def select(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+    """``sql`` over the test tables that it names."""
+    register(spark, sf_dir, sql)
+    return spark.sql(sql)

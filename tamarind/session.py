@@ -19,6 +19,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # splits small enough that a table keeps every core busy and a partition fits in memory
+    "spark.sql.files.maxPartitionBytes": "32m",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -66,6 +68,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder (Hadoop FS API, any scheme)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return [f.getPath().getName() for f in p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)]
+
+
 def remove_path(spark: SparkSession, path: str, on_exit: bool = False) -> None:
     """Delete a scratch path now, or when the driver ends (Hadoop FS API, any scheme)."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -74,25 +82,3 @@ def remove_path(spark: SparkSession, path: str, on_exit: bool = False) -> None:
         fs.deleteOnExit(p)
     else:
         fs.delete(p, True)
-
-
-SPREAD_MIN_BYTES = 1 << 20
-
-
-def spread_small_input(df):
-    """Give a scan at least the cluster's default parallelism.
-
-    A table stored as one large row group is read by a single task, so every
-    row-level expression after the scan would run on one core.  When the scan has
-    fewer partitions than ``spark.default.parallelism`` it is redistributed
-    round-robin (one shuffle of a small input); a large, many-file table is returned
-    unchanged, so this never adds a shuffle at scale.
-    """
-    spark = df.sparkSession
-    want = spark.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
-    if have >= want:
-        return df
-    from tamarind.operators.joins import estimated_bytes
-    # a tiny input is cheaper on one core than through a shuffle
-    return df.repartition(want) if estimated_bytes(df) >= SPREAD_MIN_BYTES else df

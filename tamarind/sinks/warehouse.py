@@ -1,141 +1,128 @@
 """Loads into a ``date_id``-partitioned Parquet warehouse table.
 
 Replace-by-key (K1) without MERGE: the staged rows are written once to the shared
-scratch folder (this cuts lineage and survives lost executors), the touched
-``date_id`` partitions of the target are rebuilt as ``(old ANTI-JOIN staged keys)
-UNION ALL staged`` into a second scratch folder, and that result replaces exactly
-those partitions with a *dynamic* partition overwrite.  The target is never read and
-overwritten in one job (a static overwrite of the path being read destroys it).
+scratch folder, partitioned by date (this cuts lineage, survives lost executors and names
+the touched dates); then the touched ``date_id`` partitions of the target are rewritten as
+``(old ANTI-JOIN staged keys) UNION ALL staged`` with a *dynamic* partition overwrite: its
+files replace those partitions only when the job commits, so the target may be read by the
+same job, and a failed job leaves it as it was.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegralType, StructType
 
-from tamarind.session import path_exists, scratch_root
+from tamarind.session import child_names, path_exists, remove_path, scratch_root
 
 PARTITION_COL = "date_id"
-# Rows of one date are spread over this many write tasks (a hot date holding a third of
-# the rows must not land in one task).  The salt is a hash of the row's key, never
-# rand(): a retried task after a lost executor must send every row to the same place.
-SALT_BUCKETS = 16
+_NULL_DIR = "__HIVE_DEFAULT_PARTITION__"
 
 
-def spread(df: DataFrame, partition_col: str, keys) -> DataFrame:
-    """Shuffle so that each task writes few ``partition_col`` directories, with each
-    directory's rows split over ``SALT_BUCKETS`` tasks by a deterministic key hash."""
-    salt = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(SALT_BUCKETS))
-    return df.repartition(F.col(partition_col), salt)
+def spread(df: DataFrame, partition_col: str, sort=()) -> DataFrame:
+    """Shuffle so that each task writes few ``partition_col`` directories; a date with many
+    rows is split over as many tasks as its size asks for (a rebalance, sized at run time).
+    ``sort`` orders the rows within each file (O2), which costs no shuffle."""
+    out = df.hint("rebalance", partition_col)
+    return out.sortWithinPartitions(partition_col, *sort) if sort else out
 
 
 def align_to_schema(df: DataFrame, schema: StructType) -> DataFrame:
     """K2: columns in target order, cast to target types; extra columns dropped; a
-    missing column is an error.  ANSI casts make bad values fail loudly."""
+    missing column is an error.  Fractions round half away from zero on their way into an
+    integral type.  ANSI casts make bad values fail loudly."""
     missing = [f.name for f in schema.fields if f.name not in df.columns]
     if missing:
         raise ValueError(f"columns missing for the target schema: {missing}")
-    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
+    have = dict(df.dtypes)
 
+    def aligned(f):
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, IntegralType) and (have[f.name] in ("double", "float") or have[f.name].startswith("decimal")):
+            c = F.round(c)
+        return c.cast(f.dataType).alias(f.name)
 
-# A load lists the dates it touches, so that only those partitions of the target are
-# read (a static partition filter).  The list is bounded by the calendar, not by the
-# data; beyond this many dates the touched set stays a semi join instead.
-MAX_LISTED_DATES = 20000
+    return df.select(*[aligned(f) for f in schema.fields])
 
 
-def touched_dates(staged: DataFrame, partition_col: str = PARTITION_COL):
-    """The distinct partition values of ``staged`` (None included), or None when there
-    are more than ``MAX_LISTED_DATES`` of them."""
-    rows = staged.select(partition_col).distinct().limit(MAX_LISTED_DATES + 1).collect()
-    return None if len(rows) > MAX_LISTED_DATES else [r[0] for r in rows]
+def touched_dates(spark: SparkSession, stage_path: str, partition_col: str = PARTITION_COL) -> list[str | None]:
+    """The partition values of a staged table, from its directory names (None: the null date)."""
+    names = [n.partition("=")[2] for n in child_names(spark, stage_path) if n.startswith(f"{partition_col}=")]
+    return sorted((None if n == _NULL_DIR else n for n in names), key=str)
 
 
-def upsert_frame(target: DataFrame | None, staged: DataFrame, pk, partition_col: str = PARTITION_COL,
-                 dates=None) -> DataFrame:
-    """K1 as a plan: the new content of every partition touched by ``staged``.
+def upsert_frame(target: DataFrame | None, staged: DataFrame, pk, dates, partition_col: str = PARTITION_COL) -> DataFrame:
+    """K1 as a plan: the new content of every partition in ``dates`` (those that ``staged`` touches).
 
     Old rows whose pk equals a staged pk are deleted (plain equality: a null pk part
     never matches, so such old rows stay — K1a); every staged row is inserted, also
-    several per pk (K1b).  Rows of untouched partitions are not part of the result.
-    ``dates`` (from ``touched_dates``) turns the touched set into a partition filter.
+    several per pk (K1b).  Rows of untouched partitions are neither read nor part of the
+    result: the dates are a partition filter on the target.
     """
     if target is None:
         return staged
-    if dates is not None:
-        known = [d for d in dates if d is not None]
-        cond = target[partition_col].isin(known) if known else F.lit(False)
-        if len(known) < len(dates):
-            cond = cond | target[partition_col].isNull()
-        old = target.where(cond)
-    else:
-        touched = staged.select(partition_col).distinct()
-        old = target.join(touched, target[partition_col].eqNullSafe(touched[partition_col]), "left_semi")
-    keys = staged.select(*pk).distinct()
-    cond = None
+    known = [_dt.date.fromisoformat(d) for d in dates if d is not None]
+    cond = target[partition_col].isin(known) if known else F.lit(False)
+    if len(known) < len(dates):
+        cond = cond | target[partition_col].isNull()
+    old = target.where(cond)
+    match = None
     for k in pk:
-        c = old[k] == keys[k]
-        cond = c if cond is None else cond & c
-    kept = old.join(keys, cond, "left_anti")
-    return kept.unionByName(staged.select(*target.columns))
+        c = old[k] == staged[k]
+        match = c if match is None else match & c
+    return old.join(staged, match, "left_anti").unionByName(staged.select(*target.columns))
 
 
-def _fresh(spark: SparkSession, kind: str) -> str:
-    return f"{scratch_root(spark)}/{kind}-{uuid.uuid4().hex}"
+def _write(df: DataFrame, path: str, schema: StructType, partition_col: str, mode: str, sort=()) -> dict:
+    """Aligned rows written partitioned by date, counted on the way (one action)."""
+    obs = Observation("load")
+    counted = align_to_schema(df, schema).observe(obs, F.count(F.lit(1)).alias("rows"),
+                                                  F.count_if(F.col(partition_col).isNull()).alias("null_dates"))
+    spread(counted, partition_col, sort).write.mode(mode).partitionBy(partition_col).parquet(path)
+    rows = int(obs.get["rows"])
+    return {"rows": rows, "columns": len(schema.fields), "skipped": rows == 0, "null_dates": int(obs.get["null_dates"])}
+
+
+def append(spark: SparkSession, df: DataFrame, target_path: str, schema: StructType,
+           partition_col: str = PARTITION_COL, sort=()) -> dict:
+    """K3 (+K2, K4, K5): append after aligning to the schema; empty input writes nothing.
+    The report counts the rows without a date (D18): a rerun cannot replace those."""
+    there = path_exists(spark, target_path)
+    out = _write(df, target_path, schema, partition_col, "append", sort)
+    if out["skipped"] and not there:
+        remove_path(spark, target_path)
+    return out
 
 
 def upsert(spark: SparkSession, df: DataFrame, target_path: str, pk, schema: StructType,
-           partition_col: str = PARTITION_COL, strict_pk: bool = False) -> dict:
+           partition_col: str = PARTITION_COL, strict_pk: bool = False, sort=()) -> dict:
     """K1 + K2 + K4 + K5: stage, skip when empty, replace by key, report rows/columns."""
-    staged_plan = align_to_schema(df, schema)
-    obs = Observation("staged")
-    stage_path = _fresh(spark, "stage")
-    staged_plan.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(stage_path)
-    rows = int(obs.get["rows"])
-    if rows == 0:
-        return {"rows": 0, "columns": len(schema.fields), "skipped": True}
-    staged = spark.read.schema(schema).parquet(stage_path)
-    if strict_pk:
-        dup = staged.groupBy(*pk).count().where("count > 1").limit(1).count()
-        if dup:
+    if not path_exists(spark, target_path) and not strict_pk:
+        return append(spark, df, target_path, schema, partition_col, sort)  # first load: nothing to replace
+    stage_path = f"{scratch_root(spark)}/stage-{uuid.uuid4().hex}"
+    try:
+        out = _write(df, stage_path, schema, partition_col, "errorifexists")
+        if out["skipped"]:
+            return out
+        staged = spark.read.schema(schema).parquet(stage_path)
+        if strict_pk and not staged.groupBy(*pk).count().where("count > 1").isEmpty():
             raise ValueError(f"staged rows repeat a primary key {tuple(pk)}")
-    if not path_exists(spark, target_path):
-        # first load: nothing to replace and nothing read, so write the staged rows straight in
-        spread(staged, partition_col, pk).write.partitionBy(partition_col).parquet(target_path)
-        return {"rows": rows, "columns": len(schema.fields), "skipped": False}
-    target = spark.read.schema(schema).parquet(target_path)
-    merged = upsert_frame(target, staged, pk, partition_col, dates=touched_dates(staged, partition_col))
-    merge_path = _fresh(spark, "merge")
-    spread(merged, partition_col, pk).write.partitionBy(partition_col).parquet(merge_path)
-    # the merge result is a written table: copying it over the target does not re-read
-    # the target (no self-overwrite), and a lost executor only re-runs the copy
-    (spark.read.schema(schema).parquet(merge_path).select(*[f.name for f in schema.fields])
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(target_path))
-    return {"rows": rows, "columns": len(schema.fields), "skipped": False}
-
-
-def append(spark: SparkSession, df: DataFrame, target_path: str, schema: StructType,
-           partition_col: str = PARTITION_COL) -> dict:
-    """K3 (+K2, K4, K5): append after aligning to the schema; empty input writes nothing."""
-    obs = Observation("appended")
-    stage_path = _fresh(spark, "stage")
-    align_to_schema(df, schema).observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(stage_path)
-    rows = int(obs.get["rows"])
-    if rows == 0:
-        return {"rows": 0, "columns": len(schema.fields), "skipped": True}
-    staged = spark.read.schema(schema).parquet(stage_path)
-    (spread(staged, partition_col, [f.name for f in schema.fields if f.name != partition_col])
-     .write.mode("append").partitionBy(partition_col).parquet(target_path))
-    return {"rows": rows, "columns": len(schema.fields), "skipped": False}
+        target = spark.read.schema(schema).parquet(target_path) if path_exists(spark, target_path) else None
+        merged = upsert_frame(target, staged, pk, touched_dates(spark, stage_path, partition_col), partition_col)
+        (spread(merged.select(*schema.fieldNames()), partition_col, sort).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(target_path))
+        return out
+    finally:
+        remove_path(spark, stage_path)
 
 
 def load(spark: SparkSession, df: DataFrame, warehouse_root: str, spec) -> dict:
     """Route a built frame to upsert or append per its spec (K6: specs may share a table)."""
     path = f"{warehouse_root.rstrip('/')}/{spec.target}"
     if spec.append:
-        return append(spark, df, path, spec.schema)
-    return upsert(spark, df, path, spec.pk, spec.schema)
+        return append(spark, df, path, spec.schema, sort=spec.sort)
+    return upsert(spark, df, path, spec.pk, spec.schema, sort=spec.sort)

@@ -7,11 +7,13 @@ Partition discovery gives the three date parts as ints; every date predicate bel
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import datetime as _dt
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from tamarind.session import path_exists, spread_small_input
+from tamarind.session import path_exists
 
 PART_COLS = ("calendar_year", "month_no", "day_of_month")
 
@@ -61,8 +63,6 @@ def read_lake(spark: SparkSession, path: str, columns=None, year=None, month=Non
             df = df.select(*[F.col(c) for c in columns])
         else:
             df = df.select(*[c for c in df.columns if c not in PART_COLS or year is None])
-        # after pruning and projection, so the date filter and column list still reach the scan
-        df = spread_small_input(df)
     if distinct:
         df = df.distinct()
     for name, v in zip(PART_COLS, (year, month, day)):
@@ -80,19 +80,29 @@ def latest_per_key(df: DataFrame, keys, order=PART_COLS, tie=()) -> DataFrame:
     columns, then the greatest 64-bit hash of the row (D5) so that ties never depend on
     read order.  Rows with a null key part are dropped (grouping drops them).
 
-    Planned as a hash aggregate of ``max_by``: the partial aggregate keeps one row per
-    key per map task before the shuffle, so a key holding a third of the table costs
-    one row per task on the wire, not a third of the table in one task.
+    Planned as ``row_number = 1``: Spark keeps the first row of each key in every map task
+    (WindowGroupLimit) before the shuffle, so a key holding a third of the table costs one
+    row per task on the wire, not a third of the table in one task.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    data_cols = df.columns
-    rank = F.struct(*[F.col(c) for c in list(order) + list(tie)],
-                    F.xxhash64(*[F.col(c) for c in data_cols]).alias("_h"))
-    kept = df.where(F.greatest(*[F.col(k).isNull() for k in keys]) == F.lit(False)) if len(keys) > 1 \
-        else df.where(F.col(keys[0]).isNotNull())
-    return (kept.groupBy(*[F.col(k) for k in keys])
-            .agg(F.max_by(F.struct(*[F.col(c) for c in data_cols]), rank).alias("_row"))
-            .select("_row.*"))
+    newest = [F.col(c).desc() for c in [*order, *tie]] + [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).desc()]
+    w = Window.partitionBy(*keys).orderBy(*newest)
+    return (df.dropna(subset=keys).withColumn("_rn", F.row_number().over(w))
+            .where(F.col("_rn") == 1).drop("_rn"))
+
+
+def read_range(spark: SparkSession, src, root: str, start: _dt.date, end: _dt.date) -> DataFrame:
+    """One scan of the days from ``start`` to ``end``: what the day reads give together,
+    each row with its date parts, exact duplicates within a day dropped."""
+    path = src.path(root)
+    columns = [c for c in src.columns if c not in PART_COLS] if src.columns else None
+    if not path_exists(spark, path):
+        return empty_frame(spark, [*(columns or []), *PART_COLS], src.schema)
+    df = spark.read.option("basePath", path).parquet(path)
+    y, m, d = (F.col(c) for c in PART_COLS)
+    number = y * 10000 + m * 100 + d
+    df = df.where(y.between(start.year, end.year) & number.between(int(f"{start:%Y%m%d}"), int(f"{end:%Y%m%d}")))
+    return df.select(*[c for c in columns or df.columns if c not in PART_COLS], *PART_COLS).distinct()
 
 
 def read_history(spark: SparkSession, path: str, start_year: int, years: int = 10, columns=None,
@@ -117,7 +127,8 @@ def read_source(spark: SparkSession, src, ctx) -> DataFrame:
         cols = list(src.columns) if src.columns else None
         if cols is not None:
             cols = cols + [c for c in PART_COLS if c not in cols]  # D1: keep date parts to rank
-        df = read_lake(spark, path, columns=cols, full=True, schema=src.schema)
+        # repeated rows cannot change the newest one: no distinct before it
+        df = read_lake(spark, path, columns=cols, full=True, schema=src.schema, distinct=False)
         return latest_per_key(df, src.keys, tie=src.tie)
     if src.kind == S.HISTORY:
         return read_history(spark, path, ctx.start_year, ctx.history_years, src.columns, src.schema)

@@ -42,7 +42,7 @@ def project_with_default(dim_project: DataFrame, wanted_ids: DataFrame | None =
     if wanted_ids is not None:
         src = src.join(wanted_ids.select(F.col(wanted_ids.columns[0]).alias(id_col)).distinct(),
                        id_col, "left_semi")
-    w = Window.partitionBy(id_col).orderBy(F.col("date_id").desc())
+    w = Window.partitionBy(id_col).orderBy(F.col("date_id").desc(), F.col("project_code").desc(), F.col("project_name").desc())
     latest = (src.select(F.col(id_col).cast("string").alias("project_id"),
                          F.col("project_code").cast("string").alias("project_code"),
                          strip(F.col("project_name")).alias("project_name"), "date_id")

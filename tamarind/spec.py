@@ -25,7 +25,7 @@ class Source:
     kind: str = LAKE
     keys: tuple[str, ...] = ()
     tie: tuple[str, ...] = ()
-    schema: str | None = None  # DDL used when the table does not exist (S9)
+    schema: str | StructType | None = None  # used when the table does not exist (S9)
 
     def path(self, root: str) -> str:
         """``{root}/{app}[/{source_type}]/{table}``."""
@@ -46,4 +46,5 @@ class TableSpec:
     schema: StructType
     full_default: bool = False     # M3
     append: bool = False           # K3
-    row_local: bool = False        # M2: one range read gives the same rows as day-by-day
+    sort: tuple[str, ...] = ()     # O2: order of the rows within a partition's files
+    row_local: bool = False        # M2: the key holds the lake day, so one range read equals day by day

@@ -56,3 +56,17 @@ def test_month_read_collapses_repeats_and_attaches_parts(spark, sf_dir):
     assert len(rows) == 5                                   # one row per event type in the month
     assert {(r.calendar_year, r.month_no) for r in rows} == {(2024, 1)}
     assert "day_of_month" not in df.columns
+
+
+def test_job_date_comes_from_the_run_clock_once(spark, sf_dir):
+    root = ensure_lake(spark, sf_dir, "events", "ts")
+    seen = []
+    spec = _events_spec(lambda src, c: seen.append((c.year, c.month, c.day)) or src["events"])
+    jobs.build(spark, spec, RunContext(lake_root=root, run_ts=dt.datetime(2024, 3, 1, 0, 30)))
+    assert seen == [(2024, 2, 29)]
+
+
+def test_missing_warehouse_table_reads_as_empty(spark):
+    from tamarind.plans.user import DIM_PARTY
+    from tamarind.sources.warehouse import read_warehouse
+    assert read_warehouse(spark, f"{scratch_root(spark)}/no-warehouse", "dim_party", DIM_PARTY).collect() == []

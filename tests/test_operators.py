@@ -74,8 +74,72 @@ def test_registry_has_every_builder():
     assert sum(s.target == "dim_address" for s in SPECS) == 2
 
 
-def test_spread_small_input_keeps_rows(spark):
-    from tamarind.session import spread_small_input
-    df = spark.range(0, 200000, numPartitions=1).selectExpr("id", "repeat('x', 40) AS pad")
-    out = spread_small_input(df)
-    assert out.count() == 200000
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_estimate_is_a_real_size_and_grants_a_broadcast(spark, sf_dir):
+    from tamarind.operators.joins import estimated_bytes, lookup_join
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    assert 1000 < estimated_bytes(nation) < 10_000
+    cust = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")
+    old = [spark.conf.get(k) for k in keys]
+    try:
+        for k, v in zip(keys, ("-1", "false")):
+            spark.conf.set(k, v)
+        assert "BroadcastHashJoin" in plan_of(lookup_join(cust, nation, "c_nationkey", "n_nationkey", small=True))
+        assert "SortMergeJoin" in plan_of(lookup_join(cust, nation, "c_nationkey", "n_nationkey", small=True, max_bytes=100))
+    finally:
+        for k, v in zip(keys, old):
+            spark.conf.set(k, v)
+
+
+def test_latest_per_key_has_no_distinct_and_limits_before_the_shuffle(spark, sf_dir):
+    from tamarind.sources.lake import latest_per_key
+    df = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr("*", "year(ts) AS calendar_year", "month(ts) AS month_no", "day(ts) AS day_of_month")
+    p = plan_of(latest_per_key(df, "user_id", tie=("ts", "event_id")))
+    assert "SortAggregate" not in p and p.count("WindowGroupLimit") >= 2 and p.count("Exchange hashpartitioning") == 1
+
+
+def test_fractions_round_half_away_from_zero(spark):
+    from decimal import Decimal
+    from tamarind.plans.common import schema
+    from tamarind.sinks.warehouse import align_to_schema
+    df = spark.createDataFrame([(0.5, Decimal("2.50")), (-0.5, Decimal("-2.50")), (1.4, Decimal("1.49")), (None, None)], "a double, b decimal(10,2)")
+    assert [tuple(r) for r in align_to_schema(df, schema("a:long, b:int")).collect()] == [(1, 3), (-1, -3), (1, 1), (None, None)]
+
+
+def test_run_clock(spark):
+    import datetime as dt
+    from tamarind.functions.dates import run_clock
+    given = dt.datetime(2025, 1, 1, 3)
+    now, same = spark.range(1).select(run_clock(), run_clock(given)).first()
+    assert same == given
+    expected = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) + dt.timedelta(hours=7)
+    assert abs((now - expected).total_seconds()) < 60
+
+
+def test_one_date_spreads_over_many_write_tasks(spark):
+    import uuid
+    from tamarind.session import child_names, scratch_root
+    from tamarind.sinks.warehouse import spread
+    key, old = "spark.sql.adaptive.advisoryPartitionSizeInBytes", spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set(key, "64k")
+    try:
+        rows = spark.range(0, 400_000, numPartitions=40).selectExpr("id", "sha2(string(id), 256) AS pad", "make_date(2024, 1, 1 + int(id) % 1) AS date_id")
+        path = f"{scratch_root(spark)}/spread-{uuid.uuid4().hex}"
+        spread(rows, "date_id").write.partitionBy("date_id").parquet(path)
+        files = [n for n in child_names(spark, f"{path}/date_id=2024-01-01") if n.startswith("part-")]
+        assert len(files) > 16 and spark.read.parquet(path).count() == 400_000
+    finally:
+        spark.conf.set(key, old)
+
+
+def test_latest_project_is_the_same_row_whatever_the_read_order(spark):
+    from tamarind.sources.warehouse import project_with_default
+    rows = [("p", "a", "x", "2024-01-01"), ("p", "b", "x", "2024-01-01"), ("p", "b", "y", "2024-01-01")]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "project_id string, project_code string, project_name string, date_id string")
+        got = project_with_default(df).where("project_id = 'p'").collect()
+        assert [(r.project_code, r.project_name) for r in got] == [("b", "y")]
