@@ -17,8 +17,8 @@ Slots are banded. Documents that share a band are compared exactly, on multisets
 3. where it still does, members outside the bucket's largest group are compared with all
    members of other groups.
 
-The joins of 2 and 3 rule out most pairs themselves: by one-bit sketches and by a
-consistent sample of shingles, which for up to 1024 shingles is all of them; in 3 a pair
+The joins of 2 and 3 rule out most pairs themselves, by one-bit sketches; in 3 also by a
+consistent sample of shingles, which for up to 1024 shingles is all of them, and a pair
 comes only in the first band it shares.
 
 So every pair that shares a band is compared unless both ends are in one group already or
@@ -241,9 +241,9 @@ def _near(threshold: float, slots: int, left: str, right: str):
 
 
 def _sampled(nodes: DataFrame) -> DataFrame:
-    """(h, level, sample) of (h, text): numbered shingles below 2 ** (63 - level) of 63-bit
+    """(h, level, sample) of (h, text): numbered shingles below 2 ** (31 - level) of 31-bit
     hashes, where the level keeps at most about ``SAMPLE_SIZE`` of them."""
-    fields = [StructField("level", IntegerType()), StructField("sample", ArrayType(LongType()))]
+    fields = [StructField("level", IntegerType()), StructField("sample", ArrayType(IntegerType()))]
 
     def make():
         def fn(batch):
@@ -252,10 +252,10 @@ def _sampled(nodes: DataFrame) -> DataFrame:
             level = np.ceil(np.log2(np.maximum(total / SAMPLE_SIZE, 1.0))).astype(np.int64)
             copy = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
             doc, h = np.repeat(doc, count), np.repeat(h, count)
-            value = (mix64(h + copy.astype(np.uint64) * _STEP) >> np.uint64(1)).astype(np.int64)
-            kept = value >> (63 - level[doc]) == 0
+            value = (mix64(h + copy.astype(np.uint64) * _STEP) >> np.uint64(33)).astype(np.int64)
+            kept = value >> (31 - level[doc]) == 0
             size = np.bincount(doc[kept], minlength=batch.num_rows)
-            return [pa.array(level, pa.int32()), list_array(value[kept], size, pa.int64())]
+            return [pa.array(level, pa.int32()), list_array(value[kept].astype(np.int32), size, pa.int32())]
 
         return fn
 
@@ -263,16 +263,17 @@ def _sampled(nodes: DataFrame) -> DataFrame:
 
 
 def _overlapping(threshold: float):
-    """Whether the samples of x and y leave ``threshold`` possible; exact where both are whole."""
+    """Whether the samples of x and y leave ``threshold`` possible; exact where both are whole,
+    but for one shingle, since two of 1024 hashes of 31 bits may collide."""
     level = F.greatest("x.level", "y.level")
-    limit = F.pow(F.lit(2.0), 63 - level)
+    limit = F.pow(F.lit(2.0), 31 - level)
     a, b = (F.when(F.col(f"{side}.level") == level, F.col(f"{side}.sample"))
             .otherwise(F.filter(f"{side}.sample", lambda v: v < limit)) for side in ("x", "y"))
     size = F.size(a) + F.size(b)  # 1 + threshold times the union, at the threshold
     spread = F.lit((1 + threshold) * threshold * (1 - threshold)) / F.greatest(size, F.lit(1))
     doubt = F.when(level > 0, 4.5 * F.sqrt(spread)).otherwise(0.0)
     least = F.greatest(F.lit(threshold) - doubt, F.lit(0.0))
-    return F.size(F.array_intersect(a, b)) >= size * least / (1 + least) - 1e-6
+    return F.size(F.array_intersect(a, b)) + 1 >= size * least / (1 + least)
 
 
 def _open_buckets(bucket: DataFrame, comps: DataFrame) -> DataFrame:
@@ -324,13 +325,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         comps = comps.join(step, "comp", "left").select("h", F.coalesce("next", "comp").alias("comp"))
 
     # members against one member of each of their buckets, another one in each band
-    opened = ws.write(_open_buckets(bucket, comps), "open1")
-    extra = _sampled(nodes.join(opened.select("h").distinct(), "h")).join(texts.select("h", "bands"), "h")
-    opened = ws.write(opened.join(extra, "h"), "open2")
+    opened = ws.write(_open_buckets(bucket, comps), "open2")
     pivots = opened.groupBy("band").agg(F.min_by("h", F.xxhash64("h", "band")).alias("h"))
     pivots = opened.join(pivots, ["band", "h"]).alias("x")
-    possible = _near(threshold, bands * rows, "x", "y") & _overlapping(threshold)
-    second = (pivots.join(opened.alias("y"), F.col("x.band") == F.col("y.band")).where(F.expr("x.comp <> y.comp") & possible)
+    second = (pivots.join(opened.alias("y"), F.col("x.band") == F.col("y.band"))
+              .where(F.expr("x.comp <> y.comp") & _near(threshold, bands * rows, "x", "y"))
               .select(F.least("x.h", "y.h").alias("a"), F.greatest("x.h", "y.h").alias("b")).distinct())
     more = ws.write(_verified(second, nodes, threshold).select("a", "b"), "links2")
     links = links.unionByName(more)
@@ -338,6 +337,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # members outside the largest group of their bucket against all other groups
     still = ws.write(_open_buckets(opened.drop("comp", "largest"), comps), "open3")
+    extra = _sampled(nodes.join(still.select("h").distinct(), "h")).join(texts.select("h", "bands"), "h")
+    still = still.join(ws.write(extra, "extra"), "h")
     # a pair comes once: in the first band it shares
     earlier = [(F.col("x.place") > j) & (F.col("x.bands")[j] == F.col("y.bands")[j]) for j in range(bands - 1)]
     in_first = ~reduce(or_, earlier, F.lit(False))
@@ -352,7 +353,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = texts.select("h", "doc_id").join(comps, "h", "left").withColumn("comp", F.coalesce("comp", "h"))
     smallest = known.groupBy("comp").agg(F.min("doc_id").alias("class_id"))
     classes = ws.write(known.join(smallest, "comp").select("h", "class_id", F.col("comp").alias("class_key")), "classes")
-    ws.drop("texts", "bucket", "first", "nodes", "links1", "links2", "links3", "open1", "open2", "open3")
+    ws.drop("texts", "bucket", "first", "nodes", "links1", "links2", "links3", "open2", "open3", "extra")
     out = source.select("doc_id", F.col("h")).join(classes, "h", "left")
     return out.select("doc_id", F.when(F.col("h").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
                       "class_key", F.col("h").alias("text_hash"))
