@@ -22,7 +22,7 @@ from pyspark.sql.types import StructField, StructType
 from tamarind.session import remove_path, scratch_root
 
 #: Text bytes handled at once inside a task; one longer text is handled alone, whole.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 WORD_PATTERN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -59,6 +59,14 @@ def kept_columns(df: DataFrame, fields: list[StructField], keep: list[str] | Non
     return [c for c in (df.columns if keep is None else keep) if c.lower() not in taken]
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Lets Spark hand texts to Python in batches of 1,000 rows where the session has Spark's
+    default of 10,000: its buffers outside the heap grow with a batch's bytes."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, "1000")
+
+
 def add_columns(df: DataFrame, inputs: list[str], fields: list[StructField],
                 make: Callable[[], Callable[[pa.RecordBatch], list]], keep: list[str] | None = None,
                 chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -69,6 +77,7 @@ def add_columns(df: DataFrame, inputs: list[str], fields: list[StructField],
     field. ``keep`` names the columns carried along (all by default); an existing column
     with the name of an added one is replaced.
     """
+    small_batches(df.sparkSession)
     keep = kept_columns(df, fields, keep)
     src = df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, *inputs])])
     schema = StructType([src.schema[c] for c in keep] + fields)

@@ -55,76 +55,81 @@ def _automaton(windows: dict[str, list[int]]):
     return a
 
 
-def _scan(docs: DataFrame, shared, text_col: str, earlier: bool) -> DataFrame:
-    """Adds ``n_words`` and ``_hits`` (word span and item number of each match)."""
-    fields = [StructField("n_words", LongType()), StructField("_hits", ArrayType(HIT))]
+def _hits_of(norm: Norm, automaton):
+    """(text, first word, last word, item) of each match, words counted within the text, ordered by text."""
+    first, last, item = [], [], []
+    if automaton is not None and len(norm.first):
+        for end, (size, items) in automaton.iter(norm.string()):
+            for x in items:
+                first.append(end - size + 2)
+                last.append(end - 1)
+                item.append(x)
+    a = np.searchsorted(norm.first, np.asarray(first, np.int64))
+    b = np.searchsorted(norm.last, np.asarray(last, np.int64))
+    doc = norm.doc[a] if len(a) else np.zeros(0, np.int64)
+    order = np.argsort(doc, kind="stable")
+    base = norm.words_before[:-1][doc]
+    return doc[order], (a - base)[order], (b - base)[order], np.asarray(item, np.int32)[order]
+
+
+def _spans(norm: Norm, data: np.ndarray, off: np.ndarray, r: int, first, last) -> tuple[int, list[dict]]:
+    """Words of text ``r`` inside a match, and where they stand in the original, merged."""
+    edge = np.zeros(int(norm.n_words[r]) + 1, np.int64)
+    np.add.at(edge, first, 1)
+    np.add.at(edge, np.asarray(last) + 1, -1)
+    inside = np.concatenate([[False], np.cumsum(edge[:-1]) > 0, [False]])
+    base = int(norm.words_before[r])
+    starts, ends = np.flatnonzero(inside[1:] & ~inside[:-1]) + base, np.flatnonzero(inside[:-1] & ~inside[1:]) - 1 + base
+    char = np.cumsum((data[off[r]:off[r + 1]] & 0xC0) != 0x80) - 1  # character number of each byte
+    return int(inside.sum()), [{"start": int(char[norm.src_first[s] - off[r]]), "end": int(char[norm.src_last[e] - off[r]]) + 1}
+                               for s, e in zip(starts.tolist(), ends.tolist())]
+
+
+def _scan(docs: DataFrame, shared, text_col: str, earlier: bool, item_ids=None) -> DataFrame:
+    """One pass with the automaton of one block. Adds ``_hits`` (word span and item number of
+    each match) to those of ``earlier`` passes or, given the ids of all items, what follows
+    from all hits."""
+    fields = [StructField("n_words", LongType())]
+    if item_ids is None:
+        fields += [StructField("_hits", ArrayType(HIT))]
+    else:
+        fields += [StructField("n_hit", LongType()), StructField("items", ArrayType(StringType())),
+                   StructField("hit_spans", ArrayType(SPAN)), StructField("contaminated", BooleanType())]
     source = docs.withColumnRenamed("_hits", "_hits0") if earlier else docs
-    keep = [c for c in source.columns if c.lower() not in ("n_words", "_hits")]
+    keep = [c for c in source.columns if item_ids is None or c != "_hits0"]
 
     def make():
         automaton = hold(shared.id, lambda: _automaton(shared.value)) if shared.value else None
+        ids = item_ids.value if item_ids is not None else None
 
         def fn(batch):
-            norm = Norm(*text_buffers(batch.column(text_col)))
-            first, last, item = [], [], []
-            if automaton is not None and len(norm.first):
-                for end, (size, items) in automaton.iter(norm.string()):
-                    for x in items:
-                        first.append(end - size + 2)
-                        last.append(end - 1)
-                        item.append(x)
-            a = np.searchsorted(norm.first, np.asarray(first, np.int64))
-            b = np.searchsorted(norm.last, np.asarray(last, np.int64))
-            doc = norm.doc[a] if len(a) else np.zeros(0, np.int64)
-            order = np.argsort(doc, kind="stable")
-            base = norm.words_before[:-1][doc]
-            hit = pa.StructArray.from_arrays(
-                [pa.array((a - base)[order], pa.int64()), pa.array((b - base)[order], pa.int64()),
-                 pa.array(np.asarray(item, np.int32)[order], pa.int32())], ["first", "last", "item"])
-            off = np.zeros(batch.num_rows + 1, np.int32)
-            np.cumsum(np.bincount(doc, minlength=batch.num_rows), out=off[1:])
-            return [pa.array(norm.n_words, pa.int64()), pa.ListArray.from_arrays(pa.array(off), hit)]
-
-        return fn
-
-    out = add_columns(source, [text_col], fields, make, keep)
-    return out.withColumn("_hits", F.concat("_hits0", "_hits")).drop("_hits0") if earlier else out
-
-
-def _spans(docs: DataFrame, text_col: str, item_ids) -> DataFrame:
-    """Turns ``_hits`` into hit words, hit items and merged character spans."""
-    fields = [StructField("n_hit", LongType()), StructField("items", ArrayType(StringType())),
-              StructField("hit_spans", ArrayType(SPAN)), StructField("contaminated", BooleanType())]
-
-    def make():
-        ids = item_ids.value
-
-        def fn(batch):
-            hits = batch.column("_hits")
-            rows = np.flatnonzero(np.asarray(hits.value_lengths().fill_null(0)) > 0)
+            data, off = text_buffers(batch.column(text_col))
+            norm = Norm(data, off)
+            doc, first, last, item = _hits_of(norm, automaton)
             n = batch.num_rows
+            edge = np.searchsorted(doc, np.arange(n + 1))
+            if ids is None:
+                hit = pa.StructArray.from_arrays([pa.array(first, pa.int64()), pa.array(last, pa.int64()), pa.array(item)],
+                                                 ["first", "last", "item"])
+                return [pa.array(norm.n_words, pa.int64()), pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), hit)]
             n_hit, items, spans = np.zeros(n, np.int64), [[] for _ in range(n)], [[] for _ in range(n)]
-            for r in rows.tolist():
-                found = hits[r].as_py()
-                items[r] = sorted({ids[h["item"]] for h in found})
-                data, off = text_buffers(batch.column(text_col).slice(r, 1))
-                norm = Norm(data, off)
-                edge = np.zeros(int(norm.n_words[0]) + 1, np.int64)
-                np.add.at(edge, [h["first"] for h in found], 1)
-                np.add.at(edge, [h["last"] + 1 for h in found], -1)
-                inside = np.concatenate([[False], np.cumsum(edge[:-1]) > 0, [False]])
-                n_hit[r] = int(inside.sum())
-                starts, ends = np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(inside[:-1] & ~inside[1:]) - 1
-                char = np.cumsum((data & 0xC0) != 0x80) - 1  # character number of each byte
-                spans[r] = [{"start": int(char[norm.src_first[s]]), "end": int(char[norm.src_last[e]]) + 1}
-                            for s, e in zip(starts.tolist(), ends.tolist())]
+            before = batch.column("_hits0").to_pylist() if earlier else [[]] * n
+            for r in range(n):
+                here = slice(edge[r], edge[r + 1])
+                if edge[r] < edge[r + 1] or before[r]:
+                    held = before[r] or []
+                    n_hit[r], spans[r] = _spans(norm, data, off, r, [*first[here], *(h["first"] for h in held)],
+                                                [*last[here], *(h["last"] for h in held)])
+                    items[r] = sorted({ids[x] for x in [*item[here].tolist(), *(h["item"] for h in held)]})
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            return [pa.array(n_hit), pa.array(items, pa.list_(pa.string())), pa.array(spans, kind), pa.array(n_hit > 0)]
+            return [pa.array(norm.n_words, pa.int64()), pa.array(n_hit), pa.array(items, pa.list_(pa.string())),
+                    pa.array(spans, kind), pa.array(n_hit > 0)]
 
         return fn
 
-    keep = [c for c in docs.columns if c != "_hits"]
-    return add_columns(docs, [text_col, "_hits"], fields, make, keep)
+    inputs = [text_col, "_hits0"] if earlier else [text_col]
+    out = add_columns(source, inputs, fields, make, keep)
+    return out.withColumn("_hits", F.concat("_hits0", "_hits")).drop("_hits0") if earlier and item_ids is None else out
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
@@ -150,5 +155,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
         rows = part.collect()  # about block_bytes of text, whatever the size of the benchmark
         shared = Shared(spark, {w: [x + len(ids) for x in held] for w, held in windows([r.text for r in rows], window).items()})
         ids += [r.id for r in rows]
-        out = _scan(out, shared, text_col, earlier=k > 0)
-    return _spans(out, text_col, spark.sparkContext.broadcast(ids))
+        last = spark.sparkContext.broadcast(ids) if k == blocks - 1 else None
+        out = _scan(out, shared, text_col, earlier=k > 0, item_ids=last)
+    return out
