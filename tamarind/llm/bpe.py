@@ -27,7 +27,7 @@ from tamarind.llm.common import Codes, Shared, add_columns, hold, list_array
 # fixed value: the split pattern of byte-level BPE files
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words a worker keeps the tokens of; beyond it the less used go.
-CACHED_WORDS = 120_000
+CACHED_WORDS = 250_000
 _NEVER = np.int64(1 << 40)
 
 
