@@ -70,3 +70,11 @@ def test_missing_warehouse_table_reads_as_empty(spark):
     from tamarind.plans.user import DIM_PARTY
     from tamarind.sources.warehouse import read_warehouse
     assert read_warehouse(spark, f"{scratch_root(spark)}/no-warehouse", "dim_party", DIM_PARTY).collect() == []
+
+
+def test_all_tables_from_lake_to_warehouse(spark, sf_dir):
+    """Every spec reads its declared lake and warehouse sources and loads what its builder's oracle holds."""
+    from tamarind.queries.compare import compare, duck
+    from tamarind.queries.jobs import RUN_ALL_ORACLE, run_all_tables
+    res = compare(run_all_tables(spark, sf_dir), RUN_ALL_ORACLE, sf_dir, duck(sf_dir))
+    assert res["ok"], res
