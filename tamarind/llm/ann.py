@@ -151,12 +151,24 @@ def _routed(df: DataFrame, shared, probes: int, name: str) -> DataFrame:
     return add_columns(df, ["v"], [StructField(name, ArrayType(IntegerType()))], make)
 
 
+def _distinct_rows(ids: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows ordered by id; of rows with equal id and vector only one."""
+    order = np.lexsort((*vectors.T[::-1], ids)) if len(np.unique(ids)) < len(ids) else np.argsort(ids, kind="stable")
+    ids, vectors = ids[order], vectors[order]
+    again = np.zeros(len(ids), bool)
+    again[1:] = (ids[1:] == ids[:-1]) & (vectors[1:] == vectors[:-1]).all(axis=1)
+    return ids[~again], vectors[~again]
+
+
 def nearest(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int):
-    """(query, id, score) of each query's k best rows, another id than its own, in blocks.
+    """(query, id, score) of each query's k best ids, other than its own, in blocks. An id
+    takes one place, with the best of its rows.
 
     A product of matrices finds the rows that can be among the best; their scores are then
     summed row by row, so equal vectors have equal scores and ties go to the smaller id.
     """
+    ids, vectors = _distinct_rows(ids, vectors)
+    begin = np.flatnonzero(np.diff(ids, prepend=ids[:1] - 1))  # first row of each id
     q_norm, v_norm = np.sqrt((queries * queries).sum(axis=1)), np.sqrt((vectors * vectors).sum(axis=1))
     unit = vectors / v_norm[:, None]
     out = [], [], []
@@ -164,12 +176,17 @@ def nearest(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors
         part = queries[a:a + 256] / q_norm[a:a + 256, None]
         s = part @ unit.T
         s[query_ids[a:a + 256, None] == ids[None, :]] = -np.inf
-        m = min(k, s.shape[1])
-        edge = -np.partition(-s, m - 1, axis=1)[:, m - 1]
+        by_id = s if len(begin) == len(ids) else np.maximum.reduceat(s, begin, axis=1)
+        m = min(k, by_id.shape[1])
+        edge = -np.partition(-by_id, m - 1, axis=1)[:, m - 1]
         row, col = np.nonzero((s >= edge[:, None] - _SLACK) & (s > -2.0))
         exact = (queries[a + row] * vectors[col]).sum(axis=1) / (q_norm[a + row] * v_norm[col])
         order = np.lexsort((ids[col], -exact, row))
         row, col, exact = row[order], col[order], exact[order]
+        if by_id is not s:
+            _, once = np.unique(row * len(ids) + np.searchsorted(ids, ids[col]), return_index=True)
+            once.sort()  # the best row of each id, in the order of rank
+            row, col, exact = row[once], col[once], exact[once]
         place = np.arange(len(row)) - np.searchsorted(row, row)
         best = place < k
         out[0].append(query_ids[a + row[best]])

@@ -82,3 +82,29 @@ def test_nearest_keeps_k(k):
     x = np.random.default_rng(4).normal(size=(50, 4))
     q, i, s = A.nearest(np.array([0, 1]), x[:2], np.arange(50), x, k)
     assert np.bincount(q).tolist() == [k, k] and not (q == i).any() and (np.abs(s) <= 1 + 1e-12).all()
+
+
+def by_id(ids, x, q, k):
+    """Brute force: the best row of each other id, then the k best ids."""
+    s = (x * x[q]).sum(axis=1) / np.sqrt((x * x).sum(axis=1) * (x[q] * x[q]).sum())
+    best = {i: s[ids == i].max() for i in set(ids.tolist()) - {int(ids[q])}}
+    return sorted(best, key=lambda i: (-best[i], i))[:k]
+
+
+def test_a_repeated_id_takes_one_place(spark):
+    """Id 1 repeats 12 times next to query 0, in equal and in other vectors; ids 2 to 5 repeat too."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(30, 4))
+    near = x[0] + 0.01 * rng.normal(size=(6, 4))
+    ids = np.concatenate([np.arange(30), np.full(12, 1), [2, 2, 3, 4, 5]])
+    x = np.concatenate([x, near, near, x[2:4], x[3:6]]).astype(np.float32).astype(np.float64)
+    got = found(A.search(frame(spark, ids, x), lambda i: i % 10 == 0, parts=1))
+    assert {q: [a for a, _ in r] for q, r in got.items()} == {q: by_id(ids, x, q, 5) for q in (0, 10, 20)}
+    assert got[0][0][0] == 1 and len(got[0]) == 5
+
+
+def test_all_ids_where_fewer_than_k(spark):
+    ids = np.array([0] + [1] * 9 + [2] * 7 + [3])
+    x = np.random.default_rng(7).normal(size=(len(ids), 3)).astype(np.float32).astype(np.float64)
+    got = found(A.search(frame(spark, ids, x), lambda i: i == 0))
+    assert [a for a, _ in got[0]] == by_id(ids, x, 0, 5) and len(got[0]) == 3
