@@ -3,8 +3,8 @@
 Terms are the distinct lower-cased words of a text and the beginnings of longer words.
 Besides a weight, a term has a short vector; the inner products of the vectors of the
 terms that occur together add what a sum of weights misses (an insult next to the mention
-of a group). Terms that the linear part drops (exact zeros by follow-the-regularised-
-leader) have no vector either, so a text is scored by its few remaining terms.
+of a group). Every term of the sample is trained, also one whose weight alone is zero:
+half of a combination may say nothing by itself.
 """
 
 from __future__ import annotations
@@ -76,12 +76,14 @@ class Machine:
 
 def fit(start: np.ndarray, index: np.ndarray, label: np.ndarray, bits: int = BITS, factors: int = FACTORS,
         epochs: int = EPOCHS, rate: float = 0.02, l2: float = 0.001) -> Machine:
-    """A linear part by follow-the-regularised-leader; then weights and vectors of the terms
-    it keeps, together, by adaptive gradient steps over small batches."""
+    """A linear part by follow-the-regularised-leader; then weights and vectors of all terms
+    that occur, together, by adaptive gradient steps over small batches."""
     size = 1 << bits
     weight, bias = ftrl(start, index, np.ones(len(index)), label, size, epochs, BATCH, alpha=3.0, l1=4.0, l2=0.001)
-    used = weight != 0
-    vectors = np.where(used[:, None], np.random.default_rng(7).normal(0, 0.1, (size, factors)), 0.0)
+    used = np.bincount(index, minlength=size) > 0
+    # so small that the untrained interactions of a text of usual length add up to about 0.1
+    spread = np.sqrt(0.1 * np.sqrt(2 / factors) / max(1.0, len(index) / max(1, len(label))))
+    vectors = np.where(used[:, None], np.random.default_rng(7).normal(0, spread, (size, factors)), 0.0)
     m = Machine(bias, weight, vectors)
     gw, gv, g0 = np.full(size, 1e-3), np.full((size, factors), 1e-3), 1e-3
     for _ in range(epochs):
@@ -89,7 +91,6 @@ def fit(start: np.ndarray, index: np.ndarray, label: np.ndarray, bits: int = BIT
             b = min(a + BATCH, len(label))
             owner = np.repeat(np.arange(b - a), np.diff(start[a:b + 1]))
             idx = index[start[a]:start[b]]
-            owner, idx = owner[used[idx]], idx[used[idx]]
             error = 1.0 / (1.0 + np.exp(-np.clip(m.logits(owner, idx, b - a), -35, 35))) - label[a:b]
             e = float(error.sum())
             g0 += e * e

@@ -126,6 +126,22 @@ def test_interactions_that_weights_alone_miss():
     assert sorted(inner, key=inner.get)[-2:] in ([(1, 2), (3, 4)], [(3, 4), (1, 2)])
 
 
+@pytest.mark.parametrize("toxic", [(1, 2), (0, 3)])
+def test_pair_of_terms_without_marginal_effect(toxic):
+    """Rows with one of two terms are toxic, or those with both or none: each term is as common
+    in clean as in toxic rows. As many rows as the operator learns from."""
+    rng = np.random.default_rng(8)
+    n = T.MAX_TRAIN
+    kind = rng.permutation(np.arange(n) % 4)
+    rows = [[k for k in (1, 2) if i & k] + sorted((5 + rng.choice(20, 3, replace=False)).tolist()) for i in kind]
+    y = np.isin(kind, toxic).astype(float)
+    size = np.array([len(r) for r in rows])
+    start, index = np.concatenate([[0], np.cumsum(size)]), np.array([x for r in rows for x in r])
+    m = T.fit(start, index, y, bits=8)
+    assert ((m.logits(np.repeat(np.arange(n), size), index, n) > 0) == y).mean() > 0.99
+    assert abs(m.vectors[1] @ m.vectors[2]) > 1
+
+
 def test_toxicity_on_held_out_documents(spark):
     docs = [(i, prose(i, 40) + (" you idiot " if i % 4 == 0 else " you friend ") + prose(i + 1, 20)) for i in range(400)]
     labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(400)], "doc_id long, toxic int")
