@@ -38,12 +38,13 @@ _NAMES = re.compile(r"[a-z]+")
 
 
 class Page(HTMLParser):
-    """Nodes of one page in document order (a parent before its children)."""
+    """Nodes of one page in document order (a parent before its children). Only a ``labelled``
+    page's label attributes are read; on others they mean anything."""
 
-    def __init__(self, html: str):
+    def __init__(self, html: str, labelled: bool = True):
         super().__init__(convert_charrefs=True)
         self.parent, self.depth, self.tag, self.names = [-1], [0], ["#page"], [frozenset()]
-        self.text, self.link, self.label = [""], [0], [0]
+        self.text, self.link, self.label, self.labelled = [""], [0], [0], labelled
         self.open: list[tuple[str, int]] = []  # (tag, node of the nearest block)
         self.skip: list[str] = []
         self.run: list[str] = []
@@ -117,7 +118,7 @@ class Page(HTMLParser):
         names = set(_NAMES.findall(words))
         if "hidden" in a or (a.get("aria-hidden") or "") == "true" or "display:none" in (a.get("style") or "").replace(" ", ""):
             names.add("hidden")
-        self.node(tag, frozenset(names), label=int(a[LABEL]) if LABEL in a else None)
+        self.node(tag, frozenset(names), label=int(a[LABEL]) if self.labelled and LABEL in a else None)
         self.open.append((tag, len(self.parent) - 1))
 
     def handle_startendtag(self, tag, attrs):
@@ -267,7 +268,7 @@ def train(pages: list[str], steps: int = 400, rate: float = 0.1, l2: float = 0.0
 
 def extract_texts(htmls: list[str], model) -> list[str]:
     """Main text of each page: content blocks in page order, joined by two line feeds."""
-    forest = Forest([Page(h) for h in htmls])
+    forest = Forest([Page(h, labelled=False) for h in htmls])
     p, _, _ = forest.marginals(*model)
     out: list[list[str]] = [[] for _ in htmls]
     for i in np.flatnonzero(forest.leaf & (p > 0.5)).tolist():

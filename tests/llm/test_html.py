@@ -71,3 +71,8 @@ def test_odd_rows(spark, model):
     assert rows.columns == ["page_id", "url", "html", "text", "n_chars"]
     assert sorted((r.page_id, r.text, r.n_chars) for r in rows.collect())[:4] == [(1, "", 0), (2, "", 0), (3, "x", 1), (3, "x", 1)]
     assert H.extract(df.limit(0), model=model).collect() == []
+
+
+@pytest.mark.parametrize("value", ["='x'", "='12.5'", "=''", "", "='0'"])
+def test_label_attributes_of_given_pages_mean_nothing(model, value):
+    assert H.extract_texts([f"<article><p data-y{value}>One word.</p></article>"], model) == ["One word."]
