@@ -23,9 +23,14 @@ from tamarind.llm.html_pages import LABEL, labelled_pages
 
 # fixed values: HTML element classes
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = frozenset("script style noscript template head title iframe object svg math canvas audio video map datalist".split())
+SKIPPED = frozenset("script style template head title iframe svg audio video datalist".split())
+IN_HEAD = frozenset("html head title base basefont bgsound link meta script style template noscript noframes".split())
+ENDS_SVG = frozenset("""b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 hr i img li menu nobr ol p
+pre ruby s small span strong strike sub sup table tt u ul var""".split())
 INLINE = frozenset("""a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp
-small span strike strong sub sup time tt u var wbr br img""".split())
+small span strike strong sub sup time tt u var wbr br img noscript object canvas map math mi mo mn ms mtext mrow mfrac msqrt
+mroot msub msup msubsup munder mover munderover mmultiscripts mprescripts mtable mtr mtd semantics annotation mstyle mpadded
+mphantom menclose merror mspace""".split())
 CLOSES_P = frozenset("""address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form
 h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul li dt dd""".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -41,12 +46,14 @@ class Page(HTMLParser):
     """Nodes of one page in document order (a parent before its children). Only a ``labelled``
     page's label attributes are read; on others they mean anything."""
 
+    CDATA_CONTENT_ELEMENTS = ("script", "style")
+
     def __init__(self, html: str, labelled: bool = True):
         super().__init__(convert_charrefs=True)
         self.parent, self.depth, self.tag, self.names = [-1], [0], ["#page"], [frozenset()]
         self.text, self.link, self.label, self.labelled = [""], [0], [0], labelled
         self.open: list[tuple[str, int]] = []  # (tag, node of the nearest block)
-        self.skip: list[str] = []
+        self.skip: list[str] = []  # a skipped element and the open ones within it
         self.run: list[str] = []
         self.in_link = self.link_chars = 0
         self.feed(html)
@@ -85,12 +92,18 @@ class Page(HTMLParser):
             if self.open[i][0] in scope:
                 return
 
+    def ends_skip(self, tag) -> bool:
+        """Whether a start tag cannot stand in the skipped element, which then was not closed."""
+        if self.skip[0] == "head":
+            return tag == "body" or (tag not in IN_HEAD and self.skip[-1] in ("head", "noscript"))
+        return self.skip[0] == "svg" and tag in ENDS_SVG and not {"foreignobject", "desc", "title"} & set(self.skip)
+
     def handle_starttag(self, tag, attrs):
+        if self.skip and self.ends_skip(tag):
+            self.skip = []
         if self.skip:
-            if tag == self.skip[-1] and tag not in VOID:
+            if tag not in VOID:
                 self.skip.append(tag)
-            elif tag == "body" and self.skip[0] == "head":
-                self.skip = []
             return
         if tag == "br":
             self.run.append(" ")
@@ -123,20 +136,23 @@ class Page(HTMLParser):
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
-        if tag not in VOID and tag not in SKIPPED:
+        if tag not in VOID and (self.skip or tag not in SKIPPED):
             self.handle_endtag(tag)
-        elif tag in SKIPPED and self.skip:
-            self.skip.pop()
 
     def handle_endtag(self, tag):
         if self.skip:
-            if tag == self.skip[-1]:
-                self.skip.pop()
-            return
+            if tag in self.skip:  # of the skipped element or of one within it
+                del self.skip[len(self.skip) - 1 - self.skip[::-1].index(tag):]
+                return
+            if self.skip[0] == "head" or not (tag in ("body", "html") or any(t == tag and t not in INLINE for t, _ in self.open)):
+                return
+            self.skip = []  # an enclosing block ends
         if tag not in VOID:
             self.pop_to({tag}, SECTIONS - {tag} if tag in INLINE or tag == "p" else frozenset())
 
     def handle_data(self, data):
+        if self.skip == ["head"] and data.strip():
+            self.skip = []
         if not self.skip:
             self.run.append(data)
             if self.in_link > 0:

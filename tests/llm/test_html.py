@@ -76,3 +76,20 @@ def test_odd_rows(spark, model):
 @pytest.mark.parametrize("value", ["='x'", "='12.5'", "=''", "", "='0'"])
 def test_label_attributes_of_given_pages_mean_nothing(model, value):
     assert H.extract_texts([f"<article><p data-y{value}>One word.</p></article>"], model) == ["One word."]
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<head><title>T</title><article><p>One.</p><p>Two.</p></article>", "One.\n\nTwo."),
+    ("<html><head><meta charset=x><title>T</title><style>p{}</style><noscript><link></noscript><body><article><p>One.</p></article>", "One."),
+    ("<article><p>One <svg><path d=x> two.</p><p>Three.</p></article>", "One\n\nThree."),
+    ("<article><div><svg><path></div><p>Two.</p></article>", "Two."),
+    ("<article><p>One.<iframe src=x></p><p>Two.</p></article>", "One.\n\nTwo."),
+    ("<article><p>One.</p><svg><p>Two.</p></article>", "One.\n\nTwo."),
+    ("<article><p>One.</p><object><p>Two.</p><noscript><p>Three.</p></article>", "One.\n\nTwo.\n\nThree."),
+    ("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be.</p></article>", "Let x=2 be."),
+    ("<article><p>One <noscript>two</noscript> <object>three</object> <canvas>four</canvas> <map>five</map>.</p></article>",
+     "One two three four five."),
+    ("<article><div><template><div>no</div><p>no</p></template><p>One.</p></div><svg><g><text>no</text></g><path/></svg><p>Two.</p></article>",
+     "One.\n\nTwo.")])
+def test_unclosed_and_other_elements_drop_no_text(model, html, text):
+    assert H.extract_texts([html], model) == [text]
