@@ -6,8 +6,8 @@ and cut fewer edges), and a small classifier that learns the part of a vector. E
 vector is indexed in its likeliest part; a query goes to its most probable parts, as many
 as the sample needs for the wanted recall, and their vectors are ranked exactly.
 
-A part is dealt into blocks of bounded size, so that neither a large part nor one common
-vector meets in one task; each block returns its own nearest, and a window over at most
+A part's vectors and its queries are dealt into blocks of bounded size, so that neither a
+large part nor one common vector meets in one task; each block returns its own nearest, and a window over at most
 k rows per query and block keeps the best.
 """
 
@@ -28,9 +28,10 @@ SAMPLE = 4096
 GRAPH_DEGREE = 10
 #: Recall on the sample that the number of probed parts must reach.
 TARGET = 0.95
-#: Candidates in a block.
+#: Candidates, or queries, in a block.
 BLOCK = 8192
 _SLACK = 1e-11
+_KEYS = ("part", "block", "query_block")
 
 
 def unit_rows(x: np.ndarray) -> np.ndarray:
@@ -195,6 +196,31 @@ def nearest(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors
     return [np.concatenate(c) if c else np.zeros(0) for c in out]
 
 
+def _dealt(asked: DataFrame, indexed: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
+    """Queries and candidates of each part in groups (``_KEYS``) of about ``block`` rows a side at
+    most; every query of a part meets every candidate of it in one group."""
+    def blocks(df):
+        return {r[0]: -(-r[1] // block) for r in df.groupBy("part").count().collect()}  # a row per part
+
+    def number(of):
+        return F.element_at(F.create_map(*[F.lit(x) for p, n in of.items() for x in (p, n)]), F.col("part"))
+
+    def own(of):
+        return F.pmod(F.xxhash64("id"), number(of).cast("long")).cast("int")
+
+    def every(of):
+        return F.explode(F.sequence(F.lit(0), number(of) - 1))
+
+    held = blocks(indexed)
+    asked = asked.where(F.col("part").isin(*held))
+    wanted = blocks(asked)
+    if not wanted:  # no query
+        wanted = {p: 1 for p in held}
+    indexed = indexed.where(F.col("part").isin(*wanted))
+    return (asked.withColumn("block", every(held)).withColumn("query_block", own(wanted)),
+            indexed.withColumn("block", own(held)).withColumn("query_block", every(wanted)))
+
+
 def search(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding",
            parts: int | None = None, sample: int = SAMPLE, target: float = TARGET, block: int = BLOCK) -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``vec_id``, ``score``: each query's ``k`` nearest found by
@@ -224,13 +250,9 @@ def search(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec
     shared = Shared(spark, router)
 
     indexed = _routed(usable, shared, 1, "parts").select("id", "v", F.col("parts")[0].alias("part"))
-    sizes = {r[0]: r[1] for r in indexed.groupBy("part").count().collect()}  # a row per part
-    blocks = {p: -(-n // block) for p, n in sizes.items()}
-    count = F.element_at(F.create_map(*[F.lit(x) for p, n in blocks.items() for x in (p, n)]), F.col("part"))
-    spread = indexed.withColumn("block", F.pmod(F.xxhash64("id"), count.cast("long")).cast("int"))
     asked = usable.where(is_query(F.col("id"))).groupBy("id").agg(F.min("v").alias("v"))
-    asked = (_routed(asked, shared, probes, "parts").select("id", "v", F.explode("parts").alias("part"))
-             .where(F.col("part").isin(*blocks)).withColumn("block", F.explode(F.sequence(F.lit(0), count - 1))))
+    asked = _routed(asked, shared, probes, "parts").select("id", "v", F.explode("parts").alias("part"))
+    asked, spread = _dealt(asked, indexed, block)
 
     def best(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
@@ -240,7 +262,7 @@ def search(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec
                                     schema=schema_arrow)
 
     schema_arrow = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
-    found = asked.groupBy("part", "block").cogroup(spread.groupBy("part", "block")).applyInArrow(best, schema)
+    found = asked.groupBy(*_KEYS).cogroup(spread.groupBy(*_KEYS)).applyInArrow(best, schema)
     once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

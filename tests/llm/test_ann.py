@@ -108,3 +108,15 @@ def test_all_ids_where_fewer_than_k(spark):
     x = np.random.default_rng(7).normal(size=(len(ids), 3)).astype(np.float32).astype(np.float64)
     got = found(A.search(frame(spark, ids, x), lambda i: i == 0))
     assert [a for a, _ in got[0]] == by_id(ids, x, 0, 5) and len(got[0]) == 3
+
+
+def test_both_sides_of_a_group_are_bounded(spark):
+    """400 queries and 900 candidates of one part: small groups, in which each pair meets once."""
+    asked = spark.range(400).selectExpr("id", "array(1D) AS v", "0 AS part")
+    indexed = spark.range(900).selectExpr("id", "array(1D) AS v", "0 AS part")
+    sides = A._dealt(asked, indexed, 50)
+    for side in sides:
+        assert max(r["count"] for r in side.groupBy(*A._KEYS).count().collect()) < 100
+    left, right = (d.withColumnRenamed("id", n) for d, n in zip(sides, ("q", "c")))
+    pairs = left.drop("v").join(right.drop("v"), list(A._KEYS))
+    assert pairs.count() == pairs.select("q", "c").distinct().count() == 400 * 900
