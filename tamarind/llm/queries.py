@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tamarind.llm import (ann, bag_minhash, bpe, chat, decontaminate, html_extract, language_id, license_scan, quality,
-                          toxicity)
+from tamarind.llm import (ann, bag_minhash, bpe, centroids, chat, decontaminate, html_extract, language_id, license_scan,
+                          merkle, quality, toxicity, warc)
 from tamarind.llm.common import crc_mod
 
 
@@ -92,6 +92,23 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, machine, keep=["doc_id"]).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = warc.archive_pages(_table(spark, sf_dir, "pages"))
+    return out.select(F.nullif("record_id", F.lit("")).cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                      F.col("refers_to").cast("long").alias("refers_to"))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = centroids.cluster(_table(spark, sf_dir, "embeddings"))
+    return out.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+                      F.sha2(_joined(F.col("centroid").cast("array<string>")), 256).alias("centroid_sha256"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = merkle.manifest(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified")
+
+
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_quality": op2_quality,
@@ -103,9 +120,71 @@ QUERIES = {
     "op8_html_extract": op8_html_extract,
     "op9_license_scan": op9_license_scan,
     "op10_toxicity": op10_toxicity,
+    "op11_warc": op11_warc,
+    "op12_centroids": op12_centroids,
+    "op13_merkle": op13_merkle,
     "pipeline": corpus_pipeline.run,
 }
 
+
+def _clusters_sql(k: int = 8, dim: int = 64, rounds: int = 10) -> str:
+    """The rounds of op12 one after the other, by plain comparison with every centroid."""
+    steps = [f"""v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, [cast(floor(1024 * cast(c AS DOUBLE)) AS BIGINT) FOR c IN embedding] AS x
+  FROM embeddings WHERE len(embedding) = {dim} AND len([c FOR c IN embedding IF c IS NULL OR NOT isfinite(c)]) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id) NULLS LAST, x) - 1 AS c, x FROM v QUALIFY c < {k})"""]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (SELECT v.r, any_value(v.x) AS x,
+  min({{'d': list_sum([cast((p[1] - p[2]) * (p[1] - p[2]) AS HUGEINT) FOR p IN list_zip(v.x, c.x)]), 'c': c.c}}) AS m FROM v, c{r} c GROUP BY v.r)""")
+        if r < rounds:
+            steps.append(f"""s{r} AS (SELECT m.c AS c, i, sum(x[i]) AS s, count(*) AS n FROM a{r}, range(1, {dim + 1}) t(i) GROUP BY ALL),
+c{r + 1} AS MATERIALIZED (SELECT c.c, coalesce(n.x, c.x) AS x FROM c{r} c
+  LEFT JOIN (SELECT c, list(cast((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS x FROM s{r} GROUP BY c) n USING (c))""")
+    return f"""WITH {", ".join(steps)}
+SELECT v.vec_id, cast(a.m.c AS INTEGER) AS cluster, cast(a.m.d AS BIGINT) AS distance,
+       cast(sum(a.m.d) OVER (PARTITION BY a.m.c) AS BIGINT) AS cluster_inertia, cast(sum(a.m.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM v JOIN a{rounds} a USING (r) JOIN c{rounds} c ON c.c = a.m.c"""
+
+
+def _merkle_sql(levels: int = 6, run: int = 16) -> str:
+    """The trees of op13 level by level, for sources of up to run ** levels rows; crc32 by its polynomial."""
+    def field(c):
+        return f"coalesce(octet_length(encode(cast({c} AS VARCHAR))) || ':' || {c}, '-')"
+
+    def tree(name, first, key):
+        """Levels 0 to ``levels`` of the trees of ``first`` (key, pos, width, hash); a row whose tree has one node is its top."""
+        steps = [f"{name}0 AS MATERIALIZED ({first})"]
+        for l in range(levels):
+            steps.append(f"""{name}{l + 1} AS MATERIALIZED (SELECT {key}, pos // {run} AS pos, (width + {run - 1}) // {run} AS width,
+  CASE WHEN any_value(width) = 1 THEN any_value(hash) ELSE sha256(string_agg(hash, '' ORDER BY pos)) END AS hash,
+  CASE WHEN any_value(width) = 1 THEN [] ELSE list(hash ORDER BY pos) END AS run FROM {name}{l} GROUP BY {key}, pos // {run}, (width + {run - 1}) // {run})""")
+        return steps
+
+    steps = [f"""d AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+  count(*) OVER (PARTITION BY source) AS width FROM (SELECT doc_id, source,
+    sha256(concat({", ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", "text"))})) AS leaf,
+    CASE WHEN xor(list_reduce([cast(ascii(c) AS BIGINT) FOR c IN string_split(coalesce(cast(doc_id AS VARCHAR), ''), '') IF c <> ''],
+      lambda a, b: list_reduce(range(0, 8), lambda h, i: CASE WHEN h & 1 = 1 THEN xor(h >> 1, 3988292384) ELSE h >> 1 END, xor(a, b)),
+      4294967295), 4294967295) % 5 = 0
+    THEN sha256(concat({", ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars"))},
+      {field("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")})) END AS changed FROM documents))"""]
+    steps += tree("t", "SELECT source, pos, width, leaf AS hash, [] AS run FROM d", "source")
+    steps.append(f"""subs AS MATERIALIZED (SELECT source, hash AS subroot, row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS upos,
+  count(*) OVER () AS uwidth FROM t{levels})""")
+    steps += tree("u", "SELECT 0 AS k, upos AS pos, uwidth AS width, subroot AS hash, [] AS run FROM subs", "k")
+    joins = "".join(f" JOIN t{l} ON t{l}.source IS NOT DISTINCT FROM d.source AND t{l}.pos = d.pos // {run ** l}" for l in range(1, levels + 1))
+    joins += " JOIN subs ON subs.source IS NOT DISTINCT FROM d.source"
+    joins += "".join(f" JOIN u{l} ON u{l}.pos = subs.upos // {run ** l}" for l in range(1, levels + 1))
+    places = [(f"t{l}.run", f"(d.pos // {run ** (l - 1)}) % {run}") for l in range(1, levels + 1)]
+    places += [(f"u{l}.run", f"(subs.upos // {run ** (l - 1)}) % {run}") for l in range(1, levels + 1)]
+    path = ", ".join(f"{{'r': {r}, 'i': {i}}}" for r, i in places)
+    steps.append(f"""p AS MATERIALIZED (SELECT d.doc_id, d.leaf, subs.subroot, u{levels}.hash AS root, coalesce(d.changed, d.leaf) AS start,
+  [{{'a': array_to_string(s.r[1:s.i], ''), 'b': array_to_string(s.r[s.i + 2:], '')}} FOR s IN [{path}] IF len(s.r) > 0] AS path FROM d{joins})""")
+    return f"""WITH {", ".join(steps)}
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string([s.a || s.b FOR s IN path], '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM (SELECT *, list_reduce(path, lambda h, s: {{'a': sha256(s.a || h.a || s.b), 'b': ''}}, {{'a': start, 'b': ''}}).a AS folded_root FROM p)"""
+
+
 # control strings of any template in a text get one mark more, so one character more
 _CONTROL = (r"<\\*\|start\|>|<\\*\|message\|>|<\\*\|end\|>|<\\*\|endoftext\|>|<\\*\|im_start\|>|<\\*\|im_end\|>"
             r"|<\\*s>|<\\*/s>|\[\\*INST\]|\[\\*/INST\]|<\\*<SYS>>|<\\*</SYS>>")
@@ -144,4 +223,18 @@ SELECT doc_id, cast(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
        sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 """,
+    # base32: every five hexadecimal digits are four digits of five bits
+    "op11_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+s AS (SELECT page_id, octet_length(encode(h)) AS n, sha1(h) AS x FROM p),
+r AS (SELECT *, max(page_id) OVER (PARTITION BY x) AS m FROM s)
+SELECT page_id, cast(n AS BIGINT) AS payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast((cast('0x' || substr(x, 5 * (i // 4) + 1, 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS INTEGER) + 1, 1)
+                        FOR i IN range(0, 32)], '') AS payload_digest,
+       CASE WHEN page_id IS DISTINCT FROM m THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM m THEN m END AS refers_to
+FROM r
+""",
+    "op12_centroids": _clusters_sql(),
+    "op13_merkle": _merkle_sql(),
 }
