@@ -9,8 +9,11 @@ bytes, so the limit is kept well below what an executor could hold.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 DEFAULT_BROADCAST_BYTES = 16 * 1024 * 1024
 
@@ -48,3 +51,54 @@ def lookup_join(left: DataFrame, right: DataFrame, left_on, right_on, how: str =
         c = ca.eqNullSafe(cb) if null_safe else (ca == cb)
         cond = c if cond is None else cond & c
     return left.join(right, cond, how)
+
+
+#: A key with more than this share of the left rows is split; at most 1 / share keys are.
+HEAVY_SHARE = 0.01
+#: Rows of a heavy key that stay together, as a share of the rows of an even shuffle partition.
+PIECE = 0.25
+
+
+def heavy_keys(df: DataFrame, keys: list[str], pieces: int, share: float = HEAVY_SHARE) -> DataFrame:
+    """(keys..., _pieces): the keys, null ones included, that hold more than ``share`` of the
+    rows, and into how many pieces each goes so that a piece is about one ``pieces``-th of all
+    rows. One partial count per key in each task; what is collected is at most 1 / share rows."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total = df.count()
+    rows = counts.where(F.col("_n") > share * total).collect()
+    schema = StructType([*counts.drop("_n").schema.fields, StructField("_pieces", IntegerType())])
+    return df.sparkSession.createDataFrame([(*r[:-1], max(1, -(-r._n * pieces // total))) for r in rows], schema)
+
+
+def split_join(left: DataFrame, right: DataFrame, left_on, right_on, how: str = "left", null_safe: bool = False,
+               share: float = HEAVY_SHARE) -> DataFrame:
+    """``lookup_join`` (inner, left, left_semi, left_anti) for keys of any weight.
+
+    The left rows of a heavy key are dealt over pieces and the right rows of that key are
+    repeated for each piece; all other keys have one piece. So no task gets more than a piece of
+    a heavy key, whatever AQE can split, and what is repeated are the right rows of at most
+    1 / ``share`` keys. The heavy keys are counted first (one pass over the left key columns).
+    """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"cannot split a {how} join: a right row would stand for several pieces")
+    lk = [left_on] if isinstance(left_on, (str, Column)) else list(left_on)
+    rk = [right_on] if isinstance(right_on, (str, Column)) else list(right_on)
+    lc, rc = [left[k] if isinstance(k, str) else k for k in lk], [right[k] if isinstance(k, str) else k for k in rk]
+    names = [f"_k{i}" for i in range(len(lk))]
+    own = left.withColumns({n: c for n, c in zip(names, lc)})
+    other = right.withColumns({f"{n}_r": c for n, c in zip(names, rc)})
+    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    heavy = F.broadcast(heavy_keys(own.select(*names), names, max(1, round(partitions / PIECE)), share))  # at most 1 / share rows
+
+    def pieces(df: DataFrame, columns: list[str]) -> DataFrame:
+        same = reduce(lambda a, b: a & b, (df[c].eqNullSafe(heavy[n]) for c, n in zip(columns, names)))
+        return df.join(heavy, same, "left").select(*[df[f"`{c}`"] for c in df.columns], F.coalesce(heavy["_pieces"], F.lit(1)).alias("_pieces"))
+
+    own = pieces(own, names).withColumn("_piece", F.pmod(F.monotonically_increasing_id(), F.col("_pieces")).cast("int")).drop("_pieces")
+    rnames = [f"{n}_r" for n in names]
+    other = pieces(other, rnames).withColumn("_piece_r", F.explode(F.sequence(F.lit(0), F.col("_pieces") - 1))).drop("_pieces")
+    cond = own["_piece"] == other["_piece_r"]
+    for a, b in zip(names, rnames):
+        cond = cond & (own[a].eqNullSafe(other[b]) if null_safe else own[a] == other[b])
+    out = own.join(other, cond, how)
+    return out.drop(*[own[c] for c in (*names, "_piece")], *([] if how in ("left_semi", "left_anti") else [other[c] for c in (*rnames, "_piece_r")]))

@@ -74,6 +74,33 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().getName() for f in p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)]
 
 
+def create_file(spark: SparkSession, path: str, text: str) -> None:
+    """A new small file (Hadoop FS API, any scheme); an error when it exists already."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    """The text of a small file (Hadoop FS API, any scheme)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(spark._jsc.hadoopConfiguration()).open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def move_path(spark: SparkSession, path: str, to: str) -> None:
+    """Moves a file to a new place on the same file system (Hadoop FS API, any scheme)."""
+    a, b = (spark._jvm.org.apache.hadoop.fs.Path(x) for x in (path, to))
+    fs = a.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(b.getParent())
+    if not fs.rename(a, b):
+        raise OSError(f"could not move {path} to {to}")
+
+
 def remove_path(spark: SparkSession, path: str, on_exit: bool = False) -> None:
     """Delete a scratch path now, or when the driver ends (Hadoop FS API, any scheme)."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
