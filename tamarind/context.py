@@ -33,6 +33,7 @@ class RunContext:
     full: bool = False
     history_years: int = 10
     history_start_year: int | None = None
+    state_root: str | None = None  # where newest-per-key sources keep their rows between runs (None: nowhere)
 
     @staticmethod
     def for_date(lake_root: str, job_date: _dt.date, **kw) -> "RunContext":

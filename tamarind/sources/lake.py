@@ -1,19 +1,22 @@
 """Readers for the date-partitioned Parquet lake.
 
 Layout: ``{lake}/{app}[/{source_type}]/{table}/calendar_year=Y/month_no=M/day_of_month=D``.
-Partition discovery gives the three date parts as ints; every date predicate below is a
-``PartitionFilter``, so only the wanted directories are listed and read.
+A read of a day, a month, some years or a range of days is given to Spark as the folders of just
+that time (``date_folders``), so nothing else is listed: a table of ten years has thousands of
+folders, and a filter on partition columns would list them all before it prunes. Partition
+discovery (``basePath``) still gives the three date parts as ints.
 """
 
 from __future__ import annotations
 
+import calendar
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from tamarind.session import path_exists
+from tamarind.session import child_names, path_exists
 
 PART_COLS = ("calendar_year", "month_no", "day_of_month")
 
@@ -27,14 +30,58 @@ def empty_frame(spark: SparkSession, columns, schema: str | None = None) -> Data
     return spark.createDataFrame([], StructType(fields))
 
 
-def _date_filter(year, month, day) -> Column | None:
-    cond = None
-    for name, v in zip(PART_COLS, (year, month, day)):
-        if v is None:
+def folder_of(path: str, *parts: int) -> str:
+    """The folder of a year, a month or a day of a lake table."""
+    return "/".join([path.rstrip("/"), *(f"{name}={int(v)}" for name, v in zip(PART_COLS, parts))])
+
+
+def date_folders(path: str, start: _dt.date, end: _dt.date) -> list[str]:
+    """The fewest folders that hold exactly the days from ``start`` to ``end``: whole years, then
+    whole months, then days."""
+    out, day = [], start
+    while day <= end:
+        month_end = day.replace(day=calendar.monthrange(day.year, day.month)[1])
+        if day.month == day.day == 1 and _dt.date(day.year, 12, 31) <= end:
+            out.append(folder_of(path, day.year))
+            day = _dt.date(day.year, 12, 31)
+        elif day.day == 1 and month_end <= end:
+            out.append(folder_of(path, day.year, day.month))
+            day = month_end
+        else:
+            out.append(folder_of(path, day.year, day.month, day.day))
+        if day == _dt.date.max:
             break
-        c = F.col(name) == F.lit(int(v))
-        cond = c if cond is None else cond & c
-    return cond
+        day += _dt.timedelta(days=1)
+    return out
+
+
+def _numbered(spark: SparkSession, path: str, part: str) -> list[int]:
+    """The values of a date part that have a folder under ``path``."""
+    return sorted(int(n.partition("=")[2]) for n in child_names(spark, path) if n.startswith(f"{part}=") and n.partition("=")[2].isdigit())
+
+
+def newest_day_folder(spark: SparkSession, path: str) -> str | None:
+    """The folder of the last day of a table, found by one listing per level."""
+    at, parts = path, []
+    for part in PART_COLS:
+        found = _numbered(spark, at, part)
+        if not found:
+            return None
+        parts.append(found[-1])
+        at = folder_of(path, *parts)
+    return at
+
+
+def read_folders(spark: SparkSession, path: str, folders: list[str]) -> DataFrame:
+    """The rows of some date folders of the table at ``path``, with their date parts. Folders
+    that do not exist are left out; when none does, an empty frame that has the types of the
+    table's last day (a folder is looked for, never the table listed)."""
+    there = [f for f in folders if path_exists(spark, f)]
+    reader = spark.read.option("basePath", path)
+    if there:
+        return reader.parquet(*there)
+    newest = newest_day_folder(spark, path)
+    return (reader.parquet(newest) if newest else spark.read.parquet(path)).limit(0)
 
 
 def read_lake(spark: SparkSession, path: str, columns=None, year=None, month=None, day=None,
@@ -55,10 +102,12 @@ def read_lake(spark: SparkSession, path: str, columns=None, year=None, month=Non
         cols = list(columns) if columns else None
         df = empty_frame(spark, cols, schema)
     else:
-        df = spark.read.option("basePath", path).parquet(path)
-        cond = _date_filter(year, month, day)
-        if cond is not None:
-            df = df.where(cond)
+        parts = []
+        for v in (year, month, day):
+            if v is None:
+                break
+            parts.append(v)
+        df = read_folders(spark, path, [folder_of(path, *parts)]) if parts else spark.read.option("basePath", path).parquet(path)
         if columns:
             df = df.select(*[F.col(c) for c in columns])
         else:
@@ -98,32 +147,33 @@ def read_range(spark: SparkSession, src, root: str, start: _dt.date, end: _dt.da
     columns = [c for c in src.columns if c not in PART_COLS] if src.columns else None
     if not path_exists(spark, path):
         return empty_frame(spark, [*(columns or []), *PART_COLS], src.schema)
-    df = spark.read.option("basePath", path).parquet(path)
-    y, m, d = (F.col(c) for c in PART_COLS)
-    number = y * 10000 + m * 100 + d
-    df = df.where(y.between(start.year, end.year) & number.between(int(f"{start:%Y%m%d}"), int(f"{end:%Y%m%d}")))
+    df = read_folders(spark, path, date_folders(path, start, end))
     return df.select(*[c for c in columns or df.columns if c not in PART_COLS], *PART_COLS).distinct()
 
 
 def read_history(spark: SparkSession, path: str, start_year: int, years: int = 10, columns=None,
                  schema: str | None = None) -> DataFrame:
-    """``years`` calendar years back from ``start_year``, distinct.  One scan with a
-    year range (D8: a missing year in the middle does not stop the read)."""
+    """``years`` calendar years back from ``start_year``, distinct.  One scan of the years
+    that are there (D8: a missing year in the middle does not stop the read)."""
     if not path_exists(spark, path):
         return empty_frame(spark, list(columns) if columns else None, schema)
-    df = spark.read.option("basePath", path).parquet(path)
-    df = df.where(F.col("calendar_year").between(int(start_year) - int(years) + 1, int(start_year)))
+    wanted = [y for y in _numbered(spark, path, PART_COLS[0]) if int(start_year) - int(years) < y <= int(start_year)]
+    df = read_folders(spark, path, [folder_of(path, y) for y in wanted])
     if columns:
         df = df.select(*columns)
     return df.distinct()
 
 
-def read_source(spark: SparkSession, src, ctx) -> DataFrame:
-    """Read one declared ``Source`` for a run context."""
+def read_source(spark: SparkSession, src, ctx, inputs: dict | None = None) -> DataFrame:
+    """Read one declared ``Source`` for a run context; ``inputs`` are the spec's sources read
+    before it, which a query may use."""
     from tamarind import spec as S
 
     path = src.path(ctx.lake_root)
     if src.kind == S.LATEST:
+        if ctx.state_root:
+            from tamarind.sources.newest import refresh
+            return refresh(spark, src, ctx.lake_root, ctx.state_root)
         cols = list(src.columns) if src.columns else None
         if cols is not None:
             cols = cols + [c for c in PART_COLS if c not in cols]  # D1: keep date parts to rank
@@ -135,6 +185,9 @@ def read_source(spark: SparkSession, src, ctx) -> DataFrame:
     if src.kind == S.WAREHOUSE:
         from tamarind.sources.warehouse import read_warehouse
         return read_warehouse(spark, ctx.warehouse_root, src.table, schema=src.schema)
+    if src.kind == S.SQL:
+        from tamarind.sources.warehouse import read_sql
+        return read_sql(spark, src, ctx.warehouse_root, inputs)
     c = ctx.resolved()
     if c.full and c.year is None:
         return read_lake(spark, path, columns=src.columns, full=True, schema=src.schema)

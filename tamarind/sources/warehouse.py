@@ -24,6 +24,23 @@ def read_warehouse(spark: SparkSession, root: str | None, table: str, schema: st
     return spark.read.parquet(path)
 
 
+def read_sql(spark: SparkSession, src, root: str | None, inputs: dict | None = None) -> DataFrame:
+    """A declared query. ``src.reads`` are its warehouse tables ("name" or "name=table"),
+    ``src.inputs`` frames that have been read already (a list of wanted ids to semi-join, say);
+    the query names them as ``{name}``, so nothing is registered under a name that another
+    source could take. Catalyst pushes its filters and columns into the scans."""
+    frames = {}
+    for entry in src.reads:
+        name, _, table = entry.rpartition("=")
+        frames[name or table] = read_warehouse(spark, root, table)
+    given = inputs or {}
+    missing = [a for a in src.inputs if a not in given]
+    if missing:
+        raise ValueError(f"inputs of the query {src.alias} that are not read: {missing}")
+    frames.update({a: given[a] for a in src.inputs})
+    return spark.sql(src.query, **frames)
+
+
 def latest_address(dim_address: DataFrame, addr_type_id: int = 5) -> DataFrame:
     """Newest address of the given type per party, by ``date_id desc, addr_id desc``."""
     w = Window.partitionBy("party_id").orderBy(F.col("date_id").desc(), F.col("addr_id").desc())

@@ -13,6 +13,7 @@ LAKE = "lake"          # S1-S3: the job's day (or month/year/all)
 LATEST = "latest"      # S10: full read, newest row per key
 HISTORY = "history"    # S11: N years back, distinct
 WAREHOUSE = "warehouse"  # S12: a warehouse table
+SQL = "sql"            # S12: a query over warehouse tables and other sources of the spec
 
 
 @dataclass(frozen=True)
@@ -26,6 +27,9 @@ class Source:
     keys: tuple[str, ...] = ()
     tie: tuple[str, ...] = ()
     schema: str | StructType | None = None  # used when the table does not exist (S9)
+    query: str | None = None           # SQL: names its inputs as {name}
+    reads: tuple[str, ...] = ()        # SQL: warehouse tables, or "name=table", among the inputs
+    inputs: tuple[str, ...] = ()       # SQL: other sources of the spec among the inputs (their aliases)
 
     def path(self, root: str) -> str:
         """``{root}/{app}[/{source_type}]/{table}``."""
@@ -48,3 +52,8 @@ class TableSpec:
     append: bool = False           # K3
     sort: tuple[str, ...] = ()     # O2: order of the rows within a partition's files
     row_local: bool = False        # M2: the key holds the lake day, so one range read equals day by day
+
+    def warehouse_tables(self) -> set[str]:
+        """The warehouse tables that the spec reads."""
+        out = {s.table for s in self.sources if s.kind == WAREHOUSE}
+        return out | {r.rpartition("=")[2] for s in self.sources if s.kind == SQL for r in s.reads}
