@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from tamarind.queries import builders, jobs, operators
+from tamarind.queries import builders, jobs, loads, operators
 
 
 def all_queries() -> dict:
-    return operators.QUERIES | builders.QUERIES | jobs.QUERIES
+    return operators.QUERIES | builders.QUERIES | jobs.QUERIES | loads.QUERIES
 
 
 def all_oracles() -> dict:
-    return operators.ORACLES | builders.ORACLES | jobs.ORACLES
+    return operators.ORACLES | builders.ORACLES | jobs.ORACLES | loads.ORACLES

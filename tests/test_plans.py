@@ -3,22 +3,12 @@
 import pytest
 
 from tamarind.queries.catalog import all_queries
-from tamarind.queries.operators import ensure_lake
-from tamarind.sources import lake
 
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_day_read_prunes_partitions(spark, sf_dir):
-    root = ensure_lake(spark, sf_dir, "events", "ts")
-    df = lake.read_lake(spark, f"{root}/app/events", columns=["user_id"], year=2024, month=1, day=15)
-    p = df._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(calendar_year" in p
-    assert "ReadSchema: struct<user_id:bigint>" in p
-
-
 QUERIES = all_queries()
 
 
