@@ -14,6 +14,7 @@ At scale:
   a folded hash for each leaf; the recursion carries a sixteenth of the rows.
 * Nodes above many leaves would be hot join keys. Those are few, by a bound (``NEAR_ROOT``), and
   are joined by broadcast in a second recursion; below them a key has few climbers.
+* Hashes are kept and shuffled as their 32 bytes, and become hex text where they are hashed.
 * Every level and both climbs are written tables, so a lost executor repeats one step.
 
 Rows: nulls hash as ``-``; a null id comes first in its source and counts as the empty text in
@@ -37,8 +38,23 @@ NEAR_ROOT = 8_192
 
 
 def digest(*parts: Column) -> Column:
-    """Lowercase hex sha256 of the parts, one after the other."""
-    return F.sha2(F.concat(*parts).cast("binary"), 256)
+    """sha256 (its 32 bytes) of texts, one after the other."""
+    return F.unhex(F.sha2(F.concat(*parts).cast("binary"), 256))
+
+
+def node_digest(*hashes: Column) -> Column:
+    """sha256 of hashes, given as bytes of one or several, one after the other as hex text."""
+    return digest(F.lower(F.hex(F.concat(*hashes))))
+
+
+def joined(hashes: Column) -> Column:
+    """The bytes of an array of hashes."""
+    return F.unhex(F.array_join(F.transform(hashes, lambda h: F.hex(h)), ""))
+
+
+def others(run: Column, i: Column) -> tuple[Column, Column]:
+    """The hashes of a run before and after its i-th (from 0)."""
+    return F.substring(run, F.lit(1), i * 32), F.substring(run, i * 32 + 33, F.lit(32 * RUN))
 
 
 def field(c: Column) -> Column:
@@ -53,7 +69,7 @@ def tampered_text(text: Column) -> Column:
 
 def leaves(rows: DataFrame, tampered: Column) -> DataFrame:
     """(id, source, leaf, start): the leaf hash, and the hash that the row has now, with its text
-    changed where ``tampered`` holds."""
+    changed where ``tampered`` holds; both as bytes."""
     leaf = digest(*[field(F.col(c)) for c in COLUMNS])
     changed = digest(*[field(F.col(c)) for c in COLUMNS[:-1]], field(tampered_text(F.col("text"))))
     return rows.select(F.col("doc_id").alias("id"), "source", leaf.alias("leaf"), F.when(tampered, changed).otherwise(leaf).alias("start"))
@@ -74,8 +90,8 @@ def ranked(df: DataFrame, group: str | None, order: list[str], ws: Workspace, na
     w = Window.partitionBy("_g")
     before = F.sum("_n").over(w.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))
     counts = ws.write(counts.withColumn("_before", F.coalesce(before, F.lit(0))).withColumn("width", F.sum("_n").over(w)), f"{name}-counts")
-    joined = placed.join(maybe_broadcast(counts), (F.col("_part") == F.col("_p")) & key.eqNullSafe(F.col("_g")))
-    return joined.withColumn("pos", F.col("_at") - F.col("_first") + F.col("_before")).drop("_part", "_at", "_p", "_g", "_n", "_first", "_before")
+    found = placed.join(maybe_broadcast(counts), (F.col("_part") == F.col("_p")) & key.eqNullSafe(F.col("_g")))
+    return found.withColumn("pos", F.col("_at") - F.col("_first") + F.col("_before")).drop("_part", "_at", "_p", "_g", "_n", "_first", "_before")
 
 
 def node_name(level: int, pos: Column, source: Column | None) -> Column:
@@ -95,9 +111,9 @@ def above(n: Column) -> Column:
 def next_level(nodes: DataFrame, tree: str | None) -> DataFrame:
     """The nodes above, each the hash of a run."""
     keys = [*([tree] if tree else []), F.col("parent").alias("node"), above(F.col("pos")).alias("pos"), (above(F.col("width") - 1) + 1).alias("width")]
-    run = F.array_join(F.sort_array(F.collect_list(F.struct("pos", "hash")))["hash"], "")
-    return (nodes.groupBy(*keys).agg(digest(run).alias("hash"), F.sum("leaves").alias("leaves"))
-            .withColumn("subroot", F.lit(None).cast("string")))
+    run = joined(F.sort_array(F.collect_list(F.struct("pos", "hash")))["hash"])
+    return (nodes.groupBy(*keys).agg(node_digest(run).alias("hash"), F.sum("leaves").alias("leaves"))
+            .withColumn("subroot", F.lit(None).cast("binary")))
 
 
 def build_tree(first: DataFrame, tree: str | None, ws: Workspace, name: str) -> tuple[list[DataFrame], DataFrame]:
@@ -118,56 +134,60 @@ def build_tree(first: DataFrame, tree: str | None, ws: Workspace, name: str) ->
 
 
 _CLIMB = """
-WITH RECURSIVE climb (node, climbing, members, folds, above, subroot) AS (
-  SELECT node, climbing, members, folds, above, subroot FROM {start}
+WITH RECURSIVE climb (node, climbing, ids, run, folds, above, subroot) AS (
+  SELECT node, climbing, ids, run, folds, above, subroot FROM {start}
   UNION ALL
-  SELECT n.parent, r.climbing, c.members,
-         transform(c.folds, f -> sha2(cast(concat(array_join(slice(r.hashes, 1, n.slot), ''), f,
-                                                  array_join(slice(r.hashes, n.slot + 2, 16), '')) AS binary), 256)),
-         concat(c.above, array_join(slice(r.hashes, 1, n.slot), ''), array_join(slice(r.hashes, n.slot + 2, 16), '')),
-         coalesce(n.subroot, c.subroot)
-  FROM climb c JOIN {nodes} n ON c.node = n.node JOIN {runs} r ON n.parent = r.parent
+  SELECT n.parent, n.climbing, c.ids, c.run,
+         transform(c.folds, f -> unhex(sha2(cast(lower(hex(concat(n.before, f, n.after))) AS binary), 256))),
+         concat(c.above, n.before, n.after), coalesce(n.subroot, c.subroot)
+  FROM climb c JOIN {steps} n ON c.node = n.node
   WHERE c.climbing)
-SELECT node, members, folds, above, subroot FROM climb WHERE NOT climbing"""
-_ROWS_LIMIT = "spark.sql.cteRecursionRowLimit"
+SELECT node, ids, run, folds, above, subroot FROM climb WHERE NOT climbing"""
+#: How many rows a recursion may make is a setting, lifted while ours run. Its result has as many
+#: partitions as its first step, so these are not merged while they are still small.
+_WHILE_CLIMBING = {"spark.sql.cteRecursionRowLimit": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
 
 
-def climb(start: DataFrame, nodes: DataFrame, runs: DataFrame, ws: Workspace, name: str) -> DataFrame:
-    """``start`` (node, climbing, members, folds, above, subroot) carried up by the recursive
-    query as far as ``climbing`` says. How many rows a recursion may make is a setting, which
-    is lifted while this one runs."""
+def climb(start: DataFrame, steps: DataFrame, ws: Workspace, name: str) -> DataFrame:
+    """``start`` (node, climbing, ids, run, folds, above, subroot) carried up by the recursive
+    query over ``steps`` (node, parent, climbing, before, after, subroot) as far as ``climbing``
+    says."""
     spark = start.sparkSession
-    held = spark.conf.get(_ROWS_LIMIT)
-    spark.conf.set(_ROWS_LIMIT, "-1")
+    held = {key: spark.conf.get(key) for key in _WHILE_CLIMBING}
+    for key, value in _WHILE_CLIMBING.items():
+        spark.conf.set(key, value)
     try:
-        return ws.write(spark.sql(_CLIMB, start=start, nodes=nodes, runs=runs), name)
+        return ws.write(spark.sql(_CLIMB, start=start, steps=steps), name)
     finally:
-        spark.conf.set(_ROWS_LIMIT, held)
+        for key, value in held.items():
+            spark.conf.set(key, value)
 
 
 def ascend(start: DataFrame, nodes: DataFrame, root: str, near_root: int, ws: Workspace) -> DataFrame:
     """The climbers at the root: through the many nodes above few leaves by shuffle joins, through
     the few above many leaves by broadcast joins."""
-    runs = nodes.groupBy("parent").agg(F.sort_array(F.collect_list(F.struct("slot", "hash")))["hash"].alias("hashes"), F.sum("leaves").alias("leaves"))
-    runs = ws.write(runs, "node-runs")
-    size = nodes.agg(F.count(F.lit(1)).alias("n"), F.max("leaves").alias("m")).first()
+    runs = nodes.groupBy("parent").agg(joined(F.sort_array(F.collect_list(F.struct("slot", "hash")))["hash"]).alias("r"), F.sum("leaves").alias("n"))
+    before, after = others(F.col("r"), F.col("slot"))
+    steps = nodes.join(runs, "parent").select("node", "parent", "leaves", F.col("n").alias("parent_leaves"), before.alias("before"), after.alias("after"), "subroot")
+    steps = ws.write(steps, "steps")
+    size = steps.agg(F.count(F.lit(1)).alias("n"), F.max("parent_leaves").alias("total"),
+                     F.count_distinct(F.substring_index("node", "/", 1), F.col("node").endswith("/^")).alias("levels")).first()
     least = 1
     if size.n > near_root:
         # of nodes above at least ``least`` leaves there are at most near_root: each level has all leaves below it
-        levels = nodes.select(F.substring_index("node", "/", 1).alias("level"), F.col("node").endswith("/^").alias("upper")).distinct().count()
-        total = runs.where(F.col("parent") == root).first().leaves
-        least = min(total, -(-total * levels // near_root))
-        start = start.withColumn("climbing", F.col("leaves") < least)
-        start = climb(start, nodes.where(F.col("leaves") < least), runs.withColumn("climbing", F.col("leaves") < least), ws, "climbed")
-    start = start.withColumn("climbing", F.col("node") != root)
-    near = runs.where(F.col("leaves") >= least).withColumn("climbing", F.col("parent") != root)
-    return climb(start, F.broadcast(nodes.where(F.col("leaves") >= least)), F.broadcast(near), ws, "at-root")
+        least = min(size.total, -(-size.total * size.levels // near_root))
+        low = steps.where(F.col("leaves") < least).withColumn("climbing", F.col("parent_leaves") < least)
+        start = climb(start.withColumn("climbing", F.col("leaves") < least), low, ws, "climbed")
+        ws.drop("start")
+    high = steps.where(F.col("leaves") >= least).withColumn("climbing", F.col("parent") != root)
+    return climb(start.withColumn("climbing", F.col("node") != root), F.broadcast(high), ws, "at-root")
 
 
 def manifest(rows: DataFrame, tampered: Column | None = None, near_root: int = NEAR_ROOT) -> DataFrame:
-    """(doc_id, leaf, subroot, root, proof, folded_root, verified) of every row. ``proof`` is the
-    siblings' hashes from the leaf to the root, left to right; ``folded_root`` is what the row's
-    present hash gives with them: its text lower-cased where ``tampered`` holds."""
+    """(doc_id, leaf, subroot, root, proof, folded_root, verified) of every row, hashes as hex
+    text. ``proof`` is the siblings' hashes from the leaf to the root, left to right;
+    ``folded_root`` is what the row's present hash gives with them: its text lower-cased where
+    ``tampered`` holds."""
     spark = rows.sparkSession
     ws = Workspace(spark, "merkle")
     if tampered is None:
@@ -175,34 +195,33 @@ def manifest(rows: DataFrame, tampered: Column | None = None, near_root: int = N
     base = ws.write(leaves(rows, tampered), "leaves")
     placed = ranked(base, "source", ["id", "leaf"], ws, "leaves")
     member = F.sort_array(F.collect_list(F.struct("pos", "id", "leaf", "start")))
-    runs = ws.write(placed.groupBy("source", above(F.col("pos")).alias("run"), "width").agg(member.alias("m")), "runs")
+    runs = (placed.groupBy("source", above(F.col("pos")).alias("pos"), "width").agg(member.alias("m"))
+            .withColumn("run", joined(F.col("m.leaf"))).withColumn("lone", F.col("width") == 1))
+    # the up to 16 leaves of a run climb together; a source of one leaf has no run: the leaf is its subroot
+    fold = F.transform("m", lambda x, i: node_digest(others(F.col("run"), i)[0], x["start"], others(F.col("run"), i)[1]))
+    runs = ws.write(runs.select("source", "pos", node_name(1, F.col("pos"), F.col("source")).alias("node"), (above(F.col("width") - 1) + 1).alias("width"),
+                                F.size("m").cast("long").alias("leaves"), F.when(F.col("lone"), F.col("run")).otherwise(node_digest(F.col("run"))).alias("hash"),
+                                F.col("m.id").alias("ids"), "run", F.when(F.col("lone"), F.col("m.start")).otherwise(fold).alias("folds")), "start")
     ws.drop("leaves", "leaves-sorted")
     if runs.isEmpty():
         id_type = rows.schema["doc_id"].dataType.simpleString()
         return spark.createDataFrame([], f"doc_id {id_type}, leaf string, subroot string, root string, proof string, folded_root string, verified boolean")
 
-    lone = F.col("width") == 1  # a source of one leaf has no run: the leaf is its subroot
-    node = node_name(1, F.col("run"), F.col("source")).alias("node")
-    nothing = F.lit(None).cast("string").alias("subroot")
-    first = runs.select("source", node, F.col("run").alias("pos"), (above(F.col("width") - 1) + 1).alias("width"),
-                        F.when(lone, F.col("m")[0]["leaf"]).otherwise(digest(F.array_join("m.leaf", ""))).alias("hash"),
-                        F.size("m").cast("long").alias("leaves"), nothing)
-    tables, tops = build_tree(first, "source", ws, "tree")
+    nothing = F.lit(None).cast("binary").alias("subroot")
+    tables, tops = build_tree(runs.select("source", "node", "pos", "width", "hash", "leaves", nothing), "source", ws, "tree")
     upper = ranked(ws.write(tops.select("source", "node", "hash", "leaves", F.col("hash").alias("subroot")), "subroots"), None, ["source"], ws, "subroots")
     upper_tables, top = build_tree(ws.write(upper.drop("source"), "subroots-placed"), None, ws, "top")
     root = top.first()  # the one top of the one tree above all sources
-
-    fold = F.transform("m", lambda x, i: digest(F.array_join(F.slice("m.leaf", F.lit(1), i), ""), x["start"],
-                                                F.array_join(F.slice("m.leaf", i + 2, F.lit(RUN)), "")))
-    start = runs.select(node, F.size("m").cast("long").alias("leaves"), F.transform("m", lambda x: F.struct(x["id"].alias("id"), x["leaf"].alias("leaf"))).alias("members"),
-                        F.when(lone, F.col("m")["start"]).otherwise(fold).alias("folds"), F.lit("").alias("above"), nothing)
+    start = runs.select("node", "leaves", "ids", "run", "folds", F.lit("").cast("binary").alias("above"), nothing)
     nodes = None
     for t in [*tables, *upper_tables]:
         nodes = t if nodes is None else nodes.unionByName(t)
     if nodes is not None:
-        start = ascend(start, ws.write(nodes, "nodes"), root.node, near_root, ws)
-    out = F.transform("members", lambda x, i: F.struct(
-        x["id"].alias("doc_id"), x["leaf"].alias("leaf"), F.coalesce(F.col("subroot"), F.lit(root.hash)).alias("subroot"), F.lit(root.hash).alias("root"),
-        F.concat(F.array_join(F.slice("members.leaf", F.lit(1), i), ""), F.array_join(F.slice("members.leaf", i + 2, F.lit(RUN)), ""), "above").alias("proof"),
-        F.get("folds", i).alias("folded_root"), (F.get("folds", i) == root.hash).alias("verified")))
+        start = ascend(start, nodes, root.node, near_root, ws)
+    text = lambda *hashes: F.lower(F.hex(F.concat(*hashes)))
+    root_hash = bytes(root.hash).hex()
+    out = F.transform("ids", lambda x, i: F.struct(
+        x.alias("doc_id"), text(F.substring("run", i * 32 + 1, F.lit(32))).alias("leaf"), F.coalesce(text(F.col("subroot")), F.lit(root_hash)).alias("subroot"),
+        F.lit(root_hash).alias("root"), text(*others(F.col("run"), i), F.col("above")).alias("proof"),
+        text(F.get("folds", i)).alias("folded_root"), (text(F.get("folds", i)) == root_hash).alias("verified")))
     return start.select(F.inline(out))
