@@ -4,7 +4,9 @@ Terms are the distinct lower-cased words of a text and the beginnings of longer
 Besides a weight, a term has a short vector; the inner products of the vectors of the
 terms that occur together add what a sum of weights misses (an insult next to the mention
 of a group). Every term of the sample is trained, also one whose weight alone is zero:
-half of a combination may say nothing by itself.
+half of a combination may say nothing by itself. Weights and vectors both move by
+follow-the-regularised-leader, so the thousands of terms that the sample says little about
+stay out of the machine.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql.types import ArrayType, DoubleType, FloatType, IntegerType, StructField
 
 from tamarind.llm.common import Codes, Shared, add_columns, hold, labelled_sample, list_array, mix64
-from tamarind.llm.quality import collect_rows, ftrl, text_hash
+from tamarind.llm.quality import collect_rows, text_hash
 
 BITS = 18
 FACTORS = 6
@@ -74,40 +76,64 @@ class Machine:
         return out
 
 
+class _Leader:
+    """Coordinates moved by follow-the-regularised-leader: one leaves 0 only when the gradients
+    that pull on it add up to more than ``l1``, whatever fits the sample beyond that."""
+
+    def __init__(self, shape, alpha: float, l1: float, beta: float, l2: float = 0.001):
+        self.value, self.z, self.g2 = np.zeros(shape), np.zeros(shape), np.zeros(shape)
+        self.alpha, self.l1, self.beta, self.l2 = alpha, l1, beta, l2
+
+    def move(self, at, g) -> None:
+        before, after = np.sqrt(self.g2[at]), np.sqrt(self.g2[at] + g * g)
+        self.z[at] += g - (after - before) / self.alpha * self.value[at]
+        self.g2[at] += g * g
+        z = self.z[at]
+        self.value[at] = np.where(np.abs(z) <= self.l1, 0.0, (np.sign(z) * self.l1 - z) / ((self.beta + after) / self.alpha + self.l2))
+
+
 def fit(start: np.ndarray, index: np.ndarray, label: np.ndarray, bits: int = BITS, factors: int = FACTORS,
-        epochs: int = EPOCHS, rate: float = 0.02, l2: float = 0.001) -> Machine:
-    """A linear part by follow-the-regularised-leader; then weights and vectors of all terms
-    that occur, together, by adaptive gradient steps over small batches."""
+        epochs: int = EPOCHS, l1: float = 8.0, pair_l1: float = 4.0) -> Machine:
+    """Weights, then weights and vectors together, over small batches; all by the same rule.
+
+    Vectors start at small random values, and a term's vector leaves its start only when the
+    errors of more than about ``pair_l1`` rows pull it one way; a vector that never does is no
+    part of the machine. So terms that only happen to occur in a few toxic rows of the sample
+    get neither weight nor vector, while a pair of terms that says something does, even if
+    neither of the two does alone."""
     size = 1 << bits
-    weight, bias = ftrl(start, index, np.ones(len(index)), label, size, epochs, BATCH, alpha=3.0, l1=4.0, l2=0.001)
     used = np.bincount(index, minlength=size) > 0
+    terms_of_a_row = max(1.0, len(index) / max(1, len(label)))
     # so small that the untrained interactions of a text of usual length add up to about 0.1
-    spread = np.sqrt(0.1 * np.sqrt(2 / factors) / max(1.0, len(index) / max(1, len(label))))
-    vectors = np.where(used[:, None], np.random.default_rng(7).normal(0, spread, (size, factors)), 0.0)
-    m = Machine(bias, weight, vectors)
-    gw, gv, g0 = np.full(size, 1e-3), np.full((size, factors), 1e-3), 1e-3
-    for _ in range(epochs):
+    spread = np.sqrt(0.1 * np.sqrt(2 / factors) / terms_of_a_row)
+    begin = np.where(used[:, None], np.random.default_rng(7).normal(0, spread, (size, factors)), 0.0)
+    weight, bias = _Leader(size, 1.0, l1, 1.0), _Leader(1, 1.0, 0.0, 1.0, 1e-6)
+    # one row pulls a vector by its other terms' vectors, about this far
+    change = _Leader((size, factors), 0.1, pair_l1 * spread * np.sqrt(terms_of_a_row), 0.01)
+    none = np.zeros((size, 0))
+    m = Machine(0.0, weight.value, none)
+    for epoch in range(2 * epochs):
+        if epoch == epochs:
+            m.vectors = begin.copy()
         for a in range(0, len(label), BATCH):
             b = min(a + BATCH, len(label))
             owner = np.repeat(np.arange(b - a), np.diff(start[a:b + 1]))
             idx = index[start[a]:start[b]]
             error = 1.0 / (1.0 + np.exp(-np.clip(m.logits(owner, idx, b - a), -35, 35))) - label[a:b]
-            e = float(error.sum())
-            g0 += e * e
-            m.bias -= rate * e / np.sqrt(g0)
+            bias.move([0], error.sum(keepdims=True))
+            m.bias = float(bias.value[0])
             if not len(idx):
                 continue
             terms, back = np.unique(idx, return_inverse=True)
-            g = np.bincount(back, error[owner], minlength=len(terms)) + l2 * m.weight[terms]
-            gw[terms] += g * g
-            v = m.vectors[idx]
-            total = np.stack([np.bincount(owner, v[:, f], minlength=b - a) for f in range(factors)], axis=1)
-            each = error[owner][:, None] * (total[owner] - v)
-            g_v = np.stack([np.bincount(back, each[:, f], minlength=len(terms)) for f in range(factors)], axis=1)
-            g_v += l2 * m.vectors[terms]
-            gv[terms] += g_v * g_v
-            m.weight[terms] -= rate * g / np.sqrt(gw[terms])
-            m.vectors[terms] -= rate * g_v / np.sqrt(gv[terms])
+            weight.move(terms, np.bincount(back, error[owner], minlength=len(terms)))
+            if epoch >= epochs:
+                v = m.vectors[idx]
+                total = np.stack([np.bincount(owner, v[:, f], minlength=b - a) for f in range(factors)], axis=1)
+                each = error[owner][:, None] * (total[owner] - v)
+                change.move(terms, np.stack([np.bincount(back, each[:, f], minlength=len(terms)) for f in range(factors)], axis=1))
+                m.vectors[terms] = begin[terms] + change.value[terms]
+    if len(label):
+        m.vectors[~change.value.any(axis=1)] = 0.0
     return m
 
 

@@ -151,6 +151,31 @@ def test_toxicity_on_held_out_documents(spark):
     assert np.mean([r.predicted == r.toxic for r in rows]) > 0.97
 
 
+def test_toxicity_of_an_insult_next_to_a_group(spark):
+    """Toxic are texts with both words; each alone is as common in clean ones."""
+    kinds = [(" dolt ", " romans "), (" dolt ", " "), (" ", " romans "), (" ", " ")]
+    docs = [(i, prose(i, 25) + kinds[i % 4][0] + prose(i + 1, 10) + kinds[i % 4][1] + prose(i + 2, 10)) for i in range(6000)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(6000)], "doc_id long, toxic int")
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    held = crc_mod(F.col("doc_id"), 4) == 2
+    machine = T.learn(docs, labels, ~held)
+    rows = T.score(docs, machine).join(labels, "doc_id").where(held).collect()
+    assert np.mean([r.predicted == r.toxic for r in rows]) > 0.99
+    assert machine.vectors.any()
+
+
+def test_toxicity_of_the_given_documents_by_language(spark):
+    """Held-out recall at the cut in every language, and clean documents left alone."""
+    table = lambda name: spark.read.parquet(f"/root/testdata/sf0.1/{name}.parquet")
+    docs, labels = table("documents"), table("labels").where("toxic IS NOT NULL")
+    held = crc_mod(F.col("doc_id"), 4) == 2
+    rows = T.score(docs.join(labels, "doc_id", "left_semi"), T.learn(docs, labels, ~held)).where(held).join(labels, "doc_id").collect()
+    share = lambda want, keep: np.mean([r.predicted == want for r in rows if r.toxic == want and keep(r)])
+    assert share(0, lambda r: True) >= 0.99 and share(1, lambda r: True) >= 0.92
+    for lang in sorted({r.lang for r in rows if r.lang}):
+        assert share(1, lambda r: r.lang == lang) >= 0.8, lang
+
+
 @pytest.mark.parametrize("module", [Q, T])
 def test_odd_rows(spark, odd_docs, module):
     label = "quality" if module is Q else "toxic"
