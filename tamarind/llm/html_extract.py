@@ -10,6 +10,7 @@ labelled pages of ``html_pages``.
 
 from __future__ import annotations
 
+import math
 import re
 from html.parser import HTMLParser
 
@@ -53,7 +54,9 @@ class Page(HTMLParser):
         self.parent, self.depth, self.tag, self.names = [-1], [0], ["#page"], [frozenset()]
         self.text, self.link, self.label, self.labelled = [""], [0], [0], labelled
         self.open: list[tuple[str, int]] = []  # (tag, node of the nearest block)
+        self.at: dict[str, list[int]] = {}  # places of the open elements of each tag
         self.skip: list[str] = []  # a skipped element and the open ones within it
+        self.skip_at: dict[str, list[int]] = {}
         self.run: list[str] = []
         self.in_link = self.link_chars = 0
         self.feed(html)
@@ -80,36 +83,55 @@ class Page(HTMLParser):
             self.node("#text", frozenset(), text, min(self.link_chars, len(text)))
         self.run, self.link_chars = [], 0
 
+    def push(self, tag: str, node: int):
+        self.at.setdefault(tag, []).append(len(self.open))
+        self.open.append((tag, node))
+
+    def push_skip(self, tag: str):
+        self.skip_at.setdefault(tag, []).append(len(self.skip))
+        self.skip.append(tag)
+
+    def drop_skip(self, at: int = 0):
+        """Ends the skipped element's open ones from a place on; from the first: the element."""
+        for tag in self.skip[at:]:
+            self.skip_at[tag].pop()
+        del self.skip[at:]
+
+    def innermost(self, tags) -> int:
+        """Place of the innermost open element of some tags, or -1."""
+        return max((places[-1] for t in tags if (places := self.at.get(t))), default=-1)
+
     def pop_to(self, tags, scope=frozenset()):
         """Closes the innermost open element of ``tags`` and all within it, but none beyond ``scope``."""
-        for i in reversed(range(len(self.open))):
-            if self.open[i][0] in tags:
-                if any(t not in INLINE for t, _ in self.open[i:]):
-                    self.flush()
-                self.in_link -= sum(t == "a" for t, _ in self.open[i:])
-                del self.open[i:]
-                return
-            if self.open[i][0] in scope:
-                return
+        i = self.innermost(tags)
+        if i < 0 or self.innermost(scope) > i:
+            return
+        closed = self.open[i:]
+        if any(t not in INLINE for t, _ in closed):
+            self.flush()
+        for t, _ in closed:
+            self.at[t].pop()
+            self.in_link -= t == "a"
+        del self.open[i:]
 
     def ends_skip(self, tag) -> bool:
         """Whether a start tag cannot stand in the skipped element, which then was not closed."""
         if self.skip[0] == "head":
             return tag == "body" or (tag not in IN_HEAD and self.skip[-1] in ("head", "noscript"))
-        return self.skip[0] == "svg" and tag in ENDS_SVG and not {"foreignobject", "desc", "title"} & set(self.skip)
+        return self.skip[0] == "svg" and tag in ENDS_SVG and not any(self.skip_at.get(t) for t in ("foreignobject", "desc", "title"))
 
     def handle_starttag(self, tag, attrs):
         if self.skip and self.ends_skip(tag):
-            self.skip = []
+            self.drop_skip()
         if self.skip:
             if tag not in VOID:
-                self.skip.append(tag)
+                self.push_skip(tag)
             return
         if tag == "br":
             self.run.append(" ")
             return
         if tag in SKIPPED:
-            self.skip.append(tag)
+            self.push_skip(tag)
             return
         if tag in VOID:
             if tag not in INLINE:
@@ -122,7 +144,7 @@ class Page(HTMLParser):
         if tag in INLINE:
             if tag == "a":
                 self.in_link += 1
-            self.open.append((tag, self.block))
+            self.push(tag, self.block)
             return
         self.flush()
         a = dict(attrs)
@@ -132,7 +154,7 @@ class Page(HTMLParser):
         if "hidden" in a or (a.get("aria-hidden") or "") == "true" or "display:none" in (a.get("style") or "").replace(" ", ""):
             names.add("hidden")
         self.node(tag, frozenset(names), label=int(a[LABEL]) if self.labelled and LABEL in a else None)
-        self.open.append((tag, len(self.parent) - 1))
+        self.push(tag, len(self.parent) - 1)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -141,18 +163,18 @@ class Page(HTMLParser):
 
     def handle_endtag(self, tag):
         if self.skip:
-            if tag in self.skip:  # of the skipped element or of one within it
-                del self.skip[len(self.skip) - 1 - self.skip[::-1].index(tag):]
+            if self.skip_at.get(tag):  # of the skipped element or of one within it
+                self.drop_skip(self.skip_at[tag][-1])
                 return
-            if self.skip[0] == "head" or not (tag in ("body", "html") or any(t == tag and t not in INLINE for t, _ in self.open)):
+            if self.skip[0] == "head" or not (tag in ("body", "html") or (self.at.get(tag) and tag not in INLINE)):
                 return
-            self.skip = []  # an enclosing block ends
+            self.drop_skip()  # an enclosing block ends
         if tag not in VOID:
             self.pop_to({tag}, SECTIONS - {tag} if tag in INLINE or tag == "p" else frozenset())
 
     def handle_data(self, data):
         if self.skip == ["head"] and data.strip():
-            self.skip = []
+            self.drop_skip()
         if not self.skip:
             self.run.append(data)
             if self.in_link > 0:
@@ -193,6 +215,14 @@ def kinds(names: frozenset) -> tuple[int, ...]:
     return _kinds_of[names]
 
 
+#: Levels of fewer nodes are passed node by node; a deep nest has hundreds of thousands of them.
+THIN = 8
+
+
+def _logsum(x: float, y: float) -> float:
+    return max(x, y) + math.log1p(math.exp(-abs(x - y)))
+
+
 class Forest:
     """The trees of a batch of pages with their features, ready for message passing."""
 
@@ -212,10 +242,12 @@ class Forest:
         link = np.array([x for p in pages for x in p.link], np.float64)
         marks = np.fromiter((sum(map(t.count, ".,;!?")) for t in self.texts), np.float64, n)
         self.depth = np.concatenate([np.array(p.depth, np.int64) for p in pages]) if n else np.zeros(0, np.int64)
-        self.levels = [np.flatnonzero(self.depth == d) for d in range(int(self.depth.max()) + 1 if n else 0)]
-        for level in reversed(self.levels[1:]):  # sums over each subtree
-            for x in (chars, link, marks):
-                np.add.at(x, self.parent[level], x[level])
+        order = np.argsort(self.depth, kind="stable")
+        self.levels = np.split(order, np.cumsum(np.bincount(self.depth))[:-1]) if n else []
+        # sums over each subtree, which is the nodes from it to the next that is no deeper
+        end = self._subtree_ends(n)
+        chars, link, marks = (np.concatenate([[0.0], np.cumsum(x)])[[end, np.arange(n)]] for x in (chars, link, marks))
+        chars, link, marks = (x[0] - x[1] for x in (chars, link, marks))
         density = link / np.maximum(chars, 1)
         f = np.zeros((n, N_FEATURES))
         f[np.arange(n), tag] = 1
@@ -239,23 +271,48 @@ class Forest:
         f[:, -1] = 1
         self.features, self.leaf = f, leaf
 
-    def marginals(self, weight: np.ndarray, pair: np.ndarray):
+    def _subtree_ends(self, n: int) -> np.ndarray:
+        """For each node the place after its last descendant (nodes stand in document order)."""
+        end, open_ = np.empty(n, np.int64), []
+        depth = self.depth.tolist()
+        for i, d in enumerate(depth):
+            while open_ and depth[open_[-1]] >= d:
+                end[open_.pop()] = i
+            open_.append(i)
+        end[open_] = n
+        return end
+
+    def marginals(self, weight: np.ndarray, pair: np.ndarray, joints: bool = True):
         """(P(content) of each node, joint marginals of each child and parent, log partition)."""
         n = len(self.parent)
         unary = np.zeros((n, 2))
         unary[:, 1] = self.features @ weight
         belief, up = unary.copy(), np.zeros((n, 2))
+        ((a, b), (c, d)) = pair.tolist()
         for level in reversed(self.levels[1:]):
+            if len(level) < THIN:
+                for i in level.tolist():
+                    x, y = belief[i].tolist()
+                    up[i] = x, y = _logsum(x + a, y + b), _logsum(x + c, y + d)
+                    belief[self.parent[i]] += up[i]
+                continue
             up[level] = np.logaddexp(belief[level, :1] + pair[:, 0], belief[level, 1:] + pair[:, 1])
             np.add.at(belief, self.parent[level], up[level])
         total = belief.copy()
-        joint = np.zeros((n, 2, 2))
         for level in self.levels[1:]:
+            if len(level) < THIN:
+                for i in level.tolist():
+                    x, y = (total[self.parent[i]] - up[i]).tolist()
+                    u, v = belief[i].tolist()
+                    total[i] = _logsum(x + a, y + c) + u, _logsum(x + b, y + d) + v
+                continue
             rest = total[self.parent[level]] - up[level]
-            both = rest[:, :, None] + pair[None] + belief[level][:, None, :]
-            total[level] = np.logaddexp(both[:, 0], both[:, 1])
-            both = np.exp(both - np.logaddexp(total[level, 0], total[level, 1])[:, None, None])
-            joint[level] = both
+            total[level] = np.logaddexp(rest[:, :1] + pair[0], rest[:, 1:] + pair[1]) + belief[level]
+        joint = np.zeros((n, 2, 2))
+        if joints and n:
+            child = np.flatnonzero(self.parent >= 0)
+            both = (total[self.parent[child]] - up[child])[:, :, None] + pair[None] + belief[child][:, None, :]
+            joint[child] = np.exp(both - np.logaddexp(total[child, 0], total[child, 1])[:, None, None])
         p = 1.0 / (1.0 + np.exp(np.clip(total[:, 0] - total[:, 1], -50, 50)))
         roots = self.levels[0] if self.levels else np.zeros(0, np.int64)
         return p, joint, float(np.logaddexp(total[roots, 0], total[roots, 1]).sum())
@@ -285,7 +342,7 @@ def train(pages: list[str], steps: int = 400, rate: float = 0.1, l2: float = 0.0
 def extract_texts(htmls: list[str], model) -> list[str]:
     """Main text of each page: content blocks in page order, joined by two line feeds."""
     forest = Forest([Page(h, labelled=False) for h in htmls])
-    p, _, _ = forest.marginals(*model)
+    p, _, _ = forest.marginals(*model, joints=False)
     out: list[list[str]] = [[] for _ in htmls]
     for i in np.flatnonzero(forest.leaf & (p > 0.5)).tolist():
         out[forest.page[i]].append(forest.texts[i])
