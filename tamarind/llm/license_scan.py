@@ -60,7 +60,7 @@ RESTRICTION = {
 }
 UNKNOWN = 4
 
-_TOKEN = re.compile(r"[A-Za-z0-9][A-Za-z0-9.+:-]*|[()]")
+_TOKEN = re.compile(rb"[A-Za-z0-9][A-Za-z0-9.+:-]*|[()]")
 _BIND = {"or": 1, "and": 2, "with": 3}
 _LINE_END = re.compile(rb"[\r\n]|\*/|-->")
 
@@ -71,62 +71,90 @@ def restriction(name: str) -> int:
     return RESTRICTION[max(known, key=len)] if known else UNKNOWN
 
 
-def _combine(op: str, left: tuple, right: tuple) -> tuple:
-    if op == "with":  # an exception loosens what it is attached to by one level
-        if len(left[1]) != 1 or len(right[1]) != 1 or " " in left[0]:
-            raise ValueError("WITH needs a licence and an exception")
-        return f"{left[0]} WITH {right[0]}", left[1], max(0, left[2] - 1)
-    level = min(left[2], right[2]) if op == "or" else max(left[2], right[2])
-    return f"({left[0]} {op.upper()} {right[0]})", left[1] | right[1], level
+class _Part:
+    """A licence, or two parts joined by an operator; ``only``: its licence, if it has just one."""
+
+    __slots__ = ("name", "op", "left", "right", "level", "only")
+
+    def __init__(self, name=None, op=None, left=None, right=None):
+        self.name, self.op, self.left, self.right = name, op, left, right
+        if op is None:
+            self.level, self.only = restriction(name), name
+        elif op == "with":  # an exception loosens what it is attached to by one level
+            if left.op is not None or right.only is None:
+                raise ValueError("WITH needs a licence and an exception")
+            self.level, self.only = max(0, left.level - 1), left.only
+        else:
+            self.level = min(left.level, right.level) if op == "or" else max(left.level, right.level)
+            self.only = left.only if left.only == right.only else None
+
+    def read(self) -> tuple[str, frozenset]:
+        """Canonical form and licences, from left to right without recursion."""
+        form, names, rest = [], set(), [(self, True)]
+        while rest:
+            part, counts = rest.pop()
+            if isinstance(part, str):
+                form.append(part)
+            elif part.op is None:
+                form.append(part.name)
+                if counts:
+                    names.add(part.name)
+            elif part.op == "with":
+                rest += [(part.right, False), (" WITH ", False), (part.left, counts)]
+            else:
+                rest += [(")", False), (part.right, counts), (f" {part.op.upper()} ", False), (part.left, counts), ("(", False)]
+        return "".join(form), frozenset(names)
 
 
-def evaluate(text: str) -> tuple[str, frozenset, int] | None:
+def evaluate(text: str | bytes, start: int = 0, end: int | None = None) -> tuple[str, frozenset, int] | None:
     """(canonical form, licences, level) of a licence expression, or None where invalid.
 
     ``WITH`` binds closest, then ``AND``, then ``OR``; all from the left. ``OR`` leaves the
     choice to the user (the smaller level), ``AND`` asks for both (the larger one). Words
-    after a complete expression that cannot continue it are not part of it.
+    after a complete expression that cannot continue it are not part of it, nor read.
     """
-    values: list[tuple] = []
+    values: list[_Part] = []
     ops: list[str] = []
+    raw = text.encode() if isinstance(text, str) else text
 
     def reduce_top():
         op, right, left = ops.pop(), values.pop(), values.pop()
-        values.append(_combine(op, left, right))
+        values.append(_Part(op=op, left=left, right=right))
 
+    nested, operand_next = 0, True
     try:
-        operand_next = True
-        for token in _TOKEN.findall(text):
+        for found in _TOKEN.finditer(raw, start, len(raw) if end is None else end):
+            token = found[0].decode()
             low = token.lower().rstrip(".:")
             if operand_next:
                 if token == "(":
                     ops.append("(")
+                    nested += 1
                 elif low in _BIND or token == ")":
                     return None
                 else:
-                    values.append((low, frozenset([low]), restriction(low)))
+                    values.append(_Part(low))
                     operand_next = False
             elif low in _BIND:
                 while ops and ops[-1] != "(" and _BIND[ops[-1]] >= _BIND[low]:
                     reduce_top()
                 ops.append(low)
                 operand_next = True
-            elif token == ")":
-                if "(" not in ops:
-                    break
+            elif token == ")" and nested:
                 while ops[-1] != "(":
                     reduce_top()
                 ops.pop()
+                nested -= 1
             else:
                 break
-        if operand_next or "(" in ops:
+        if operand_next or nested:
             return None
         while ops:
             reduce_top()
     except ValueError:
         return None
-    form = values[0][0]
-    return (form[1:-1] if form.startswith("(") else form), values[0][1], values[0][2]
+    form, names = values[0].read()
+    return (form[1:-1] if form.startswith("(") else form), names, values[0].level
 
 
 def _automaton():
@@ -165,6 +193,9 @@ def scan_licenses(docs: DataFrame, text_col: str = "text", keep: list[str] | Non
             n = batch.num_rows
             found = [(end - len(words) , words) for end, words in automaton.iter(norm.string())] if len(norm.first) else []
             at = np.searchsorted(norm.first, np.asarray([x[0] for x in found], np.int64))
+            raw = data.tobytes()
+            tagged = any(words == TAG for _, words in found)
+            line_ends = np.fromiter((m.start() for m in _LINE_END.finditer(raw)), np.int64) if tagged else np.zeros(0, np.int64)
             n_base, first, last = [0] * n, [None] * n, [None] * n
             base, labels = [set() for _ in range(n)], [set() for _ in range(n)]
             forms, level, score = [set() for _ in range(n)], [None] * n, [0.0] * n
@@ -186,9 +217,9 @@ def scan_licenses(docs: DataFrame, text_col: str = "text", keep: list[str] | Non
                 if words in NOTICES:
                     note(d, [NOTICES[words]], restriction(NOTICES[words]), 0.8)
                 if words == TAG:
-                    rest = data[int(norm.src_last[i + 2]) + 1:int(off[d + 1])].tobytes()
-                    end = _LINE_END.search(rest)
-                    got = evaluate(rest[:end.start() if end else None].decode("utf-8", "replace"))
+                    begin = int(norm.src_last[i + 2]) + 1
+                    stop = np.searchsorted(line_ends, begin)
+                    got = evaluate(raw, begin, min(int(off[d + 1]), int(line_ends[stop]) if stop < len(line_ends) else len(raw)))
                     if got:
                         forms[d].add(got[0])
                         note(d, got[1], got[2], 1.0)
