@@ -57,8 +57,9 @@ def date_id_from_text(c, day_width: int = 3) -> Column:
     day = F.substring(s, 9, day_width)
     if day_width > 2:
         day = F.regexp_replace(day, r"^([0-9]{2})[ T]$", "$1")
-    txt = F.concat(F.substring(s, 1, 4), zfill(F.substring(s, 6, 2), 2), zfill(day, 2))
-    d = F.when(txt.rlike(r"^[0-9]{8}$"), F.try_to_date(txt, "yyyyMMdd"))
+    # joined by dashes, the cast reads it without a formatter
+    txt = F.concat_ws("-", F.substring(s, 1, 4), zfill(F.substring(s, 6, 2), 2), zfill(day, 2))
+    d = F.when(s.isNotNull() & txt.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), txt.try_cast("date"))
     return F.when(d.between(F.lit(DATE_MIN), F.lit(DATE_MAX)), d)
 
 

@@ -34,10 +34,10 @@ def col_or(df: DataFrame, name: str, default=None, dtype: str = "string") -> Col
     return F.lit(default).cast(dtype)
 
 
-def blank_strings_to_null(df: DataFrame) -> DataFrame:
-    """P10: ``""`` -> null in every string column (one select)."""
+def blank_strings_to_null(df: DataFrame, but=()) -> DataFrame:
+    """P10: ``""`` -> null in every string column (one select), ``but`` some, such as join keys."""
     return df.select(*[
-        F.nullif(F.col(f"`{f.name}`"), F.lit("")).alias(f.name) if isinstance(f.dataType, StringType)
+        F.nullif(F.col(f"`{f.name}`"), F.lit("")).alias(f.name) if isinstance(f.dataType, StringType) and f.name not in but
         else F.col(f"`{f.name}`") for f in df.schema.fields])
 
 

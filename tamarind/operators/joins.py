@@ -102,3 +102,13 @@ def split_join(left: DataFrame, right: DataFrame, left_on, right_on, how: str =
         cond = cond & (own[a].eqNullSafe(other[b]) if null_safe else own[a] == other[b])
     out = own.join(other, cond, how)
     return out.drop(*[own[c] for c in (*names, "_piece")], *([] if how in ("left_semi", "left_anti") else [other[c] for c in (*rnames, "_piece_r")]))
+
+
+def fanout_join(left: DataFrame, right: DataFrame, left_on, right_on, how: str = "left", null_safe: bool = False,
+                max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """J7 on a key of few values: every row meets several rows of its key. A right side within
+    ``max_bytes`` is broadcast; beyond it the heavy keys are split, since the whole left side
+    would meet on them."""
+    if estimated_bytes(right) <= max_bytes:
+        return lookup_join(left, right, left_on, right_on, how, null_safe=null_safe, small=True, max_bytes=max_bytes)
+    return split_join(left, right, left_on, right_on, how, null_safe=null_safe)

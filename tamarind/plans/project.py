@@ -192,50 +192,50 @@ PERMISSIONS = [("can_all", "is_all"), ("can_view", "is_view"), ("can_create", "i
 
 
 def build_dim_pmsrole_permission(src: dict, ctx):
-    """Role permissions ⟕ the day's roles (null id matches null id, J11)."""
-    roles = suffix_columns(src["roles"], "_roles")
-    df = blank_strings_to_null(lookup_join(src["role_permissions"], roles, "role_id", "id_roles", "left",
-                                           null_safe=True))
-    r = lambda c: F.col(f"{c}_roles")
-    df = with_audit(df, ctx.run_ts).select(
-        "dwh_crtd_dttm", "dwh_updt_dttm", "dwh_note",
+    """Role permissions ⟕ the day's roles (null id matches null id, J11). Each side is
+    cleaned before they meet, a role once instead of once for each of its permissions."""
+    given = blank_strings_to_null(src["role_permissions"], but=("role_id",))
+    permission = given.select(
+        F.col("role_id").alias("role_key"),
         fn.date_id_from_ts(fn.coalesce_first("created_at", "updated_at")).alias("date_id"),
         fn.to_long("id").alias("record_id"), fn.to_long("role_id").alias("role_id"),
         fn.to_long("module_permission_id").alias("module_id"),
         *[fn.norm_bool(old).alias(new) for old, new in PERMISSIONS],
-        fn.to_long(r("company_id")).alias("pmscompany_id"), fn.to_long(r("project_id")).alias("pmsproject_id"),
-        r("code").alias("role_cd"), r("name_th").alias("role_nm_th"), r("name_en").alias("role_nm_en"),
-        r("category").alias("role_category"), r("description").alias("role_desc"),
-        fn.norm_bool(r("is_system")).alias("role_issystem"), fn.norm_bool(r("is_active")).alias("role_isactive"),
-        r("created_by").alias("role_crtd_by"), fn.to_ts(r("created_at")).alias("role_crtd_dttm"),
-        r("updated_by").alias("role_updt_by"), fn.to_ts(r("updated_at")).alias("role_updt_dttm"),
-        F.lit("1").alias("rec_actv_flag"), F.col("created_by").alias("crtd_by"),
-        fn.to_ts("created_at").alias("crtd_dttm"), F.col("updated_by").alias("updt_by"),
-        fn.to_ts("updated_at").alias("updt_dttm"),
-    )
-    return finish(df, DIM_PMSROLE_PERMISSION)
+        F.col("created_by").alias("crtd_by"), fn.to_ts("created_at").alias("crtd_dttm"),
+        F.col("updated_by").alias("updt_by"), fn.to_ts("updated_at").alias("updt_dttm"))
+    role = blank_strings_to_null(src["roles"], but=("id",)).select(
+        F.col("id").alias("key_of_role"),
+        fn.to_long("company_id").alias("pmscompany_id"), fn.to_long("project_id").alias("pmsproject_id"),
+        F.col("code").alias("role_cd"), F.col("name_th").alias("role_nm_th"), F.col("name_en").alias("role_nm_en"),
+        F.col("category").alias("role_category"), F.col("description").alias("role_desc"),
+        fn.norm_bool("is_system").alias("role_issystem"), fn.norm_bool("is_active").alias("role_isactive"),
+        F.col("created_by").alias("role_crtd_by"), fn.to_ts("created_at").alias("role_crtd_dttm"),
+        F.col("updated_by").alias("role_updt_by"), fn.to_ts("updated_at").alias("role_updt_dttm"))
+    df = lookup_join(permission, role, "role_key", "key_of_role", "left", null_safe=True, small=True)
+    return finish(with_audit(df, ctx.run_ts).withColumn("rec_actv_flag", F.lit("1")), DIM_PMSROLE_PERMISSION)
 
 
 def build_fact_pmscompany_projects(src: dict, ctx):
-    """Mapping log ⟕ newest company ⟕ newest project."""
-    comp = suffix_columns(src["companies"], "_company")
-    proj = suffix_columns(src["projects"], "_project")
-    df = lookup_join(src["companies_projects_logs"], comp, "company_id", "id_company", "left")
-    df = blank_strings_to_null(lookup_join(df, proj, "project_id", "id_project", "left"))
-    df = with_audit(df, ctx.run_ts).select(
-        "dwh_crtd_dttm", "dwh_updt_dttm", "dwh_note",
-        fn.date_id_from_ts("created_at").alias("date_id"),
-        fn.to_long("id").alias("mapping_log_id"), fn.to_long("company_project_id").alias("mapping_id"),
-        fn.to_long("company_id").alias("company_id"),
-        fn.clean_str(col_or(df, "code_company")).alias("company_cd"),
-        fn.clean_str(col_or(df, "name_th_company")).alias("company_nm_th"),
-        fn.to_long("project_id").alias("project_id"),
-        F.col("pms_project_id_project").alias("ref_pmsproject_id"),
-        fn.clean_str(col_or(df, "name_th_project")).alias("pmsproject_nm_th"),
-        fn.clean_str(col_or(df, "action_type")).alias("status_nm"), F.lit("1").alias("rec_actv_flag"),
-        F.col("created_by").alias("crtd_by"), fn.to_ts("created_at").alias("crtd_dttm"),
-        F.lit(None).cast("string").alias("updt_by"), F.lit(None).cast("timestamp_ntz").alias("updt_dttm"),
-    )
+    """Mapping log ⟕ newest company ⟕ newest project, each cleaned before the join."""
+    log = src["companies_projects_logs"]
+    status = fn.clean_str(col_or(log, "action_type"))
+    log = blank_strings_to_null(log, but=("company_id", "project_id")).select(
+        F.col("company_id").alias("company_key"), F.col("project_id").alias("project_key"),
+        fn.date_id_from_ts("created_at").alias("date_id"), fn.to_long("id").alias("mapping_log_id"),
+        fn.to_long("company_project_id").alias("mapping_id"), fn.to_long("company_id").alias("company_id"),
+        fn.to_long("project_id").alias("project_id"), status.alias("status_nm"),
+        F.col("created_by").alias("crtd_by"), fn.to_ts("created_at").alias("crtd_dttm"))
+    company, project = src["companies"], src["projects"]
+    company = company.select(F.col("id").alias("key_of_company"), fn.clean_str(col_or(company, "code")).alias("company_cd"),
+                             fn.clean_str(col_or(company, "name_th")).alias("company_nm_th"))
+    project = project.select(F.col("id").alias("key_of_project"), fn.blank_to_null("pms_project_id").alias("ref_pmsproject_id"),
+                             fn.clean_str(col_or(project, "name_th")).alias("pmsproject_nm_th"))
+    df = lookup_join(log, company, "company_key", "key_of_company", "left")
+    df = lookup_join(df, project, "project_key", "key_of_project", "left")
+    # a row without a company or project has blank names
+    names = {c: F.coalesce(c, F.lit("")) for c in ("company_cd", "company_nm_th", "pmsproject_nm_th")}
+    df = with_audit(df.withColumns(names), ctx.run_ts).withColumns({
+        "rec_actv_flag": F.lit("1"), "updt_by": F.lit(None).cast("string"), "updt_dttm": F.lit(None).cast("timestamp_ntz")})
     return finish(df, FACT_PMSCOMPANY_PROJECTS)
 
 

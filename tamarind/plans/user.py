@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tamarind import functions as fn
 from tamarind.functions.codes import FLAG_UPPER_YN_TF, FLAG_YN, FLAG_YN_TF, PCL_PATTERN
 from tamarind.operators import (
-    blank_strings_to_null, last_value_per_key, lookup_join, lower_columns, rename, suffix_columns,
+    blank_strings_to_null, fanout_join, last_value_per_key, lookup_join, lower_columns, rename, suffix_columns,
     unpivot, with_audit,
 )
 from tamarind.plans.common import AUDIT, finish, schema
@@ -226,24 +226,23 @@ def build_dim_device_detail(src: dict, ctx):
 
 def build_fact_userconsent(src: dict, ctx):
     """User consents ⟕ newest consent ⟕ newest versions of its type (fan-out;
-    a null type matches a null type, as the studied merge does — J11)."""
-    con = suffix_columns(src["consents"], "_con")
-    ver = suffix_columns(src["consent_versions"], "_conver")
-    df = lookup_join(src["users_consent"], con, "consent_id", "id_con", "left")
-    df = lookup_join(df, ver, "type_con", "type_conver", "left", null_safe=True)
-    df = blank_strings_to_null(df)
-    df = with_audit(df, ctx.run_ts).select(
-        "dwh_crtd_dttm", "dwh_updt_dttm", "dwh_note",
-        fn.date_id_from_parts("calendar_year", "month_no", "day_of_month").alias("date_id"),
-        fn.to_long("id").alias("uconsent_id"), fn.to_long("user_id").alias("user_id"),
-        fn.to_long("consent_id").alias("consent_id"), fn.clean_str("type_con").alias("consent_type"),
-        fn.clean_str("status_con").alias("consent_sts"), fn.to_long("version_conver").alias("version_id"),
-        fn.clean_str("version_con").alias("version_nm"), fn.clean_str("topic_con").alias("consent_topic"),
-        fn.clean_str("status").alias("uconsent_sts"), F.lit("1").alias("rec_actv_flag"),
-        fn.to_ts("created_date").alias("crtd_dttm"), fn.clean_str("created_by").alias("crtd_by"),
-        fn.to_ts("updated_date").alias("updt_dttm"), fn.clean_str("updated_by").alias("updt_by"),
-    )
-    return finish(df, FACT_USERCONSENT)
+    a null type matches a null type, as the studied merge does — J11). Each input is cleaned
+    before the joins; a type has few values, so versions are broadcast or their keys split."""
+    given = blank_strings_to_null(src["users_consent"], but=("consent_id",))
+    fact = given.select(
+        F.col("consent_id").alias("consent_key"), fn.date_id_from_parts("calendar_year", "month_no", "day_of_month").alias("date_id"),
+        fn.to_long("id").alias("uconsent_id"), fn.to_long("user_id").alias("user_id"), fn.to_long("consent_id").alias("consent_id"),
+        fn.clean_str("status").alias("uconsent_sts"), fn.to_ts("created_date").alias("crtd_dttm"), fn.clean_str("created_by").alias("crtd_by"),
+        fn.to_ts("updated_date").alias("updt_dttm"), fn.clean_str("updated_by").alias("updt_by"))
+    consent = src["consents"].select(
+        F.col("id").alias("key_of_consent"), F.col("type").alias("type_key"), fn.clean_str("type").alias("consent_type"),
+        fn.clean_str("status").alias("consent_sts"), fn.clean_str("version").alias("version_nm"), fn.clean_str("topic").alias("consent_topic"))
+    version = src["consent_versions"].select(F.col("type").alias("key_of_type"), fn.to_long("version").alias("version_id"))
+    df = lookup_join(fact, consent, "consent_key", "key_of_consent", "left")
+    df = fanout_join(df, version, "type_key", "key_of_type", "left", null_safe=True)
+    names = {c: F.coalesce(c, F.lit("")) for c in ("consent_type", "consent_sts", "version_nm", "consent_topic")}
+    df = df.withColumns({"rec_actv_flag": F.lit("1"), **names})
+    return finish(with_audit(df, ctx.run_ts), FACT_USERCONSENT)
 
 
 def build_dim_pmsuserprofile(src: dict, ctx):
@@ -299,61 +298,51 @@ FACT_USERPERMISSION = schema(f"""{AUDIT}, date_id:date, project_id:str, branch_i
     updt_dttm:ts, updt_by:str""")
 
 
-def _permission_base(src: dict, with_users: bool):
-    """Permission ⋈ branch ⋈ group [⋈ users of the group] ⋈ menu — inner joins, one
-    distinct at the end instead of one after each join (same result set)."""
-    aut = suffix_columns(lower_columns(src["tmAUT"]), "_AUT")
-    brn = suffix_columns(lower_columns(src["tmBRN"]).select("fcid", "fccomid"), "_BRN")
-    usg = suffix_columns(lower_columns(src["tmUSG"]), "_USG")
-    mnu = suffix_columns(lower_columns(src["tmMNU"]).select("fcid", "fccode", "fcname"), "_MNU")
-    df = lookup_join(aut, brn, "fcbrnid_AUT", "fcid_BRN", "inner", small=True)
-    df = lookup_join(df, usg, "fcusgid_AUT", "fcid_USG", "inner")
-    if with_users:
-        usr = suffix_columns(lower_columns(src["tmUSR"]), "_USR")
-        df = lookup_join(df, usr, "fcusgid_AUT", "fcusgid_USR", "inner")  # J7: group -> its users
-    return lookup_join(df, mnu, "fcmnuid_AUT", "fcid_MNU", "inner", small=True)
+def _cleaned(df, key: str, key_name: str, **columns):
+    """A lookup side: its raw key and its cleaned columns, so that it is cleaned before the join."""
+    return df.select(F.col(key).alias(key_name), *[c.alias(name) for name, c in columns.items()])
+
+
+def _permissions(src: dict, given, group, users=None):
+    """Permission ⋈ branch ⋈ group [⋈ users of the group] ⋈ menu — inner joins of cleaned
+    sides, one distinct at the end instead of one after each join (same result set)."""
+    branch = _cleaned(lower_columns(src["tmBRN"]), "fcid", "branch_of", project_id=fn.clean_str("fccomid"))
+    menu = _cleaned(lower_columns(src["tmMNU"]), "fcid", "menu_of", mnu_nm_eng=fn.clean_str("fccode"), mnu_nm_thai=fn.clean_str("fcname"))
+    df = lookup_join(given, branch, "branch_key", "branch_of", "inner", small=True)
+    df = lookup_join(df, menu, "menu_key", "menu_of", "inner", small=True)
+    df = lookup_join(df, group, "group_key", "group_of", "inner", small=True)
+    return df if users is None else lookup_join(df, users, "group_key", "users_of", "inner")  # J7: group -> its users
+
+
+def _given_permissions(src: dict, **columns):
+    """The permission rows with their raw keys, ids and flags."""
+    aut = lower_columns(src["tmAUT"])
+    return aut.select(F.col("fcbrnid").alias("branch_key"), F.col("fcusgid").alias("group_key"), F.col("fcmnuid").alias("menu_key"),
+                      fn.clean_str("fcbrnid").alias("branch_id"), fn.clean_str("fcmnuid").alias("mnu_id"),
+                      *[F.col(s).alias(t) for s, t in zip(_PERM_SRC, _PERM_COLS)], *[c.alias(name) for name, c in columns.items()])
 
 
 def build_dim_userpermission(src: dict, ctx):
     """Menu permissions per user (via the user's group), branch and project."""
-    df = _permission_base(src, with_users=True)
-    df = with_audit(df, ctx.run_ts).select(
-        "dwh_crtd_dttm", "dwh_updt_dttm", "dwh_note",
-        fn.date_id_from_text(fn.coalesce_first("ftupdatedate_AUT", "ftcreatedate_AUT")).alias("date_id"),
-        fn.clean_str("fcid_USR").alias("user_id"), fn.clean_str("fccode_USR").alias("user_cd"),
-        fn.clean_str("fcname_USR").alias("user_nm"), F.col("fcisactive_USR").alias("user_status"),
-        fn.to_ts("ftcreatedate_USR").alias("user_crtddttm"), fn.to_ts("ftupdatedate_USR").alias("user_updtdttm"),
-        fn.clean_str("fccomid_BRN").alias("project_id"), fn.clean_str("fcbrnid_AUT").alias("branch_id"),
-        fn.clean_str("fcid_USG").alias("usergroup_id"), fn.clean_str("fcname_USG").alias("usergroup_nm"),
-        F.col("fcisactive_USG").alias("usergroup_status"), fn.clean_str("fcmnuid_AUT").alias("mnu_id"),
-        fn.clean_str("fccode_MNU").alias("mnu_nm_eng"), fn.clean_str("fcname_MNU").alias("mnu_nm_thai"),
-        *[F.col(f"{s}_AUT").alias(t) for s, t in zip(_PERM_SRC, _PERM_COLS)],
-        fn.flag_map("fcisactive_USR", FLAG_UPPER_YN_TF, case="upper").alias("rec_actv_flag"),
-        fn.to_ts("ftcreatedate_USG").alias("crtd_dttm"), fn.to_ts("ftupdatedate_USG").alias("updt_dttm"),
-        F.col("fccreator_USG").alias("crtd_by"), F.col("fcupdateby_USG").alias("updt_by"),
-    )
-    return finish(df, DIM_USERPERMISSION)
+    given = _given_permissions(src, date_id=fn.date_id_from_text(fn.coalesce_first("ftupdatedate", "ftcreatedate")))
+    group = _cleaned(lower_columns(src["tmUSG"]), "fcid", "group_of", usergroup_id=fn.clean_str("fcid"), usergroup_nm=fn.clean_str("fcname"),
+                     usergroup_status=F.col("fcisactive"), crtd_dttm=fn.to_ts("ftcreatedate"), updt_dttm=fn.to_ts("ftupdatedate"),
+                     crtd_by=F.col("fccreator"), updt_by=F.col("fcupdateby"))
+    users = _cleaned(lower_columns(src["tmUSR"]), "fcusgid", "users_of", user_id=fn.clean_str("fcid"), user_cd=fn.clean_str("fccode"),
+                     user_nm=fn.clean_str("fcname"), user_status=F.col("fcisactive"), user_crtddttm=fn.to_ts("ftcreatedate"),
+                     user_updtdttm=fn.to_ts("ftupdatedate"), rec_actv_flag=fn.flag_map("fcisactive", FLAG_UPPER_YN_TF, case="upper"))
+    return finish(with_audit(_permissions(src, given, group, users), ctx.run_ts), DIM_USERPERMISSION)
 
 
 def build_fact_userpermission(src: dict, ctx):
     """Menu permissions per group, branch and project; Buddhist years above 2400 fixed."""
-    df = _permission_base(src, with_users=False)
-    df = with_audit(df, ctx.run_ts).select(
-        "dwh_crtd_dttm", "dwh_updt_dttm", "dwh_note",
-        fn.date_id_from_text(fn.be_to_ce(fn.coalesce_first("ftupdatedate_AUT", "ftcreatedate_AUT"), 2400),
-                             day_width=2).alias("date_id"),
-        fn.clean_str("fccomid_BRN").alias("project_id"), fn.clean_str("fcbrnid_AUT").alias("branch_id"),
-        fn.clean_str("fcusgid_AUT").alias("usergroup_id"), fn.clean_str("fcname_USG").alias("usergroup_nm"),
-        fn.flag_map("fcisactive_USG", FLAG_YN, case="upper").alias("usergroup_status"),
-        fn.clean_str("fcmnuid_AUT").alias("mnu_id"), fn.clean_str("fccode_MNU").alias("mnu_nm_eng"),
-        fn.clean_str("fcname_MNU").alias("mnu_nm_thai"),
-        *[F.col(f"{s}_AUT").alias(t) for s, t in zip(_PERM_SRC, _PERM_COLS)],
-        F.lit(None).cast("string").alias("rec_actv_flag"),
-        fn.to_ts(fn.be_to_ce("ftcreatedate_AUT", 2400)).alias("crtd_dttm"),
-        fn.to_ts(fn.be_to_ce("ftupdatedate_AUT", 2400)).alias("updt_dttm"),
-        F.lit(None).cast("string").alias("crtd_by"), F.lit(None).cast("string").alias("updt_by"),
-    )
-    return finish(df, FACT_USERPERMISSION)
+    given = _given_permissions(src, date_id=fn.date_id_from_text(fn.be_to_ce(fn.coalesce_first("ftupdatedate", "ftcreatedate"), 2400), day_width=2),
+                               usergroup_id=fn.clean_str("fcusgid"), crtd_dttm=fn.to_ts(fn.be_to_ce("ftcreatedate", 2400)),
+                               updt_dttm=fn.to_ts(fn.be_to_ce("ftupdatedate", 2400)))
+    group = _cleaned(lower_columns(src["tmUSG"]), "fcid", "group_of", usergroup_nm=fn.clean_str("fcname"),
+                     usergroup_status=fn.flag_map("fcisactive", FLAG_YN, case="upper"))
+    nothing = {c: F.lit(None).cast("string") for c in ("rec_actv_flag", "crtd_by", "updt_by")}
+    return finish(with_audit(_permissions(src, given, group).withColumns(nothing), ctx.run_ts), FACT_USERPERMISSION)
 
 
 _AUT_COLS = ("fcusgid", "fcbrnid", "fcmnuid", "fcselect", "fcinsert", "fcupdate", "fcdelete", "fcprint", "fccancel",

@@ -8,8 +8,8 @@ from tamarind.functions.codes import (BOOKBANK_TYPE, BOOKBANK_USETYPE, FLAG_LOWE
 from tamarind.queries import sqlfn as q
 from tamarind.queries.adapters import ADAPTERS
 from tamarind.queries.tables import RUN_TS, select
-from tamarind.sources.lake import PART_COLS, latest_per_key
-from tamarind.spec import HISTORY, LATEST
+from tamarind.sources.lake import PART_COLS, deal_small_scan, latest_per_key
+from tamarind.spec import HISTORY, LAKE, LATEST
 
 from tamarind.plans import company, project, unit, user
 
@@ -33,6 +33,8 @@ def adapter_inputs(spark, sf_dir, spec, overrides: dict | None = None) -> dict:
             df = df.select(*[c for c in s.columns if c in df.columns and c not in PART_COLS])
         if s.kind == HISTORY:
             df = df.distinct()
+        elif s.kind == LAKE:
+            df = deal_small_scan(df)
         out[s.alias] = df
     return out
 

@@ -21,6 +21,9 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # splits small enough that a table keeps every core busy and a partition fits in memory
     "spark.sql.files.maxPartitionBytes": "32m",
+    # the JVM never compiles methods above 8,000 bytes: stages whose generated code is longer run
+    # as split projections instead of being interpreted
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -19,6 +19,8 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 from tamarind.session import child_names, path_exists
 
 PART_COLS = ("calendar_year", "month_no", "day_of_month")
+#: Scans of fewer bytes are not worth a shuffle.
+SMALLEST_DEALT = 1 << 20
 
 
 def empty_frame(spark: SparkSession, columns, schema: str | None = None) -> DataFrame:
@@ -72,6 +74,19 @@ def newest_day_folder(spark: SparkSession, path: str) -> str | None:
     return at
 
 
+def deal_small_scan(df: DataFrame) -> DataFrame:
+    """A scan of less than one split for each core hands its rows to all cores, by a hash of the
+    row, before the row-level work that follows; a small table is often one file with one row
+    group, which one task reads. Larger scans are left as they are: they have splits enough,
+    and a shuffle of their raw rows would cost more than it gives."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return df.repartition(cores, *df.columns) if SMALLEST_DEALT < size < cores * split else df
+
+
 def read_folders(spark: SparkSession, path: str, folders: list[str]) -> DataFrame:
     """The rows of some date folders of the table at ``path``, with their date parts. Folders
     that do not exist are left out; when none does, an empty frame that has the types of the
