@@ -4,10 +4,13 @@ One Aho-Corasick automaton holds every window of 10 consecutive words of the nor
 test questions and answers. Each document text is normalised once, scanned once, and the
 matches are mapped back to word numbers and to character offsets of the original text.
 
-The automaton is built in each Python worker from a broadcast list of windows. The list
-is bounded: the benchmark is dealt by a hash of its text into as many blocks as keep one
-block near ``block_bytes``, and each block makes one more narrow pass that adds its hits
-to those found before. Documents are never shuffled.
+The automaton runs over word numbers, not letters: a window is ten nodes at most, which it
+shares with its neighbours' beginnings. Each Python worker builds it from a broadcast list of
+items. A benchmark of more than ``BLOCK_NODES`` nodes is dealt by a hash of its text into
+blocks of that size; then each block is a pass of its own that writes the hits only (so one
+automaton is alive in a worker), and all hits meet their documents in a last pass. With one
+block documents are never shuffled; with several they are only where the hits are too many to
+be broadcast.
 """
 
 from __future__ import annotations
@@ -17,59 +20,65 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, BooleanType, IntegerType, LongType, StringType, StructField,
-                               StructType)
+from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
 
-from tamarind.llm.common import Norm, Shared, add_columns, hold, text_buffers
+from tamarind.llm.common import WORD_PATTERN, Norm, Shared, Workspace, add_columns, hold, kept_columns, text_buffers
+from tamarind.operators.joins import maybe_broadcast
 
 WINDOW = 10
-#: Benchmark text that one automaton takes.
-BLOCK_BYTES = 8 << 20
+#: Nodes that one automaton takes, counted as ten for each word of its items; some 70 bytes each.
+BLOCK_NODES = 2_000_000
 
-HIT = StructType([StructField("first", LongType()), StructField("last", LongType()), StructField("item", IntegerType())])
+HIT = StructType([StructField("first", LongType()), StructField("last", LongType()), StructField("item", StringType())])
 SPAN = StructType([StructField("start", LongType()), StructField("end", LongType())])
-
-
-def windows(texts: list[str], size: int = WINDOW) -> dict[str, list[int]]:
-    """Each window as matched (bytes as latin-1, between spaces) and the texts that hold it."""
-    out: dict[str, list[int]] = {}
-    col = pa.array(texts, pa.large_string())
-    norm = Norm(*text_buffers(col))
-    line = norm.string()
-    for i in range(len(texts)):
-        a, b = int(norm.words_before[i]), int(norm.words_before[i + 1])
-        for j in range(a, max(a + 1, b - size + 1) if b > a else a):
-            end = min(j + size, b) - 1
-            key = line[norm.first[j] - 1:norm.last[end] + 2]
-            held = out.setdefault(key, [])
-            if not held or held[-1] != i:
-                held.append(i)
-    return out
-
-
-def _automaton(windows: dict[str, list[int]]):
-    a = ahocorasick.Automaton()
-    for key, items in windows.items():
-        a.add_word(key, (len(key), items))
-    a.make_automaton()
-    return a
-
-
-def _hits_of(norm: Norm, automaton):
-    """(text, first word, last word, item) of each match, words counted within the text, ordered by text."""
-    first, last, item = [], [], []
-    if automaton is not None and len(norm.first):
-        for end, (size, items) in automaton.iter(norm.string()):
-            for x in items:
-                first.append(end - size + 2)
-                last.append(end - 1)
-                item.append(x)
-    a = np.searchsorted(norm.first, np.asarray(first, np.int64))
-    b = np.searchsorted(norm.last, np.asarray(last, np.int64))
-    doc = norm.doc[a] if len(a) else np.zeros(0, np.int64)
-    order = np.argsort(doc, kind="stable")
-    base = norm.words_before[:-1][doc]
-    return doc[order], (a - base)[order], (b - base)[order], np.asarray(item, np.int32)[order]
+_HITS = "_benchmark_hits"
+_HIT_TYPE = pa.struct([("first", pa.int64()), ("last", pa.int64()), ("item", pa.string())])
+
+
+class Windows:
+    """The automaton of some items (id, text): their words are numbered from 1, every other word
+    and the end of a text is 0."""
+
+    def __init__(self, items: list[tuple[str, str]], size: int = WINDOW):
+        norm = Norm(*text_buffers(pa.array([t for _, t in items], pa.large_string())))
+        self.number: dict[bytes, int] = {}
+        code = [self.number.setdefault(w, len(self.number) + 1) for w in norm.text.tobytes().split()]
+        held: dict[tuple, list[str]] = {}
+        for i, (name, _) in enumerate(items):
+            a, b = int(norm.words_before[i]), int(norm.words_before[i + 1])
+            for j in range(a, max(a + 1, b - size + 1) if b > a else a):
+                names = held.setdefault(tuple(code[j:min(j + size, b)]), [])
+                if not names or names[-1] != name:
+                    names.append(name)
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE) if held else None
+        while held:
+            window, names = held.popitem()
+            self.automaton.add_word(window, (len(window), names))
+        if self.automaton is not None:
+            self.automaton.make_automaton()
+
+    def hits(self, norm: Norm):
+        """(text, first word, last word, item) of each match, words counted within the text,
+        ordered by text."""
+        last, size, item = [], [], []
+        if self.automaton is not None and len(norm.first):
+            number = self.number.get
+            code, ends = [], norm.words_before[1:-1]
+            words = norm.text.tobytes().split()
+            for a, b in zip([0, *ends.tolist()], [*ends.tolist(), len(words)]):
+                code += [number(w, 0) for w in words[a:b]]
+                code.append(0)  # no window crosses from one text to the next
+            for end, (k, names) in self.automaton.iter(tuple(code)):
+                for name in names:
+                    last.append(end)
+                    size.append(k)
+                    item.append(name)
+        # a text's end takes a place of its own in the sequence
+        last, size = np.asarray(last, np.int64), np.asarray(size, np.int64)
+        begins = norm.words_before[:-1] + np.arange(len(norm.words_before) - 1)
+        doc = np.searchsorted(begins, last, side="right") - 1
+        last = last - begins[doc] if len(doc) else last
+        return doc, last - size + 1, last, np.array(item, object)
 
 
 def _spans(norm: Norm, data: np.ndarray, off: np.ndarray, r: int, first, last) -> tuple[int, list[dict]]:
@@ -85,55 +94,74 @@ def _spans(norm: Norm, data: np.ndarray, off: np.ndarray, r: int, first, last) -
                                for s, e in zip(starts.tolist(), ends.tolist())]
 
 
-def _scan(docs: DataFrame, shared, text_col: str, earlier: bool, item_ids=None) -> DataFrame:
-    """One pass with the automaton of one block. Adds ``_hits`` (word span and item number of
-    each match) to those of ``earlier`` passes or, given the ids of all items, what follows
-    from all hits."""
-    fields = [StructField("n_words", LongType())]
-    if item_ids is None:
-        fields += [StructField("_hits", ArrayType(HIT))]
-    else:
-        fields += [StructField("n_hit", LongType()), StructField("items", ArrayType(StringType())),
-                   StructField("hit_spans", ArrayType(SPAN)), StructField("contaminated", BooleanType())]
-    source = docs.withColumnRenamed("_hits", "_hits0") if earlier else docs
-    keep = [c for c in source.columns if item_ids is None or c != "_hits0"]
+def _findings(norm: Norm, data, off, doc, first, last, item) -> list[pa.Array]:
+    """The columns that follow from all hits of a batch, which are ordered by text."""
+    n = len(off) - 1
+    edge = np.searchsorted(doc, np.arange(n + 1))
+    n_hit, items, spans = np.zeros(n, np.int64), [[] for _ in range(n)], [[] for _ in range(n)]
+    for r in np.flatnonzero(np.diff(edge)).tolist():
+        here = slice(edge[r], edge[r + 1])
+        n_hit[r], spans[r] = _spans(norm, data, off, r, first[here], last[here])
+        items[r] = sorted(set(item[here]))
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    return [pa.array(norm.n_words, pa.int64()), pa.array(n_hit), pa.array(items, pa.list_(pa.string())), pa.array(spans, kind), pa.array(n_hit > 0)]
+
+
+_FIELDS = [StructField("n_words", LongType()), StructField("n_hit", LongType()), StructField("items", ArrayType(StringType())),
+           StructField("hit_spans", ArrayType(SPAN)), StructField("contaminated", BooleanType())]
+
+
+def _scan(docs: DataFrame, shared, text_col: str, window: int) -> DataFrame:
+    """One pass with the automaton of the one block there is."""
+    def make():
+        windows = hold(shared.id, lambda: Windows(shared.value, window))
+
+        def fn(batch):
+            data, off = text_buffers(batch.column(text_col))
+            norm = Norm(data, off)
+            return _findings(norm, data, off, *windows.hits(norm))
+
+        return fn
+
+    return add_columns(docs, [text_col], _FIELDS, make)
+
 
+def _hits_of_block(texts: DataFrame, shared, window: int) -> DataFrame:
+    """(key, hits) of the texts that hold a window of a block; ``texts`` has key and text."""
     def make():
-        automaton = hold(shared.id, lambda: _automaton(shared.value)) if shared.value else None
-        ids = item_ids.value if item_ids is not None else None
+        windows = hold(shared.id, lambda: Windows(shared.value, window))
+
+        def fn(batch):
+            norm = Norm(*text_buffers(batch.column("text")))
+            doc, first, last, item = windows.hits(norm)
+            edge = np.searchsorted(doc, np.arange(batch.num_rows + 1)).astype(np.int32)
+            hits = pa.StructArray.from_arrays([pa.array(first, pa.int64()), pa.array(last, pa.int64()), pa.array(item, pa.string())], fields=list(_HIT_TYPE))
+            return [pa.ListArray.from_arrays(pa.array(edge), hits)]
 
+        return fn
+
+    return add_columns(texts, ["text"], [StructField("hits", ArrayType(HIT))], make, keep=["key"]).where("size(hits) > 0")
+
+
+def _finish(docs: DataFrame, text_col: str) -> DataFrame:
+    """The last pass of several: the hits of all blocks, as columns."""
+    def make():
         def fn(batch):
             data, off = text_buffers(batch.column(text_col))
             norm = Norm(data, off)
-            doc, first, last, item = _hits_of(norm, automaton)
-            n = batch.num_rows
-            edge = np.searchsorted(doc, np.arange(n + 1))
-            if ids is None:
-                hit = pa.StructArray.from_arrays([pa.array(first, pa.int64()), pa.array(last, pa.int64()), pa.array(item)],
-                                                 ["first", "last", "item"])
-                return [pa.array(norm.n_words, pa.int64()), pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), hit)]
-            n_hit, items, spans = np.zeros(n, np.int64), [[] for _ in range(n)], [[] for _ in range(n)]
-            before = batch.column("_hits0").to_pylist() if earlier else [[]] * n
-            for r in range(n):
-                here = slice(edge[r], edge[r + 1])
-                if edge[r] < edge[r + 1] or before[r]:
-                    held = before[r] or []
-                    n_hit[r], spans[r] = _spans(norm, data, off, r, [*first[here], *(h["first"] for h in held)],
-                                                [*last[here], *(h["last"] for h in held)])
-                    items[r] = sorted({ids[x] for x in [*item[here].tolist(), *(h["item"] for h in held)]})
-            kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            return [pa.array(norm.n_words, pa.int64()), pa.array(n_hit), pa.array(items, pa.list_(pa.string())),
-                    pa.array(spans, kind), pa.array(n_hit > 0)]
+            col = batch.column(_HITS)
+            count = np.asarray(col.value_lengths().fill_null(0), np.int64)
+            flat = col.flatten()
+            return _findings(norm, data, off, np.repeat(np.arange(batch.num_rows), count), np.asarray(flat.field("first"), np.int64),
+                             np.asarray(flat.field("last"), np.int64), np.array(flat.field("item").to_pylist(), object))
 
         return fn
 
-    inputs = [text_col, "_hits0"] if earlier else [text_col]
-    out = add_columns(source, inputs, fields, make, keep)
-    return out.withColumn("_hits", F.concat("_hits0", "_hits")).drop("_hits0") if earlier and item_ids is None else out
+    return add_columns(docs, [text_col, _HITS], _FIELDS, make, keep=[c for c in docs.columns if c != _HITS])
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
-                  item_text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                  item_text_col: str = "text", window: int = WINDOW, block_nodes: int = BLOCK_NODES) -> DataFrame:
     """``docs`` with what it shares with the benchmark.
 
     Adds ``n_words``, ``n_hit`` (words inside an occurrence of a window), ``items`` (sorted
@@ -142,19 +170,28 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     A window is ``window`` consecutive words of an item; an item of fewer words, but not
     none, is one window. Null and empty texts have no words, an item without words or
     without id is skipped, an empty benchmark contaminates nothing, repeated items count
-    once. Columns of ``docs`` with the names of added ones are replaced.
+    once. An item longer than a block has a block of its own. Columns of ``docs`` with the
+    names of added ones are replaced.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_col).cast("string").alias("id"), F.col(item_text_col).alias("text"))
     items = items.where("id IS NOT NULL AND text IS NOT NULL")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // block_bytes))
-    out, ids = docs, []
+    words = items.agg(F.sum(F.regexp_count("text", F.lit(WORD_PATTERN)))).first()[0] or 0
+    blocks = max(1, -(-words * window // block_nodes))
+    if blocks == 1:
+        rows = [tuple(r) for r in items.collect()]  # at most block_nodes / window words
+        return _scan(docs, Shared(spark, rows), text_col, window)
+    ws = Workspace(spark, "decontaminate")
+    own = docs.select(*kept_columns(docs, _FIELDS, None))
+    key = F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)
+    texts, found = own.select(key.alias("key"), F.col(text_col).alias("text")), None
+    items = ws.write(items.distinct().withColumn("block", F.pmod(F.xxhash64("text"), F.lit(blocks))).hint("rebalance", "block"), "items")
     for k in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k).distinct() if blocks > 1 else items
-        rows = part.collect()  # about block_bytes of text, whatever the size of the benchmark
-        shared = Shared(spark, {w: [x + len(ids) for x in held] for w, held in windows([r.text for r in rows], window).items()})
-        ids += [r.id for r in rows]
-        last = spark.sparkContext.broadcast(ids) if k == blocks - 1 else None
-        out = _scan(out, shared, text_col, earlier=k > 0, item_ids=last)
-    return out
+        rows = [tuple(r) for r in items.where(F.col("block") == k).select("id", "text").collect()]  # about block_nodes / window words
+        hits = ws.write(_hits_of_block(texts, Shared(spark, rows), window), f"hits{k}").withColumn("block", F.lit(k))
+        found = hits if found is None else found.unionByName(hits)
+    # equal texts have equal hits
+    found = found.groupBy("key", "block").agg(F.any_value("hits").alias("hits")).groupBy("key").agg(F.flatten(F.collect_list("hits")).alias(_HITS))
+    found = maybe_broadcast(ws.write(found, "hits"))
+    joined = own.join(found, key == found["key"], "left").select(*[own[f"`{c}`"] for c in own.columns], _HITS)
+    return _finish(joined, text_col)

@@ -31,8 +31,8 @@ def brute(docs, items):
     return out
 
 
-@pytest.mark.parametrize("block_bytes", [D.BLOCK_BYTES, 300])
-def test_decontamination_equals_brute_force(spark, block_bytes):
+@pytest.mark.parametrize("block_nodes", [D.BLOCK_NODES, 300])
+def test_decontamination_equals_brute_force(spark, block_nodes):
     rng = random.Random(2)
     items = [(k, prose(k, rng.choice([3, 9, 10, 11, 25]))) for k in range(12)] + [(20, ""), (21, None), (22, "!!"), (None, prose(3, 20)), (5, prose(5, 12)), (23, "b b b")]
     docs = []
@@ -45,7 +45,7 @@ def test_decontamination_equals_brute_force(spark, block_bytes):
         docs.append((i, text))
     docs += [(100, "b b b b b"), (101, None), (102, ""), (103, "ééé " + prose(4, 25) + " ü")]
     got = D.decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"),
-                          block_bytes=block_bytes).collect()
+                          block_nodes=block_nodes).collect()
     expected = brute(docs, [x for x in items if x[0] is not None])
     assert {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in got} == expected
     for r in got:
