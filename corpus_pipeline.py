@@ -56,7 +56,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents that hold a window of a benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    return _kept(docs, lambda d: decontaminate.decontaminate(d, benchmark), ("n_words", "n_hit", "items", "hit_spans", "contaminated", "_hits", "_hits0"), ~F.col("contaminated"))
+    return _kept(docs, lambda d: decontaminate.decontaminate(d, benchmark), ("n_words", "n_hit", "items", "hit_spans", "contaminated"), ~F.col("contaminated"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
