@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
 
-from tamarind.llm.common import WORD_PATTERN, Norm, Shared, Workspace, add_columns, hold, kept_columns, text_buffers
+from tamarind.llm.common import WORD_PATTERN, Norm, Shared, SpanHash, Workspace, add_columns, hold, kept_columns, text_buffers
 from tamarind.operators.joins import maybe_broadcast
 
 WINDOW = 10
@@ -37,48 +37,54 @@ _HIT_TYPE = pa.struct([("first", pa.int64()), ("last", pa.int64()), ("item", pa.
 
 class Windows:
     """The automaton of some items (id, text): their words are numbered from 1, every other word
-    and the end of a text is 0."""
+    and the end of a text is 0. Words are numbered by their hashes, a whole batch at once; a
+    match is held against the window's bytes, so that equal hashes of different words do not count."""
 
     def __init__(self, items: list[tuple[str, str]], size: int = WINDOW):
         norm = Norm(*text_buffers(pa.array([t for _, t in items], pa.large_string())))
-        self.number: dict[bytes, int] = {}
-        code = [self.number.setdefault(w, len(self.number) + 1) for w in norm.text.tobytes().split()]
-        held: dict[tuple, list[str]] = {}
+        hashes = SpanHash(norm.text)(norm.first, norm.last) if len(norm.first) else np.zeros(0, np.uint64)
+        self.keys, code = np.unique(hashes, return_inverse=True)
+        code, self.text = (code + 1).tolist(), norm.text.tobytes()
+        held: dict[tuple, tuple] = {}
         for i, (name, _) in enumerate(items):
             a, b = int(norm.words_before[i]), int(norm.words_before[i + 1])
             for j in range(a, max(a + 1, b - size + 1) if b > a else a):
-                names = held.setdefault(tuple(code[j:min(j + size, b)]), [])
-                if not names or names[-1] != name:
-                    names.append(name)
+                end = min(j + size, b)
+                window = held.get(key := tuple(code[j:end]))
+                if window is None:
+                    held[key] = (end - j, [name], int(norm.first[j]), int(norm.last[end - 1]) + 1)
+                elif window[1][-1] != name:
+                    window[1].append(name)
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE) if held else None
         while held:
-            window, names = held.popitem()
-            self.automaton.add_word(window, (len(window), names))
+            window, value = held.popitem()
+            self.automaton.add_word(window, value)
         if self.automaton is not None:
             self.automaton.make_automaton()
 
     def hits(self, norm: Norm):
         """(text, first word, last word, item) of each match, words counted within the text,
         ordered by text."""
-        last, size, item = [], [], []
+        doc, first, last, item = [], [], [], []
         if self.automaton is not None and len(norm.first):
-            number = self.number.get
-            code, ends = [], norm.words_before[1:-1]
-            words = norm.text.tobytes().split()
-            for a, b in zip([0, *ends.tolist()], [*ends.tolist(), len(words)]):
-                code += [number(w, 0) for w in words[a:b]]
-                code.append(0)  # no window crosses from one text to the next
-            for end, (k, names) in self.automaton.iter(tuple(code)):
-                for name in names:
-                    last.append(end)
-                    size.append(k)
-                    item.append(name)
-        # a text's end takes a place of its own in the sequence
-        last, size = np.asarray(last, np.int64), np.asarray(size, np.int64)
-        begins = norm.words_before[:-1] + np.arange(len(norm.words_before) - 1)
-        doc = np.searchsorted(begins, last, side="right") - 1
-        last = last - begins[doc] if len(doc) else last
-        return doc, last - size + 1, last, np.array(item, object)
+            found = SpanHash(norm.text)(norm.first, norm.last)
+            at = np.minimum(np.searchsorted(self.keys, found), len(self.keys) - 1)
+            # a text's end takes a place of its own, so that no window crosses to the next
+            code = np.zeros(len(found) + len(norm.n_words), np.int64)
+            code[np.arange(len(found)) + norm.doc] = np.where(self.keys[at] == found, at + 1, 0)
+            begins = norm.words_before[:-1] + np.arange(len(norm.n_words))
+            text = None
+            for end, (k, names, a, b) in self.automaton.iter(tuple(code.tolist())):
+                text = norm.text.tobytes() if text is None else text
+                r = int(np.searchsorted(begins, end, side="right")) - 1
+                word = int(norm.words_before[r]) + end - int(begins[r])
+                if text[norm.first[word - k + 1]:norm.last[word] + 1] == self.text[a:b]:
+                    for name in names:
+                        doc.append(r)
+                        last.append(end - int(begins[r]))
+                        first.append(end - int(begins[r]) - k + 1)
+                        item.append(name)
+        return np.asarray(doc, np.int64), np.asarray(first, np.int64), np.asarray(last, np.int64), np.array(item, object)
 
 
 def _spans(norm: Norm, data: np.ndarray, off: np.ndarray, r: int, first, last) -> tuple[int, list[dict]]:

@@ -1,7 +1,11 @@
 """Decontamination and licence scan against plain Python; odd rows and empty tables."""
 
+import os
 import random
 import re
+import subprocess
+import sys
+import time
 
 import pytest
 
@@ -61,6 +65,45 @@ def test_decontamination_of_odd_rows(spark, odd_docs):
     assert D.decontaminate(odd_docs.limit(0), benchmark).collect() == []
 
 
+def test_decontamination_of_odd_rows_in_several_blocks(spark, odd_docs):
+    benchmark = spark.createDataFrame([(1, prose(1, 12)), (2, prose(8, 40)), (3, prose(9, 40))], "item_id long, text string")
+    docs = odd_docs.selectExpr("*", "'mine' AS key", "'mine' AS hits")
+    one, many = (D.decontaminate(docs, benchmark, block_nodes=n) for n in (D.BLOCK_NODES, 200))
+    assert one.columns == many.columns
+    assert sorted(map(str, one.collect())) == sorted(map(str, many.collect()))
+    assert D.decontaminate(odd_docs.limit(0), benchmark, block_nodes=200).collect() == []
+
+
+def test_a_block_fits_a_worker():
+    """As many words as a block takes (about 1.2 MB of text), all of them different windows, in a
+    process of its own under 1 GB."""
+    code = """
+import random, resource
+from tamarind.llm import decontaminate as D
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+rng = random.Random(1)
+words = [f"w{i}" for i in range(30000)]
+items = [(str(i), " ".join(rng.choice(words) for _ in range(200))) for i in range(D.BLOCK_NODES // D.WINDOW // 200)]
+w = D.Windows(items)
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024, len(w.automaton))
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=os.path.dirname(os.path.dirname(os.path.dirname(__file__))))
+    mb, n = map(int, out.stdout.split())
+    assert n > 150_000 and mb < 1000, (mb, n)
+
+
+def test_licences_in_linear_time():
+    """A text of very many tags, one of a very long expression, and one of deep parentheses."""
+    many = b"spdx-license-identifier: mit " * 40_000
+    begin = time.perf_counter()
+    for i in range(0, len(many), 29):
+        assert L.evaluate(many, i + 25)[0] == "mit"
+    form, names, level = L.evaluate("mit and " * 100_000 + "isc")
+    assert names == {"mit", "isc"} and form.count("AND") == 100_000 and level == 1
+    assert L.evaluate("(" * 100_000 + "mit" + ")" * 100_000)[0] == "mit"
+    assert time.perf_counter() - begin < 10
+
+
 def test_license_base_phrases_equal_brute_force(spark):
     rng = random.Random(6)
     bits = ["under the MIT license", "Apache License, Version 2", "CC BY-NC", "cc by", "the mit", "license", "under", "nc", "2.0", "x"]
