@@ -93,3 +93,12 @@ def test_label_attributes_of_given_pages_mean_nothing(model, value):
      "One.\n\nTwo.")])
 def test_unclosed_and_other_elements_drop_no_text(model, html, text):
     assert H.extract_texts([html], model) == [text]
+
+
+@pytest.mark.parametrize("html", ["<ul>" * 60_000, "<div>x" * 50_000, "<ul><li>a" * 30_000, "<svg>" + "<g>" * 60_000 + "</g>" * 20_000,
+                                  "<p>" + "<span>" * 60_000, "<table><tr><td>" * 20_000])
+def test_deep_nests_take_linear_time(html):
+    import time
+    begin = time.perf_counter()
+    H.Forest([H.Page(html, labelled=False)]).marginals(np.zeros(H.N_FEATURES), np.zeros((2, 2)), joints=False)
+    assert time.perf_counter() - begin < 8
