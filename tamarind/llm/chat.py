@@ -41,6 +41,25 @@ def unescape(text: str) -> str:
     return _ESCAPED.sub(lambda m: m[m.lastindex] + m[0][len(m[m.lastindex]) + len(MARK):], text)
 
 
+def _decoded(vocabulary, ids: np.ndarray, edge: np.ndarray) -> list[str]:
+    """Texts of consecutive runs of ids, from one join of all their bytes."""
+    held = [vocabulary.bytes[i] for i in ids.tolist()]
+    size = np.fromiter(map(len, held), np.int64, len(held))
+    at = np.concatenate([[0], np.cumsum(size)])[edge].tolist()
+    data = b"".join(held)
+    return [data[a:b].decode("utf-8", "replace") for a, b in zip(at, at[1:])]
+
+
+def _values(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Flat values and lengths of a list column; null: empty."""
+    return np.asarray(col.flatten()), np.asarray(col.value_lengths().fill_null(0), np.int64)
+
+
+def _slots(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places begin, begin + 1, ... of runs of given sizes."""
+    return np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+
+
 def format_chats(rows: DataFrame, path: str, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
                  text_col: str = "text") -> DataFrame:
     """One row per conversation: ``conv_id``, ``n_turns``, ``token_ids`` and ``loss_mask``.
@@ -49,7 +68,8 @@ def format_chats(rows: DataFrame, path: str, conv_col: str = "conv_id", turn_col
     Rows come by turn, ties by role and then text; null roles and texts count as empty, null
     turns come first, rows of a null ``conv_id`` are one conversation, repeated rows are
     repeated turns. Other columns are not read. A conversation becomes one row, so its
-    turns meet in one task.
+    turns meet in one task; only their tokens travel there, and turns of one number are put in
+    order by decoding them.
     """
     shared = load(rows.sparkSession, path)
     ints = ArrayType(IntegerType())
@@ -69,36 +89,56 @@ def format_chats(rows: DataFrame, path: str, conv_col: str = "conv_id", turn_col
         return fn
 
     segments = add_columns(source, ["role", "text"], [StructField("role_ids", ints), StructField("text_ids", ints)],
-                           make_segments, keep=["conv_id", "turn", "role", "text"])
-    turns = segments.groupBy("conv_id").agg(
-        F.count(F.lit(1)).alias("n_turns"),
-        F.sort_array(F.collect_list(F.struct("turn", "role", "text", "role_ids", "text_ids"))).alias("turns"))
-    turns = turns.select("conv_id", "n_turns", F.transform("turns", lambda t: t.role_ids).alias("roles"),
-                         F.transform("turns", lambda t: t.text_ids).alias("texts"),
-                         F.transform("turns", lambda t: (t.role == TRAINED_ROLE).cast("byte")).alias("trained"))
+                           make_segments, keep=["conv_id", "turn", "role"])
+    segments = segments.select("conv_id", F.struct("turn", "role_ids", "text_ids", (F.col("role") == TRAINED_ROLE).cast("byte").alias("trained")).alias("t"))
+    turns = segments.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_turns"), F.sort_array(F.collect_list("t")).alias("turns"))
+    turns = turns.select("conv_id", "n_turns", F.col("turns.role_ids").alias("roles"), F.col("turns.text_ids").alias("texts"),
+                         F.col("turns.trained").alias("trained"), F.transform("turns", lambda t, i: (
+                             (i > 0) & t.turn.eqNullSafe(F.get(F.col("turns.turn"), i - 1))).cast("byte")).alias("ties"))
 
     def make_rows():
-        first = encoder(shared).vocabulary.size
+        vocabulary = encoder(shared).vocabulary
+        first = vocabulary.size
+
+        def in_order(tie, role, role_size, text, text_size):
+            """Places of all turns of a batch with ties by role and text."""
+            order = np.arange(len(tie))
+            tied = np.flatnonzero(tie)
+            if not len(tied):
+                return order
+            roles = _decoded(vocabulary, role, np.concatenate([[0], np.cumsum(role_size)]))
+            texts = _decoded(vocabulary, text, np.concatenate([[0], np.cumsum(text_size)]))
+            begins = np.flatnonzero(tie == 0)
+            for g in np.unique(np.searchsorted(begins, tied, side="right") - 1).tolist():
+                a, b = int(begins[g]), int(begins[g + 1]) if g + 1 < len(begins) else len(tie)
+                order[a:b] = sorted(range(a, b), key=lambda i: (unescape(roles[i]), unescape(texts[i])))
+            return order
 
         def fn(batch):
-            tokens, masks = [], []
-            for roles, texts, trained in zip(*(batch.column(c).to_pylist() for c in ("roles", "texts", "trained"))):
-                ids: list[int] = []
-                edges = []
-                for role, text, learn in zip(roles, texts, trained):
-                    ids += [first, *role, first + 1, *text, first + 2]
-                    if learn:
-                        edges.append((len(ids) - 1 - len(text), len(ids) - 1))
-                step = np.zeros(len(ids) + 1, np.int64)
-                np.add.at(step, [a for a, _ in edges], 1)
-                np.add.at(step, [b for _, b in edges], -1)
-                tokens.append(ids)
-                masks.append(np.cumsum(step[:-1]).astype(np.int8))
-            return [pa.array(tokens, pa.list_(pa.int32())), pa.array(masks, pa.list_(pa.int8()))]
+            (roles, per_conv), (texts, _) = ((c.flatten(), np.asarray(c.value_lengths().fill_null(0), np.int64))
+                                             for c in (batch.column("roles"), batch.column("texts")))
+            (role, role_size), (text, text_size) = _values(roles), _values(texts)
+            trained, tie = np.asarray(batch.column("trained").flatten()), np.asarray(batch.column("ties").flatten())
+            order = in_order(tie, role, role_size, text, text_size)
+            role_at, text_at = (np.cumsum(role_size) - role_size)[order], (np.cumsum(text_size) - text_size)[order]
+            role_size, text_size, trained = role_size[order], text_size[order], trained[order]
+            size = role_size + text_size + len(RESERVED)
+            begin = np.cumsum(size) - size
+            ids = np.empty(int(size.sum()), np.int32)
+            ids[begin], ids[begin + 1 + role_size], ids[begin + size - 1] = first, first + 1, first + 2
+            ids[_slots(begin + 1, role_size)] = role[_slots(role_at, role_size)]
+            ids[_slots(begin + 2 + role_size, text_size)] = text[_slots(text_at, text_size)]
+            # the mask is the prefix sum of +1 and -1 at the borders of trained texts
+            step = np.zeros(len(ids) + 1, np.int32)
+            np.add.at(step, (begin + 2 + role_size)[trained == 1], 1)
+            np.add.at(step, (begin + size - 1)[trained == 1], -1)
+            mask = np.cumsum(step[:-1]).astype(np.int8)
+            edge = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(per_conv)])]
+            return [list_array(ids, np.diff(edge), pa.int32()), list_array(mask, np.diff(edge), pa.int8())]
 
         return fn
 
-    return add_columns(turns, ["roles", "texts", "trained"], [StructField("token_ids", ints), StructField("loss_mask", ArrayType(ByteType()))],
+    return add_columns(turns, ["roles", "texts", "trained", "ties"], [StructField("token_ids", ints), StructField("loss_mask", ArrayType(ByteType()))],
                        make_rows, keep=["conv_id", "n_turns"])
 
 
@@ -111,32 +151,31 @@ def read_back(chats: DataFrame, path: str) -> DataFrame:
 
     def make():
         vocabulary = encoder(shared).vocabulary
-        start, message, end = (vocabulary.size + i for i in range(3))
+        first = vocabulary.size
 
         def fn(batch):
-            turns, losses, formatted = [], [], []
-            for ids, mask in zip(batch.column("token_ids").to_pylist(), batch.column("loss_mask").to_pylist()):
-                mine, whole, loss, part, trained, role = [], [], [], [], [], ""
-                for i, on in zip(ids, mask):
-                    if i < vocabulary.size:
-                        part.append(i)
-                        if on:
-                            trained.append(i)
-                        continue
-                    text = vocabulary.decode(part)
-                    whole += [text, RESERVED[i - start]]
-                    if i == message:
-                        role = unescape(text)
-                    elif i == end:
-                        mine.append({"role": role, "text": unescape(text)})
-                        loss.append(unescape(vocabulary.decode(trained)))
-                        trained = []
-                    part = []
-                turns.append(mine)
-                losses.append("".join(loss))
-                formatted.append("".join(whole))
-            return [pa.array(turns, pa.list_(pa.struct([("role", pa.string()), ("text", pa.string())]))),
-                    pa.array(losses, pa.string()), pa.array(formatted, pa.string())]
+            (ids, size), (mask, _) = _values(batch.column("token_ids")), _values(batch.column("loss_mask"))
+            # cut at the reserved ids: a turn is three of them, with its role and its text between
+            cut = np.flatnonzero(ids >= first)
+            start, message, end = cut[0::3], cut[1::3], cut[2::3]
+            if len(cut) % len(RESERVED) or (ids[start] != first).any() or (ids[message] != first + 1).any() or (ids[end] != first + 2).any():
+                raise ValueError("reserved ids that do not form turns")
+            bounds = np.stack([start + 1, message, message + 1, end], axis=1)
+            plain = np.where(ids < first, 1, 0)
+            before = np.concatenate([[0], np.cumsum(plain)])
+            parts = _decoded(vocabulary, ids[ids < first], np.concatenate([before[bounds[:, [0, 2]].reshape(-1)], before[-1:]]))
+            roles, texts = parts[0::2], parts[1::2]
+            under = np.flatnonzero((mask == 1) & (ids < first))
+            spoken = _decoded(vocabulary, ids[under], np.searchsorted(under, np.concatenate([start, [len(ids)]])))
+            per_conv = np.bincount(np.searchsorted(np.cumsum(size), start, side="right"), minlength=len(size))
+            at = np.concatenate([[0], np.cumsum(per_conv)]).tolist()
+            own_roles, own_texts = list(map(unescape, roles)), list(map(unescape, texts))
+            turns = pa.StructArray.from_arrays([pa.array(own_roles, pa.string()), pa.array(own_texts, pa.string())], ["role", "text"])
+            whole = [f"{START}{r}{MESSAGE}{t}{END}" for r, t in zip(roles, texts)]
+            losses = list(map(unescape, spoken))
+            pairs = list(zip(at, at[1:]))
+            return [pa.ListArray.from_arrays(pa.array(at, pa.int32()), turns), pa.array(["".join(losses[a:b]) for a, b in pairs], pa.string()),
+                    pa.array(["".join(whole[a:b]) for a, b in pairs], pa.string())]
 
         return fn
 
