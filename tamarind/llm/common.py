@@ -242,13 +242,16 @@ class Codes(dict):
         new, self.new = self.new, []
         return new
 
-    def shrink(self, limit: int) -> np.ndarray | None:
-        """Beyond ``limit`` words, keeps the most used half of that many; the codes that those
-        had, in the order of their new ones. Otherwise None."""
-        if len(self) <= limit:
+    def shrink(self, limit: int, letters: int | None = None) -> np.ndarray | None:
+        """Beyond ``limit`` words, or ``letters`` in all, keeps the most used ones up to half of
+        that; the codes that those had, in the order of their new ones. Otherwise None."""
+        if len(self) <= limit and (letters is None or sum(map(len, self)) <= letters):
             return None
-        kept = np.sort(np.argsort(-self.uses, kind="stable")[:limit // 2])
         words = list(self)
+        most = np.argsort(-self.uses, kind="stable")[:limit // 2]
+        if letters is not None:
+            most = most[np.cumsum([len(words[i]) for i in most.tolist()]) <= letters // 2]
+        kept = np.sort(most)
         self.clear()
         self.update((words[i], k) for k, i in enumerate(kept.tolist()))
         self.uses = self.uses[kept]

@@ -25,12 +25,14 @@ from tamarind.llm.common import Codes, Shared, add_columns, hold, mix64, row_sum
 #: Documents per language that the probabilities are learned from (expected number).
 TRAIN_DOCS = 500
 ROUNDS = 3
-LONGEST_PIECE = 8
-#: A longer run of letters is scored as consecutive words of this length.
-LONGEST_WORD = 32
+#: Characters of words that a lattice holds at once (one longer word is held alone, whole).
+CELLS = 400_000
+#: Steps after which the probabilities of a word's beginnings are brought back to 1.
+RESCALE = 8
 #: Probability of a character that is no piece of the vocabulary, in every language.
 UNKNOWN = 1e-7
 CACHED_WORDS = 110_000
+CACHED_LETTERS = 4_000_000
 UNDETERMINED = "und"
 
 _LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
@@ -38,8 +40,8 @@ _START = "▁"
 
 
 def pieces(path: str) -> list[str]:
-    """Pieces of a byte-level vocabulary of ranks: lower-case letters, with a mark for a
-    leading space, of at most ``LONGEST_PIECE`` characters."""
+    """Pieces of a byte-level vocabulary of ranks that are lower-case letters, with a mark for a
+    leading space."""
     out = {_START}
     with open(path, "rb") as f:
         for line in f:
@@ -48,29 +50,37 @@ def pieces(path: str) -> list[str]:
             except (UnicodeDecodeError, IndexError):
                 continue
             body = text[1:] if text.startswith(" ") else text
-            if body and _LETTERS.fullmatch(body) and body == body.lower() and len(text) <= LONGEST_PIECE:
+            if body and _LETTERS.fullmatch(body) and body == body.lower():
                 out.add(_START + body if text != body else body)
     return sorted(out)
 
 
 def words_of(text: str | None) -> list[str]:
-    out = []
-    for w in _LETTERS.findall((text or "").lower()):
-        if len(w) <= LONGEST_WORD:
-            out.append(w)
-        else:
-            out += [w[i:i + LONGEST_WORD] for i in range(0, len(w), LONGEST_WORD)]
+    return _LETTERS.findall((text or "").lower())
+
+
+def parts(words: list[str], cells: int = CELLS) -> list[np.ndarray]:
+    """The places of words, those of like length together, in parts of about ``cells`` characters."""
+    size = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    order = np.argsort(-size, kind="stable")
+    out, a = [], 0
+    while a < len(order):
+        b = a + max(1, cells // int(size[order[a]]))
+        out.append(order[a:b])
+        a = b
     return out
 
 
 class Lattice:
-    """All pieces in a list of words: ``piece[l][p]`` is the piece of length l + 1 that
-    starts at place p (or -1). Words are ordered by length, longest first, one column of
-    characters after the other, so that a step of the forward algorithm is one slice."""
+    """All pieces in a list of words. ``single[k]``: for every word that goes beyond place k, the
+    piece that is its character there (or -1); ``longer[k]``: (length, words, pieces) of the
+    longer pieces that start there. Words are ordered by length, longest first, one column of
+    characters after the other; a beginning is followed while it begins some piece, so the
+    longest piece of the vocabulary sets the reach and no length is left out."""
 
     _char = np.uint64(0x9E3779B97F4A7C15)
 
-    def __init__(self, words: list[str], table: tuple[np.ndarray, np.ndarray]):
+    def __init__(self, words: list[str], table: tuple[np.ndarray, np.ndarray, int]):
         marked = [_START + w for w in words]
         size = np.fromiter(map(len, marked), np.int64, len(marked))
         self.order = np.argsort(-size, kind="stable")
@@ -83,73 +93,98 @@ class Lattice:
         for k in range(self.length):
             n = self.active[k]
             chars[k, :n] = mix64(flat[begin[:n] + k].astype(np.uint64))
-        keys, numbers = table
-        self.piece = []
+        keys, numbers, self.reach = table
+        self.single, self.longer = [], []
         for k in range(self.length):
-            row, h = [], np.zeros(len(words), np.uint64)
-            for l in range(min(LONGEST_PIECE, self.length - k)):
-                n = self.active[k + l]
-                h = h[:n] * self._char + chars[k + l, :n]
+            row, idx, h = [], np.arange(self.active[k]), np.zeros(self.active[k], np.uint64)
+            for l in range(self.length - k):
+                m = int(np.searchsorted(idx, self.active[k + l]))
+                idx, h = idx[:m], h[:m] * self._char + chars[k + l, idx[:m]]
                 at = np.searchsorted(keys, h)
-                row.append(np.where(keys[at] == h, numbers[at], -1))
-            self.piece.append(row)
+                known = keys[at] == h
+                idx, h, number = idx[known], h[known], numbers[at[known]]
+                if l == 0:
+                    single = np.full(self.active[k], -1)
+                    single[idx] = number
+                else:
+                    whole = number >= 0
+                    if whole.any():
+                        row.append((l + 1, idx[whole], number[whole]))
+                if not len(idx):
+                    break
+            self.single.append(single)
+            self.longer.append(row)
 
     @classmethod
-    def table(cls, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Sorted hashes of the pieces and their numbers."""
-        h = np.zeros(len(names) + 1, np.uint64)
+    def table(cls, names: list[str]) -> tuple[np.ndarray, np.ndarray, int]:
+        """Sorted hashes of the beginnings of pieces, the number of the piece that each is (or
+        -1), and the length of the longest piece."""
+        number = {np.iinfo(np.uint64).max: -1}
         for i, name in enumerate(names):
             x = 0
             for c in mix64(np.frombuffer(name.encode("utf-32-le"), np.uint32).astype(np.uint64)).tolist():
                 x = (x * int(cls._char) + c) % (1 << 64)
-            h[i] = x
-        h[-1] = np.iinfo(np.uint64).max
-        order = np.argsort(h)
-        return h[order], np.where(order == len(names), -1, order)
-
-    def forward(self, p: np.ndarray) -> np.ndarray:
-        """(length + 1, words, languages): probability of each beginning. ``p`` has a row
-        for each piece and a last one, of zeros, for no piece."""
+                number.setdefault(x, -1)
+            number[x] = i
+        keys = np.array(sorted(number), np.uint64)
+        return keys, np.array([number[k] for k in keys.tolist()], np.int64), max(map(len, names), default=1)
+
+    def forward(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(length + 1, words, languages): probability of each beginning, and what it was
+        multiplied by: after ``RESCALE`` places each, the beginning there is made 1, so that a
+        word of any length stays within a double. Logarithms of the factors, summed up; row j
+        holds those up to place j * RESCALE. ``p`` has a row for each piece and a last one, of
+        zeros, for no piece."""
         alpha = np.zeros((self.length + 1, len(self.size), p.shape[1]))
         alpha[0] = 1.0
+        factor = np.zeros((self.length // RESCALE + 1, *alpha.shape[1:]))
         for k in range(self.length):
-            row = self.piece[k]
-            for l in range(len(row)):
-                n = len(row[l])
-                if l == 0:  # a character that is no piece can still be passed
-                    alpha[k + 1, :n] += alpha[k, :n] * np.where((row[0] < 0)[:, None], UNKNOWN, p[row[0]])
-                else:
-                    hit = np.flatnonzero(row[l] >= 0)
-                    alpha[k + l + 1, hit] += alpha[k, hit] * p[row[l][hit]]
-        return alpha
+            n = self.active[k]
+            if k % RESCALE == 0 and k:
+                at = alpha[k, :n].copy()
+                alpha[k:k + self.reach + 1, :n] /= at
+                factor[k // RESCALE] = factor[k // RESCALE - 1]
+                factor[k // RESCALE, :n] -= np.log(at)
+            alpha[k + 1, :n] += alpha[k, :n] * np.where((self.single[k] < 0)[:, None], UNKNOWN, p[self.single[k]])
+            for l, idx, number in self.longer[k]:
+                alpha[k + l, idx] += alpha[k, idx] * p[number]
+        if self.length and self.length % RESCALE == 0:
+            factor[-1] = factor[-2]
+        return alpha, factor
 
     def log_probability(self, p: np.ndarray) -> np.ndarray:
         """(words, languages) in the order the words came."""
-        alpha = self.forward(p)
-        out = np.empty((len(self.size), p.shape[1]))
-        out[self.order] = np.log(np.maximum(alpha[self.size, np.arange(len(self.size))], 1e-300)) if len(self.size) else 0.0
+        alpha, factor = self.forward(p)
+        out, words = np.zeros((len(self.size), p.shape[1])), np.arange(len(self.size))
+        if len(self.size):
+            out[self.order] = np.log(alpha[self.size, words]) - factor[(self.size - 1) // RESCALE, words]
         return out
 
     def expected(self, p: np.ndarray, count: np.ndarray) -> np.ndarray:
         """(pieces + 1, languages): expected uses of each piece in the counted words."""
-        alpha = self.forward(p)
+        alpha, factor = self.forward(p)
         words = np.arange(len(self.size))
         count = count[self.order]
+        # beta is kept multiplied by what makes its product with alpha that of the whole word
         beta = np.zeros_like(alpha)
         beta[self.size, words] = 1.0
-        total = np.maximum(alpha[self.size, words], 1e-300)
+        total = alpha[self.size, words]
         uses = np.zeros_like(p)
+
+        def rest(k, l, idx):
+            """beta after a piece, with the factors between its two ends."""
+            end = np.minimum((k + l) // RESCALE, (self.size[idx] - 1) // RESCALE)
+            return beta[k + l, idx] * np.exp(factor[end, idx] - factor[k // RESCALE, idx])
+
         for k in reversed(range(self.length)):
-            row = self.piece[k]
-            for l in range(len(row)):
-                n = len(row[l])
-                q = np.where((row[l] < 0)[:, None], UNKNOWN if l == 0 else 0.0, p[row[l]])
-                step = q * beta[k + l + 1, :n]
-                beta[k, :n] += step
-                hit = row[l] >= 0
-                weight = (alpha[k, :n] * step / total[:n] * count[:n])[hit]
+            n = self.active[k]
+            for l, idx, number in [(1, words[:n], self.single[k]), *self.longer[k]]:
+                step = np.where((number < 0)[:, None], UNKNOWN, p[number]) * rest(k, l, idx)
+                beta[k, idx] += step
+                hit = number >= 0
+                weight = (alpha[k, idx] * step / total[idx] * count[idx])[hit]
                 for j in range(p.shape[1]):
-                    uses[:, j] += np.bincount(row[l][hit], weight[:, j], minlength=len(p))
+                    uses[:, j] += np.bincount(number[hit], weight[:, j], minlength=len(p))
         return uses
 
 
@@ -165,8 +200,7 @@ def train(counts, languages: list[str], names: list[str], rounds: int = ROUNDS)
     c = np.zeros((len(known), len(languages)))
     np.add.at(c, (at, lang), n)
     words = list(known)
-    parts = [np.arange(i, min(i + 10_000, len(words))) for i in range(0, len(words), 10_000)]
-    lattices = [(Lattice([words[i] for i in part], table), c[part]) for part in parts]
+    lattices = [(Lattice([words[i] for i in part.tolist()], table), c[part]) for part in parts(words)]
     length = np.array([len(x) for x in names] + [0])
     p = np.repeat(np.exp(-2.0 * length)[:, None], len(languages), axis=1)  # shorter pieces likelier at first
     p[-1] = 0.0
@@ -222,13 +256,15 @@ class _Scorer:
 
     def score(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(texts, languages) log probabilities and the number of words of each text."""
-        kept = self.codes.shrink(CACHED_WORDS)
+        kept = self.codes.shrink(CACHED_WORDS, CACHED_LETTERS)
         if kept is not None:
             self.scores = self.scores[kept]
         code, count = self.codes.of([words_of(t) for t in texts])
         new = self.codes.take_new()
-        parts = [Lattice(new[i:i + 10_000], self.model.table).log_probability(self.model.p) for i in range(0, len(new), 10_000)]
-        self.scores = np.concatenate([self.scores, *parts])
+        found = np.zeros((len(new), len(self.model.languages)))
+        for part in parts(new):
+            found[part] = Lattice([new[i] for i in part.tolist()], self.model.table).log_probability(self.model.p)
+        self.scores = np.concatenate([self.scores, found])
         return row_sums(self.scores[code], count), count
 
 

@@ -48,6 +48,35 @@ def test_expected_uses_sum_to_the_segmentations():
     assert uses[at["ab"], 0] == pytest.approx(2 * one / (one + two)) and uses[at["a"], 0] == pytest.approx(2 * two / (one + two))
 
 
+def test_long_words_and_long_pieces():
+    """A piece of twenty letters, and a word of a hundred against exact fractions."""
+    from fractions import Fraction
+    names = sorted(["▁", "a", "b", "ab", "abababababababababab", "ba", "▁a"])
+    p = np.array([[0.1, 0.3], [0.2, 0.05], [0.1, 0.2], [0.15, 0.1], [0.3, 0.05], [0.05, 0.2], [0.1, 0.1], [0.0, 0.0]])
+    words = ["ab" * 50, "ab" * 9 + "x" * 60 + "ab" * 20, "x" * 300, "ab" * 10, "", "a", "ba" * 24, "x" * 7, "x" * 8]
+    lattice = I.Lattice(words, I.Lattice.table(names))
+    got = lattice.log_probability(p)
+
+    def exact(word, j):
+        at = [Fraction(0)] * (len(word) + 1)
+        at[0] = Fraction(1)
+        for k in range(len(word)):
+            for l in range(1, min(20, len(word) - k) + 1):
+                piece = word[k:k + l]
+                if piece in names:
+                    at[k + l] += at[k] * Fraction(p[names.index(piece), j])
+                elif l == 1:
+                    at[k + 1] += at[k] * Fraction(I.UNKNOWN)
+        return math.log(at[-1].numerator) - math.log(at[-1].denominator)
+
+    assert np.allclose(got, [[exact("▁" + w, j) for j in range(2)] for w in words], rtol=1e-9)
+    count = np.ones((len(words), 2))
+    uses = lattice.expected(p, count)
+    for j in range(2):  # the pieces used cover the characters that are in the vocabulary
+        covered = sum(len(n) * uses[i, j] for i, n in enumerate(names))
+        assert covered == pytest.approx(sum(len(w) + 1 - w.count("x") for w in words), rel=1e-6)
+
+
 def test_language_on_held_out_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     held = crc_mod(F.col("doc_id"), 4) == 2
@@ -118,7 +147,7 @@ def test_interactions_that_weights_alone_miss():
     size = np.array([len(r) for r in rows])
     start, index, y = np.concatenate([[0], np.cumsum(size)]), np.array([x for r in rows for x in r]), np.array(label)
     owner = np.repeat(np.arange(len(y)), size)
-    w, bias = T.ftrl(start, index, np.ones(len(index)), y, 1 << 8, 6, 32, alpha=3.0, l1=4.0, l2=0.001)
+    w, bias = Q.ftrl(start, index, np.ones(len(index)), y, 1 << 8, 6, 32, alpha=3.0, l1=4.0, l2=0.001)
     linear = bias + np.bincount(owner, w[index]) > 0
     m = T.fit(start, index, y, bits=8)
     assert (linear == y).mean() < 0.95 < 0.99 < ((m.logits(owner, index, len(y)) > 0) == y).mean()
@@ -151,6 +180,54 @@ def test_toxicity_on_held_out_documents(spark):
     assert np.mean([r.predicted == r.toxic for r in rows]) > 0.97
 
 
+def test_quality_score_is_the_dot_product_of_its_grams(spark):
+    """Scores against a plain dictionary of n-grams and their weights."""
+    texts = [prose(i, 30) + (" SHOUT again again" if i % 3 else " calm") for i in range(40)] + ["", None, "one"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    weight, bias = Q.learn(docs, labels, F.lit(True))
+    weight = np.random.default_rng(3).normal(size=len(weight))
+    got = {r.doc_id: r.score for r in Q.score(docs, (weight, 0.25)).collect()}
+    grams = Q.NGrams(Q.BITS)
+    for i, text in enumerate(texts):
+        _, number, total = grams.features([text])
+        seen = {}
+        for n in number.tolist():
+            seen[n] = seen.get(n, 0) + 1
+        logit = 0.25 + sum(weight[n] * k for n, k in seen.items()) / max(int(total[0]), 1)
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-logit)), rel=1e-9)
+        # one gram per word, one per pair of neighbours, one per capital word
+        words = Q._TOKENS.findall(text or "")
+        assert sum(seen.values()) == len(words) + max(0, len(words) - 1) + sum(len(w) > 1 and w.isupper() for w in words)
+
+
+def test_ftrl_equals_the_rule_for_each_coordinate():
+    """Batches of one against the rule in plain Python."""
+    rng = np.random.default_rng(5)
+    rows = [sorted(rng.choice(6, 3, replace=False).tolist()) for _ in range(50)]
+    value, label = rng.random((50, 3)), (rng.random(50) < 0.4).astype(float)
+    start, index = np.arange(0, 151, 3), np.array(rows).reshape(-1)
+    got, bias = Q.ftrl(start, index, value.reshape(-1), label, 6, 2, 1, alpha=2.0, l1=0.1, l2=0.01)
+    z, n, zb, nb = [0.0] * 6, [0.0] * 6, 0.0, 0.0
+
+    def weight(i):
+        return 0.0 if abs(z[i]) <= 0.1 else (math.copysign(0.1, z[i]) - z[i]) / ((1 + math.sqrt(n[i])) / 2.0 + 0.01)
+
+    b = 0.0
+    for _ in range(2):
+        for row, x, y in zip(rows, value, label):
+            e = 1 / (1 + math.exp(-(b + sum(weight(i) * v for i, v in zip(row, x))))) - y
+            for i, v in zip(row, x):
+                g = e * v
+                w, rate = weight(i), (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / 2.0
+                z[i] += g - rate * w
+                n[i] += g * g
+            rate = (math.sqrt(nb + e * e) - math.sqrt(nb)) / 2.0
+            zb, nb = zb + e - rate * b, nb + e * e
+            b = -zb / ((1 + math.sqrt(nb)) / 2.0 + 1e-6)
+    assert np.allclose(got, [weight(i) for i in range(6)], rtol=1e-9) and bias == pytest.approx(b, rel=1e-9)
+
+
 def test_toxicity_of_an_insult_next_to_a_group(spark):
     """Toxic are texts with both words; each alone is as common in clean ones."""
     kinds = [(" dolt ", " romans "), (" dolt ", " "), (" ", " romans "), (" ", " ")]
