@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
-from tamarind.llm.common import Shared, add_columns, unit_hash
+from tamarind.llm.common import Shared, Workspace, add_columns, unit_hash
 
 #: Vectors that partition and classifier are fitted on, at most.
 SAMPLE = 4096
@@ -205,8 +205,8 @@ def _dealt(asked: DataFrame, indexed: DataFrame, block: int) -> tuple[DataFrame,
     def number(of):
         return F.element_at(F.create_map(*[F.lit(x) for p, n in of.items() for x in (p, n)]), F.col("part"))
 
-    def own(of):
-        return F.pmod(F.xxhash64("id"), number(of).cast("long")).cast("int")
+    def own(of):  # by id and vector: the vectors of one much repeated id are dealt over all blocks
+        return F.pmod(F.xxhash64("id", "v"), number(of).cast("long")).cast("int")
 
     def every(of):
         return F.explode(F.sequence(F.lit(0), number(of) - 1))
@@ -243,15 +243,17 @@ def search(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec
     schema = StructType([StructField("query_id", LongType()), StructField("vec_id", LongType()), StructField("score", DoubleType())])
     lengths = [len(x) for x in drawn]
     dim = max(set(lengths), key=lambda n: (lengths.count(n), n))
-    usable = usable.where(F.size("v") == dim)
+    usable = usable.where(F.size("v") == dim).distinct()  # equal rows of a repeated id are one
     if parts is None:
         parts = 1 << max(3, min(6, round(math.log2(math.sqrt(usable.count()) / 8))))
     router, probes = fit(np.array([x for x in drawn if len(x) == dim]), parts, k, target)
     shared = Shared(spark, router)
 
-    indexed = _routed(usable, shared, 1, "parts").select("id", "v", F.col("parts")[0].alias("part"))
+    # written once: the router's work is not repeated by the counts and the search that read it
+    ws = Workspace(spark, "nearest")
+    indexed = ws.write(_routed(usable, shared, 1, "parts").select("id", "v", F.col("parts")[0].alias("part")), "indexed")
     asked = usable.where(is_query(F.col("id"))).groupBy("id").agg(F.min("v").alias("v"))
-    asked = _routed(asked, shared, probes, "parts").select("id", "v", F.explode("parts").alias("part"))
+    asked = ws.write(_routed(asked, shared, probes, "parts").select("id", "v", F.explode("parts").alias("part")), "asked")
     asked, spread = _dealt(asked, indexed, block)
 
     def best(left: pa.Table, right: pa.Table) -> pa.Table:
