@@ -278,7 +278,7 @@ DIM_ADDRESS = schema(f"""{AUDIT}, addr_no:str, sub_dstc:str, dstc:str, prvn:str,
     crtd_dttm:ts, crtd_by:str, updt_dttm:ts, updt_by:str, ref_addr_id:str, party_id:str, addr_type_id:long,
     date_id:date, addr_id:str""")
 
-# addr_type_id -> (addr1, addr3, sub-district, district, zip) of each address group
+# fixed values: addr_type_id -> (addr1, addr3, sub-district, district, zip) of each address group
 ADDRESS_GROUPS = {
     5: ("fcaddress1", "fcaddress3", "fcaddresssubdistrict", "fcaddressdistrict", "fczipcode"),
     3: ("fcshipaddr1", "fcshipaddr3", "fcshipaddrsubdistrict", "fcshipaddrdistrict", "fcshipzipcode"),
