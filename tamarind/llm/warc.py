@@ -56,9 +56,14 @@ RECORDS = ("record_id string, record_type string, target string, refers_to strin
 
 
 def base32_sha1(data: Column) -> Column:
-    """Bare upper-case base32 SHA-1 of a string or binary column: 20 bits are four digits."""
-    digest, digits = F.sha1(data), F.lit(BASE32)
-    out = []
+    """Bare upper-case base32 SHA-1 of a string or binary column. The hash stands in it 32 times:
+    where Spark cannot share it, as in a condition, hash first and give ``base32`` the column."""
+    return base32(F.sha1(data))
+
+
+def base32(digest: Column) -> Column:
+    """Bare upper-case base32 of a SHA-1 in hex: 20 bits are four digits."""
+    digits, out = F.lit(BASE32), []
     for i in range(8):
         bits = F.conv(F.substring(digest, 5 * i + 1, 5), 16, 10).cast("int")
         out += [F.substring(digits, F.shiftright(bits, s).bitwiseAND(31) + 1, F.lit(1)) for s in (15, 10, 5, 0)]
@@ -347,8 +352,10 @@ def archive_pages(pages: DataFrame, least_bytes: int = 0, archive_bytes: int = A
 def check_payloads(found: DataFrame) -> DataFrame:
     """``found`` with size and digest computed from each payload that is there, held against
     the record's own."""
-    digest = F.when(F.col("payload").isNotNull(), base32_sha1(F.col("payload")))
+    # one step each for the hash and its digits: inside the condition below each use would hash the payload again
+    digests = found.withColumn("_sha1", F.sha1("payload")).withColumn("_digest", base32(F.col("_sha1")))
     size = F.octet_length("payload").cast("long")
-    same = (digest == F.col("payload_digest")) & (size == F.col("payload_bytes"))
-    return found.withColumn("payload_digest", F.when(F.col("payload").isNull(), F.col("payload_digest")).when(same, digest)
-                            .otherwise(F.raise_error(F.concat(F.lit("damaged payload of record "), F.coalesce("record_id", F.lit("-"))))))
+    same = (F.col("_digest") == F.col("payload_digest")) & (size == F.col("payload_bytes"))
+    damaged = F.raise_error(F.concat(F.lit("damaged payload of record "), F.coalesce("record_id", F.lit("-"))))
+    checked = F.when(F.col("payload").isNull(), F.col("payload_digest")).when(same, F.col("_digest")).otherwise(damaged)
+    return digests.withColumn("payload_digest", checked).drop("_sha1", "_digest")

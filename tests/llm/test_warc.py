@@ -115,3 +115,11 @@ def test_base32(spark):
     for text in ("", "a", "é"):
         df = spark.createDataFrame([(text,)], "t string")
         assert df.select(W.base32_sha1(F.col("t"))).first()[0] == W.payload_digest(text.encode())
+
+
+def test_a_payload_is_hashed_once(spark):
+    """The digest is used twice, and stands in 32 digits each time: its hash is a step of its own."""
+    found = spark.createDataFrame([("1", "response", "t", None, W.payload_digest(b"abc"), 3, bytearray(b"abc"), "a", 0)], W.RECORDS)
+    out = W.check_payloads(found)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("sha1(") == 1
+    assert out.columns == found.columns and out.collect() == found.collect()
