@@ -31,17 +31,34 @@ def _tag(sf_dir: str) -> str:
     return hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:10]
 
 
+#: Date folders that one task of a lake write makes, about.
+FOLDERS_PER_TASK = 256
+
+
+def write_days(df, path: str) -> None:
+    """Writes a lake table, a folder for each day. A rebalance goes by bytes, so that one task would
+    write all of thousands of small folders, one after the other: those are dealt over tasks by their
+    number. Whole years go to a task where there are years enough: its folders are then committed
+    a year at a time."""
+    days = df.select(*lake.PART_COLS).distinct().agg(F.count(F.lit(1)).alias("n"), F.count_distinct(lake.PART_COLS[0]).alias("years")).first()
+    tasks = -(-days.n // FOLDERS_PER_TASK)
+    if tasks <= 1:
+        df = df.hint("rebalance", *lake.PART_COLS)
+    elif days.years >= tasks:
+        df = df.repartition(tasks, lake.PART_COLS[0])
+    else:
+        df = df.repartition(max(tasks, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), *lake.PART_COLS)
+    df.write.mode("overwrite").partitionBy(*lake.PART_COLS).parquet(path)
+
+
 def ensure_lake(spark, sf_dir: str, name: str, ts_col: str, app: str = "app", monthly: bool = False) -> str:
     """Write a test table once as a date-partitioned lake table in the shared scratch
     folder; return its root.  Later calls reuse it."""
     root = f"{scratch_root(spark)}/fixtures-{_tag(sf_dir)}/lake"
     path = f"{root}/{app}/{name}"
     if not path_exists(spark, f"{path}/_SUCCESS"):
-        (table(spark, sf_dir, name)
-         .withColumns({"calendar_year": F.year(ts_col), "month_no": F.month(ts_col),
-                       "day_of_month": F.lit(1) if monthly else F.dayofmonth(ts_col)})
-         .hint("rebalance", "calendar_year", "month_no", "day_of_month")
-         .write.mode("overwrite").partitionBy("calendar_year", "month_no", "day_of_month").parquet(path))
+        write_days(table(spark, sf_dir, name).withColumns({
+            "calendar_year": F.year(ts_col), "month_no": F.month(ts_col), "day_of_month": F.lit(1) if monthly else F.dayofmonth(ts_col)}), path)
     return root
 
 
@@ -676,5 +693,5 @@ def ensure_adapter_lake(spark, sf_dir: str, adapter_name: str, source: Source |
                 df = df.withColumn(name, F.lit(value))
         if monthly:
             df = df.withColumn("day_of_month", F.lit(1))
-        df.hint("rebalance", *lake.PART_COLS).write.mode("overwrite").partitionBy(*lake.PART_COLS).parquet(path)
+        write_days(df, path)
     return root

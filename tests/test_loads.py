@@ -17,7 +17,7 @@ from tamarind.context import RunContext
 from tamarind.plans.common import schema
 from tamarind.plans.registry import BY_NAME, SPECS
 from tamarind.queries import loads as Q
-from tamarind.queries.operators import ensure_adapter_lake, ensure_lake
+from tamarind.queries.operators import FOLDERS_PER_TASK, ensure_adapter_lake, ensure_lake, write_days
 from tamarind.session import create_file, path_exists, scratch_root
 from tamarind.sinks import ledger
 from tamarind.sinks.warehouse import LoadRules, append, load, side_path, stored_schema
@@ -334,3 +334,20 @@ def test_sql_sources_push_their_filters(spark, sf_dir):
     with pytest.raises(ValueError, match="not read"):
         read_sql(spark, Q._FROM_SQL[2], root)
     assert not [t for t in spark.catalog.listTables() if t.name in ("dim_address", "p", "wanted")]
+
+
+# ------------------------------------------------- tables of many rows ----
+@pytest.mark.parametrize("years", [400, 2])
+def test_many_small_day_folders_are_written_by_many_tasks(spark, folder, years):
+    """Thousands of folders of a row each, of many years or of few: no task writes them all."""
+    n = 2400
+    days = spark.range(n).selectExpr("id", f"CAST(2000 + id % {years} AS INT) AS calendar_year", f"CAST(1 + id DIV {years} % 12 AS INT) AS month_no",
+                                     f"CAST(1 + id DIV {years} DIV 12 AS INT) AS day_of_month").coalesce(1)
+    write_days(days, folder)
+    files = glob.glob(f"{local(folder)}/*/*/*/*.parquet")
+    by_task = {}
+    for f in files:
+        by_task.setdefault(os.path.basename(f).split("-")[1], []).append(f)
+    assert len(files) == n and max(map(len, by_task.values())) <= 3 * FOLDERS_PER_TASK
+    back = spark.read.parquet(folder).select(days.columns)
+    assert back.exceptAll(days).isEmpty() and back.count() == n
