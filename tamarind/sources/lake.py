@@ -21,6 +21,9 @@ from tamarind.session import child_names, path_exists
 PART_COLS = ("calendar_year", "month_no", "day_of_month")
 #: Scans of fewer bytes are not worth a shuffle.
 SMALLEST_DEALT = 1 << 20
+#: Estimated bytes of the rows that a task gets of a dealt scan; of packed files that is a tenth
+#: of their true size or less.
+DEALT_BYTES = 4 << 20
 
 
 def empty_frame(spark: SparkSession, columns, schema: str | None = None) -> DataFrame:
@@ -75,16 +78,20 @@ def newest_day_folder(spark: SparkSession, path: str) -> str | None:
 
 
 def deal_small_scan(df: DataFrame) -> DataFrame:
-    """A scan of less than one split for each core hands its rows to all cores, by a hash of the
-    row, before the row-level work that follows; a small table is often one file with one row
-    group, which one task reads. Larger scans are left as they are: they have splits enough,
-    and a shuffle of their raw rows would cost more than it gives."""
+    """A scan whose splits would give a task too much hands its rows to more tasks, by a hash of
+    the row, before the row-level work that follows. A small table is often one file with one row
+    group, which one task reads; and keys pack so well that a split of a larger one may hold ten
+    million rows, each many times as wide once it is cleaned, of which the distinct at the end
+    keeps as many in memory as it can. The tasks go by Spark's estimate of the rows, so that one
+    gets the same number whatever the table's size."""
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
     size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    return df.repartition(cores, *df.columns) if SMALLEST_DEALT < size < cores * split else df
+    wanted = max(cores, -(-int(str(plan.stats().sizeInBytes())) // DEALT_BYTES))
+    return df.repartition(wanted, *df.columns) if size > SMALLEST_DEALT and size < wanted * split else df
 
 
 def read_folders(spark: SparkSession, path: str, folders: list[str]) -> DataFrame:

@@ -351,3 +351,15 @@ def test_many_small_day_folders_are_written_by_many_tasks(spark, folder, years):
     assert len(files) == n and max(map(len, by_task.values())) <= 3 * FOLDERS_PER_TASK
     back = spark.read.parquet(folder).select(days.columns)
     assert back.exceptAll(days).isEmpty() and back.count() == n
+
+
+def test_a_scan_is_dealt_by_the_rows_it_holds(spark, folder):
+    """Keys pack well: a file of few MB holds millions of wide rows. Twice the rows, twice the tasks,
+    also where the file has fewer splits than there are cores."""
+    wide = [f"'x' || id % {k} AS c{k}" for k in range(1, 40)]
+    parts = []
+    for n in (1_500_000, 3_000_000):
+        spark.range(n).selectExpr("id * 7919 % 1000003 AS id").coalesce(1).write.parquet(f"{folder}/{n}")
+        df = spark.read.parquet(f"{folder}/{n}").selectExpr("id", *wide)
+        parts.append(lake.deal_small_scan(df).rdd.getNumPartitions())
+    assert parts[0] > 2 * spark.sparkContext.defaultParallelism and 1.8 < parts[1] / parts[0] < 2.2
