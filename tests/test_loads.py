@@ -3,6 +3,7 @@
 import datetime as dt
 import glob
 import os
+import re
 import shutil
 import uuid
 from dataclasses import replace
@@ -361,5 +362,6 @@ def test_a_scan_is_dealt_by_the_rows_it_holds(spark, folder):
     for n in (1_500_000, 3_000_000):
         spark.range(n).selectExpr("id * 7919 % 1000003 AS id").coalesce(1).write.parquet(f"{folder}/{n}")
         df = spark.read.parquet(f"{folder}/{n}").selectExpr("id", *wide)
-        parts.append(lake.deal_small_scan(df).rdd.getNumPartitions())
+        dealt = lake.deal_small_scan(df)._jdf.queryExecution().optimizedPlan().toString()
+        parts.append(int(re.search(r"^RepartitionByExpression \[.*\], (\d+)", dealt)[1]))
     assert parts[0] > 2 * spark.sparkContext.defaultParallelism and 1.8 < parts[1] / parts[0] < 2.2
