@@ -187,7 +187,7 @@ def overlap(text_a: pa.Array, text_b: pa.Array) -> np.ndarray:
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """The links among (a, b) pairs: exact similarity of at least ``threshold``."""
+    """The links among (a, b, ...) pairs: exact similarity of at least ``threshold``."""
     texts = nodes.select("h", "text")
     wide = (pairs.join(texts.select(F.col("h").alias("a"), F.col("text").alias("text_a")), "a")
             .join(texts.select(F.col("h").alias("b"), F.col("text").alias("text_b")), "b"))
@@ -195,7 +195,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame
     def make():
         return lambda batch: [pa.array(overlap(batch.column("text_a"), batch.column("text_b")))]
 
-    out = add_columns(wide, ["text_a", "text_b"], [StructField("similarity", DoubleType())], make, keep=["a", "b"])
+    out = add_columns(wide, ["text_a", "text_b"], [StructField("similarity", DoubleType())], make, keep=pairs.columns)
     return out.where(F.col("similarity") >= F.lit(threshold - 1e-12))
 
 
@@ -276,6 +276,18 @@ def _overlapping(threshold: float):
     return F.size(F.array_intersect(a, b)) + 1 >= size * least / (1 + least)
 
 
+def _pair() -> list:
+    """(a, b, comp_a, comp_b) of the sides x and y of a join: the smaller node first, each with its group."""
+    turned = F.col("x.h") > F.col("y.h")
+    groups = F.when(turned, F.col("y.comp")).otherwise(F.col("x.comp")), F.when(turned, F.col("x.comp")).otherwise(F.col("y.comp"))
+    return [F.least("x.h", "y.h").alias("a"), F.greatest("x.h", "y.h").alias("b"), groups[0].alias("comp_a"), groups[1].alias("comp_b")]
+
+
+def _between(links: DataFrame) -> DataFrame:
+    """The links of (a, b, comp_a, comp_b) rows as links between the groups."""
+    return links.select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")).distinct()
+
+
 def _open_buckets(bucket: DataFrame, comps: DataFrame) -> DataFrame:
     """Rows of the buckets that hold several groups, with ``comp`` and the bucket's largest group."""
     grouped = bucket.join(comps, "h", "left").withColumn("comp", F.coalesce("comp", "h"))
@@ -330,10 +342,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pivots = opened.join(pivots, ["band", "h"]).alias("x")
     second = (pivots.join(opened.alias("y"), F.col("x.band") == F.col("y.band"))
               .where(F.expr("x.comp <> y.comp") & _near(threshold, bands * rows, "x", "y"))
-              .select(F.least("x.h", "y.h").alias("a"), F.greatest("x.h", "y.h").alias("b")).distinct())
-    more = ws.write(_verified(second, nodes, threshold).select("a", "b"), "links2")
-    links = links.unionByName(more)
-    comps = connected_components(ws, links, "c2-")
+              .select(*_pair()).distinct())
+    more = ws.write(_between(_verified(second, nodes, threshold)), "links2")
+    # links between groups stand for those between their members: the graph shrinks to the groups
+    comps = connected_components(ws, links.unionByName(more), "c2-")
 
     # members outside the largest group of their bucket against all other groups
     still = ws.write(_open_buckets(opened.drop("comp", "largest"), comps), "open3")
@@ -345,12 +357,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     third = (still.where("comp <> largest").alias("x").join(still.alias("y"), F.col("x.band") == F.col("y.band"))
              .where((F.expr("x.comp <> y.comp AND (y.comp = y.largest OR x.h < y.h)") & _near(threshold, bands * rows, "x", "y"))
                     & in_first & _overlapping(threshold))
-             .select(F.least("x.h", "y.h").alias("a"), F.greatest("x.h", "y.h").alias("b")).distinct())
-    more = ws.write(_verified(third, nodes, threshold).select("a", "b"), "links3")
-    if not more.isEmpty():
-        comps = connected_components(ws, links.unionByName(more), "c3-")
-
+             .select(*_pair()).distinct())
+    more = ws.write(_between(_verified(third, nodes, threshold)), "links3")
     known = texts.select("h", "doc_id").join(comps, "h", "left").withColumn("comp", F.coalesce("comp", "h"))
+    if not more.isEmpty():
+        joined = connected_components(ws, more, "c3-").select(F.col("h").alias("comp"), F.col("comp").alias("whole"))
+        known = known.join(joined, "comp", "left").select("h", "doc_id", F.coalesce("whole", "comp").alias("comp"))
     smallest = known.groupBy("comp").agg(F.min("doc_id").alias("class_id"))
     classes = ws.write(known.join(smallest, "comp").select("h", "class_id", F.col("comp").alias("class_key")), "classes")
     ws.drop("texts", "bucket", "first", "nodes", "links1", "links2", "links3", "open2", "open3", "extra")

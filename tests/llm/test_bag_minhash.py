@@ -72,6 +72,27 @@ def test_group_of_near_copies_with_outliers(spark):
     assert got == brute(rows)
 
 
+def test_last_links_join_groups(spark, monkeypatch):
+    """Links found last are handed on between groups, not with all links of their members again."""
+    seen = {}
+
+    def components(ws, links, name, run=B.connected_components):
+        seen[name] = [(bytes(a), bytes(b)) for a, b in links.select("a", "b").collect()]
+        out = run(ws, links, name)
+        seen[name + "comps"] = {bytes(h): bytes(c) for h, c in out.select("h", "comp").collect()}
+        return out
+
+    monkeypatch.setattr(B, "connected_components", components)
+    rng = random.Random(9)
+    base = prose(7, 150)
+    rows = list(enumerate(edited(base, rng.choice([0.01, 0.02, 0.04, 0.08]), rng) for _ in range(220)))
+    got = dict(B.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "class_id").collect())
+    comps, last = seen["c2-comps"], seen["c3-"]
+    assert last and len(set(last)) == len(last)
+    assert all(comps.get(h, h) == h for link in last for h in link)
+    assert got == brute(rows)
+
+
 def test_signature_is_unbiased_for_weighted_jaccard():
     rng = np.random.default_rng(1)
     off = []
