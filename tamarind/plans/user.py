@@ -475,8 +475,9 @@ RESIDENT_TYPES = ["Rential", "Stay"]  # fixed values, as spelt in the source
 
 def build_dim_mobile_user(src: dict, ctx):
     """App customers matched by phone to unit owners and residents (history of
-    units, residences and parties), plus their devices."""
-    room = src["tmRoomH_mobileuser"]
+    units, residences and parties), plus their devices. The histories come with repeats, which
+    are dropped once only the columns that count are left."""
+    room = src["tmRoomH_mobileuser"].select("fcid", *MOBILE_OWNER_COLS).distinct()
     owned = (unpivot(room.select("fcid", *MOBILE_OWNER_COLS), ["fcid"], MOBILE_OWNER_COLS, "owner_type", "fcownerid")
              .where(F.col("fcownerid").isNotNull() & (F.col("fcownerid") != "")))
     some_owner = reduce(or_, [F.col(c).isNotNull() & (F.col(c) != "") for c in MOBILE_OWNER_COLS])
@@ -484,12 +485,12 @@ def build_dim_mobile_user(src: dict, ctx):
     residents = src["ttCORHist_mobileuser"].where(fn.strip("fctype").isin(RESIDENT_TYPES))
     cor = src["tmCOR"].withColumn("fcshipmobile", fn.strip("fcshipmobile"))
     cor_all = (cor.where(F.col("fcshipmobile").isNotNull() & (F.col("fcshipmobile") != ""))
-               .select("fcid", fn.phone_pad9("fcshipmobile").alias("mobile_phone")))
+               .select("fcid", fn.phone_pad9("fcshipmobile").alias("mobile_phone")).distinct())
     # owners: party (stripped id) = unit owner (stripped)
     owner_all = (cor_all.select(fn.strip("fcid").alias("k"), "mobile_phone")
                  .join(owned.select(fn.strip("fcownerid").alias("k"), F.col("fcid").alias("fcid_room")), "k"))
     # residents: residence (stripped renter) = party id (as is); their room has to be an owned one
-    res = residents.select(fn.strip("fccornewrentalid").alias("fcid"), fn.strip("fcroomid").alias("room_k"))
+    res = residents.select(fn.strip("fccornewrentalid").alias("fcid"), fn.strip("fcroomid").alias("room_k")).distinct()
     resident_all = res.join(rooms, "room_k", "left_semi").join(cor_all, "fcid")
     corall = (owner_all.select("mobile_phone", "fcid_room")
               .unionByName(resident_all.select("mobile_phone", F.col("room_k").alias("fcid_room")))
@@ -520,11 +521,11 @@ SPECS += [
         Source("customer", "customer", app="mobileregister", columns=(
             "id", "username", "phonenumbercountrycode", "phonenumber", "creationtime", "creatoruserid",
             "lastmodificationtime", "lastmodifieruserid")),
-        Source("tmRoomH_mobileuser", "tmRoomH_mobileuser", kind=HISTORY, columns=(
+        Source("tmRoomH_mobileuser", "tmRoomH_mobileuser", kind=HISTORY, repeats=True, columns=(
             "fcid", "fcownerid", "fccurrentownerid", "fcownerid2", "fcownerid3", "ftcreatedate", "ftupdatedate")),
-        Source("ttCORHist_mobileuser", "ttCORHist_mobileuser", kind=HISTORY, columns=(
+        Source("ttCORHist_mobileuser", "ttCORHist_mobileuser", kind=HISTORY, repeats=True, columns=(
             "fcid", "fccornewrentalid", "fcroomid", "fctype", "ftcreatedate", "ftupdatedate")),
-        Source("tmCOR", "tmCOR", kind=HISTORY, columns=("fcid", "fcshipmobile", "ftcreatedate", "ftupdatedate")),
+        Source("tmCOR", "tmCOR", kind=HISTORY, repeats=True, columns=("fcid", "fcshipmobile", "ftcreatedate", "ftupdatedate")),
         Source("gu_device", "gu_device", app="notification", source_type="postgresql",
                columns=("customer_id", "device_id")),
     ), build_dim_mobile_user, DIM_MOBILE_USER, full_default=True, sort=("customer_id",)),

@@ -32,7 +32,7 @@ def adapter_inputs(spark, sf_dir, spec, overrides: dict | None = None) -> dict:
         if s.columns:
             df = df.select(*[c for c in s.columns if c in df.columns and c not in PART_COLS])
         if s.kind == HISTORY:
-            df = df.distinct()
+            df = df if s.repeats else df.distinct()
         elif s.kind == LAKE:
             df = deal_small_scan(df)
         out[s.alias] = df

@@ -174,16 +174,17 @@ def read_range(spark: SparkSession, src, root: str, start: _dt.date, end: _dt.da
 
 
 def read_history(spark: SparkSession, path: str, start_year: int, years: int = 10, columns=None,
-                 schema: str | None = None) -> DataFrame:
-    """``years`` calendar years back from ``start_year``, distinct.  One scan of the years
-    that are there (D8: a missing year in the middle does not stop the read)."""
+                 schema: str | None = None, distinct: bool = True) -> DataFrame:
+    """``years`` calendar years back from ``start_year``, distinct unless the caller drops
+    repeats itself.  One scan of the years that are there (D8: a missing year in the middle does
+    not stop the read)."""
     if not path_exists(spark, path):
         return empty_frame(spark, list(columns) if columns else None, schema)
     wanted = [y for y in _numbered(spark, path, PART_COLS[0]) if int(start_year) - int(years) < y <= int(start_year)]
     df = read_folders(spark, path, [folder_of(path, y) for y in wanted])
     if columns:
         df = df.select(*columns)
-    return df.distinct()
+    return df.distinct() if distinct else df
 
 
 def read_source(spark: SparkSession, src, ctx, inputs: dict | None = None) -> DataFrame:
@@ -203,7 +204,7 @@ def read_source(spark: SparkSession, src, ctx, inputs: dict | None = None) -> Da
         df = read_lake(spark, path, columns=cols, full=True, schema=src.schema, distinct=False)
         return latest_per_key(df, src.keys, tie=src.tie)
     if src.kind == S.HISTORY:
-        return read_history(spark, path, ctx.start_year, ctx.history_years, src.columns, src.schema)
+        return read_history(spark, path, ctx.start_year, ctx.history_years, src.columns, src.schema, distinct=not src.repeats)
     if src.kind == S.WAREHOUSE:
         from tamarind.sources.warehouse import read_warehouse
         return read_warehouse(spark, ctx.warehouse_root, src.table, schema=src.schema)

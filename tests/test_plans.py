@@ -25,6 +25,13 @@ def test_mobile_user_plan_is_lean(spark, sf_dir):
     assert plan(QUERIES["b_dim_mobile_user"](spark, sf_dir)).count("Exchange hashpartitioning") <= 14
 
 
+def test_mobile_user_histories_shuffle_what_counts(spark, sf_dir):
+    """No date of a history goes through a shuffle: repeats are dropped from the columns in use."""
+    p = plan(QUERIES["b_dim_mobile_user"](spark, sf_dir))
+    shuffled = [l for l in p.splitlines() if "Exchange hashpartitioning" in l]
+    assert shuffled and not [l for l in shuffled if "ftcreatedate" in l or "ftupdatedate" in l]
+
+
 def test_upsert_reads_only_touched_partitions(spark):
     """A daily load must not scan the whole warehouse table: the touched dates become a
     partition filter on the target scan."""
