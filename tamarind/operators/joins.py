@@ -53,6 +53,20 @@ def lookup_join(left: DataFrame, right: DataFrame, left_on, right_on, how: str =
     return left.join(right, cond, how)
 
 
+#: A lookup side of at most so many estimated bytes is broadcast; that is some 400,000 packed keys.
+STREAMED_BROADCAST_BYTES = 1 << 20
+
+
+def streamed_join(left: DataFrame, right: DataFrame, left_on, right_on,
+                  max_bytes: int = STREAMED_BROADCAST_BYTES) -> DataFrame:
+    """Left ``lookup_join`` to a side of one row per key (J1) that keeps no left rows in memory:
+    they stream past the hashed right rows, all of them within ``max_bytes``, beyond it the
+    task's share of them. A sort-merge join sorts the left rows of a task, and those of one key
+    or without any may be a large part of the table; AQE still splits such tasks."""
+    right = F.broadcast(right) if estimated_bytes(right) <= max_bytes else right.hint("shuffle_hash")
+    return lookup_join(left, right, left_on, right_on, "left")
+
+
 #: A key with more than this share of the left rows is split; at most 1 / share keys are.
 HEAVY_SHARE = 0.01
 #: Rows of a heavy key that stay together, as a share of the rows of an even shuffle partition.

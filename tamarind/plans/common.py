@@ -26,10 +26,16 @@ def schema(text: str) -> StructType:
     return StructType(out)
 
 
-def finish(df: DataFrame, sch: StructType, distinct: bool = True) -> DataFrame:
+def finish(df: DataFrame, sch: StructType, distinct: bool = True, tasks: int = 0, same: tuple[str, ...] = ()) -> DataFrame:
     """P5 + A1: the ordered output columns, cast to the table schema, then (usually)
-    a full-row distinct — a hash aggregate with a partial step before the shuffle."""
+    a full-row distinct — a hash aggregate with a partial step before the shuffle.
+
+    With ``tasks`` the rows are first dealt over so many tasks and the distinct is made there, so
+    that the tasks before it hold no rows; for rows of which few repeat, and many to a task.
+    ``same`` columns hold one value throughout and take no part in the dealing."""
     out = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in sch.fields])
+    if tasks:
+        out = out.repartition(tasks, *[c for c in sch.names if c not in same])
     return out.distinct() if distinct else out
 
 

@@ -10,13 +10,14 @@ from tamarind.functions.codes import (
     PROJECT_TYPE,
 )
 from tamarind.operators import (
-    blank_strings_to_null, col_or, lookup_join, lower_columns, suffix_columns, unpivot_groups,
-    with_audit,
+    blank_strings_to_null, col_or, lookup_join, lower_columns, streamed_join, suffix_columns,
+    unpivot_groups, with_audit,
 )
 from tamarind.plans.common import AUDIT, finish, schema
 from tamarind.plans.company import (
     build_invitation_history, build_invitation_link, history_schema, invitation_schema, PMS,
 )
+from tamarind.sources.lake import tasks_by_rows
 from tamarind.sources.warehouse import project_with_default
 from tamarind.spec import LATEST, Source, TableSpec, WAREHOUSE
 
@@ -216,7 +217,8 @@ def build_dim_pmsrole_permission(src: dict, ctx):
 
 
 def build_fact_pmscompany_projects(src: dict, ctx):
-    """Mapping log ⟕ newest company ⟕ newest project, each cleaned before the join."""
+    """Mapping log ⟕ newest company ⟕ newest project, each cleaned before the join. Only the
+    distinct at the end holds log rows in memory, and its tasks go by the number of them."""
     log = src["companies_projects_logs"]
     status = fn.clean_str(col_or(log, "action_type"))
     log = blank_strings_to_null(log, but=("company_id", "project_id")).select(
@@ -230,13 +232,14 @@ def build_fact_pmscompany_projects(src: dict, ctx):
                              fn.clean_str(col_or(company, "name_th")).alias("company_nm_th"))
     project = project.select(F.col("id").alias("key_of_project"), fn.blank_to_null("pms_project_id").alias("ref_pmsproject_id"),
                              fn.clean_str(col_or(project, "name_th")).alias("pmsproject_nm_th"))
-    df = lookup_join(log, company, "company_key", "key_of_company", "left")
-    df = lookup_join(df, project, "project_key", "key_of_project", "left")
+    df = streamed_join(log, company, "company_key", "key_of_company")
+    df = streamed_join(df, project, "project_key", "key_of_project")
     # a row without a company or project has blank names
     names = {c: F.coalesce(c, F.lit("")) for c in ("company_cd", "company_nm_th", "pmsproject_nm_th")}
     df = with_audit(df.withColumns(names), ctx.run_ts).withColumns({
         "rec_actv_flag": F.lit("1"), "updt_by": F.lit(None).cast("string"), "updt_dttm": F.lit(None).cast("timestamp_ntz")})
-    return finish(df, FACT_PMSCOMPANY_PROJECTS)
+    return finish(df, FACT_PMSCOMPANY_PROJECTS, tasks=tasks_by_rows(log),
+                  same=("dwh_crtd_dttm", "dwh_updt_dttm", "dwh_note", "rec_actv_flag", "updt_by", "updt_dttm"))
 
 
 def build_fact_pmsproject_features(src: dict, ctx):

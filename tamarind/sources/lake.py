@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from tamarind.operators.joins import estimated_bytes
 from tamarind.session import child_names, path_exists
 
 PART_COLS = ("calendar_year", "month_no", "day_of_month")
@@ -24,6 +25,8 @@ SMALLEST_DEALT = 1 << 20
 #: Estimated bytes of the rows that a task gets of a dealt scan; of packed files that is a tenth
 #: of their true size or less.
 DEALT_BYTES = 4 << 20
+#: Estimates beyond this are Spark's stand-in for an unknown size, or a product of unknown ones.
+UNKNOWN_BYTES = 1 << 50
 
 
 def empty_frame(spark: SparkSession, columns, schema: str | None = None) -> DataFrame:
@@ -77,6 +80,14 @@ def newest_day_folder(spark: SparkSession, path: str) -> str | None:
     return at
 
 
+def tasks_by_rows(df: DataFrame) -> int:
+    """Over how many tasks the rows of ``df`` go so that one gets the same number whatever the
+    table's size, by Spark's estimate of the rows; one for each core at least. 0 when Spark has no
+    estimate, as of rows that do not come from files."""
+    size = estimated_bytes(df)
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-size // DEALT_BYTES)) if size < UNKNOWN_BYTES else 0
+
+
 def deal_small_scan(df: DataFrame) -> DataFrame:
     """A scan whose splits would give a task too much hands its rows to more tasks, by a hash of
     the row, before the row-level work that follows. A small table is often one file with one row
@@ -85,12 +96,10 @@ def deal_small_scan(df: DataFrame) -> DataFrame:
     keeps as many in memory as it can. The tasks go by Spark's estimate of the rows, so that one
     gets the same number whatever the table's size."""
     spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
     split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    plan = df._jdf.queryExecution().optimizedPlan()
-    leaves = plan.collectLeaves()
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    wanted = max(cores, -(-int(str(plan.stats().sizeInBytes())) // DEALT_BYTES))
+    wanted = tasks_by_rows(df)
     return df.repartition(wanted, *df.columns) if size > SMALLEST_DEALT and size < wanted * split else df
 
 

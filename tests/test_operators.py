@@ -143,3 +143,24 @@ def test_latest_project_is_the_same_row_whatever_the_read_order(spark):
         df = spark.createDataFrame(order, "project_id string, project_code string, project_name string, date_id string")
         got = project_with_default(df).where("project_id = 'p'").collect()
         assert [(r.project_code, r.project_name) for r in got] == [("b", "y")]
+
+
+def test_streamed_join_equals_the_lookup_and_sorts_no_left_rows(spark):
+    from tamarind.operators.joins import lookup_join, streamed_join
+    # a third of the left rows without a key, a third of one key, the others of own keys, some unknown
+    left = spark.range(3000).selectExpr("id", "CASE id % 3 WHEN 0 THEN NULL WHEN 1 THEN 7 ELSE id END AS k")
+    right = spark.range(2500).selectExpr("id AS key", "nullif('v' || id, 'v5') AS v").unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS key, 'none' AS v"))
+    plain = sorted(lookup_join(left, right, "k", "key").collect())
+    for most, kind in ((0, "ShuffledHashJoin"), (1 << 20, "BroadcastHashJoin")):
+        df = streamed_join(left, right, "k", "key", max_bytes=most)
+        assert kind in plan_of(df) and "SortMergeJoin" not in plan_of(df)
+        assert sorted(df.collect()) == plain and len(plain) == 3000
+
+
+def test_tasks_by_rows(spark):
+    """As many tasks as the rows ask for, one for each core at least, none where nothing is known of them."""
+    from tamarind.sources.lake import DEALT_BYTES, tasks_by_rows
+    cores = spark.sparkContext.defaultParallelism
+    assert tasks_by_rows(spark.range(10)) == cores
+    assert tasks_by_rows(spark.range(DEALT_BYTES * cores)) == 8 * cores
+    assert tasks_by_rows(spark.createDataFrame([(1,)], "id long")) == 0

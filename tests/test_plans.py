@@ -77,3 +77,43 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_root(Session())
+
+
+def test_company_projects_hold_log_rows_in_the_dealt_distinct_only(spark):
+    """Neither join sorts log rows and nothing below the last shuffle keeps them; that shuffle has
+    twice the tasks for twice the rows. The rows are those of a hand-made table."""
+    import datetime as dt
+    import re
+    import uuid
+    from tamarind.plans.project import build_fact_pmscompany_projects
+    from tamarind.queries.builders import CTX
+    from tamarind.session import scratch_root
+
+    company = spark.createDataFrame([(1, " C1 ", "nan"), (2, None, "two")], "id long, code string, name_th string")
+    project = spark.createDataFrame([(5, "", "five"), (6, "P6", None)], "id long, pms_project_id string, name_th string")
+    names = "id string, company_project_id string, company_id long, project_id long, action_type string, created_at string, created_by string"
+    rows = [("1", "10", 1, 5, " ADD ", "2024-01-02 03:04:05", "me"), ("1", "10", 1, 5, "ADD", "2024-01-02 03:04:05", "me"),
+            ("2", "", None, 6, None, "not a date", ""), ("x", "", None, 6, None, "", None), ("y", None, None, 6, "nan", None, None),
+            ("4.0", "4.5", 2, None, "", "2024-01-03", None), ("5", "7", 9, 9, "", "2024-01-03", None)]
+    root = f"{scratch_root(spark)}/projects-{uuid.uuid4().hex}"
+    spark.createDataFrame(rows, names).write.parquet(f"{root}/few")
+
+    def build(log):
+        return build_fact_pmscompany_projects({"companies_projects_logs": log, "companies": company, "projects": project}, CTX)
+
+    cols = ("mapping_log_id", "mapping_id", "company_id", "company_cd", "company_nm_th", "project_id", "ref_pmsproject_id", "pmsproject_nm_th", "status_nm", "crtd_by", "date_id")
+    got = sorted((tuple(r) for r in build(spark.read.parquet(f"{root}/few")).select(*cols).collect()), key=str)
+    assert got == sorted([(1, 10, 1, "C1", "", 5, None, "five", "ADD", "me", dt.date(2024, 1, 2)), (2, None, None, "", "", 6, "P6", "", "", None, None),
+                          (None, None, None, "", "", 6, "P6", "", "", None, None), (4, None, 2, "", "two", None, None, "", "", None, dt.date(2024, 1, 3)),
+                          (5, 7, 9, "", "", 9, None, "", "", None, dt.date(2024, 1, 3))], key=str)
+
+    tasks = []
+    for n in (1_500_000, 3_000_000):
+        log = spark.range(4 * n).selectExpr("string(id) AS id", "string(id) AS company_project_id", "id % 9 AS company_id", "nullif(id % 3, 0) AS project_id",
+                                            "string(id % 2) AS action_type", "'2024-01-0' || (id % 7 + 1) AS created_at", "string(id % 5) AS created_by")
+        p = plan(build(log))
+        last = p.index("Exchange hashpartitioning(date_id")
+        assert "SortMergeJoin" not in p and p.count("ShuffledHashJoin") == 2
+        assert p[:last].count("HashAggregate") == 2 and "Aggregate" not in p[last:]
+        tasks.append(int(re.search(r", (\d+)\), REPARTITION_BY_NUM", p[last:])[1]))
+    assert tasks[0] > 2 * spark.sparkContext.defaultParallelism and 1.8 < tasks[1] / tasks[0] < 2.2
