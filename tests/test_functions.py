@@ -63,6 +63,12 @@ def test_dates(spark):
         dt.datetime(1970, 1, 1), dt.datetime(2023, 11, 14, 22, 13, 20, 500000), None]
 
 
+def test_epochs_beyond_the_timestamps_are_null(spark):
+    """Seconds that fit a timestamp of Spark but neither the range here nor the interval's decimal."""
+    far = ["9223372036.5", "9223372037", "-9223372036.25", "-9223372037", "1e10", "1e12", "1071983203200", "9.9e12", "-9.9e12", "1e300", "nan", "inf", None]
+    assert one(spark, fn.epoch_to_ts, far) == [dt.datetime(2262, 4, 11, 23, 47, 16, 500000), None, dt.datetime(1677, 9, 21, 0, 12, 43, 750000)] + [None] * 10
+
+
 def test_text(spark):
     assert one(spark, lambda c: fn.zfill(c, 2), ["5", "123", None]) == ["05", "123", None]
     assert one(spark, fn.phone_pad9, ["812345678", "0812345678", None]) == ["0812345678", "0812345678", None]
