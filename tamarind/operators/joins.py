@@ -67,6 +67,65 @@ def streamed_join(left: DataFrame, right: DataFrame, left_on, right_on,
     return lookup_join(left, right, left_on, right_on, "left")
 
 
+#: Column of a placed join: equal rows of the result have the same value of it, and lie in one task.
+PLACE = "_place"
+#: Groups of keys whose left rows a placed join counts: so many for each task, and at most.
+KEY_GROUPS, MOST_GROUPS = 8, 1 << 16
+#: Left rows of fewer estimated bytes are not counted: one task can take them all.
+WORTH_COUNTING = 16 << 20
+
+
+def _heavy_groups(groups: DataFrame, tasks: int) -> DataFrame:
+    """(_group, _pieces): the groups that hold more than a task's share of the rows, and into how
+    many pieces they go, two for each share. At most ``MOST_GROUPS`` counts are collected."""
+    counts = groups.groupBy("_group").agg(F.count(F.lit(1)).alias("_n")).collect()
+    total = sum(r._n for r in counts)
+    heavy = [(r._group, -(-2 * tasks * r._n // total)) for r in counts if r._n * tasks > total]
+    return groups.sparkSession.createDataFrame(heavy, "_group long, _pieces long")
+
+
+def placed_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str, same: str, right_same: str, tasks: int = 0,
+                max_bytes: int = STREAMED_BROADCAST_BYTES) -> DataFrame:
+    """Left ``lookup_join``, null matching null, for a distinct over all columns but ``left_on`` and
+    ``right_on``: with ``PLACE`` among its columns it needs no other shuffle. So the left rows go
+    through one shuffle, before they get the columns of ``right``.
+
+    ``same`` and ``right_same`` are columns that follow from the keys, equal for equal keys. Left
+    rows that are equal but for the key, and the right rows that they may meet, are sent to one of
+    ``tasks`` (by the session's setting when 0) by ``same``. Groups of its values that hold more
+    than a task's share of the left rows are dealt over pieces by the whole row, their right rows
+    repeated for each piece. Right rows are broadcast within ``max_bytes``; then only the rows count.
+    """
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns if c != left_on])
+
+    def sent(df: DataFrame, by: str) -> DataFrame:
+        return df.repartition(tasks, by) if tasks else df.repartition(by)
+
+    if estimated_bytes(right) <= max_bytes:
+        left = sent(left.withColumn(PLACE, row), PLACE)
+        return left.join(F.broadcast(right), left[left_on].eqNullSafe(right[right_on]), "left")
+    n = tasks or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    heavy = None
+    if estimated_bytes(left) > WORTH_COUNTING:
+        group = {c: F.pmod(F.xxhash64(F.col(f"`{c}`")), F.lit(min(KEY_GROUPS * n, MOST_GROUPS))) for c in (same, right_same)}
+        heavy = F.broadcast(_heavy_groups(left.select(group[same].alias("_group")), n))
+
+    def pieces(df: DataFrame, c: str) -> DataFrame:
+        if heavy is None:
+            return df.withColumn("_pieces", F.lit(1).cast("bigint"))
+        of = df.withColumn("_of", group[c])
+        return of.join(heavy, of["_of"] == heavy["_group"], "left").select(*[of[f"`{c}`"] for c in df.columns], F.coalesce("_pieces", F.lit(1)).alias("_pieces"))
+
+    left = pieces(left, same).withColumn(PLACE, F.hash(F.col(f"`{same}`"), F.pmod(row, F.col("_pieces")))).drop("_pieces")
+    right = pieces(right, right_same).withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_pieces") - 1)))
+    right = right.withColumn("_at", F.hash(F.col(f"`{right_same}`"), F.col("_piece"))).drop("_pieces", "_piece")
+    left, right = sent(left, PLACE), sent(right, "_at")
+    a, b = left[left_on], right[right_on]
+    # not as a <=> b: that would become a part of the join's key, by which the rows do not lie
+    matched = F.when(a.isNull(), b.isNull()).otherwise(a == b)
+    return left.join(right.hint("shuffle_hash"), (left[PLACE] == right["_at"]) & matched, "left").drop("_at")
+
+
 #: A key with more than this share of the left rows is split; at most 1 / share keys are.
 HEAVY_SHARE = 0.01
 #: Rows of a heavy key that stay together, as a share of the rows of an even shuffle partition.

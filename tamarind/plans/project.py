@@ -10,8 +10,8 @@ from tamarind.functions.codes import (
     PROJECT_TYPE,
 )
 from tamarind.operators import (
-    blank_strings_to_null, col_or, lookup_join, lower_columns, streamed_join, suffix_columns,
-    unpivot_groups, with_audit,
+    PLACE, blank_strings_to_null, col_or, lookup_join, lower_columns, pack_flags, placed_join,
+    streamed_join, suffix_columns, unpack_flag, unpivot_groups, with_audit,
 )
 from tamarind.plans.common import AUDIT, finish, schema
 from tamarind.plans.company import (
@@ -194,26 +194,31 @@ PERMISSIONS = [("can_all", "is_all"), ("can_view", "is_view"), ("can_create", "i
 
 def build_dim_pmsrole_permission(src: dict, ctx):
     """Role permissions ⟕ the day's roles (null id matches null id, J11). Each side is
-    cleaned before they meet, a role once instead of once for each of its permissions."""
+    cleaned before they meet, a role once instead of once for each of its permissions. Permissions
+    go through one shuffle, without the columns of their role: equal rows of the result have equal
+    role numbers, so the join's tasks make the distinct too."""
     given = blank_strings_to_null(src["role_permissions"], but=("role_id",))
     permission = given.select(
         F.col("role_id").alias("role_key"),
         fn.date_id_from_ts(fn.coalesce_first("created_at", "updated_at")).alias("date_id"),
         fn.to_long("id").alias("record_id"), fn.to_long("role_id").alias("role_id"),
         fn.to_long("module_permission_id").alias("module_id"),
-        *[fn.norm_bool(old).alias(new) for old, new in PERMISSIONS],
+        pack_flags([fn.norm_bool(old) for old, _ in PERMISSIONS]).alias("flags"),
         F.col("created_by").alias("crtd_by"), fn.to_ts("created_at").alias("crtd_dttm"),
         F.col("updated_by").alias("updt_by"), fn.to_ts("updated_at").alias("updt_dttm"))
     role = blank_strings_to_null(src["roles"], but=("id",)).select(
-        F.col("id").alias("key_of_role"),
+        F.col("id").alias("key_of_role"), fn.to_long("id").alias("number_of_role"),
         fn.to_long("company_id").alias("pmscompany_id"), fn.to_long("project_id").alias("pmsproject_id"),
         F.col("code").alias("role_cd"), F.col("name_th").alias("role_nm_th"), F.col("name_en").alias("role_nm_en"),
         F.col("category").alias("role_category"), F.col("description").alias("role_desc"),
         fn.norm_bool("is_system").alias("role_issystem"), fn.norm_bool("is_active").alias("role_isactive"),
         F.col("created_by").alias("role_crtd_by"), fn.to_ts("created_at").alias("role_crtd_dttm"),
         F.col("updated_by").alias("role_updt_by"), fn.to_ts("updated_at").alias("role_updt_dttm"))
-    df = lookup_join(permission, role, "role_key", "key_of_role", "left", null_safe=True, small=True)
-    return finish(with_audit(df, ctx.run_ts).withColumn("rec_actv_flag", F.lit("1")), DIM_PMSROLE_PERMISSION)
+    df = placed_join(permission, role, "role_key", "key_of_role", "role_id", "number_of_role", tasks_by_rows(given))
+    own = [F.col(f.name).cast(f.dataType).alias(f.name) for f in DIM_PMSROLE_PERMISSION if f.name in df.columns]
+    df = df.select(*own, "flags", PLACE).distinct()
+    df = df.withColumns({new: unpack_flag("flags", i) for i, (_, new) in enumerate(PERMISSIONS)})
+    return finish(with_audit(df, ctx.run_ts).withColumn("rec_actv_flag", F.lit("1")), DIM_PMSROLE_PERMISSION, distinct=False)
 
 
 def build_fact_pmscompany_projects(src: dict, ctx):
@@ -262,8 +267,8 @@ def build_fact_pmsproject_features(src: dict, ctx):
 
 SPECS += [
     TableSpec("dim_pmsrole_permission", "dim_pmsrole_permission", ("date_id", "record_id"), (
-        Source("role_permissions", "role_permissions", **PMS),
-        Source("roles", "roles", **PMS),
+        Source("role_permissions", "role_permissions", dealt=True, **PMS),
+        Source("roles", "roles", dealt=True, **PMS),
     ), build_dim_pmsrole_permission, DIM_PMSROLE_PERMISSION),
     TableSpec("fact_pmscompany_projects", "fact_pmscompany_projects", ("date_id", "mapping_log_id"), (
         Source("companies_projects_logs", "companies_projects_logs", **PMS),

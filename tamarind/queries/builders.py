@@ -34,7 +34,7 @@ def adapter_inputs(spark, sf_dir, spec, overrides: dict | None = None) -> dict:
         if s.kind == HISTORY:
             df = df if s.repeats else df.distinct()
         elif s.kind == LAKE:
-            df = deal_small_scan(df)
+            df = deal_small_scan(df, s.dealt)
         out[s.alias] = df
     return out
 

@@ -88,18 +88,19 @@ def tasks_by_rows(df: DataFrame) -> int:
     return max(df.sparkSession.sparkContext.defaultParallelism, -(-size // DEALT_BYTES)) if size < UNKNOWN_BYTES else 0
 
 
-def deal_small_scan(df: DataFrame) -> DataFrame:
+def deal_small_scan(df: DataFrame, dealt_later: bool = False) -> DataFrame:
     """A scan whose splits would give a task too much hands its rows to more tasks, by a hash of
     the row, before the row-level work that follows. A small table is often one file with one row
     group, which one task reads; and keys pack so well that a split of a larger one may hold ten
     million rows, each many times as wide once it is cleaned, of which the distinct at the end
     keeps as many in memory as it can. The tasks go by Spark's estimate of the rows, so that one
-    gets the same number whatever the table's size."""
+    gets the same number whatever the table's size. Rows that are ``dealt_later``, and kept by no
+    task before, are dealt here only when there are fewer splits than cores."""
     spark = df.sparkSession
     split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    wanted = tasks_by_rows(df)
+    wanted = spark.sparkContext.defaultParallelism if dealt_later else tasks_by_rows(df)
     return df.repartition(wanted, *df.columns) if size > SMALLEST_DEALT and size < wanted * split else df
 
 

@@ -31,6 +31,7 @@ class Source:
     reads: tuple[str, ...] = ()        # SQL: warehouse tables, or "name=table", among the inputs
     inputs: tuple[str, ...] = ()       # SQL: other sources of the spec among the inputs (their aliases)
     repeats: bool = False              # HISTORY: the builder drops the repeats, of what it uses, so the read need not
+    dealt: bool = False                # the builder deals the rows before it keeps any, so a scan of enough splits need not
 
     def path(self, root: str) -> str:
         """``{root}/{app}[/{source_type}]/{table}``."""

@@ -157,6 +157,36 @@ def test_streamed_join_equals_the_lookup_and_sorts_no_left_rows(spark):
         assert sorted(df.collect()) == plain and len(plain) == 3000
 
 
+def test_placed_join_needs_one_shuffle_for_join_and_distinct(spark, monkeypatch):
+    """Rows as of a plain join and distinct: keys that differ as text only, repeated rows on both
+    sides, null keys on both sides, a heavy key; nothing goes through a shuffle above the join."""
+    from pyspark.sql import functions as F
+    from tamarind.operators import PLACE, joins
+    left = spark.range(4000).selectExpr("CASE id % 4 WHEN 0 THEN '7' WHEN 1 THEN NULL WHEN 2 THEN '0' || (id % 50) ELSE 'x' || (id % 3) END AS k", "id % 300 AS v")
+    left = left.withColumn("number", F.expr("try_cast(k AS BIGINT)"))
+    right = spark.range(120).selectExpr("CASE id % 6 WHEN 0 THEN NULL WHEN 1 THEN '0' || (id % 50) WHEN 2 THEN 'x1' WHEN 3 THEN '7' ELSE string(id) END AS key", "'w' || id % 4 AS w")
+    right = right.withColumn("number_of", F.expr("try_cast(key AS BIGINT)"))
+    plain = sorted(joins.lookup_join(left, right, "k", "key", "left", null_safe=True).select("v", "number", "w").distinct().collect(), key=str)
+    monkeypatch.setattr(joins, "WORTH_COUNTING", 0)
+    pieces, counted = [], joins._heavy_groups
+    monkeypatch.setattr(joins, "_heavy_groups", lambda groups, tasks: pieces.append(counted(groups, tasks)) or pieces[-1])
+    for most, kind, tasks in ((0, "ShuffledHashJoin", 16), (0, "ShuffledHashJoin", 0), (1 << 20, "BroadcastHashJoin", 16)):
+        df = joins.placed_join(left, right, "k", "key", "number", "number_of", tasks, max_bytes=most).select("v", "number", "w", PLACE).distinct().drop(PLACE)
+        p = plan_of(df)
+        assert kind in p and "Exchange" not in p[:p.index(kind)] and p.count("Exchange hashpartitioning") == (2 if most == 0 else 1)
+        assert sorted(df.collect(), key=str) == plain
+    assert all(max(r._pieces for r in h.collect()) > 4 for h in pieces) and len(pieces) == 2
+
+
+def test_packed_flags_come_back(spark):
+    from pyspark.sql import functions as F
+    from tamarind.operators import pack_flags, unpack_flag
+    rows = [(a, b, c) for a in (True, False, None) for b in (True, False, None) for c in (True, False, None)]
+    df = spark.createDataFrame(rows, "a boolean, b boolean, c boolean").withColumn("p", pack_flags([F.col(c) for c in "abc"]))
+    assert df.where("p IS NULL").isEmpty() and df.select("p").distinct().count() == 27
+    assert df.where(~(unpack_flag("p", 0).eqNullSafe(F.col("a")) & unpack_flag("p", 1).eqNullSafe(F.col("b")) & unpack_flag("p", 2).eqNullSafe(F.col("c")))).isEmpty()
+
+
 def test_tasks_by_rows(spark):
     """As many tasks as the rows ask for, one for each core at least, none where nothing is known of them."""
     from tamarind.sources.lake import DEALT_BYTES, tasks_by_rows

@@ -79,6 +79,14 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
         scratch_root(Session())
 
 
+def test_role_permissions_go_through_one_shuffle(spark, sf_dir):
+    """Permissions are shuffled once, without the columns of their role, and not again by the distinct."""
+    p = plan(QUERIES["b_dim_pmsrole_permission"](spark, sf_dir))
+    join = p.index("HashJoin")
+    assert "Exchange" not in p[:join] and "HashAggregate" in p[:join] and "Aggregate" not in p[join:]
+    assert p.count("Exchange hashpartitioning") == 1
+
+
 def test_company_projects_hold_log_rows_in_the_dealt_distinct_only(spark):
     """Neither join sorts log rows and nothing below the last shuffle keeps them; that shuffle has
     twice the tasks for twice the rows. The rows are those of a hand-made table."""
