@@ -77,6 +77,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().getName() for f in p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)]
 
 
+def file_count(spark: SparkSession, path: str) -> int:
+    """Number of files in a folder and those below it (Hadoop FS API, any scheme); the names are not kept."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return int(p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getFileCount())
+
+
 def create_file(spark: SparkSession, path: str, text: str) -> None:
     """A new small file (Hadoop FS API, any scheme); an error when it exists already."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

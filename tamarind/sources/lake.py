@@ -11,13 +11,14 @@ from __future__ import annotations
 
 import calendar
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tamarind.operators.joins import estimated_bytes
-from tamarind.session import child_names, path_exists
+from tamarind.session import child_names, file_count, path_exists, remove_path, scratch_root
 
 PART_COLS = ("calendar_year", "month_no", "day_of_month")
 #: Scans of fewer bytes are not worth a shuffle.
@@ -28,6 +29,14 @@ DEALT_BYTES = 4 << 20
 #: Estimates beyond this are Spark's stand-in for an unknown size, or a product of unknown ones.
 UNKNOWN_BYTES = 1 << 50
 
+#: Files that a pass of a newest-per-key read gives to Spark at once: the driver holds one or two KB
+#: of each. A day's folder is not divided.
+FILES_PER_PASS = 16_384
+#: With this setting the driver keeps the listings of earlier reads, up to 250 MB of them.
+LISTING_CACHE = "spark.sql.hive.manageFilesourcePartitions"
+#: Small files that one task of such a pass reads, about.
+FILES_PER_TASK = 256
+
 
 def empty_frame(spark: SparkSession, columns, schema: str | None = None) -> DataFrame:
     """A typed, empty frame for a table that does not exist."""
@@ -172,6 +181,49 @@ def latest_per_key(df: DataFrame, keys, order=PART_COLS, tie=()) -> DataFrame:
             .where(F.col("_rn") == 1).drop("_rn"))
 
 
+def folder_passes(spark: SparkSession, path: str, level: int = 0) -> list[list[tuple[str, int]]]:
+    """The folders of a lake table with their numbers of files, in passes of up to ``FILES_PER_PASS``:
+    whole years, of larger ones months, of larger ones days."""
+    passes, room = [], 0
+    for name in sorted(n for n in child_names(spark, path) if n.startswith(f"{PART_COLS[level]}=")):  # that of no date too
+        folder = f"{path.rstrip('/')}/{name}"
+        files = file_count(spark, folder)
+        if files > FILES_PER_PASS and level + 1 < len(PART_COLS):
+            passes += folder_passes(spark, folder, level + 1)
+            room = 0
+            continue
+        if files > room:
+            passes.append([])
+            room = max(FILES_PER_PASS, files)
+        passes[-1].append((folder, files))
+        room -= files
+    return passes
+
+
+def newest_in_passes(spark: SparkSession, path: str, columns, keys, tie=()) -> DataFrame:
+    """The newest row per key of a table of too many files for one read: that of each pass is written
+    to the scratch folder, and of those the newest is taken. The driver lists one pass at a time."""
+    at, schema = f"{scratch_root(spark)}/newest-{uuid.uuid4().hex}", None
+    remove_path(spark, at, on_exit=True)
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    passes = folder_passes(spark, path)
+    for i, folders in enumerate(passes):
+        names, reader = [f for f, _ in folders], spark.read.option("basePath", path)
+        before = spark.conf.get(LISTING_CACHE)
+        spark.conf.set(LISTING_CACHE, "false")
+        try:
+            if schema is None:
+                schema = StructType([StructField(f.name, IntegerType() if f.name in PART_COLS else f.dataType) for f in reader.parquet(*names).schema])
+            df = reader.schema(schema).parquet(*names)
+        finally:
+            spark.conf.set(LISTING_CACHE, before)
+        tasks = max(spark.sparkContext.defaultParallelism, sum(n for _, n in folders) // FILES_PER_TASK, estimated_bytes(df) // split)
+        df = df.select(*columns) if columns else df
+        latest_per_key(df.coalesce(int(tasks)), keys, tie=tie).write.parquet(f"{at}/{i}")
+    rows = spark.read.parquet(*[f"{at}/{i}" for i in range(len(passes))])
+    return latest_per_key(rows, keys, tie=tie)
+
+
 def read_range(spark: SparkSession, src, root: str, start: _dt.date, end: _dt.date) -> DataFrame:
     """One scan of the days from ``start`` to ``end``: what the day reads give together,
     each row with its date parts, exact duplicates within a day dropped."""
@@ -210,6 +262,8 @@ def read_source(spark: SparkSession, src, ctx, inputs: dict | None = None) -> Da
         cols = list(src.columns) if src.columns else None
         if cols is not None:
             cols = cols + [c for c in PART_COLS if c not in cols]  # D1: keep date parts to rank
+        if path_exists(spark, path) and file_count(spark, path) > FILES_PER_PASS:
+            return newest_in_passes(spark, path, cols, src.keys, src.tie)
         # repeated rows cannot change the newest one: no distinct before it
         df = read_lake(spark, path, columns=cols, full=True, schema=src.schema, distinct=False)
         return latest_per_key(df, src.keys, tie=src.tie)

@@ -354,6 +354,27 @@ def test_many_small_day_folders_are_written_by_many_tasks(spark, folder, years):
     assert back.exceptAll(days).isEmpty() and back.count() == n
 
 
+def test_newest_rows_of_many_files_are_read_in_passes(spark, folder, monkeypatch):
+    """Years, months and days of more files than a pass takes, rows of equal date and null keys: the
+    rows of one read, and no read is given more files than a pass has room for."""
+    rows = spark.range(4000).selectExpr("nullif('k' || id % 90, 'k5') AS k", "id % 7 AS v", "id AS other", "CAST(2000 + sqrt(id) % 3 AS INT) AS calendar_year",
+                                        "CAST(nullif(id % 3, 0) AS INT) AS month_no", "CAST(1 + id % 4 AS INT) AS day_of_month")
+    path = f"{folder}/a/t"
+    rows.repartition(3, "v").write.partitionBy(*lake.PART_COLS).parquet(path)
+    src = replace(SRC, columns=("k", "v", "other"))
+    ctx = RunContext(lake_root=folder)
+    whole = lake.read_source(spark, src, ctx)
+    listed, estimate = [], lake.estimated_bytes
+    monkeypatch.setattr(lake, "estimated_bytes", lambda df: listed.append(len(df.inputFiles())) or estimate(df))
+    n = len(glob.glob(f"{local(path)}/*/*/*/*.parquet"))
+    for most in (n - 1, 7):
+        listed.clear()
+        monkeypatch.setattr(lake, "FILES_PER_PASS", most)
+        passed = lake.read_source(spark, src, ctx)
+        assert passed.schema == whole.schema and sorted(passed.collect()) == sorted(whole.collect()) and whole.count() == 89
+        assert sum(listed) == n and max(listed) <= max(most, 3) and len(listed) > 1
+
+
 def test_a_scan_is_dealt_by_the_rows_it_holds(spark, folder):
     """Keys pack well: a file of few MB holds millions of wide rows. Twice the rows, twice the tasks,
     also where the file has fewer splits than there are cores."""
